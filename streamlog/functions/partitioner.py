@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamlog.functions import ordered
 
@@ -50,7 +51,7 @@ def hash_keys(keys: pa.Array) -> np.ndarray:
     return h ^ (h >> 15)
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def murmur2(keys: pa.Array) -> pa.Array:
     """The hash as a signed 32-bit integer; NULL for a NULL key."""
     return pa.array(hash_keys(keys).view(np.int32), mask=np.asarray(keys.is_null()))

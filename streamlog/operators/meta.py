@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlog import model
@@ -50,19 +50,37 @@ def end_offsets(log: DataFrame, requested: DataFrame, *, strict: bool = False) -
 def offsets_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
     """First record at or after ``times(topic, partition, at)``: offset and timestamp.
 
-    Both are NULL when there is none. One aggregate over the requested
-    topic-partitions; different times of one topic-partition are kept apart.
+    Both are NULL when there is none. A record is counted once, under the latest
+    requested time it satisfies, however many times are asked of its
+    topic-partition; earlier times then take the minimum over later ones.
     """
     wanted = times.select(*model.TP, "at").distinct()
-    late = F.col("timestamp") >= F.col("at")
-    hits = (
-        log.join(wanted, model.TP)
-        .filter(late)
+    asked = wanted.groupBy(*model.TP).agg(F.array_sort(F.collect_list("at")).alias("_ats"))
+    met = F.filter("_ats", lambda at: at <= F.col("timestamp"))
+    firsts = (
+        log.join(asked, model.TP)
+        .select(*model.TP, "offset", "timestamp", F.try_element_at(met, F.lit(-1)).alias("at"))
+        .filter(F.col("at").isNotNull())
         .groupBy(*model.TP, "at")
-        .agg(F.min(F.struct("offset", "timestamp")).alias("hit"))
+        .agg(F.min("offset").alias("_offset"), F.min_by("timestamp", "offset").alias("_timestamp"))
     )
-    return wanted.join(hits, [*model.TP, "at"], "left").select(
-        *model.TP, "at", "hit.offset", "hit.timestamp"
+    this_or_later = (
+        Window.partitionBy(*model.TP)
+        .orderBy(F.desc("at"))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    hit = F.min(
+        F.when(F.col("_offset").isNotNull(), F.struct("_offset", "_timestamp"))
+    ).over(this_or_later)
+    return (
+        wanted.join(firsts, [*model.TP, "at"], "left")
+        .withColumn("_hit", hit)
+        .select(
+            *model.TP,
+            "at",
+            F.col("_hit._offset").alias("offset"),
+            F.col("_hit._timestamp").alias("timestamp"),
+        )
     )
 
 

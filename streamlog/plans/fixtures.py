@@ -6,6 +6,7 @@ shared folder as a log table; queries scan that table with pruning.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +66,172 @@ def event_log_path(spark: SparkSession, sf_dir: str) -> str:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read(spark, event_log_path(spark, sf_dir))
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as a log: a topic per status, keyed by customer."""
+
+    def build(path: str) -> None:
+        orders = table(spark, sf_dir, "orders")
+        keyed = orders.select(
+            F.concat(F.lit("ord-"), F.lower("o_orderstatus")).alias("topic"),
+            F.col("o_custkey").cast("string").alias("key"),
+            F.col("o_orderdate").alias("timestamp"),
+            F.to_json(F.struct("o_orderkey", "o_orderpriority")).alias("value"),
+            F.col("o_orderkey").alias("arrival_seq"),
+        )
+        placed = keyed.withColumn(
+            "partition", partitioner.partition_for_key(F.col("key"), PARTITIONS)
+        )
+        records = log.append_offsets_sorted(
+            _plain_fields(placed), order_by=["timestamp", "arrival_seq"]
+        )
+        log.write(records.select(*model.LOG.fieldNames()), path)
+
+    return log.read(spark, _once(spark, sf_dir, "order-log", build))
+
+
+def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations``: each conversation is a partition, its turns are offsets."""
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select(
+        F.lit("conversations").alias("topic"),
+        F.col("conv_id").cast("int").alias("partition"),
+        F.col("turn").alias("offset"),
+        F.col("role").alias("key"),
+        F.col("text").alias("value"),
+    )
+
+
+def jittered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log with timestamps that do not follow the offsets."""
+    back = F.make_dt_interval(hours=(F.col("arrival_seq") % 7 * 3).cast("int"))
+    return event_log(spark, sf_dir).withColumn("timestamp", F.col("timestamp") - back)
+
+
+def k_of(value: str = "value"):
+    """The number in the JSON value of an event."""
+    return F.get_json_object(value, "$.k").cast("bigint")
+
+
+def committables(spark: SparkSession, sf_dir: str, *groups: str) -> DataFrame:
+    """Every record of the event log handed over for commit.
+
+    Arrival runs backwards within blocks of eight events, so that the last offset
+    of a batch is often not the highest. Groups take turns.
+    """
+    groups = groups or ("g1",)
+    n = len(groups)
+    seq = F.col("arrival_seq")
+    observed = F.expr("(arrival_seq div 8) * 8 + 7 - arrival_seq % 8")
+    records = event_log(spark, sf_dir).select(*model.TP, "offset", "timestamp", "arrival_seq")
+    parts = F.posexplode(F.array(*[F.lit(g) for g in groups])).alias("_i", "group_id")
+    return records.select("*", parts).select(
+        "group_id", *model.TP, "offset", "timestamp",
+        F.concat(F.lit("m"), seq.cast("string")).alias("metadata"),
+        (observed * n + F.col("_i")).alias("arrival_seq"),
+        F.lit(1).cast("bigint").alias("batch_size"),
+    )
+
+
+def ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_log(spark, sf_dir).groupBy(*model.TP).agg(
+        (F.max("offset") + 1).alias("end_offset")
+    )
+
+
+def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two commits of group g1 per topic-partition, none in the last partition."""
+    end = F.col("end_offset")
+    steps = F.array(
+        F.struct((F.floor(end / 4)).alias("offset"), F.lit("early").alias("metadata"), F.lit(1).alias("commit_seq")),
+        F.struct((F.floor(end / 2)).alias("offset"), F.lit("late").alias("metadata"), F.lit(2).alias("commit_seq")),
+    )
+    return (
+        ends(spark, sf_dir)
+        .filter(F.col("partition") < PARTITIONS - 1)
+        .select(F.lit("g1").alias("group_id"), *model.TP, F.inline(steps))
+    )
+
+
+def partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_log(spark, sf_dir).select(*model.TP).distinct()
+
+
+def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four epochs in which two members swap partitions; a third joins for the last."""
+    e = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("epoch")
+    members = F.when(F.col("epoch") == 3, 3).otherwise(2)
+    member = F.concat(F.lit("m"), ((F.col("partition") + F.col("epoch")) % members).cast("string"))
+    return partitions(spark, sf_dir).select(*model.TP, e).withColumn("member", member)
+
+
+def transactional_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The event log with transaction ids, and the table of transactions."""
+    txn = F.expr("arrival_seq div 100")
+    records = event_log(spark, sf_dir).withColumn("txn_id", F.when(txn % 5 != 4, txn))
+    status = F.when(F.col("txn_id") % 7 == 3, "aborted").otherwise("committed")
+    transactions = (
+        records.filter(F.col("txn_id").isNotNull()).select("txn_id").distinct().withColumn("status", status)
+    )
+    return records, transactions
+
+
+def polls(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
+    """Records with the poll that fetched them; poll 7 of one partition jumps back."""
+    records = event_log(spark, sf_dir) if records is None else records
+    rewound = (
+        (F.col("topic") == "ev-click") & (F.col("partition") == 0) & (F.col("poll_batch") == 7)
+    )
+    return records.withColumn("poll_batch", F.expr("arrival_seq div 500")).withColumn(
+        "offset", F.when(rewound, F.col("offset") - 300).otherwise(F.col("offset"))
+    )
+
+
+def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets requested for commit: a quarter of each log, none in the last partition."""
+    return (
+        ends(spark, sf_dir)
+        .filter(F.col("partition") < PARTITIONS - 1)
+        .select(*model.TP, F.floor(F.col("end_offset") / 4).alias("offset"))
+    )
+
+
+STREAM = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string, arrival_seq bigint"
+ROWS_PER_APPEND = 10_000_000
+
+
+def ordered_stream_path(spark: SparkSession, sf_dir: str) -> str:
+    """The event log as a folder filled by successive appends in arrival order.
+
+    The file source reads files by modification time, so a stream over this
+    folder sees the appends in order. The last append holds a tick per
+    topic-partition, a day after the last event.
+    """
+
+    def build(path: str) -> None:
+        records = event_log(spark, sf_dir).select(*model.TP, "offset", "timestamp", "value", "arrival_seq")
+        rows, last, latest = records.agg(
+            F.count(F.lit(1)), F.max("arrival_seq"), F.max("timestamp")
+        ).first()
+        appends = max(4, -(-rows // ROWS_PER_APPEND))
+        step = last // appends + 1
+        for i in range(appends):
+            part = records.filter(
+                (F.col("arrival_seq") >= i * step) & (F.col("arrival_seq") < (i + 1) * step)
+            )
+            part.write.mode("append").parquet(path)
+        ticks = partitions(spark, sf_dir).select(
+            *model.TP,
+            F.lit(None).cast("bigint").alias("offset"),
+            F.lit(latest + datetime.timedelta(days=1)).cast("timestamp_ntz").alias("timestamp"),
+            F.lit(None).cast("string").alias("value"),
+            F.lit(last + 1).cast("bigint").alias("arrival_seq"),
+        )
+        ticks.write.mode("append").parquet(path)
+
+    return _once(spark, sf_dir, "ordered-stream", build)
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    return new_dir(spark, name)
