@@ -263,10 +263,11 @@ def _(spark, sf):
     )
 
 
-@query("a16_read_committed", on_log(f'SELECT {TP}, "offset", txn_id FROM txn_log WHERE {COMMITTED_TXN}', TXN))
+@query("a16_read_committed", on_log(f'SELECT {TP}, "offset", coalesce(txn_id, -1) AS txn_id FROM txn_log WHERE {COMMITTED_TXN}', TXN))
 def _(spark, sf):
     records, transactions = fx.transactional_log(spark, sf)
-    return txn.read_committed(records, transactions).select(*model.TP, "offset", "txn_id")
+    txn_id = F.coalesce("txn_id", F.lit(-1)).alias("txn_id")
+    return txn.read_committed(records, transactions).select(*model.TP, "offset", txn_id)
 
 
 @query("a17_topics", on_log(f"SELECT {PLAIN_SQL} FROM log WHERE topic IN ('ev-error', 'ev-signup')"))
