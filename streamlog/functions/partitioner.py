@@ -67,19 +67,23 @@ def shard_id(entity_id: Column, partitions: Column | int) -> Column:
     return partition_for_key(entity_id, partitions).cast("string")
 
 
+def known_partition(partitions: int) -> Column:
+    """The explicit partition of a record, else that of its key, else NULL."""
+    return F.coalesce(F.col("partition"), partition_for_key(F.col("key"), partitions))
+
+
+def deal(df: DataFrame, partitions: int, *, seq: str) -> DataFrame:
+    """Give records without a partition one in turn, per topic in ``seq`` order."""
+    waiting = F.col("partition").isNull().cast("bigint")
+    turns = ordered.running_sum(df, ["topic"], seq, waiting, name="_turn", inclusive=False)
+    in_turn = (F.col("_turn") % partitions).cast("int")
+    return turns.withColumn("partition", F.coalesce("partition", in_turn)).drop("_turn")
+
+
 def choose(df: DataFrame, partitions: int, *, seq: str) -> DataFrame:
     """Fill ``partition``: the explicit one, else by key hash, else round robin.
 
-    Only records with neither partition nor key take part in the round robin;
-    they are dealt in ``seq`` order per topic. ``seq`` must be a unique integer.
+    Only records with neither partition nor key take part in the round robin.
+    ``seq`` must be a unique integer.
     """
-    needs_turn = F.col("partition").isNull() & F.col("key").isNull()
-    turns = ordered.running_sum(
-        df, ["topic"], seq, needs_turn.cast("bigint"), name="_turn", inclusive=False
-    )
-    chosen = F.coalesce(
-        F.col("partition"),
-        partition_for_key(F.col("key"), partitions),
-        (F.col("_turn") % partitions).cast("int"),
-    )
-    return turns.withColumn("partition", chosen).drop("_turn")
+    return deal(df.withColumn("partition", known_partition(partitions)), partitions, seq=seq)

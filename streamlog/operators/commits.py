@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from streamlog import model
 from streamlog.functions import ordered
 from streamlog.operators import folds
+from streamlog.workspace import materialize
 
 STREAM = ["group_id"]
 
@@ -97,7 +98,8 @@ def batch_flow(
     committable counts one and the batch number is plain arithmetic.
     """
     if when == "next_observed":
-        committables = next_observed(committables)
+        # Stored, because numbering reads its input twice.
+        committables = materialize(next_observed(committables), "next-observed")
     elif when != "first_observed":
         raise ValueError(f"unknown commit rule: {when}")
     if sized:

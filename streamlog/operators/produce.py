@@ -8,31 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
-from streamlog.functions import ordered, partitioner
+from streamlog.functions import partitioner
 from streamlog.sources import log
+from streamlog.workspace import materialize
 
 
-def expand(envelopes: DataFrame) -> DataFrame:
-    """One row per output record with ``envelope_id``, ``pos`` and a send order.
+def expand(envelopes: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per output record with ``envelope_id``, ``pos`` and ``send_seq``.
 
-    ``send_seq`` counts records over all envelopes in ``envelope_id`` order
-    (unique integers). Empty envelopes yield no row.
+    ``send_seq`` is a unique integer that rises in (envelope_id, pos) order. With
+    ``partitions`` the key hash is applied before the records are stored. Empty
+    envelopes yield no row.
+
+    One range shuffle sorts the records and the result is written to the shared
+    folder: later steps need it several times, and its positions must not change.
     """
-    starts = ordered.running_sum(
-        envelopes.select("envelope_id", "records"), [], "envelope_id",
-        F.size("records").cast("bigint"), name="_start", inclusive=False,
+    sends = envelopes.select("envelope_id", F.posexplode("records").alias("pos", "_r")).select(
+        "envelope_id", "pos", "_r.*"
     )
-    return starts.select("envelope_id", "_start", F.posexplode("records").alias("pos", "_r")).select(
-        "envelope_id", "pos", (F.col("_start") + F.col("pos")).alias("send_seq"), "_r.*"
+    if partitions is not None:
+        sends = sends.withColumn("partition", partitioner.known_partition(partitions))
+    return materialize(
+        sends.repartitionByRange("envelope_id", "pos")
+        .sortWithinPartitions("envelope_id", "pos")
+        .withColumn("send_seq", F.monotonically_increasing_id()),
+        "sends",
     )
 
 
-def place(records: DataFrame, partitions: int, *, ends: DataFrame | None = None) -> DataFrame:
-    """Choose partitions and give out offsets in send order."""
-    chosen = partitioner.choose(records, partitions, seq="send_seq")
-    return log.append_offsets(chosen, seq="send_seq", base=ends)
-
-
 @dataclass(frozen=True)
 class Produced:
     records: DataFrame
@@ -44,11 +47,13 @@ def flexi_flow(
 ) -> Produced:
     """Records to append, and one result per envelope in ``envelope_id`` order.
 
-    ``envelopes``: envelope_id, records and columns that pass through. A result
+    Partitions are chosen by record, key or turn, and offsets are given out in
+    send order. ``envelopes``: envelope_id, records and columns that pass through. A result
     has ``parts``, the placed records of the envelope in order; it is empty for
     an envelope without records. ``ends`` gives the current end of the target log.
     """
-    records = place(expand(envelopes), partitions, ends=ends)
+    chosen = partitioner.deal(expand(envelopes, partitions), partitions, seq="send_seq")
+    records = log.append_offsets(chosen, seq="send_seq", base=ends)
     part = F.struct("pos", *model.TP, "offset", "key", "value")
     parts = records.groupBy("envelope_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     kept = [c for c in envelopes.columns if c != "records"]

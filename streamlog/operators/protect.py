@@ -30,11 +30,15 @@ def _poll_ends(records: DataFrame, order: str) -> DataFrame:
 
 def _micros(timestamp: Column) -> Column:
     """Microseconds between zone-less timestamps and 1970, whatever the session zone."""
-    since = timestamp.cast("timestamp_ntz") - F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz")
-    return (F.extract(F.lit("day"), since) * 86_400_000_000
-            + F.extract(F.lit("hour"), since) * 3_600_000_000
-            + F.extract(F.lit("minute"), since) * 60_000_000
-            + F.extract(F.lit("second"), since) * 1_000_000).cast("bigint")
+    epoch = F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    since = timestamp.cast("timestamp_ntz") - epoch
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), since)
+
+    minutes = (part("day").cast("bigint") * 24 + part("hour")) * 60 + part("minute")
+    # Seconds are a decimal with microseconds.
+    return minutes * 60_000_000 + (part("second") * 1_000_000).cast("bigint")
 
 
 def judge_polls(

@@ -204,9 +204,11 @@ ROWS_PER_APPEND = 10_000_000
 def ordered_stream_path(spark: SparkSession, sf_dir: str) -> str:
     """The event log as a folder filled by successive appends in arrival order.
 
-    The file source reads files by modification time, so a stream over this
-    folder sees the appends in order. The last append holds a tick per
-    topic-partition, a day after the last event.
+    The file source reads files by modification time, and an append keeps a
+    topic-partition in one file, so a stream over this folder gets each
+    topic-partition in order wherever micro-batches are cut. An append is bounded
+    by ``ROWS_PER_APPEND``. The last one holds a tick per topic-partition, a day
+    after the last event.
     """
 
     def build(path: str) -> None:
@@ -220,7 +222,7 @@ def ordered_stream_path(spark: SparkSession, sf_dir: str) -> str:
             part = records.filter(
                 (F.col("arrival_seq") >= i * step) & (F.col("arrival_seq") < (i + 1) * step)
             )
-            part.write.mode("append").parquet(path)
+            part.repartition(*model.TP).write.mode("append").parquet(path)
         ticks = partitions(spark, sf_dir).select(
             *model.TP,
             F.lit(None).cast("bigint").alias("offset"),
@@ -233,5 +235,10 @@ def ordered_stream_path(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "ordered-stream", build)
 
 
+def ordered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = ordered_stream_path(spark, sf_dir)
+    return spark.readStream.schema(STREAM).option("maxBytesPerTrigger", 8 << 30).parquet(path)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     return new_dir(spark, name)

@@ -111,8 +111,7 @@ def _(spark, sf):
 
 def commit_stream(spark, sf):
     """Committables as a stream, ticks included."""
-    stream = spark.readStream.schema(fx.STREAM).parquet(fx.ordered_stream_path(spark, sf))
-    return stream.select(
+    return fx.ordered_stream(spark, sf).select(
         F.lit("g1").alias("group_id"), *model.TP, "offset",
         F.concat(F.lit("m"), F.col("arrival_seq").cast("string")).alias("metadata"),
         "arrival_seq", "timestamp", F.lit(1).cast("bigint").alias("batch_size"),
@@ -262,7 +261,7 @@ def _(spark, sf):
     "c15_refresh_due",
     on_log(f"""SELECT {TP}, "offset" FROM (SELECT {TP}, max("offset") // 2 AS "offset",
         CASE WHEN "partition" = 1 THEN max("offset") ELSE max("offset") // 2 END AS requested,
-        max("timestamp") AS last_commit FROM log GROUP BY ALL)
+        max("timestamp") AS last_commit FROM log GROUP BY topic, "partition")
       WHERE "offset" = requested AND last_commit + INTERVAL 30 MINUTE < TIMESTAMP '2024-01-31 00:00:00'"""),
 )
 def _(spark, sf):
@@ -285,23 +284,22 @@ def _(spark, sf):
     "c18_last_committer_wins",
     on_log(f"""SELECT {GTP}, arg_max("offset", m) AS "offset", arg_max(metadata, m) AS metadata, sum(n)::BIGINT AS updates
       FROM (SELECT 'shared' AS group_id, {TP}, CASE WHEN group_id = 'g1' THEN 2 ELSE 1 END AS m,
-        arg_max("offset", arrival_seq) + 1 AS "offset", arg_max(metadata, arrival_seq) AS metadata, count(*) AS n
-        FROM committables WHERE NOT (group_id = 'g1' AND arrival_seq >= 10000) GROUP BY ALL) GROUP BY {GTP}""",
+        arg_max(CASE WHEN group_id = 'g1' THEN "offset" // 2 ELSE "offset" END, arrival_seq) + 1 AS "offset",
+        arg_max(metadata, arrival_seq) AS metadata, count(*) AS n
+        FROM committables GROUP BY ALL) GROUP BY {GTP}""",
       COMMITTABLES2),
 )
 def _(spark, sf):
-    """Two readers of one group; the one that read less commits last and wins."""
+    """Two readers of one group; the one that lags behind commits last and wins."""
     both = fx.committables(spark, sf, "g1", "g2")
     slow = F.col("group_id") == "g1"
-    shared = F.lit("shared").alias("group_id")
 
     def batch(df, order):
-        return commits.offset_batch(df.withColumn("group_id", shared)).withColumn(
-            "batch_seq", F.lit(order)
-        )
+        shared = df.withColumn("group_id", F.lit("shared"))
+        return commits.offset_batch(shared).withColumn("batch_seq", F.lit(order))
 
-    behind = batch(both.filter(slow & (F.col("arrival_seq") < 10000)), 2)
-    return commits.merge_batches(batch(both.filter(~slow), 1).unionByName(behind))
+    behind = both.filter(slow).withColumn("offset", F.floor(F.col("offset") / 2))
+    return commits.merge_batches(batch(both.filter(~slow), 1).unionByName(batch(behind, 2)))
 
 
 @query(

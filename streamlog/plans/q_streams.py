@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog import model
-from streamlog.functions import envelope
+from streamlog.functions import envelope, ordered
 from streamlog.operators import batching
 from streamlog.plans import fixtures as fx
 from streamlog.plans.oracle_log import ORDER_LOG, TP, on_log
@@ -17,7 +17,7 @@ from streamlog.plans.q_commits import IN_ORDER, timed_fold
 from streamlog.plans.q_sources import EVERYTHING, event_stream, stream_to_table
 from streamlog.plans.registry import query
 from streamlog.sources import source, subs
-from streamlog.streaming import delivery
+from streamlog.streaming import collect, delivery
 
 
 @query("h01_map", on_log(f"""SELECT {TP}, "offset", 'copy-' || topic AS target, "key" || ':' || value AS mapped FROM log"""))
@@ -100,12 +100,14 @@ def _(spark, sf):
     return last.groupBy("topic").agg(F.sum("last").alias("total"))
 
 
-GROUPS = """groups AS (SELECT topic, "partition", "offset" // {n} AS group_no,
+def groups_sql(n: int, sep: str) -> str:
+    return f"""groups AS (SELECT topic, "partition", "offset" // {n} AS group_no,
   string_agg(value, '{sep}' ORDER BY "offset") AS joined, sum(kn)::BIGINT AS total,
-  max("offset") AS "offset", count(*) AS size FROM log GROUP BY ALL)"""
+  max("offset") AS "offset", count(*) AS size
+      FROM log GROUP BY topic, "partition", log."offset" // {n})"""
 
 
-@query("h07_grouped", on_log(f'SELECT {TP}, group_no, joined, "offset", size FROM groups', GROUPS.replace("GROUP BY ALL", 'GROUP BY topic, "partition", log."offset" // {n}').format(n=5, sep=",")))
+@query("h07_grouped", on_log(f'SELECT {TP}, group_no, joined, "offset", size FROM groups', groups_sql(5, ",")))
 def _(spark, sf):
     groups = batching.grouped(fx.event_log(spark, sf), 5)
     return groups.withColumn("joined", F.concat_ws(",", "values")).drop("values")
@@ -119,18 +121,11 @@ def _(spark, sf):
       GROUP BY {TP}, in_batch""", IN_ORDER, timed_fold(20), recursive=True),
 )
 def _(spark, sf):
-    stream = spark.readStream.schema(fx.STREAM).parquet(fx.ordered_stream_path(spark, sf))
-    groups = collect_groups(stream)
+    groups = collect.grouped_within(fx.ordered_stream(spark, sf), 20, datetime.timedelta(days=1))
     return stream_to_table(groups, "h08")
 
 
-def collect_groups(stream):
-    from streamlog.streaming import collect
-
-    return collect.grouped_within(stream, 20, datetime.timedelta(days=1))
-
-
-@query("h09_sums_and_concats", on_log(f'SELECT {TP}, group_no, total, joined, "offset" FROM groups', GROUPS.replace("GROUP BY ALL", 'GROUP BY topic, "partition", log."offset" // {n}').format(n=10, sep="")))
+@query("h09_sums_and_concats", on_log(f'SELECT {TP}, group_no, total, joined, "offset" FROM groups', groups_sql(10, "")))
 def _(spark, sf):
     return batching.sums_and_concats(fx.event_log(spark, sf), 10, fx.k_of())
 
@@ -139,7 +134,7 @@ def _(spark, sf):
     "h09_sums_and_concats_envelopes",
     on_log(f"""SELECT 'sums' AS target, total::VARCHAR AS value, {TP}, "offset" FROM groups
       UNION ALL SELECT 'concats', joined, {TP}, "offset" FROM groups""",
-      GROUPS.replace("GROUP BY ALL", 'GROUP BY topic, "partition", log."offset" // {n}').format(n=10, sep="")),
+      groups_sql(10, "")),
 )
 def _(spark, sf):
     groups = batching.sums_and_concats(fx.event_log(spark, sf), 10, fx.k_of())
@@ -162,8 +157,6 @@ def _(spark, sf):
 
 @query("h11_zip_with_counter", on_log(f"""SELECT {TP}, "offset", row_number() OVER (PARTITION BY topic ORDER BY arrival_seq) AS counter, value FROM log"""))
 def _(spark, sf):
-    from streamlog.functions import ordered
-
     numbered = ordered.row_number(fx.event_log(spark, sf), ["topic"], "arrival_seq", name="counter")
     return numbered.select(*model.TP, "offset", "counter", "value")
 

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog import model
 from streamlog.streaming.store import OutputLog
+from streamlog.workspace import read_if_exists
 
 Write = Callable[[DataFrame, int], None]
 
+COMMITS = (
+    "group_id string, topic string, partition int, offset bigint, metadata string, commit_seq bigint"
+)
+
 
 def append_records(path: str) -> Write:
     """Append output records to a log folder, partitioned by topic and partition."""
@@ -50,29 +55,31 @@ def _start(stream: DataFrame, write: Write, checkpoint: str, trigger: dict | Non
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def is_committed(path: str) -> Callable[[SparkSession, int], bool]:
+    """Whether the commit table at ``path`` holds a micro-batch."""
+
+    def check(spark: SparkSession, batch_id: int) -> bool:
+        rows = read_if_exists(spark, path, COMMITS)
+        return not rows.filter(F.col("commit_seq") == batch_id).isEmpty()
+
+    return check
+
+
 def at_most_once(
-    stream: DataFrame, sink: Write, commit: Write, committed: Callable[[], DataFrame],
+    stream: DataFrame, sink: Write, commit: Write, committed: Callable[[SparkSession, int], bool],
     checkpoint: str, *, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Commit first, then hand the records to ``sink``.
 
-    ``committed`` reads the commit table. A batch whose offsets are already
-    committed is not handed on again, even if its records were lost.
+    A micro-batch that is already committed is not handed on again, even if its
+    records were lost.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = committed().groupBy(*model.TP).agg(F.max("offset").alias("_committed"))
-        batch = (
-            batch.join(done, model.TP, "left")
-            .filter(F.col("_committed").isNull() | (F.col("offset") >= F.col("_committed")))
-            .drop("_committed")
-        )
-        batch = batch.persist()  # the commit must not change what the sink gets
-        try:
-            commit(batch, batch_id)
-            sink(batch, batch_id)
-        finally:
-            batch.unpersist()
+        if committed(batch.sparkSession, batch_id):
+            return
+        commit(batch, batch_id)
+        sink(batch, batch_id)
 
     return _start(stream, write, checkpoint, trigger)
 
