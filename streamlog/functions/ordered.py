@@ -11,8 +11,7 @@ number). Each function
 3. joins the carried value back and finishes inside the chunk.
 
 The chunk rows are fewer than the records by up to ``2 ** bits``, so their window
-is small; AQE broadcasts them when they are below its threshold and otherwise
-the join uses the same partitioning as the window that follows it.
+is small. The records themselves are shuffled and sorted once, by key and chunk.
 
 Keys and ``seq`` must not be NULL.
 """
@@ -45,7 +44,9 @@ def _inside(keys: list[str], seq: str):
 def _with_carry(df: DataFrame, keys: list[str], bits: int, seq: str, aggs, carry) -> DataFrame:
     chunked = df.withColumn(_CHUNK, _chunk_of(seq, bits))
     per_chunk = chunked.groupBy(*keys, _CHUNK).agg(*aggs)
-    carried = per_chunk.select(*keys, _CHUNK, carry.alias("_carry"))
+    # The window needs the rows shuffled by chunk anyway. A hash join on the same
+    # columns uses that shuffle and, unlike a merge join, adds no sort.
+    carried = per_chunk.select(*keys, _CHUNK, carry.alias("_carry")).hint("shuffle_hash")
     return chunked.join(carried, [*keys, _CHUNK])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streamlog import model
 from streamlog.functions import ordered
+from streamlog.workspace import measured
 
 
 def take(records: DataFrame, n: int) -> DataFrame:
@@ -33,8 +34,10 @@ def take_while(records: DataFrame, keep: Column, *, inclusive: bool = False) ->
     ``inclusive`` also returns that record. The cut-off is one aggregate value
     per topic-partition, so no ordering of the records is needed.
     """
-    stop = records.groupBy(*model.TP).agg(
-        F.min(F.when(~F.coalesce(keep, F.lit(False)), F.col("offset"))).alias("_stop")
+    stop = measured(
+        records.groupBy(*model.TP).agg(
+            F.min(F.when(~F.coalesce(keep, F.lit(False)), F.col("offset"))).alias("_stop")
+        )
     )
     before = F.col("offset") <= F.col("_stop") if inclusive else F.col("offset") < F.col("_stop")
     return records.join(stop, model.TP).filter(F.col("_stop").isNull() | before).drop("_stop")

@@ -103,8 +103,7 @@ def batch_flow(
     elif when != "first_observed":
         raise ValueError(f"unknown commit rule: {when}")
     if sized:
-        numbers = folds.batch_numbers(committables, stream, "arrival_seq", "batch_size", max_batch)
-        numbered = committables.join(numbers, [*stream, "arrival_seq"])
+        numbered = folds.batch_numbers(committables, stream, "arrival_seq", "batch_size", max_batch)
     else:
         numbered = ordered.row_number(committables, stream, "arrival_seq", name="_rn")
         numbered = numbered.withColumn("batch", F.expr(f"(_rn - 1) div {max_batch}")).drop("_rn")

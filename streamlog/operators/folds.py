@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BITS = 18
 GROUP_BITS = 9  # chunks whose tables are chained in one task
@@ -68,16 +69,13 @@ def batch_numbers(
     """Number of the batch each row falls into when batches close at ``limit``.
 
     Rows of a key are taken by ``seq`` (a unique integer); the row that makes the
-    collected ``size`` reach ``limit`` is the last of its batch. Returns the keys,
-    ``seq`` and the number.
+    collected ``size`` reach ``limit`` is the last of its batch. Adds the number.
     """
-    types = dict(df.dtypes)
+    types, columns = dict(df.dtypes), df.columns
     key_ddl = ", ".join(f"`{k}` {types[k]}" for k in keys)
-    rows = df.select(
-        *keys,
-        F.col(seq).cast("bigint").alias("_seq"),
-        F.col(size).cast("bigint").alias("_size"),
-        F.shiftright(F.col(seq).cast("bigint"), chunk_bits).alias("_chunk"),
+    placed = df.withColumn("_chunk", F.shiftright(F.col(seq).cast("bigint"), chunk_bits))
+    rows = placed.select(
+        *keys, "_chunk", F.col(seq).alias("_seq"), F.col(size).cast("bigint").alias("_size")
     )
 
     def tabulate(frame: pd.DataFrame) -> pd.DataFrame:
@@ -129,18 +127,17 @@ def batch_numbers(
     )
 
     def replay(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_seq")
-        numbers = _replay_sizes(
-            frame["_size"].to_numpy(), limit, int(frame["_entry"].iloc[0]), int(frame["_before"].iloc[0])
-        )
-        return frame[[*keys, "_seq"]].assign(_number=numbers)
+        frame = frame.sort_values(seq)
+        entry, before = int(frame["_entry"].iloc[0]), int(frame["_before"].iloc[0])
+        numbers = _replay_sizes(frame[size].to_numpy(), limit, entry, before)
+        return frame[columns].assign(**{name: numbers})
 
-    numbered = (
-        rows.join(entries, [*keys, "_chunk"])
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+    return (
+        placed.join(entries.hint("shuffle_hash"), [*keys, "_chunk"])
         .groupBy(*keys, "_chunk")
-        .applyInPandas(replay, f"{key_ddl}, _seq bigint, _number bigint")
+        .applyInPandas(replay, schema)
     )
-    return numbered.withColumnsRenamed({"_seq": seq, "_number": name})
 
 
 # -- last safe timestamp -----------------------------------------------------
@@ -264,7 +261,7 @@ def safe_polls(
         return frame[[*keys, "_seq"]].assign(_safe=safe)
 
     judged = (
-        rows.join(entries, [*keys, "_chunk"])
+        rows.join(entries.hint("shuffle_hash"), [*keys, "_chunk"])
         .groupBy(*keys, "_chunk")
         .applyInPandas(replay, f"{key_ddl}, _seq bigint, _safe boolean")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlog import model
+from streamlog.workspace import measured
 
 
 def list_topics(log: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def offset_range(log: DataFrame) -> DataFrame:
 
 
 def _for_requested(log: DataFrame, requested: DataFrame, column: str, strict: bool) -> DataFrame:
-    wanted = requested.select(*model.TP).distinct()
+    wanted = measured(requested.select(*model.TP).distinct())
     ranges = offset_range(log.join(wanted, model.TP, "left_semi"))
     value = F.col(column)
     if strict:
@@ -55,7 +56,9 @@ def offsets_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
     topic-partition; earlier times then take the minimum over later ones.
     """
     wanted = times.select(*model.TP, "at").distinct()
-    asked = wanted.groupBy(*model.TP).agg(F.array_sort(F.collect_list("at")).alias("_ats"))
+    asked = measured(
+        wanted.groupBy(*model.TP).agg(F.array_sort(F.collect_list("at")).alias("_ats"))
+    )
     met = F.filter("_ats", lambda at: at <= F.col("timestamp"))
     firsts = (
         log.join(asked, model.TP)
@@ -89,8 +92,10 @@ def latest_commits(commits: DataFrame) -> DataFrame:
 
     ``commits``: group_id, topic, partition, offset, metadata, commit_seq.
     """
-    last = F.max_by(F.struct("offset", "metadata"), "commit_seq")
-    return commits.groupBy(*model.GTP).agg(last.alias("_last")).select(*model.GTP, "_last.*")
+    return commits.groupBy(*model.GTP).agg(
+        F.max_by("offset", "commit_seq").alias("offset"),
+        F.max_by("metadata", "commit_seq").alias("metadata"),
+    )
 
 
 def committed_offsets(commits: DataFrame, group_id: str, requested: DataFrame) -> DataFrame:
@@ -106,8 +111,9 @@ def positions(
     """Position of a reader: the offset it sought, else committed, else the policy."""
     from streamlog.sources import subs
 
-    ranges = offset_range(log.join(requested.select(*model.TP), model.TP, "left_semi"))
-    known = requested.select(*model.TP).distinct().join(ranges, model.TP, "left")
+    wanted = measured(requested.select(*model.TP).distinct())
+    ranges = offset_range(log.join(wanted, model.TP, "left_semi"))
+    known = wanted.join(ranges, model.TP, "left")
     asked = sought.select(*model.TP, F.col("offset").alias("sought"))
     joined = known.join(asked, model.TP, "left")
     return subs.resolve_start(joined, committed, reset=reset, explicit="sought").withColumnRenamed(

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
+from streamlog.workspace import measured
 
 
 def received(records: DataFrame, assigned: DataFrame, *, order: str = "arrival_seq") -> DataFrame:
     """Last record of each assigned topic-partition in each poll batch."""
-    mine = records.join(assigned.select(*model.TP), model.TP, "left_semi")
+    mine = records.join(measured(assigned.select(*model.TP)), model.TP, "left_semi")
     return mine.groupBy("poll_batch", *model.TP).agg(
         F.max_by("offset", order).alias("offset"), F.max_by("timestamp", order).alias("timestamp")
     )
@@ -38,7 +39,7 @@ def state_at(events: DataFrame, seq: int | None = None) -> DataFrame:
     def seq_of(kind: str) -> Column:
         return F.when(F.col("kind") == kind, F.col("seq"))
 
-    revoked = events.groupBy(*model.TP).agg(F.max(seq_of("revoke")).alias("_revoked"))
+    revoked = measured(events.groupBy(*model.TP).agg(F.max(seq_of("revoke")).alias("_revoked")))
     current = events.join(revoked, model.TP).filter(
         F.col("_revoked").isNull() | (F.col("seq") > F.col("_revoked"))
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from streamlog import model
 from streamlog.operators import folds
+from streamlog.workspace import measured
 
 POLL = [*model.TP, "poll_batch"]
 
@@ -82,7 +83,7 @@ def judge_polls(
 def reset_filter(records: DataFrame, requested: DataFrame, **thresholds) -> DataFrame:
     """The records that are safe to hand on; see ``judge_polls`` for the thresholds."""
     judged = judge_polls(records, requested, **thresholds)
-    unsafe = judged.filter(~F.col("safe")).select(*POLL)
+    unsafe = measured(judged.filter(~F.col("safe")).select(*POLL), "unsafe")
     return records.join(unsafe, POLL, "left_anti")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
+from streamlog.workspace import measured
 
 _OWNED = ["epoch", "member", *model.TP]
 
@@ -35,4 +36,4 @@ def events(assignments: DataFrame) -> DataFrame:
 def drop_revoked(buffered: DataFrame, revoked: DataFrame, assigned: DataFrame) -> DataFrame:
     """Buffered records without those of topic-partitions revoked and not assigned again."""
     gone = revoked.select(*model.TP).join(assigned.select(*model.TP), model.TP, "left_anti")
-    return buffered.join(gone, model.TP, "left_anti")
+    return buffered.join(measured(gone), model.TP, "left_anti")

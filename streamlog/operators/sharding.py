@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streamlog.functions import partitioner
 from streamlog.operators import meta
+from streamlog.workspace import measured
 
 
 def with_shard(df: DataFrame, partitions: int, *, entity_id: Column | None = None) -> DataFrame:
@@ -30,7 +31,7 @@ def locate(sharded: DataFrame, assignment: DataFrame) -> DataFrame:
     ``assignment``: member, partition of the sharding topic.
     """
     hosts = assignment.select("member", F.col("partition").cast("string").alias("shard"))
-    return sharded.join(hosts, "shard")
+    return sharded.join(measured(hosts), "shard")
 
 
 def regions(assignment: DataFrame) -> DataFrame:

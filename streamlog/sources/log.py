@@ -7,12 +7,14 @@ written in offset order, so the min/max statistics of ``offset`` and
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamlog import model
 from streamlog.functions import ordered
-from streamlog.workspace import materialize
+from streamlog.workspace import materialize, measured
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +36,7 @@ def with_base(df: DataFrame, base: DataFrame | None, position: Column) -> DataFr
     """
     if base is None:
         return df.withColumn("offset", position.cast("bigint"))
-    ends = base.select(*model.TP, F.col("end_offset").alias("_base"))
+    ends = measured(base.select(*model.TP, F.col("end_offset").alias("_base")), "ends")
     joined = df.join(ends, model.TP, "left")
     start = F.coalesce(F.col("_base"), F.lit(0))
     return joined.withColumn("offset", (start + position).cast("bigint")).drop("_base")
@@ -50,15 +52,23 @@ def append_offsets(df: DataFrame, *, seq: str, base: DataFrame | None = None) ->
     return with_base(numbered, base, F.col("_rn") - 1).drop("_rn")
 
 
-def append_offsets_sorted(
+@dataclass(frozen=True)
+class Placed:
+    """Records with offsets, and the end of each topic-partition they went to."""
+
+    records: DataFrame
+    ends: DataFrame
+
+
+def place_sorted(
     df: DataFrame, *, order_by: list[str], base: DataFrame | None = None
-) -> DataFrame:
+) -> Placed:
     """As ``append_offsets`` for any sort order, e.g. (timestamp, id).
 
     One range shuffle sorts the records; Spark samples the ranges, so a hot
     topic-partition spans many of them. The position is pinned by writing the
-    sorted rows to the shared folder, then per-range counts are summed up. The
-    write job ends before the lazy part begins.
+    sorted rows to the shared folder, then per-range counts are summed up and
+    joined back. Both jobs end before the lazy part begins.
     """
     ordering = [*model.TP, *order_by]
     placed = materialize(
@@ -72,14 +82,33 @@ def append_offsets_sorted(
     ranges = placed.groupBy(*model.TP, "_range").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    before = (
+    earlier = (
         Window.partitionBy(*model.TP).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranges = ranges.select(
-        *model.TP,
-        "_range",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    ranges = ranges.withColumn("_before", before)
+    if base is None:
+        ranges = ranges.withColumn("_base", F.lit(0))
+    else:
+        ends = base.select(*model.TP, F.col("end_offset").alias("_base"))
+        ranges = ranges.join(ends, model.TP, "left")
+    start = F.coalesce(F.col("_base"), F.lit(0)) + F.col("_before")
+    ranges = measured(
+        ranges.select(
+            *model.TP, "_range", (start - F.col("_first")).alias("_shift"), (start + F.col("_n")).alias("_end")
+        ),
+        "ranges",
     )
-    positioned = placed.join(ranges, [*model.TP, "_range"])
-    done = with_base(positioned, base, F.col("_pos") + F.col("_shift"))
-    return done.drop("_pos", "_range", "_shift")
+    records = (
+        placed.join(ranges.drop("_end"), [*model.TP, "_range"])
+        .withColumn("offset", (F.col("_pos") + F.col("_shift")).cast("bigint"))
+        .drop("_pos", "_range", "_shift")
+    )
+    return Placed(records, ranges.groupBy(*model.TP).agg(F.max("_end").alias("end_offset")))
+
+
+def append_offsets_sorted(
+    df: DataFrame, *, order_by: list[str], base: DataFrame | None = None
+) -> DataFrame:
+    """The records of ``place_sorted``."""
+    return place_sorted(df, order_by=order_by, base=base).records

@@ -13,6 +13,7 @@ from streamlog import model
 from streamlog.functions import context
 from streamlog.operators import meta
 from streamlog.sources import subs
+from streamlog.workspace import measured
 
 
 def kafka(
@@ -42,7 +43,7 @@ def committable(
 
 def shared_assignments(log: DataFrame, assignments: DataFrame) -> DataFrame:
     """One scan serving many named assignments (assignment, topic, partition)."""
-    return log.join(assignments.select("assignment", *model.TP), model.TP)
+    return log.join(measured(assignments.select("assignment", *model.TP)), model.TP)
 
 
 def committable_shared(

@@ -13,11 +13,12 @@ import json
 import operator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from streamlog import model
+from streamlog.workspace import local_table, measured
 
 TopicPartition = tuple[str, int]
 # Up to here a list of topic-partitions is an OR of literals, which prunes the
@@ -86,8 +87,7 @@ def _any_of(conditions: list[Column]) -> Column:
 def _select_assigned(log: DataFrame, partitions: tuple[TopicPartition, ...]) -> DataFrame:
     if len(partitions) <= MAX_LITERALS:
         return log.filter(_any_of([_is_tp(tp) for tp in partitions]))
-    wanted = log.sparkSession.createDataFrame(list(partitions), "topic string, partition int")
-    return log.join(wanted, model.TP, "left_semi")
+    return log.join(_tp_table(log, partitions), model.TP, "left_semi")
 
 
 def _select_from_offsets(log: DataFrame, offsets: dict[TopicPartition, int]) -> DataFrame:
@@ -95,13 +95,19 @@ def _select_from_offsets(log: DataFrame, offsets: dict[TopicPartition, int]) ->
         return log.filter(
             _any_of([_is_tp(tp) & (F.col("offset") >= start) for tp, start in offsets.items()])
         )
-    rows = [(t, p, start) for (t, p), start in offsets.items()]
-    starts = log.sparkSession.createDataFrame(rows, "topic string, partition int, start bigint")
-    return from_starts(log, starts)
+    starts = pa.array(list(offsets.values()), pa.int64())
+    return _join_starts(log, _tp_table(log, tuple(offsets), start=starts))
 
 
-def from_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
-    """Records at or after ``starts(topic, partition, start)``; other tps are left out."""
+def _tp_table(log: DataFrame, partitions: tuple[TopicPartition, ...], **columns) -> DataFrame:
+    topics_, numbers = [t for t, _ in partitions], [p for _, p in partitions]
+    return local_table(
+        log.sparkSession,
+        {"topic": pa.array(topics_, pa.string()), "partition": pa.array(numbers, pa.int32()), **columns},
+    )
+
+
+def _join_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
     return (
         log.join(starts.select(*model.TP, F.col("start").alias("_start")), model.TP)
         .filter(F.col("offset") >= F.col("_start"))
@@ -109,19 +115,29 @@ def from_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
     )
 
 
+def from_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
+    """Records at or after ``starts(topic, partition, start)``; other tps are left out."""
+    return _join_starts(log, measured(starts, "starts"))
+
+
 def starts_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
     """First offset with a timestamp at or after ``times(topic, partition, at)``.
 
-    ``start`` is NULL for a topic-partition that has no such record.
+    ``start`` is NULL for a topic-partition that has no such record; the offsets
+    of its first record and its end come along. One scan, one hash aggregate.
     """
     hit = F.when(F.col("timestamp") >= F.col("at"), F.col("offset"))
-    found = log.join(times, model.TP).groupBy(*model.TP).agg(F.min(hit).alias("start"))
+    found = log.join(times, model.TP).groupBy(*model.TP).agg(
+        F.min(hit).alias("start"),
+        F.min("offset").alias("begin_offset"),
+        (F.max("offset") + 1).alias("end_offset"),
+    )
     return times.select(*model.TP).join(found, model.TP, "left")
 
 
 def times_table(log: DataFrame, times: dict[TopicPartition, str]) -> DataFrame:
-    rows = [(t, p, str(at)) for (t, p), at in times.items()]
-    table = log.sparkSession.createDataFrame(rows, "topic string, partition int, at string")
+    texts = pa.array([str(at) for at in times.values()], pa.string())
+    table = _tp_table(log, tuple(times), at=texts)
     return table.withColumn("at", F.col("at").cast(log.schema["timestamp"].dataType))
 
 
@@ -154,12 +170,7 @@ def select(
             table = log if batch_log is None else batch_log
             assigned = _select_assigned(table, tuple(times))
             sought = starts_for_times(assigned, times_table(table, times))
-            ends = assigned.groupBy(*model.TP).agg(
-                F.min("offset").alias("begin_offset"), (F.max("offset") + 1).alias("end_offset")
-            )
-            starts = resolve_start(
-                sought.join(ends, model.TP, "left"), committed, reset=reset, explicit="start"
-            )
+            starts = resolve_start(sought, committed, reset=reset, explicit="start")
             return from_starts(_select_assigned(log, tuple(times)), starts)
     raise TypeError(f"not a subscription: {sub!r}")
 
@@ -246,11 +257,3 @@ def to_kafka_options(
             raise TypeError(f"not a subscription: {sub!r}")
     return options
 
-
-OFFSETS_SCHEMA = T.StructType(
-    [
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-    ]
-)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from streamlog import model
 from streamlog.functions import partitioner
 from streamlog.sources import log
-from streamlog.workspace import read_if_exists
+from streamlog.workspace import has_files, measured, read_if_exists
 
 _BATCH = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
 
@@ -63,12 +63,14 @@ class OutputLog:
     def records(self) -> DataFrame:
         """Records of committed batches."""
         stored = read_if_exists(self.spark, f"{self.root}/records", RECORDS)
-        committed = self.commits().select(*BATCH_KEYS).distinct()
-        return stored.join(committed, BATCH_KEYS, "left_semi")
+        committed = self.commits().filter("kind = 'batch'").select(*BATCH_KEYS)
+        return stored.join(measured(committed), BATCH_KEYS, "left_semi")
 
     def is_published(self, writer: str, batch_id: int) -> bool:
-        mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-        return not self.commits().filter(mine).isEmpty()
+        return has_files(self.spark, self._commit_path(writer, batch_id))
+
+    def _commit_path(self, writer: str, batch_id: int) -> str:
+        return f"{self.root}/commits/writer={writer}/batch_id={batch_id}"
 
     def ends(self) -> DataFrame:
         """End offset per topic-partition, from the commit files alone."""
@@ -91,7 +93,7 @@ class OutputLog:
     def stage(
         self, records: DataFrame, writer: str, batch_id: int, order_by: list[str], *,
         partitions: int | None = None,
-    ) -> DataFrame:
+    ) -> log.Placed:
         """Write a batch's records with offsets; nobody sees them yet.
 
         Records without a partition get that of their key, which needs the number
@@ -101,28 +103,28 @@ class OutputLog:
         if partitions is not None:
             choices.append(partitioner.partition_for_key(F.col("key"), partitions))
         choices.append(F.raise_error(F.lit("record without partition")).cast("int"))
-        placed = log.append_offsets_sorted(
+        placed = log.place_sorted(
             records.withColumn("partition", F.coalesce(*choices)),
             order_by=order_by,
             base=self.ends(),
         )
         path = f"{self.root}/records/writer={writer}/batch_id={batch_id}"
         (
-            placed.select("offset", "timestamp", "key", "value", *model.TP)
+            placed.records.select("offset", "timestamp", "key", "value", *model.TP)
             .write.mode("overwrite")
             .partitionBy(*model.TP)
             .parquet(path)
         )
         schema = T.StructType([f for f in RECORDS.fields if f.name not in BATCH_KEYS])
-        return self.spark.read.schema(schema).parquet(path)
+        return log.Placed(self.spark.read.schema(schema).parquet(path), placed.ends)
 
-    def publish(self, staged: DataFrame, source: DataFrame, writer: str, batch_id: int) -> None:
+    def publish(self, staged: log.Placed, source: DataFrame, writer: str, batch_id: int) -> None:
         """Make a staged batch visible together with the source offsets it covers.
 
         One file of one row per topic-partition, plus one for the batch itself.
         """
         empty = F.lit(None).cast("string")
-        ends = staged.groupBy(*model.TP).agg((F.max("offset") + 1).alias("offset"))
+        ends = staged.ends.withColumnRenamed("end_offset", "offset")
         rows = (
             source.select(F.lit("source").alias("kind"), *model.GTP, "offset", "metadata")
             .unionByName(
@@ -139,6 +141,4 @@ class OutputLog:
                 )
             )
         )
-        rows.coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/commits/writer={writer}/batch_id={batch_id}"
-        )
+        rows.coalesce(1).write.mode("overwrite").parquet(self._commit_path(writer, batch_id))

@@ -22,14 +22,12 @@ def read_committed(log: DataFrame, transactions: DataFrame) -> DataFrame:
 
     ``transactions``: txn_id, status. Records of open or aborted ones are hidden.
     """
-    committed = transactions.filter(F.col("status") == "committed").select(
-        "txn_id", F.lit(True).alias("_committed")
-    )
-    return (
-        log.join(committed, "txn_id", "left")
-        .filter(F.col("txn_id").isNull() | F.col("_committed"))
-        .drop("_committed")
-    )
+    # Records outside transactions take no part in the join: as NULL keys they
+    # would all be sent to one task.
+    committed = transactions.filter(F.col("status") == "committed").select("txn_id")
+    outside = log.filter(F.col("txn_id").isNull())
+    inside = log.filter(F.col("txn_id").isNotNull()).join(committed, "txn_id", "left_semi")
+    return outside.unionByName(inside)
 
 
 def source(
@@ -91,7 +89,7 @@ def commit_batch(
         before_publish(batch_id)
     offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
     out.publish(staged, require_single_group(offsets), writer, batch_id)
-    return staged
+    return staged.records
 
 
 def flow(

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -44,10 +45,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, name: str = "small") -> DataFrame:
+    """Store a table that is expected to be small, so that its size is known.
+
+    Spark estimates an aggregate to be as large as its input and would shuffle
+    both sides of a join with it. Once stored, the planner sees the real number
+    of bytes: below ``spark.sql.autoBroadcastJoinThreshold`` it broadcasts the
+    table and the other side is not shuffled, above it the join is a sort-merge
+    join in which AQE splits hot keys.
+    """
+    return materialize(df, name)
+
+
+def local_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
+    """A table of values the driver was given; the planner knows its size."""
+    return spark.createDataFrame(pa.table(columns))
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a data file, without starting a job."""
+    fs, folder = _file_system(spark, path)
+    if not fs.exists(folder):
+        return False
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return any(not name.startswith(("_", ".")) for name in names)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a table that may not have been written yet."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(hadoop_path):
+    fs, folder = _file_system(spark, path)
+    if fs.exists(folder):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
