@@ -65,7 +65,9 @@ def filter_batch(batches: DataFrame, keep: Column) -> DataFrame:
     return batches.filter(keep).withColumn("updates", F.lit(1).cast("bigint"))
 
 
-def next_observed(committables: DataFrame) -> DataFrame:
+def next_observed(
+    committables: DataFrame, *, chunk_bits: int = ordered.CHUNK_BITS
+) -> DataFrame:
     """Defer each offset until a higher one of its topic-partition arrives.
 
     The row that raises the highest offset so far hands over the previous
@@ -75,7 +77,8 @@ def next_observed(committables: DataFrame) -> DataFrame:
     # Of equal offsets the earliest arrival stays deferred.
     deferred = F.struct("offset", (-F.col("arrival_seq")).alias("_order"), "metadata", "batch_size")
     seen = ordered.running_max(
-        committables, model.GTP, "arrival_seq", deferred, name="_deferred", inclusive=False
+        committables, model.GTP, "arrival_seq", deferred, name="_deferred", inclusive=False,
+        bits=chunk_bits,
     )
     raises = F.col("offset") > F.col("_deferred.offset")
     return seen.filter(raises).select(

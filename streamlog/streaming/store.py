@@ -27,13 +27,13 @@ _BATCH = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.L
 
 RECORDS = T.StructType(
     [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampNTZType()),
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
         *_BATCH,
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
     ]
 )
 
@@ -109,10 +109,11 @@ class OutputLog:
             base=self.ends(),
         )
         path = f"{self.root}/records/writer={writer}/batch_id={batch_id}"
+        # No folders per topic-partition: a micro-batch would be cut into tiny files.
+        # The files are sorted by it, so their statistics prune.
         (
-            placed.records.select("offset", "timestamp", "key", "value", *model.TP)
+            placed.records.select(*model.TP, "offset", "timestamp", "key", "value")
             .write.mode("overwrite")
-            .partitionBy(*model.TP)
             .parquet(path)
         )
         schema = T.StructType([f for f in RECORDS.fields if f.name not in BATCH_KEYS])
