@@ -73,11 +73,16 @@ def known_partition(partitions: int) -> Column:
 
 
 def deal(df: DataFrame, partitions: int, *, seq: str) -> DataFrame:
-    """Give records without a partition one in turn, per topic in ``seq`` order."""
-    waiting = F.col("partition").isNull().cast("bigint")
-    turns = ordered.running_sum(df, ["topic"], seq, waiting, name="_turn", inclusive=False)
-    in_turn = (F.col("_turn") % partitions).cast("int")
-    return turns.withColumn("partition", F.coalesce("partition", in_turn)).drop("_turn")
+    """Give records without a partition one in turn, per topic in ``seq`` order.
+
+    Records that have one are not shuffled.
+    """
+    placed = df.filter(F.col("partition").isNotNull())
+    waiting = ordered.row_number(
+        df.filter(F.col("partition").isNull()), ["topic"], seq, name="_turn"
+    )
+    in_turn = ((F.col("_turn") - 1) % partitions).cast("int")
+    return placed.unionByName(waiting.withColumn("partition", in_turn).drop("_turn"))
 
 
 def choose(df: DataFrame, partitions: int, *, seq: str) -> DataFrame:

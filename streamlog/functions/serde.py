@@ -22,7 +22,11 @@ def int64(column: Column) -> Column:
 
 
 def parse_json(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add ``data`` (the parsed value, NULL if faulty) and ``faulty``."""
+    """Add ``data`` (the parsed value, NULL if faulty) and ``faulty``.
+
+    The parsed value comes out of a generator, through which Spark moves no
+    filter: otherwise a filter on ``faulty`` would parse every value twice.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(
         "value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
@@ -30,7 +34,7 @@ def parse_json(df: DataFrame, schema: T.StructType) -> DataFrame:
     faulty = F.col("value").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull()
     data = F.struct(*[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields])
     return (
-        df.withColumn("_parsed", parsed)
+        df.select("*", F.explode(F.array(parsed)).alias("_parsed"))
         .withColumn("faulty", faulty)
         .withColumn("data", F.when(~F.col("faulty"), data))
         .drop("_parsed")
