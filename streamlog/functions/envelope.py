@@ -31,17 +31,29 @@ def record(
 
 
 def single(one: Column) -> Column:
-    return F.array(one).cast(RECORDS)
+    return F.array(one)
 
 
 def multi(*records: Column) -> Column:
-    return F.array(*records).cast(RECORDS)
+    return F.array(*records) if records else pass_through()
 
 
 def pass_through() -> Column:
     return F.array().cast(RECORDS)
 
 
+def explode_records(df: DataFrame, *kept: Column | str) -> DataFrame:
+    """One row per record: ``kept``, ``pos`` and the fields of the record.
+
+    Written with the outer variant and a filter on its output: for the inner one
+    Spark infers a filter on the array and would build every envelope twice.
+    """
+    exploded = df.select(*kept, F.posexplode_outer("records").alias("pos", "_r"))
+    return exploded.filter(F.col("pos").isNotNull()).select(
+        *[c for c in exploded.columns if c != "_r"], "_r.*"
+    )
+
+
 def with_pass_through(df: DataFrame, value: Column) -> DataFrame:
     """Replace what passes through the envelope."""
     return df.withColumn("pass_through", value)

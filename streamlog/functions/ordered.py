@@ -37,8 +37,8 @@ def _earlier(keys: list[str]):
     )
 
 
-def _inside(keys: list[str], seq: str):
-    return Window.partitionBy(*keys, _CHUNK).orderBy(seq)
+def _inside(keys: list[str], *order: str):
+    return Window.partitionBy(*keys, _CHUNK).orderBy(*order)
 
 
 def _with_carry(df: DataFrame, keys: list[str], bits: int, seq: str, aggs, carry) -> DataFrame:
@@ -51,15 +51,19 @@ def _with_carry(df: DataFrame, keys: list[str], bits: int, seq: str, aggs, carry
 
 
 def row_number(
-    df: DataFrame, keys: list[str], seq: str, *, name: str = "rn", bits: int = CHUNK_BITS
+    df: DataFrame, keys: list[str], seq: str, *, then: tuple[str, ...] = (), name: str = "rn",
+    bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """1-based position of each row within its key by ``seq``."""
+    """1-based position of each row within its key by ``seq``.
+
+    ``then`` orders rows of equal ``seq``, such as the records of one envelope.
+    """
     rows = _with_carry(
         df, keys, bits, seq,
         [F.count(F.lit(1)).alias("_n")],
         F.coalesce(F.sum("_n").over(_earlier(keys)), F.lit(0)),
     )
-    number = F.col("_carry") + F.row_number().over(_inside(keys, seq))
+    number = F.col("_carry") + F.row_number().over(_inside(keys, seq, *then))
     return rows.withColumn(name, number.cast("bigint")).drop(_CHUNK, "_carry")
 
 

@@ -72,23 +72,28 @@ def known_partition(partitions: int) -> Column:
     return F.coalesce(F.col("partition"), partition_for_key(F.col("key"), partitions))
 
 
-def deal(df: DataFrame, partitions: int, *, seq: str) -> DataFrame:
+def deal(
+    df: DataFrame, partitions: int, *, seq: str, then: tuple[str, ...] = ()
+) -> DataFrame:
     """Give records without a partition one in turn, per topic in ``seq`` order.
 
     Records that have one are not shuffled.
     """
     placed = df.filter(F.col("partition").isNotNull())
     waiting = ordered.row_number(
-        df.filter(F.col("partition").isNull()), ["topic"], seq, name="_turn"
+        df.filter(F.col("partition").isNull()), ["topic"], seq, then=then, name="_turn"
     )
     in_turn = ((F.col("_turn") - 1) % partitions).cast("int")
     return placed.unionByName(waiting.withColumn("partition", in_turn).drop("_turn"))
 
 
-def choose(df: DataFrame, partitions: int, *, seq: str) -> DataFrame:
+def choose(
+    df: DataFrame, partitions: int, *, seq: str, then: tuple[str, ...] = ()
+) -> DataFrame:
     """Fill ``partition``: the explicit one, else by key hash, else round robin.
 
     Only records with neither partition nor key take part in the round robin.
-    ``seq`` must be a unique integer.
+    ``seq`` must be a unique integer, or become unique together with ``then``.
     """
-    return deal(df.withColumn("partition", known_partition(partitions)), partitions, seq=seq)
+    known = df.withColumn("partition", known_partition(partitions))
+    return deal(known, partitions, seq=seq, then=then)

@@ -8,32 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
-from streamlog.functions import partitioner
+from streamlog.functions import envelope, partitioner
 from streamlog.sources import log
 from streamlog.workspace import materialize
 
 
-def expand(envelopes: DataFrame, partitions: int | None = None) -> DataFrame:
-    """One row per output record with ``envelope_id``, ``pos`` and ``send_seq``.
+SEND_ORDER = {"seq": "envelope_id", "then": ("pos",)}
+
 
-    ``send_seq`` is a unique integer that rises in (envelope_id, pos) order. With
-    ``partitions`` the key hash is applied before the records are stored. Empty
-    envelopes yield no row.
+def expand(envelopes: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per output record with ``envelope_id`` (unique integers) and ``pos``.
 
-    One range shuffle sorts the records and the result is written to the shared
-    folder: later steps need it several times, and its positions must not change.
+    Records are sent in that order. With ``partitions`` explicit partitions and
+    key hashes are filled in. Empty envelopes yield no row. The records are stored
+    in the shared folder, because placing them reads them several times.
     """
-    sends = envelopes.select("envelope_id", F.posexplode("records").alias("pos", "_r")).select(
-        "envelope_id", "pos", "_r.*"
-    )
+    sends = envelope.explode_records(envelopes, "envelope_id")
     if partitions is not None:
         sends = sends.withColumn("partition", partitioner.known_partition(partitions))
-    return materialize(
-        sends.repartitionByRange("envelope_id", "pos")
-        .sortWithinPartitions("envelope_id", "pos")
-        .withColumn("send_seq", F.monotonically_increasing_id()),
-        "sends",
-    )
+    return materialize(sends, "sends")
 
 
 @dataclass(frozen=True)
@@ -52,8 +45,8 @@ def flexi_flow(
     has ``parts``, the placed records of the envelope in order; it is empty for
     an envelope without records. ``ends`` gives the current end of the target log.
     """
-    chosen = partitioner.deal(expand(envelopes, partitions), partitions, seq="send_seq")
-    records = log.append_offsets(chosen, seq="send_seq", base=ends)
+    chosen = partitioner.deal(expand(envelopes, partitions), partitions, **SEND_ORDER)
+    records = log.append_offsets(chosen, **SEND_ORDER, base=ends)
     part = F.struct("pos", *model.TP, "offset", "key", "value")
     parts = records.groupBy("envelope_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     kept = [c for c in envelopes.columns if c != "records"]

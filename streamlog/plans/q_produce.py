@@ -19,7 +19,8 @@ N = fx.PARTITIONS
 
 def routed(df):
     """Small numbers go to two topics, multiples of ten nowhere, others to one topic."""
-    k = fx.k_of()
+    df = df.withColumn("k", fx.k_of())
+    k = F.col("k")
     two = envelope.multi(
         envelope.record("out-a", F.col("value"), key=F.col("key")),
         envelope.record("out-b", F.col("value"), partition=F.col("partition")),
@@ -177,7 +178,7 @@ def _(spark, sf):
 
 @query("b13_choose_partition", on_log(f"SELECT envelope_id, pos, {TP} FROM placed", SENT))
 def _(spark, sf):
-    chosen = partitioner.choose(produce.expand(envelopes(spark, sf)), N, seq="send_seq")
+    chosen = partitioner.choose(produce.expand(envelopes(spark, sf)), N, **produce.SEND_ORDER)
     return chosen.select("envelope_id", "pos", *model.TP)
 
 

@@ -42,13 +42,16 @@ def with_base(df: DataFrame, base: DataFrame | None, position: Column) -> DataFr
     return joined.withColumn("offset", (start + position).cast("bigint")).drop("_base")
 
 
-def append_offsets(df: DataFrame, *, seq: str, base: DataFrame | None = None) -> DataFrame:
+def append_offsets(
+    df: DataFrame, *, seq: str, then: tuple[str, ...] = (), base: DataFrame | None = None
+) -> DataFrame:
     """Give each record the next offset of its topic-partition, in ``seq`` order.
 
-    ``seq`` is a unique integer per topic-partition. Lazy: only built-in
+    ``seq`` is a unique integer per topic-partition; few records may share one if
+    ``then`` orders them. Lazy: only built-in
     operators, and no task holds more than one chunk of a topic-partition.
     """
-    numbered = ordered.row_number(df, model.TP, seq, name="_rn")
+    numbered = ordered.row_number(df, model.TP, seq, then=then, name="_rn")
     return with_base(numbered, base, F.col("_rn") - 1).drop("_rn")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog import model
+from streamlog.functions import envelope
 from streamlog.streaming.store import OutputLog
 from streamlog.workspace import read_if_exists
 
@@ -46,10 +47,6 @@ def append_commits(path: str) -> Write:
     return write
 
 
-def explode_records(batch: DataFrame) -> DataFrame:
-    return batch.select(F.explode("records").alias("_r")).select("_r.*")
-
-
 def _start(stream: DataFrame, write: Write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -94,7 +91,7 @@ def at_least_once(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(explode_records(batch), batch_id)
+        sink(envelope.explode_records(batch).drop("pos"), batch_id)
         commit(batch, batch_id)
 
     return _start(envelopes, write, checkpoint, trigger)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlog import model
-from streamlog.functions import context
+from streamlog.functions import context, envelope
 from streamlog.sources import subs
 from streamlog.streaming.store import OutputLog
 
@@ -74,15 +74,14 @@ def commit_batch(
     """
     if out.is_published(writer, batch_id):
         return None
-    sends = envelopes.select("ctx", F.posexplode("records").alias("_pos", "_r")).select(
-        "_r.*",
+    sends = envelope.explode_records(
+        envelopes,
         F.col("ctx.topic").alias("_src_topic"),
         F.col("ctx.partition").alias("_src_partition"),
         F.col("ctx.offset").alias("_src_offset"),
-        "_pos",
     )
     staged = out.stage(
-        sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "_pos"],
+        sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
         partitions=partitions,
     )
     if before_publish is not None:
