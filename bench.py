@@ -8,7 +8,10 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streamlog.functions import context
+from streamlog.operators import commits
 from streamlog.plans import catalog, fixtures
+from streamlog.sources import partitioned, source, subs
 
 HEADLINE = [
     "b14_log_table",
@@ -43,6 +46,11 @@ HEADLINE = [
 ]
 
 
+# Log partitions per topic for the plain scan, batched commits and routing.
+PARTITION_AXIS = (1, 8, 100)
+COMMIT_BATCH = 1000
+
+
 def consume(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -77,6 +85,21 @@ def main() -> None:
         consume(queries[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - began, 3)
         rows[name] = round(events / seconds[name])
+    for n in PARTITION_AXIS:
+        log = fixtures.event_log_of(spark, sf_dir, n)
+        plain = source.plain(log, subs.topic_pattern("ev-.*"))
+        pairs = context.with_context(plain, "g1")
+        shapes = {
+            "scan": plain,
+            "commit": commits.batch_flow(context.committables(pairs, seq="arrival_seq"), COMMIT_BATCH),
+            "route": partitioned.numbered(plain),
+        }
+        for shape, df in shapes.items():
+            name = f"{shape}_{n}_partitions"
+            began = time.perf_counter()
+            consume(df)
+            seconds[name] = round(time.perf_counter() - began, 3)
+            rows[name] = round(events / seconds[name])
     print(
         json.dumps(
             {

@@ -40,7 +40,9 @@ def _plain_fields(df: DataFrame) -> DataFrame:
     )
 
 
-def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyed_events(
+    spark: SparkSession, sf_dir: str, partitions: int = PARTITIONS
+) -> DataFrame:
     """``events`` as records that have no offset yet."""
     events = table(spark, sf_dir, "events")
     keyed = events.select(
@@ -50,12 +52,14 @@ def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("value"),
         F.col("event_id").alias("arrival_seq"),
     )
-    return keyed.withColumn("partition", partitioner.partition_for_key(F.col("key"), PARTITIONS))
+    return keyed.withColumn("partition", partitioner.partition_for_key(F.col("key"), partitions))
 
 
-def build_event_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+def build_event_log(
+    spark: SparkSession, sf_dir: str, path: str, partitions: int = PARTITIONS
+) -> None:
     records = log.append_offsets_sorted(
-        _plain_fields(keyed_events(spark, sf_dir)), order_by=["timestamp", "arrival_seq"]
+        _plain_fields(keyed_events(spark, sf_dir, partitions)), order_by=["timestamp", "arrival_seq"]
     )
     log.write(records.select(*model.LOG.fieldNames()), path)
 
@@ -64,6 +68,15 @@ def event_log_path(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "event-log", lambda p: build_event_log(spark, sf_dir, p))
 
 
+def event_log_of(spark: SparkSession, sf_dir: str, partitions: int) -> DataFrame:
+    """The event log with another number of partitions per topic."""
+    path = _once(
+        spark, sf_dir, f"event-log-{partitions}",
+        lambda p: build_event_log(spark, sf_dir, p, partitions),
+    )
+    return log.read(spark, path)
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read(spark, event_log_path(spark, sf_dir))
 

@@ -63,6 +63,12 @@ def _(spark, sf):
     return meta.end_offsets(fx.event_log(spark, sf), asked(spark, sf))
 
 
+@query("d07_strict_lookup", on_log(f'SELECT {TP}, max("offset") + 1 AS end_offset FROM log GROUP BY ALL'))
+def _(spark, sf):
+    """Every requested topic-partition is known; an unknown one would fail the query."""
+    return meta.end_offsets(fx.event_log(spark, sf), fx.partitions(spark, sf), strict=True)
+
+
 TIMES = """times AS (SELECT *, t0::TIMESTAMP AS "at" FROM (SELECT DISTINCT topic, "partition" FROM log),
   (VALUES ('2024-01-01 00:00:00'), ('2024-01-10 06:00:00'), ('2024-01-25 00:00:00'), ('2030-01-01 00:00:00')) AS v(t0))"""
 

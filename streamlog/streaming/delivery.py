@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streamlog import model
 from streamlog.functions import envelope
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import read_if_exists
+from streamlog.workspace import read_if_exists, scratch
 
 Write = Callable[[DataFrame, int], None]
 
@@ -131,15 +131,16 @@ def external_offsets(
     def write(batch: DataFrame, batch_id: int) -> None:
         if out.is_published(writer, batch_id):
             return
-        staged = out.stage(update(batch, batch_id), writer, batch_id, ["seq"])
-        if before_publish is not None:
-            before_publish(batch_id)
         reached = batch.groupBy(*model.TP).agg((F.max("offset") + 1).alias("offset"))
         reached = reached.select(
             F.lit(group_id).alias("group_id"), *model.TP, "offset",
             F.lit(model.NO_METADATA).alias("metadata"),
         )
-        out.publish(staged, reached, writer, batch_id)
+        with scratch(out.spark):
+            staged = out.stage(update(batch, batch_id), writer, batch_id, ["seq"])
+            if before_publish is not None:
+                before_publish(batch_id)
+            out.publish(staged, reached, writer, batch_id)
 
     return _start(stream, write, checkpoint, trigger)
 

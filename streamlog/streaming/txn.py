@@ -12,6 +12,7 @@ from streamlog import model
 from streamlog.functions import context, envelope
 from streamlog.sources import subs
 from streamlog.streaming.store import OutputLog
+from streamlog.workspace import scratch
 
 # Fixed default: how often a transaction is committed.
 COMMIT_INTERVAL = "100 milliseconds"
@@ -80,14 +81,15 @@ def commit_batch(
         F.col("ctx.partition").alias("_src_partition"),
         F.col("ctx.offset").alias("_src_offset"),
     )
-    staged = out.stage(
-        sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
-        partitions=partitions,
-    )
-    if before_publish is not None:
-        before_publish(batch_id)
-    offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
-    out.publish(staged, require_single_group(offsets), writer, batch_id)
+    with scratch(out.spark):
+        staged = out.stage(
+            sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
+            partitions=partitions,
+        )
+        if before_publish is not None:
+            before_publish(batch_id)
+        offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
+        out.publish(staged, require_single_group(offsets), writer, batch_id)
     return staged.records
 
 

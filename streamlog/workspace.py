@@ -7,13 +7,17 @@ driver-local folder would be lost on, or invisible to, the executors.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scratch: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -42,6 +46,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_dir(spark, name)
     df.write.parquet(path)
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,6 +74,30 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``materialize`` stores inside the block when the block ends.
+
+    For micro-batches, which would otherwise leave their tables behind.
+    """
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            fs, folder = _file_system(spark, path)
+            fs.delete(folder, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application."""
+    path = f"{shared_root(spark)}/streamlog/{spark.sparkContext.applicationId}"
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds a data file, without starting a job."""
     fs, folder = _file_system(spark, path)

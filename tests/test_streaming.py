@@ -1,12 +1,13 @@
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from streamlog import model
+from streamlog import model, workspace
 from streamlog.functions import envelope
-from streamlog.operators import verify
+from streamlog.operators import progress, protect, verify
 from streamlog.sources import log, source, subs
 from streamlog.streaming import collect, control, delivery, txn
 from streamlog.streaming.store import OutputLog
@@ -245,6 +246,48 @@ def test_commit_batches_carry_over_micro_batches(spark, folder, tmp_path):
     assert {(r.batch, r.partition): r.offset for r in rows} == {(b, p): 150 * (b + 1) for b in range(3) for p in (0, 1)}
 
 
+def test_progress_and_protection_in_a_stream(spark, folder, tmp_path):
+    polls = stream(spark, folder).withColumn("poll_batch", F.expr("arrival_seq div 100"))
+    assigned = spark.createDataFrame([("in", 0)], "topic string, partition int")
+    query = (
+        progress.received(polls, assigned).writeStream.outputMode("complete").format("memory")
+        .queryName("received").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = {r.poll_batch: r.offset for r in spark.table("received").collect()}
+    assert got == {b: 50 * b + 49 for b in range(10)}
+
+    requested = spark.createDataFrame([("in", 0, 100)], "topic string, partition int, offset bigint")
+    path = str(tmp_path / "safe")
+
+    def protect_batch(batch, _):
+        safe = protect.reset_filter(batch, requested, offset_threshold=10)
+        safe.select("partition", "offset").write.mode("append").parquet(path)
+
+    polls.writeStream.foreachBatch(protect_batch).trigger(availableNow=True).option(
+        "checkpointLocation", str(tmp_path / "safe-c")
+    ).start().awaitTermination()
+    safe = spark.read.parquet(path).groupBy("partition").agg(F.min("offset").alias("m"), F.count("*").alias("n"))
+    # Polls 0 and 1 of partition 0 begin below 90; partition 1 was never requested.
+    assert {r.partition: (r.m, r.n) for r in safe.collect()} == {0: (100, 400), 1: (0, 500)}
+
+
+def test_merged_streams_and_counts(spark, folder, tmp_path):
+    both = stream(spark, folder).unionByName(stream(spark, folder)).groupBy("partition").count()
+    both.writeStream.outputMode("complete").format("memory").queryName("merged").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert {r.partition: r["count"] for r in spark.table("merged").collect()} == {0: 1000, 1: 1000}
+
+
+def test_micro_batches_leave_no_intermediate_tables(spark, folder, tmp_path):
+    shared = Path(workspace.shared_root(spark)) / "streamlog" / spark.sparkContext.applicationId
+    before = set(shared.glob("*"))
+    root = str(tmp_path / "out")
+    control.run_to_end(txn.flow(envelopes(stream(spark, folder, 3)), root, "w", f"{root}/c", trigger=NOW))
+    assert set(shared.glob("*")) == before
+
+
 def test_log_stream_of_a_table(spark, tmp_path):
     df = spark.range(10).select(
         F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
