@@ -96,18 +96,24 @@ def place_sorted(
         ends = base.select(*model.TP, F.col("end_offset").alias("_base"))
         ranges = ranges.join(ends, model.TP, "left")
     start = F.coalesce(F.col("_base"), F.lit(0)) + F.col("_before")
+    whole = Window.partitionBy(*model.TP)
     ranges = measured(
         ranges.select(
-            *model.TP, "_range", (start - F.col("_first")).alias("_shift"), (start + F.col("_n")).alias("_end")
+            *model.TP,
+            "_range",
+            (start - F.col("_first")).alias("_shift"),
+            (start + F.col("_n")).alias("end_offset"),
+            (F.col("_range") == F.max("_range").over(whole)).alias("_last"),
         ),
         "ranges",
     )
+    shifts = ranges.select(*model.TP, "_range", "_shift")
     records = (
-        placed.join(ranges.drop("_end"), [*model.TP, "_range"])
+        placed.join(shifts, [*model.TP, "_range"])
         .withColumn("offset", (F.col("_pos") + F.col("_shift")).cast("bigint"))
         .drop("_pos", "_range", "_shift")
     )
-    return Placed(records, ranges.groupBy(*model.TP).agg(F.max("_end").alias("end_offset")))
+    return Placed(records, ranges.filter("_last").select(*model.TP, "end_offset"))
 
 
 def append_offsets_sorted(

@@ -60,7 +60,7 @@ def require_single_group(offsets: DataFrame) -> DataFrame:
     checked = F.when(same, F.col("group_id")).otherwise(
         F.raise_error(F.lit("a transaction must not mix groups"))
     )
-    return offsets.withColumn("group_id", checked)
+    return offsets.coalesce(1).withColumn("group_id", checked)
 
 
 def commit_batch(
