@@ -11,7 +11,7 @@ from streamlog.functions import context
 from streamlog.operators import commits, meta
 from streamlog.plans import fixtures as fx
 from streamlog.plans.oracle_log import (
-    ASSIGNMENTS, COMMITS, COMMITTABLES, COMMITTABLES2, TP, on_log,
+    ASSIGNMENTS, COMMITTABLES, COMMITTABLES2, TP, on_log,
 )
 from streamlog.plans.q_sources import EVERYTHING, stream_to_table
 from streamlog.plans.registry import query
