@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_BITS = 20
+CHUNK_BITS = 17
 _CHUNK = "_chunk"
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BITS = 18
-GROUP_BITS = 9  # chunks whose tables are chained in one task
+CHUNK_BITS = 17
+GROUP_BITS = 10  # chunks whose tables are chained in one task
 
 
 # -- closing by size ---------------------------------------------------------
