@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlog import workspace
-from streamlog.llm import exact_dedup, iblt, language_id, license_scan, packing, simhash, source_mix, warc
+from streamlog.llm import exact_dedup, iblt, language_id, license_scan, packing, simhash, source_mix, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,6 +120,27 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(rows)
 
 
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.deduplicate(documents(spark, sf_dir), finish=lambda kept: hashlib.sha256(kept).hexdigest())
+    return rows.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+ORACLES["op9_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word, len(w) AS n FROM d),
+g AS (SELECT doc_id, i, word, n, array_to_string(list(word) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING), ' ') AS run FROM p),
+f AS (SELECT doc_id, i, word, i + 19 <= n AND row_number() OVER (PARTITION BY run, i + 19 <= n ORDER BY doc_id, i) > 1 AS again FROM g),
+c AS (SELECT doc_id, i, word, coalesce(bool_or(again) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone FROM f),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
 @query
 def op10_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.compare(documents(spark, sf_dir))
