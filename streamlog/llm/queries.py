@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlog import workspace
-from streamlog.llm import exact_dedup, iblt, language_id, license_scan, packing, simhash, source_mix, substring_dedup, warc
+from streamlog.llm import exact_dedup, iblt, language_id, license_scan, maxent_lm, packing, simhash, source_mix, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = language_id.remainder(F.col("doc_id"), 10) == 0
+    model, n_tokens = maxent_lm.fit(docs.where(~held_out))
+    return maxent_lm.score(docs, model, n_tokens, held_out).withColumn("held_out", held_out)
+
+
 @query
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = source_mix.mix(documents(spark, sf_dir))
