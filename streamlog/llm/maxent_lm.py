@@ -10,7 +10,8 @@ There are 16 classes of 16 leaves. The most frequent heads have a leaf of their
 own; other words share leaves by their ending. The first two factors are softmax
 functions of weights of hashed features: the word before, the two words before,
 and the word before the last (skip), besides a bias. The last factor is the
-word's count in its leaf, with ``UNSEEN`` of the mass for words never met.
+word's count in its leaf, with ``UNSEEN`` of the mass for words never met,
+of which a leaf is taken to have 1 / ``RARE``.
 
 Training: biases come from leaf counts. Then, in each round, tasks compute the
 gradient over their documents, gradients are summed by blocks of weights with a
@@ -44,7 +45,7 @@ from streamlog.llm import wordhash
 HEADS, CLASSES, OWN_LEAVES = 1 << 15, 16, 160
 LEAVES = CLASSES * CLASSES
 BITS, ROUNDS, STEP, PRIOR = 15, 2, 0.5, 4.0
-UNSEEN, RARE = 0.05, 1e-6
+UNSEEN, RARE = 0.05, 1e-4
 BATCH_BYTES, SLICE, BLOCK = 8 << 20, 1 << 17, 1 << 10
 FEATURES = 3
 END, BEGIN = np.uint64(1), np.uint64(2)
