@@ -91,7 +91,7 @@ def main() -> None:
         pairs = context.with_context(plain, "g1")
         shapes = {
             "scan": plain,
-            "commit": commits.batch_flow(context.committables(pairs, seq="arrival_seq"), COMMIT_BATCH),
+            "commit": commits.batch_flow(context.committables(pairs, seq="arrival_seq"), COMMIT_BATCH, single=True),
             "route": partitioned.numbered(plain),
         }
         for shape, df in shapes.items():

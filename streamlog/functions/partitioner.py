@@ -40,8 +40,10 @@ def hash_keys(keys: pa.Array) -> np.ndarray:
         return sum(data[position + b].astype(np.uint32) << np.uint32(8 * b) for b in range(4))
 
     h = np.uint32(SEED) ^ length.astype(np.uint32)
-    for i in range(int(n_words.max())):
-        rows = np.flatnonzero(n_words > i)
+    longest_first = np.argsort(-n_words, kind="stable")
+    longer = np.searchsorted(-n_words[longest_first], -np.arange(int(n_words.max())), side="left")
+    for i, count in enumerate(longer.tolist()):  # keys with more than i words
+        rows = longest_first[:count]
         k = word_at(start[rows] + 4 * i) * m
         h[rows] = (h[rows] * m) ^ ((k ^ (k >> 24)) * m)
     rows = np.flatnonzero(rest)

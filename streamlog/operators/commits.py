@@ -72,43 +72,53 @@ def next_observed(
 
     The row that raises the highest offset so far hands over the previous
     highest, so its arrival number becomes the position of that offset. Lower or
-    equal arrivals change nothing, and the last highest is never handed over.
+    equal arrivals change nothing, except that a batch (``batch_size`` above one)
+    hands over on an equal offset as well; the last highest is never handed over.
     """
-    # Of equal offsets the earliest arrival stays deferred.
-    deferred = F.struct("offset", (-F.col("arrival_seq")).alias("_order"), "metadata", "batch_size")
+    # Of equal offsets the earliest arrival stays deferred, of equal batches the last.
+    order = F.when(F.col("batch_size") > 1, F.col("arrival_seq")).otherwise(-F.col("arrival_seq"))
+    deferred = F.struct("offset", order.alias("_order"), "metadata")
     seen = ordered.running_max(
         committables, model.GTP, "arrival_seq", deferred, name="_deferred", inclusive=False,
         bits=chunk_bits,
     )
-    raises = F.col("offset") > F.col("_deferred.offset")
+    # A batch stands for the offsets below its own, so an equal one hands over too.
+    same = (F.col("batch_size") > 1) & (F.col("offset") == F.col("_deferred.offset"))
+    raises = (F.col("offset") > F.col("_deferred.offset")) | same
     return seen.filter(raises).select(
         *model.GTP,
         F.col("_deferred.offset").alias("offset"),
         F.col("_deferred.metadata").alias("metadata"),
         "arrival_seq",
-        F.col("_deferred.batch_size").alias("batch_size"),
+        F.lit(1).cast("bigint").alias("batch_size"),  # filtered to one topic-partition
     )
 
 
 def batch_flow(
     committables: DataFrame, max_batch: int, *, when: str = "first_observed",
-    stream: list[str] = STREAM, sized: bool = False,
+    stream: list[str] = STREAM, single: bool = False,
 ) -> DataFrame:
     """Close a batch whenever its size reaches ``max_batch``; the rest closes at the end.
 
-    One row per (stream, batch, topic-partition). ``sized`` honours committables
-    that are batches themselves (``batch_size`` above one); without it every
-    committable counts one and the batch number is plain arithmetic.
+    One row per (stream, batch, topic-partition). Committables may be batches
+    themselves, and ``batch_size`` always counts. Input declared ``single`` has
+    sizes of one only, which makes the batch number plain arithmetic; any other
+    size then fails the query.
     """
     if when == "next_observed":
         # Stored, because numbering reads its input twice.
         committables = materialize(next_observed(committables), "next-observed")
     elif when != "first_observed":
         raise ValueError(f"unknown commit rule: {when}")
-    if sized:
-        numbered = folds.batch_numbers(committables, stream, "arrival_seq", "batch_size", max_batch)
+    if not single:
+        # Only what numbers depend on goes through Python.
+        rows = committables.select(*stream, "arrival_seq", "batch_size")
+        numbers = folds.batch_numbers(rows, stream, "arrival_seq", "batch_size", max_batch)
+        numbered = committables.join(numbers.drop("batch_size"), [*stream, "arrival_seq"])
     else:
-        numbered = ordered.row_number(committables, stream, "arrival_seq", name="_rn")
+        one = F.when(F.col("batch_size") == 1, 1).otherwise(F.raise_error(F.lit("not a single committable")).cast("int"))
+        numbered = committables.withColumn("batch_size", one.cast("bigint"))
+        numbered = ordered.row_number(numbered, stream, "arrival_seq", name="_rn")
         numbered = numbered.withColumn("batch", F.expr(f"(_rn - 1) div {max_batch}")).drop("_rn")
     keys = list(dict.fromkeys([*stream, "batch", *model.GTP]))
     return numbered.groupBy(*keys).agg(

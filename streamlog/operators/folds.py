@@ -15,6 +15,8 @@ Chaining is done in two levels, so no task holds the tables of a whole hot key.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,13 +54,13 @@ def _size_table(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _replay_sizes(sizes: np.ndarray, limit: int, entry: int, closes: int) -> np.ndarray:
-    numbers = np.empty(len(sizes), np.int64)
-    held = entry
-    for i, size in enumerate(sizes):
-        numbers[i] = closes
-        held += size
-        if held >= limit:
-            held, closes = 0, closes + 1
+    numbers, total = np.empty(len(sizes), np.int64), np.cumsum(sizes)
+    i, before = 0, -entry
+    while i < len(sizes):  # from batch to batch
+        end = int(np.searchsorted(total, before + limit, side="left")) + 1
+        numbers[i:end] = closes
+        closes += 1
+        i, before = end, total[min(end, len(sizes)) - 1]
     return numbers
 
 
@@ -149,20 +151,22 @@ NONE = np.iinfo(np.int64).min
 
 
 def _safety_table(allow: np.ndarray, following: np.ndarray) -> tuple[list[int], list[int]]:
-    final = following.copy()
+    final, allows = following.tolist(), allow.tolist()
     ahead: list[int] = []  # later polls by rising ``allow``, nearest on top
-    for i in range(len(allow) - 1, -1, -1):
-        for j in reversed(ahead):
-            if allow[j] >= following[i]:
-                final[i] = final[j]
-                break
-        if allow[i] != NONE:
-            while ahead and allow[ahead[-1]] <= allow[i]:
+    falling: list[int] = []  # their ``allow``, negated: ascending, so it can be bisected
+    for i in range(len(allows) - 1, -1, -1):
+        nearest = bisect_right(falling, -final[i]) - 1
+        if nearest >= 0:
+            final[i] = final[ahead[nearest]]
+        if allows[i] != NONE:
+            while falling and falling[-1] >= -allows[i]:
                 ahead.pop()
+                falling.pop()
             ahead.append(i)
+            falling.append(-allows[i])
     upto: list[int] = []
     leads_to: list[int] = []
-    for limit, end in zip(allow.tolist(), final.tolist()):
+    for limit, end in zip(allows, final):
         if limit == NONE or (upto and limit <= upto[-1]):
             continue  # an earlier poll takes every state this one would
         if upto and leads_to[-1] == end:

@@ -21,8 +21,15 @@ def with_shard(df: DataFrame, partitions: int, *, entity_id: Column | None = Non
 def with_shard_of_topic(
     df: DataFrame, log: DataFrame, topic: str, *, entity_id: Column | None = None
 ) -> DataFrame:
-    """As ``with_shard``, with the partition count of ``topic`` looked up in the log."""
-    return with_shard(df, meta.partitions_for(log, topic).count(), entity_id=entity_id)
+    """As ``with_shard``, with the partition count of ``topic`` looked up in the log.
+
+    Partitions are numbered from 0, so the highest number counts, even where
+    partitions below it are still empty. One number comes to the driver.
+    """
+    last = meta.partitions_for(log, topic).agg(F.max("partition")).first()[0]
+    if last is None:
+        raise ValueError(f"no such topic: {topic}")
+    return with_shard(df, last + 1, entity_id=entity_id)
 
 
 def locate(sharded: DataFrame, assignment: DataFrame) -> DataFrame:

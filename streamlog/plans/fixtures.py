@@ -211,7 +211,7 @@ def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string, arrival_seq bigint"
-ROWS_PER_APPEND = 10_000_000
+APPENDS = 4
 
 
 def ordered_stream_path(spark: SparkSession, sf_dir: str) -> str:
@@ -219,19 +219,16 @@ def ordered_stream_path(spark: SparkSession, sf_dir: str) -> str:
 
     The file source reads files by modification time, and an append keeps a
     topic-partition in one file, so a stream over this folder gets each
-    topic-partition in order wherever micro-batches are cut. An append is bounded
-    by ``ROWS_PER_APPEND``. The last one holds a tick per topic-partition, a day
-    after the last event.
+    topic-partition in order wherever micro-batches are cut. There are ``APPENDS``
+    of them, whatever the size. The last one holds a tick per topic-partition, a
+    day after the last event.
     """
 
     def build(path: str) -> None:
         records = event_log(spark, sf_dir).select(*model.TP, "offset", "timestamp", "value", "arrival_seq")
-        rows, last, latest = records.agg(
-            F.count(F.lit(1)), F.max("arrival_seq"), F.max("timestamp")
-        ).first()
-        appends = max(4, -(-rows // ROWS_PER_APPEND))
-        step = last // appends + 1
-        for i in range(appends):
+        last, latest = records.agg(F.max("arrival_seq"), F.max("timestamp")).first()
+        step = last // APPENDS + 1
+        for i in range(APPENDS):
             part = records.filter(
                 (F.col("arrival_seq") >= i * step) & (F.col("arrival_seq") < (i + 1) * step)
             )

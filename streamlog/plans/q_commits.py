@@ -54,7 +54,7 @@ def _(spark, sf):
 
 
 def flow_g1(spark, sf):
-    return commits.batch_flow(fx.committables(spark, sf), MAX_BATCH)
+    return commits.batch_flow(fx.committables(spark, sf), MAX_BATCH, single=True)
 
 
 @query(
@@ -106,7 +106,7 @@ SIZED_FLOW = on_log(
 def _(spark, sf):
     size = (1 + F.col("arrival_seq") % 3).alias("batch_size")
     sized = fx.committables(spark, sf).withColumn("batch_size", size)
-    return commits.batch_flow(sized, 100, stream=["topic"], sized=True)
+    return commits.batch_flow(sized, 100, stream=["topic"])
 
 
 def commit_stream(spark, sf):
@@ -200,12 +200,12 @@ def _(spark, sf):
 )
 def _(spark, sf):
     pairs = source.committable(fx.event_log(spark, sf), EVERYTHING, "g1", metadata=F.col("key"))
-    return commits.batch_flow(context.committables(pairs, seq="arrival_seq"), MAX_BATCH)
+    return commits.batch_flow(context.committables(pairs, seq="arrival_seq"), MAX_BATCH, single=True)
 
 
 @query("c10_offset_first_observed", on_log("SELECT * FROM flow WHERE group_id = 'g1'", COMMITTABLES, FLOW.replace(str(MAX_BATCH), "250")))
 def _(spark, sf):
-    return commits.batch_flow(fx.committables(spark, sf), 250, when="first_observed")
+    return commits.batch_flow(fx.committables(spark, sf), 250, when="first_observed", single=True)
 
 
 @query(
@@ -218,7 +218,7 @@ def _(spark, sf):
 
 @query("c11_next_observed_flow", on_log("SELECT * FROM flow", NEXT_COMMITTABLES, FLOW))
 def _(spark, sf):
-    return commits.batch_flow(fx.committables(spark, sf), MAX_BATCH, when="next_observed")
+    return commits.batch_flow(fx.committables(spark, sf), MAX_BATCH, when="next_observed", single=True)
 
 
 @query(

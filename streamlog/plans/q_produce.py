@@ -242,13 +242,13 @@ def _(spark, sf):
 # -- typed values ------------------------------------------------------------
 
 DATA = T.StructType([T.StructField("k", T.LongType())])
-FAULTY = """faulty AS (SELECT * REPLACE (CASE WHEN arrival_seq % 97 = 0 THEN '{faulty' ELSE value END AS value),
+FAULTY = """faulty AS (SELECT * REPLACE (CASE WHEN arrival_seq % 97 = 0 THEN '[1,' ELSE value END AS value),
   arrival_seq % 97 = 0 AS bad FROM log)"""
 
 
 def faulty_log(df):
     return df.withColumn(
-        "value", F.when(F.col("arrival_seq") % 97 == 0, "{faulty").otherwise(F.col("value"))
+        "value", F.when(F.col("arrival_seq") % 97 == 0, "[1,").otherwise(F.col("value"))
     )
 
 

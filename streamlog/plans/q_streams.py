@@ -225,16 +225,16 @@ def _(spark, sf):
 
 @query(
     "h16_recover",
-    on_log(f"""SELECT {TP}, "offset", CASE WHEN arrival_seq % 97 = 0 THEN 'no-more-elements' ELSE value END AS value
+    on_log(f"""SELECT {TP}, "offset", CASE WHEN arrival_seq % 97 = 0 THEN 'end-of-input' ELSE value END AS value
       FROM log WHERE NOT (arrival_seq % 97 = 0 AND arrival_seq % 2 = 0)"""),
 )
 def _(spark, sf):
     """A failing element becomes a sentinel; some sentinels are then filtered out."""
     failing = F.when(F.col("arrival_seq") % 97 != 0, F.col("value"))
     recovered = fx.event_log(spark, sf).withColumn(
-        "value", F.coalesce(failing, F.lit("no-more-elements"))
+        "value", F.coalesce(failing, F.lit("end-of-input"))
     )
-    skip = (F.col("value") == "no-more-elements") & (F.col("arrival_seq") % 2 == 0)
+    skip = (F.col("value") == "end-of-input") & (F.col("arrival_seq") % 2 == 0)
     return recovered.filter(~skip).select(*model.TP, "offset", "value")
 
 

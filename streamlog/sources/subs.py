@@ -8,9 +8,8 @@ which has no filter push-down for offsets.
 
 from __future__ import annotations
 
-import functools
 import json
-import operator
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -18,12 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
-from streamlog.workspace import local_table, measured
+from streamlog.workspace import local_table
 
 TopicPartition = tuple[str, int]
-# Up to here a list of topic-partitions is an OR of literals, which prunes the
-# scan; a longer list is a table joined to the log.
-MAX_LITERALS = 200
 
 
 @dataclass(frozen=True)
@@ -76,27 +72,23 @@ def assignment_offsets_for_times(times: dict[TopicPartition, str | int]) -> Assi
     return AssignmentForTimes(dict(times))
 
 
-def _is_tp(tp: TopicPartition) -> Column:
-    return (F.col("topic") == tp[0]) & (F.col("partition") == tp[1])
+def _in_folders(partitions: Iterable[TopicPartition]) -> Column:
+    """Literal topic-partitions; Spark lists only their folders, however many there are."""
+    wanted = [F.struct(F.lit(topic), F.lit(partition)) for topic, partition in partitions]
+    return F.struct(*model.TP).isin(wanted) if wanted else F.lit(False)
 
 
-def _any_of(conditions: list[Column]) -> Column:
-    return functools.reduce(operator.or_, conditions, F.lit(False))
-
-
-def _select_assigned(log: DataFrame, partitions: tuple[TopicPartition, ...]) -> DataFrame:
-    if len(partitions) <= MAX_LITERALS:
-        return log.filter(_any_of([_is_tp(tp) for tp in partitions]))
-    return log.join(_tp_table(log, partitions), model.TP, "left_semi")
+def _select_assigned(log: DataFrame, partitions: Iterable[TopicPartition]) -> DataFrame:
+    return log.filter(_in_folders(partitions))
 
 
 def _select_from_offsets(log: DataFrame, offsets: dict[TopicPartition, int]) -> DataFrame:
-    if len(offsets) <= MAX_LITERALS:
-        return log.filter(
-            _any_of([_is_tp(tp) & (F.col("offset") >= start) for tp, start in offsets.items()])
-        )
-    starts = pa.array(list(offsets.values()), pa.int64())
-    return _join_starts(log, _tp_table(log, tuple(offsets), start=starts))
+    """Folders and row groups are pruned by literals, records by a join with the starts."""
+    if not offsets:
+        return log.filter(F.lit(False))
+    pruned = _select_assigned(log, offsets).filter(F.col("offset") >= min(offsets.values()))
+    starts = _tp_table(log, tuple(offsets), _start=pa.array(list(offsets.values()), pa.int64()))
+    return pruned.join(starts, model.TP).filter(F.col("offset") >= F.col("_start")).drop("_start")
 
 
 def _tp_table(log: DataFrame, partitions: tuple[TopicPartition, ...], **columns) -> DataFrame:
@@ -107,17 +99,14 @@ def _tp_table(log: DataFrame, partitions: tuple[TopicPartition, ...], **columns)
     )
 
 
-def _join_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
-    return (
-        log.join(starts.select(*model.TP, F.col("start").alias("_start")), model.TP)
-        .filter(F.col("offset") >= F.col("_start"))
-        .drop("_start")
-    )
-
-
 def from_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
-    """Records at or after ``starts(topic, partition, start)``; other tps are left out."""
-    return _join_starts(log, measured(starts, "starts"))
+    """Records at or after ``starts(topic, partition, start)``; other tps are left out.
+
+    The starts, one row per topic-partition of the log, come to the driver, which
+    lists the folders of the log anyway: so the scan is pruned by literals.
+    """
+    rows = starts.select(*model.TP, "start").filter("start IS NOT NULL").collect()
+    return _select_from_offsets(log, {(r["topic"], r["partition"]): r["start"] for r in rows})
 
 
 def starts_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
@@ -249,9 +238,8 @@ def to_kafka_options(
         case AssignmentForTimes(times):
             options["assign"] = assign(times)
             options["startingOffsetsByTimestamp"] = json.dumps(nested(times))
-            options["startingOffsetsByTimestampStrategy"] = (
-                "latest" if reset == "latest" else "error"
-            )
+            # A time without a record must not fail the query; the end is what comes next there.
+            options["startingOffsetsByTimestampStrategy"] = "latest"
             del options["startingOffsets"]
         case _:
             raise TypeError(f"not a subscription: {sub!r}")

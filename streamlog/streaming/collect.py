@@ -105,7 +105,8 @@ def _sorted_rows(frames: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
     rows = pd.concat(list(frames), ignore_index=True)
     rows["_clock"] = rows["timestamp"].astype("datetime64[us]").astype("int64")
     rows["_tick"] = rows["offset"].isna()
-    return rows.sort_values(["_clock", seq] if rows[seq].isna().any() else [seq])
+    # Always by seq. Ticks without one come after the records they arrived with.
+    return rows.sort_values([seq, "_clock"], na_position="last")
 
 
 def grouped_within(
@@ -153,11 +154,12 @@ def _hand_over(rows: pd.DataFrame, deferred: list[list]) -> tuple[pd.DataFrame,
     both = pd.concat([before, rows], ignore_index=True)
     offsets = both.groupby(model.GTP, sort=False)["offset"]
     highest = offsets.cummax().groupby([both[k] for k in model.GTP], sort=False).shift(1)
-    raising = both[highest.isna() | (both["offset"] > highest)]
+    same_batch = (both["_size"] > 1) & (both["offset"] == highest)
+    raising = both[highest.isna() | (both["offset"] > highest) | same_batch]
     by_partition = raising.groupby(model.GTP, sort=False)
-    held_back = ["offset", "metadata", "_size"]
+    held_back = ["offset", "metadata"]
     handed = raising.assign(**{c: by_partition[c].shift(1) for c in held_back})
-    handed = handed[handed["offset"].notna()].astype(rows.dtypes.to_dict())
+    handed = handed[handed["offset"].notna()].assign(_size=1).astype(rows.dtypes.to_dict())
     return handed, by_partition.tail(1).astype(object).values.tolist()
 
 

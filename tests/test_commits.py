@@ -130,7 +130,7 @@ def test_sized_committables_close_early(spark):
     df = table(spark, [("g", "A", 0, i) for i in range(6)]).withColumn(
         "batch_size", F.element_at(F.array(*map(F.lit, sizes)), (F.col("arrival_seq") + 1).cast("int")).cast("bigint")
     )
-    batches = commits.batch_flow(df, 10, sized=True).orderBy("batch").collect()
+    batches = commits.batch_flow(df, 10).orderBy("batch").collect()
     assert [(b.offset - 1, b.updates) for b in batches] == [(2, 12), (3, 12), (5, 10)]
 
 
@@ -147,3 +147,17 @@ def test_only_assigned(spark):
     df = commits.offset_batch(table(spark, [("g", "A", 0, 1), ("g", "A", 1, 1)]))
     assigned = spark.createDataFrame([("A", 1)], "topic string, partition int")
     assert list(gtps(commits.only_assigned(df, assigned), "offset")) == [("g", "A", 1)]
+
+
+def test_batches_hand_over_on_equal_offsets(spark):
+    rows = [("g", "t", 0, o, f"m{k}", k, 3) for k, o in enumerate([5, 9, 9, 12])]
+    schema = "group_id string, topic string, partition int, offset bigint, metadata string, arrival_seq bigint, batch_size bigint"
+    handed = commits.next_observed(spark.createDataFrame(rows, schema)).orderBy("arrival_seq").collect()
+    assert [(r["offset"], r["metadata"], r["batch_size"]) for r in handed] == [(5, "m0", 1), (9, "m1", 1), (9, "m2", 1)]
+
+
+def test_declared_single_input_is_checked(spark):
+    rows = [("g", "t", 0, 1, "m", 0, 2)]
+    schema = "group_id string, topic string, partition int, offset bigint, metadata string, arrival_seq bigint, batch_size bigint"
+    with pytest.raises(Exception, match="not a single committable"):
+        commits.batch_flow(spark.createDataFrame(rows, schema), 10, single=True).collect()

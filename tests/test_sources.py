@@ -66,8 +66,8 @@ def test_patterns_match_whole_names(records):
     assert subs.select(records, subs.topic_pattern("topic-0|x")).count() == 200
 
 
-def test_long_lists_become_a_join(records):
-    many = {("topic-1", p): 95 for p in range(2 * subs.MAX_LITERALS)}
+def test_long_lists(records):
+    many = {("topic-1", p): 95 for p in range(400)}
     assert values(subs.select(records, subs.assignment_with_offset(many))) == sorted(2 * [96, 97, 98, 99, 100])
     assert subs.select(records, subs.assignment(*many)).count() == 200
 
@@ -79,6 +79,30 @@ def test_assignment_prunes_folders_and_row_groups(records):
     assert "GreaterThanOrEqual(offset,10)" in scan
 
 
+def folders_and_filters(df):
+    plan = df._jdf.queryExecution().toString()
+    scan = plan[plan.index("FileScan"):]
+    return scan[scan.index("PartitionFilters"):scan.index("PushedFilters")], scan[scan.index("PushedFilters"):]
+
+
+def test_five_thousand_topic_partitions_still_prune(records):
+    many = {("topic-0", p): 90 + p for p in range(5000)}
+    for selected in (subs.assignment(*many), subs.assignment_with_offset(many)):
+        folders, pushed = folders_and_filters(subs.select(records, selected))
+        assert "topic" in folders and "partition" in folders and ("IN" in folders or "INSET" in folders)
+    assert "GreaterThanOrEqual(offset,90)" in pushed
+    assert values(subs.select(records, subs.assignment_with_offset(many))) == [*sorted([*range(91, 101), *range(92, 101)])]
+
+
+def test_resuming_a_group_prunes(spark, records):
+    commits = spark.createDataFrame(
+        [("g", "topic-0", p, 60 + p, "", 1) for p in (0, 1)] + [("g", "topic-1", p, 70, "", 1) for p in (0, 1)],
+        "group_id string, topic string, partition int, offset bigint, metadata string, commit_seq bigint",
+    )
+    folders, pushed = folders_and_filters(source.for_group(records, commits, "g"))
+    assert "topic-0" in folders and "GreaterThanOrEqual(offset,60)" in pushed
+
+
 def test_reset_none_fails_without_an_offset(spark, records):
     ranges = meta.offset_range(records)
     committed = spark.createDataFrame([("topic-0", 0, 90)], "topic string, partition int, offset bigint")
