@@ -11,15 +11,21 @@ from pyspark.sql.streaming import StreamingQuery
 from streamlog import model
 from streamlog.functions import envelope
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import read_if_exists, scratch
+from streamlog.workspace import query_id, read_if_exists, scratch
 
 Write = Callable[[DataFrame, int], None]
 
 COMMITS = (
-    "group_id string, topic string, partition int, offset bigint, metadata string, commit_seq bigint"
+    "group_id string, topic string, partition int, offset bigint, metadata string, commit_seq bigint,"
+    " query_id string, batch_id bigint"
 )
 
 
+def running_query(spark: SparkSession) -> str | None:
+    """Id of the streaming query whose micro-batch runs now; it outlives restarts."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def append_records(path: str) -> Write:
     """Append output records to a log folder, partitioned by topic and partition."""
 
@@ -30,15 +36,27 @@ def append_records(path: str) -> Write:
 
 
 def append_commits(path: str) -> Write:
-    """Append the highest context of each topic-partition, plus one, as commit rows."""
+    """Append the highest context of each topic-partition, plus one, as commit rows.
+
+    ``commit_seq`` goes on from what earlier queries have stored, so that commits
+    after a restart with another checkpoint are later ones.
+    """
+    first: dict[str | None, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = running_query(spark)
+        if query not in first:
+            others = read_if_exists(spark, path, COMMITS).filter(~F.col("query_id").eqNullSafe(F.lit(query)))
+            first[query] = (others.agg(F.max("commit_seq")).first()[0] or -1) + 1
         (
             batch.filter(F.col("ctx").isNotNull())
             .select("ctx.*")
             .groupBy(*model.GTP)
             .agg((F.max("offset") + 1).alias("offset"), F.max_by("metadata", "offset").alias("metadata"))
-            .withColumn("commit_seq", F.lit(batch_id).cast("bigint"))
+            .withColumn("commit_seq", F.lit(first[query] + batch_id).cast("bigint"))
+            .withColumn("query_id", F.lit(query).cast("string"))
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .coalesce(1)
             .write.mode("append")
             .parquet(path)
@@ -53,11 +71,12 @@ def _start(stream: DataFrame, write: Write, checkpoint: str, trigger: dict | Non
 
 
 def is_committed(path: str) -> Callable[[SparkSession, int], bool]:
-    """Whether the commit table at ``path`` holds a micro-batch."""
+    """Whether the commit table at ``path`` holds a micro-batch of the running query."""
 
     def check(spark: SparkSession, batch_id: int) -> bool:
         rows = read_if_exists(spark, path, COMMITS)
-        return not rows.filter(F.col("commit_seq") == batch_id).isEmpty()
+        mine = F.col("query_id").eqNullSafe(F.lit(running_query(spark)))
+        return not rows.filter(mine & (F.col("batch_id") == batch_id)).isEmpty()
 
     return check
 
@@ -91,8 +110,12 @@ def at_least_once(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(envelope.explode_records(batch).drop("pos"), batch_id)
-        commit(batch, batch_id)
+        batch = batch.persist()  # records and commits come from one evaluation
+        try:
+            sink(envelope.explode_records(batch).drop("pos"), batch_id)
+            commit(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return _start(envelopes, write, checkpoint, trigger)
 
@@ -129,7 +152,8 @@ def external_offsets(
     out = OutputLog(stream.sparkSession, root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if out.is_published(writer, batch_id):
+        query = query_id(out.spark, checkpoint)
+        if out.is_published(writer, batch_id, query):
             return
         reached = batch.groupBy(*model.TP).agg((F.max("offset") + 1).alias("offset"))
         reached = reached.select(
@@ -140,7 +164,7 @@ def external_offsets(
             staged = out.stage(update(batch, batch_id), writer, batch_id, ["seq"])
             if before_publish is not None:
                 before_publish(batch_id)
-            out.publish(staged, reached, writer, batch_id)
+            out.publish(staged, reached, writer, batch_id, query)
 
     return _start(stream, write, checkpoint, trigger)
 

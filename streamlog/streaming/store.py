@@ -1,13 +1,16 @@
 """An output log that many writers fill batch by batch.
 
 A batch of a writer is two folders: its records, and one small commit file with
-the source offsets it covers and the new ends of the output. Readers only look at
-batches that have a commit file, so records and offsets become visible together
-when that file is renamed into place. A batch that failed before that is written
-again and replaces what it left; a published one is never written twice.
-
-``writer`` names one streaming query. Writers share an output log if no
-topic-partition is written by more than one of them.
+all source offsets the writer has covered and all ends of its output. Readers
+take batches up to the newest commit file of a writer, so records and offsets
+become visible together when that file is renamed into place. A batch that failed
+before that is written again and replaces what it left; a published one is never
+written twice. The newest file is all that a micro-batch reads, and older ones
+are deleted, so the cost of a micro-batch does not grow with their number.
+
+``writer`` names one streaming query, whose id is kept with its commits. Writers
+share an output log if no topic-partition is written by more than one of them at
+a time; a writer whose offsets meet another one's fails when it publishes.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import types as T
 from streamlog import model
 from streamlog.functions import partitioner
 from streamlog.sources import log
-from streamlog.workspace import has_files, measured, read_if_exists
+from streamlog.workspace import delete, list_numbers, measured, read_if_exists
 
 _BATCH = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
 
@@ -50,6 +53,8 @@ COMMITS = T.StructType(
 )
 
 BATCH_KEYS = ["writer", "batch_id"]
+# Newest commit files of a writer that are kept.
+KEPT_COMMITS = 5
 
 
 @dataclass(frozen=True)
@@ -58,16 +63,36 @@ class OutputLog:
     root: str
 
     def commits(self) -> DataFrame:
-        return read_if_exists(self.spark, f"{self.root}/commits", COMMITS)
+        """The newest commit file of each writer; it holds all that the writer has reached."""
+        kept = read_if_exists(self.spark, f"{self.root}/commits", COMMITS)
+        newest = kept.groupBy("writer").agg(F.max("batch_id").alias("batch_id"))
+        return kept.join(newest, BATCH_KEYS, "left_semi")
 
     def records(self) -> DataFrame:
-        """Records of committed batches."""
+        """Records of committed batches: a writer publishes its batches in order."""
         stored = read_if_exists(self.spark, f"{self.root}/records", RECORDS)
-        committed = self.commits().filter("kind = 'batch'").select(*BATCH_KEYS)
-        return stored.join(measured(committed), BATCH_KEYS, "left_semi")
+        newest = self.commits().filter("kind = 'batch'").select("writer", F.col("batch_id").alias("_last"))
+        reached = stored.join(measured(newest), "writer").filter("batch_id <= _last").drop("_last")
+        return reached.select(*RECORDS.fieldNames())
+
+    def last_batch(self, writer: str, query_id: str | None = None) -> int:
+        """Number of the last batch published by ``writer``, -1 for none.
+
+        Fails if another query than ``query_id`` published it: its batches are
+        numbered by another checkpoint, so numbers cannot be compared.
+        """
+        rows = self.commits().filter((F.col("kind") == "batch") & (F.col("writer") == writer)).collect()
+        if not rows:
+            return -1
+        if query_id is not None and rows[0]["metadata"] != query_id:
+            raise RuntimeError(
+                f"writer {writer} of {self.root} belongs to query {rows[0]['metadata']}, not to {query_id}:"
+                " continue with its checkpoint, or use another writer name"
+            )
+        return rows[0]["batch_id"]
 
-    def is_published(self, writer: str, batch_id: int) -> bool:
-        return has_files(self.spark, self._commit_path(writer, batch_id))
+    def is_published(self, writer: str, batch_id: int, query_id: str | None = None) -> bool:
+        return batch_id <= self.last_batch(writer, query_id)
 
     def _commit_path(self, writer: str, batch_id: int) -> str:
         return f"{self.root}/commits/writer={writer}/batch_id={batch_id}"
@@ -119,27 +144,46 @@ class OutputLog:
         schema = T.StructType([f for f in RECORDS.fields if f.name not in BATCH_KEYS])
         return log.Placed(self.spark.read.schema(schema).parquet(path), placed.ends)
 
-    def publish(self, staged: log.Placed, source: DataFrame, writer: str, batch_id: int) -> None:
+    def publish(
+        self, staged: log.Placed, source: DataFrame, writer: str, batch_id: int, query_id: str | None = None
+    ) -> None:
         """Make a staged batch visible together with the source offsets it covers.
 
-        One file of one row per topic-partition, plus one for the batch itself.
+        One file with a row per topic-partition that the writer has ever reached,
+        one per source topic-partition, and one for the batch itself. Older files
+        of the writer are then of no use and go, but for the last few, which
+        readers may still have open. Fails if another writer has meanwhile published
+        offsets that this batch gives out too. Two writers that publish in the same
+        moment are not seen: a topic-partition should have one writer at a time.
         """
         empty = F.lit(None).cast("string")
-        ends = staged.ends.withColumnRenamed("end_offset", "offset")
-        rows = (
-            source.select(F.lit("source").alias("kind"), *model.GTP, "offset", "metadata")
-            .unionByName(
-                ends.select(
-                    F.lit("end").alias("kind"), empty.alias("group_id"), *model.TP, "offset",
-                    empty.alias("metadata"),
-                )
-            )
-            .unionByName(
-                self.spark.range(1).select(
-                    F.lit("batch").alias("kind"), empty.alias("group_id"), empty.alias("topic"),
-                    F.lit(None).cast("int").alias("partition"),
-                    F.lit(None).cast("bigint").alias("offset"), empty.alias("metadata"),
-                )
+        columns = ["kind", *model.GTP, "offset", "metadata"]
+        before = self.commits()
+        others = before.filter((F.col("kind") == "end") & (F.col("writer") != writer))
+        taken = others.groupBy(*model.TP).agg(F.max("offset").alias("taken"))
+        starts = staged.records.groupBy(*model.TP).agg(F.min("offset").alias("start"))
+        met = starts.join(taken, model.TP).filter("start < taken").first()
+        if met is not None:
+            raise RuntimeError(
+                f"{met['topic']}/{met['partition']} of {self.root}: another writer than {writer} has published"
+                f" offsets up to {met['taken']}, this batch starts at {met['start']}"
             )
+        ends = staged.ends.select(
+            F.lit("end").alias("kind"), empty.alias("group_id"), *model.TP,
+            F.col("end_offset").alias("offset"), empty.alias("metadata"),
+        )
+        now = source.select(F.lit("source").alias("kind"), *model.GTP, "offset", "metadata").unionByName(ends)
+        mine = before.filter((F.col("writer") == writer) & (F.col("kind") != "batch")).select(*columns)
+        reached = mine.unionByName(now).groupBy("kind", *model.GTP).agg(
+            F.max_by("metadata", "offset").alias("metadata"), F.max("offset").alias("offset")
+        )
+        batch = self.spark.range(1).select(
+            F.lit("batch").alias("kind"), empty.alias("group_id"), empty.alias("topic"),
+            F.lit(None).cast("int").alias("partition"),
+            F.lit(None).cast("bigint").alias("offset"), F.lit(query_id).cast("string").alias("metadata"),
         )
+        rows = reached.select(*columns).unionByName(batch)
         rows.coalesce(1).write.mode("overwrite").parquet(self._commit_path(writer, batch_id))
+        for old in list_numbers(self.spark, f"{self.root}/commits/writer={writer}", "batch_id="):
+            if old <= batch_id - KEPT_COMMITS:
+                delete(self.spark, self._commit_path(writer, old))

@@ -12,17 +12,33 @@ from streamlog import model
 from streamlog.functions import context, envelope
 from streamlog.sources import subs
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import scratch
+from streamlog.workspace import measured, query_id, scratch
 
 # Fixed default: how often a transaction is committed.
 COMMIT_INTERVAL = "100 milliseconds"
 
 
-def read_committed(log: DataFrame, transactions: DataFrame) -> DataFrame:
+def stable_ends(log: DataFrame, transactions: DataFrame) -> DataFrame:
+    """First offset of an undecided transaction, per topic-partition that has one."""
+    decided = transactions.filter(F.col("status").isin("committed", "aborted")).select("txn_id")
+    open_ = log.filter(F.col("txn_id").isNotNull()).join(decided, "txn_id", "left_anti")
+    return open_.groupBy(*model.TP).agg(F.min("offset").alias("stable_end"))
+
+
+def read_committed(
+    log: DataFrame, transactions: DataFrame, *, batch_log: DataFrame | None = None
+) -> DataFrame:
     """Records of committed transactions and records outside any transaction.
 
-    ``transactions``: txn_id, status. Records of open or aborted ones are hidden.
+    ``transactions``: txn_id, status ("committed", "aborted"; anything else, or no
+    row, is undecided). A topic-partition is read up to its first undecided
+    record, so that nothing is passed over which commits later. A stream needs
+    ``batch_log``, the same log as a batch table, to find these ends.
     """
+    table = log if batch_log is None else batch_log
+    if not table.isStreaming:
+        ends = measured(stable_ends(table, transactions), "stable-ends")
+        log = log.join(ends, model.TP, "left").filter("stable_end IS NULL OR offset < stable_end").drop("stable_end")
     # Records outside transactions take no part in the join: as NULL keys they
     # would all be sent to one task.
     committed = transactions.filter(F.col("status") == "committed").select("txn_id")
@@ -33,12 +49,13 @@ def read_committed(log: DataFrame, transactions: DataFrame) -> DataFrame:
 
 def source(
     log: DataFrame, sub: subs.Subscription, group_id: str, transactions: DataFrame | None = None, *,
-    metadata: Column | None = None,
+    metadata: Column | None = None, batch_log: DataFrame | None = None,
 ) -> DataFrame:
     """Committed records of a subscription with the context a transaction commits."""
     records = subs.select(log, sub)
     if transactions is not None:
-        records = read_committed(records, transactions)
+        table = None if batch_log is None else subs.select(batch_log, sub)
+        records = read_committed(records, transactions, batch_log=table)
     return context.with_context(records, group_id, metadata)
 
 
@@ -67,29 +84,34 @@ def commit_batch(
     out: OutputLog, envelopes: DataFrame, writer: str, batch_id: int, *,
     partitions: int | None = None,
     before_publish: Callable[[int], None] | None = None,
+    query_id: str | None = None,
 ) -> DataFrame | None:
     """One transaction: stage the records, then publish them with the offsets.
 
     ``envelopes``: records and ctx. Records go out in source order. Returns the
     written records, or None if this batch was published before.
     """
-    if out.is_published(writer, batch_id):
+    if out.is_published(writer, batch_id, query_id):
         return None
+    envelopes = envelopes.persist()  # records and offsets come from one evaluation
     sends = envelope.explode_records(
         envelopes,
         F.col("ctx.topic").alias("_src_topic"),
         F.col("ctx.partition").alias("_src_partition"),
         F.col("ctx.offset").alias("_src_offset"),
     )
-    with scratch(out.spark):
-        staged = out.stage(
-            sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
-            partitions=partitions,
-        )
-        if before_publish is not None:
-            before_publish(batch_id)
-        offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
-        out.publish(staged, require_single_group(offsets), writer, batch_id)
+    try:
+        with scratch(out.spark):
+            staged = out.stage(
+                sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
+                partitions=partitions,
+            )
+            if before_publish is not None:
+                before_publish(batch_id)
+            offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
+            out.publish(staged, require_single_group(offsets), writer, batch_id, query_id)
+    finally:
+        envelopes.unpersist()
     return staged.records
 
 
@@ -105,14 +127,17 @@ def flow(
     Spark's checkpoint decides what a micro-batch contains; its number names the
     transaction. A batch that failed before it was published is replayed under
     the same number and replaces what it had staged; one that was published is
-    passed over. ``on_results`` gets the written records.
+    passed over. A writer belongs to one checkpoint: another one on the same writer
+    fails, as its numbers say nothing about what is published. ``on_results`` gets
+    the written records.
     """
     spark: SparkSession = envelopes.sparkSession
     out = OutputLog(spark, root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         staged = commit_batch(
-            out, batch, writer, batch_id, partitions=partitions, before_publish=before_publish
+            out, batch, writer, batch_id, partitions=partitions, before_publish=before_publish,
+            query_id=query_id(spark, checkpoint),
         )
         if staged is not None and on_results is not None:
             on_results(staged, batch_id)

@@ -87,8 +87,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _scratch.reset(token)
         for path in made:
-            fs, folder = _file_system(spark, path)
-            fs.delete(folder, True)
+            delete(spark, path)
 
 
 def clear(spark: SparkSession) -> None:
@@ -98,13 +97,23 @@ def clear(spark: SparkSession) -> None:
     fs.delete(folder, True)
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds a data file, without starting a job."""
+def list_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix<number>`` in a folder, without starting a job."""
     fs, folder = _file_system(spark, path)
     if not fs.exists(folder):
-        return False
+        return []
     names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return any(not name.startswith(("_", ".")) for name in names)
+    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns a checkpoint; it outlives restarts."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -128,6 +128,64 @@ def test_record_without_partition_needs_a_key_and_a_count(spark, folder, tmp_pat
     assert records.select("partition").distinct().count() == 3
 
 
+def test_new_checkpoint_on_an_old_store_fails(spark, folder, tmp_path):
+    root = str(tmp_path / "out")
+    control.run_to_end(txn.sink(envelopes(stream(spark, folder)), root, "w", f"{root}/c", trigger=NOW))
+    with pytest.raises(StreamingQueryException, match="belongs to query"):
+        control.run_to_end(txn.sink(envelopes(stream(spark, folder)), root, "w", f"{root}/c2", trigger=NOW))
+    assert numbers(OutputLog(spark, root).records()) == list(range(1, 1001))
+
+
+def test_commit_files_do_not_pile_up(spark, tmp_path):
+    out, source_ = OutputLog(spark, str(tmp_path / "out")), None
+    for batch in range(12):
+        rows = spark.createDataFrame(
+            [("out", 0, datetime.datetime(2024, 1, 1), "k", str(batch), batch)],
+            "topic string, partition int, timestamp timestamp_ntz, key string, value string, seq bigint",
+        )
+        source_ = spark.createDataFrame([("g", "in", batch % 2, batch, "")], "group_id string, topic string, partition int, offset bigint, metadata string")
+        out.publish(out.stage(rows, "w", batch, ["seq"]), source_, "w", batch, "q")
+    assert len(list((tmp_path / "out/commits/writer=w").glob("batch_id=*"))) == 5
+    assert numbers(out.records()) == list(range(12)) and verify.gaps(out.records()).isEmpty()
+    assert {r.partition: r.offset for r in out.source_offsets().collect()} == {0: 10, 1: 11}
+    assert out.is_published("w", 11, "q") and not out.is_published("w", 12, "q")
+
+
+def test_writers_that_meet_fail(spark, tmp_path):
+    out = OutputLog(spark, str(tmp_path / "out"))
+    rows = spark.createDataFrame(
+        [("out", 0, datetime.datetime(2024, 1, 1), "k", "1", 1)],
+        "topic string, partition int, timestamp timestamp_ntz, key string, value string, seq bigint",
+    )
+    none = spark.createDataFrame([], "group_id string, topic string, partition int, offset bigint, metadata string")
+    one, two = (out.stage(rows, w, 0, ["seq"]) for w in ("a", "b"))
+    out.publish(one, none, "a", 0)
+    with pytest.raises(RuntimeError, match="another writer"):
+        out.publish(two, none, "b", 0)
+
+
+def test_at_most_once_with_a_new_checkpoint_loses_nothing(spark, folder, tmp_path):
+    root = str(tmp_path)
+    commit, committed = delivery.append_commits(f"{root}/commits"), delivery.is_committed(f"{root}/commits")
+
+    def sink(batch, _):
+        batch.select(*model.TP, "value").write.mode("append").parquet(f"{root}/data")
+
+    for parity in (0, 1):
+        records = source.committable(stream(spark, folder).filter(F.col("partition") == parity), subs.topics("in"), "g")
+        control.run_to_end(delivery.at_most_once(records, sink, commit, committed, f"{root}/c{parity}"))
+    assert numbers(spark.read.parquet(f"{root}/data")) == list(range(1, 1001))
+
+
+def test_read_committed_stops_at_an_open_transaction(spark):
+    rows = [("t", 0, 0, "0", 1), ("t", 0, 1, "1", 2), ("t", 0, 2, "2", 1), ("t", 0, 3, "3", None), ("t", 1, 0, "4", None)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string, txn_id bigint")
+    states = spark.createDataFrame([(1, "committed")], "txn_id bigint, status string")
+    assert numbers(txn.read_committed(df, states)) == [0, 4]
+    decided = spark.createDataFrame([(1, "committed"), (2, "committed")], "txn_id bigint, status string")
+    assert numbers(txn.read_committed(df, decided)) == [0, 1, 2, 3, 4]
+
+
 def sinks(root):
     return delivery.append_records(f"{root}/data"), delivery.append_commits(f"{root}/commits")
 
@@ -208,7 +266,7 @@ def test_drain_finishes_what_is_there(spark, folder, tmp_path):
 def test_read_committed_hides_aborted_and_keeps_the_rest(spark):
     rows = [("t", 0, i, str(i), txn_id) for i, txn_id in enumerate([None, 1, 2, None, 3, 1])]
     df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string, txn_id bigint")
-    states = spark.createDataFrame([(1, "committed"), (2, "aborted")], "txn_id bigint, status string")
+    states = spark.createDataFrame([(1, "committed"), (2, "aborted"), (3, "aborted")], "txn_id bigint, status string")
     assert numbers(txn.read_committed(df, states)) == [0, 1, 3, 5]
     with pytest.raises(ValueError):
         txn.source(df, subs.topics("t"), "")
