@@ -4,6 +4,10 @@ All records of one topic-partition in one poll are dropped when the first or the
 last of them lies too far before what was already requested (offsets) or safely
 received (timestamps). Only the two ends are looked at, so a poll is reduced to
 one row by a hash aggregate before anything else happens.
+
+Requests and commits are events. With a column ``poll_batch`` an event counts from
+the next poll on; without it, it was there before the first one. A poll is judged
+by the latest event before it, never by a later one.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
+from streamlog.functions import ordered
 from streamlog.operators import folds
 from streamlog.workspace import measured
 
@@ -29,6 +34,18 @@ def _poll_ends(records: DataFrame, order: str) -> DataFrame:
     )
 
 
+def _as_of(polls: DataFrame, events: DataFrame, name: str) -> DataFrame:
+    """Add the offset of the latest event before each poll, NULL if there was none."""
+    at = F.col("poll_batch") if "poll_batch" in events.columns else F.lit(-1)
+    made = events.select(*model.TP, at.cast("bigint").alias("poll_batch"), "offset")
+    made = made.groupBy(*POLL).agg(F.max("offset").alias("_event")).withColumn("_seq", F.col("poll_batch") * 2 + 1)
+    both = polls.withColumn("_seq", F.col("poll_batch") * 2).unionByName(made, allowMissingColumns=True)
+    latest = F.when(F.col("_event").isNotNull(), F.struct("_seq", "_event"))
+    carried = ordered.running_max(both, model.TP, "_seq", latest, name="_latest")
+    rows = carried.filter("_event IS NULL").withColumn(name, F.col("_latest._event"))
+    return rows.select(*polls.columns, name)
+
+
 def _micros(timestamp: Column) -> Column:
     """Microseconds between zone-less timestamps and 1970, whatever the session zone."""
     epoch = F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz")
@@ -48,11 +65,11 @@ def judge_polls(
 ) -> DataFrame:
     """One row per poll and topic-partition with ``safe``.
 
-    ``requested``: topic, partition, offset. A topic-partition without a requested
-    offset is safe. A time threshold compares with the last *safe* poll.
+    ``requested``: topic, partition, offset and, for events, poll_batch. A poll
+    before the first request is safe. A time threshold compares with the last
+    *safe* poll.
     """
-    asked = requested.select(*model.TP, F.col("offset").alias("requested"))
-    polls = _poll_ends(records, order).join(asked, model.TP, "left")
+    polls = _as_of(_poll_ends(records, order), requested, "requested")
     known = F.col("requested").isNotNull()
     rewound = F.lit(False)
     if offset_threshold is not None:
@@ -91,18 +108,14 @@ def seeks(
     records: DataFrame, requested: DataFrame, committed: DataFrame, *,
     offset_threshold: int | None, **thresholds,
 ) -> DataFrame:
-    """Where to read again after a dropped poll: the committed offset.
+    """Where to read again after a dropped poll: the offset committed by then.
 
     ``far_behind`` warns that the last request is itself more than the threshold
     ahead of the committed offset, which makes a reader seek again and again.
     """
     judged = judge_polls(records, requested, offset_threshold=offset_threshold, **thresholds)
-    safe_point = committed.select(*model.TP, F.col("offset").alias("seek_offset"))
+    dropped = _as_of(judged.filter(~F.col("safe")), committed, "seek_offset")
     behind = F.lit(False)
     if offset_threshold is not None:
         behind = F.col("requested") - F.col("seek_offset") > offset_threshold
-    return (
-        judged.filter(~F.col("safe"))
-        .join(safe_point, model.TP, "left")
-        .select(*POLL, "seek_offset", behind.alias("far_behind"))
-    )
+    return dropped.select(*POLL, "seek_offset", behind.alias("far_behind"))

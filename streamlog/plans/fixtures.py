@@ -201,15 +201,19 @@ def polls(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) ->
     )
 
 
-def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets requested for commit: a quarter of each log, none in the last partition."""
+def requested(polls: DataFrame) -> DataFrame:
+    """Every fourth poll asks to commit what it has read; not in the last partition."""
     return (
-        ends(spark, sf_dir)
-        .filter(F.col("partition") < PARTITIONS - 1)
-        .select(*model.TP, F.floor(F.col("end_offset") / 4).alias("offset"))
+        polls.filter((F.col("partition") < PARTITIONS - 1) & (F.col("poll_batch") % 4 == 2))
+        .groupBy(*model.TP, "poll_batch").agg((F.max("offset") + 1).alias("offset"))
     )
 
 
+def acknowledged(polls: DataFrame) -> DataFrame:
+    """The requests, committed one poll later."""
+    return requested(polls).withColumn("poll_batch", F.col("poll_batch") + 1)
+
+
 STREAM = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string, arrival_seq bigint"
 APPENDS = 4
 

@@ -88,11 +88,11 @@ POLLS = """
 polls AS (SELECT * REPLACE (CASE WHEN topic = 'ev-click' AND "partition" = 0 AND arrival_seq // 500 = 7
   THEN "offset" - 300 ELSE "offset" END AS "offset"), arrival_seq // 500 AS poll_batch FROM log)"""
 
-REQUESTED = (
-    ENDS
-    + """,
-requested AS (SELECT topic, "partition", end_offset // 4 AS "offset" FROM ends WHERE "partition" < 3)"""
-)
+# What was requested and committed before each poll.
+REQUESTED = """
+asked AS (SELECT topic, "partition", poll_batch, max("offset") + 1 AS "offset" FROM polls
+  WHERE "partition" < 3 AND poll_batch % 4 = 2 GROUP BY ALL),
+acked AS (SELECT topic, "partition", poll_batch + 1 AS poll_batch, "offset" FROM asked)"""
 
 TP = 'topic, "partition"'
 

@@ -173,8 +173,10 @@ def _(spark, sf):
 SUMMARY = f"""summary AS (SELECT poll_batch, {TP}, arg_min("offset", arrival_seq) AS fo, arg_max("offset", arrival_seq) AS lo,
   arg_min("timestamp", arrival_seq) AS ft, arg_max("timestamp", arrival_seq) AS lt FROM {{0}} GROUP BY poll_batch, {TP})"""
 
-UNSAFE = f"""unsafe AS (SELECT poll_batch, {TP}, requested."offset" AS requested FROM summary JOIN requested USING ({TP})
-  WHERE least(fo, lo) < requested."offset" - 50)"""
+AS_OF = """judged AS (SELECT s.*, a."offset" AS req FROM summary s ASOF LEFT JOIN asked a
+  ON s.topic = a.topic AND s."partition" = a."partition" AND s.poll_batch > a.poll_batch)"""
+UNSAFE = f"""{AS_OF},
+unsafe AS (SELECT poll_batch, {TP}, req AS requested FROM judged WHERE least(fo, lo) < req - 50)"""
 
 
 @query(
@@ -183,7 +185,8 @@ UNSAFE = f"""unsafe AS (SELECT poll_batch, {TP}, requested."offset" AS requested
       POLLS, REQUESTED, SUMMARY.format("polls"), UNSAFE),
 )
 def _(spark, sf):
-    safe = protect.reset_filter(fx.polls(spark, sf), fx.requested(spark, sf), offset_threshold=50)
+    polls = fx.polls(spark, sf)
+    safe = protect.reset_filter(polls, fx.requested(polls), offset_threshold=50)
     return safe.select(*model.TP, "offset", "arrival_seq", "poll_batch")
 
 
@@ -191,8 +194,8 @@ JITTERED_POLLS = (
     JITTERED + ", " + POLLS.replace("FROM log", "FROM jittered").strip()
 )
 # The state is the last timestamp of the last safe poll.
-SAFE_FOLD = f"""ranked AS (SELECT *, requested."offset" AS req, row_number() OVER (PARTITION BY {TP} ORDER BY poll_batch) AS rn
-  FROM summary LEFT JOIN requested USING ({TP})),
+SAFE_FOLD = f"""{AS_OF},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {TP} ORDER BY poll_batch) AS rn FROM judged),
 fold AS (SELECT {TP}, rn, poll_batch, req IS NULL OR least(fo, lo) >= req - 50 AS safe,
     CASE WHEN req IS NULL OR least(fo, lo) >= req - 50 THEN lt END AS state FROM ranked WHERE rn = 1
   UNION ALL
@@ -210,19 +213,20 @@ fold AS (SELECT {TP}, rn, poll_batch, req IS NULL OR least(fo, lo) >= req - 50 A
 def _(spark, sf):
     records = fx.polls(spark, sf, fx.jittered_log(spark, sf))
     judged = protect.judge_polls(
-        records, fx.requested(spark, sf), offset_threshold=50, time_threshold=datetime.timedelta(hours=12)
+        records, fx.requested(records), offset_threshold=50, time_threshold=datetime.timedelta(hours=12)
     )
     return judged.select(*model.TP, "poll_batch", "safe")
 
 
 @query(
     "d15_seeks",
-    on_log(f"""SELECT {TP}, poll_batch, end_offset // 8 AS seek_offset, requested - end_offset // 8 > 50 AS far_behind
-      FROM unsafe JOIN ends USING ({TP})""", POLLS, REQUESTED, SUMMARY.format("polls"), UNSAFE),
+    on_log("""SELECT u.topic, u."partition", u.poll_batch, c."offset" AS seek_offset, requested - c."offset" > 50 AS far_behind
+      FROM unsafe u ASOF LEFT JOIN acked c ON u.topic = c.topic AND u."partition" = c."partition" AND u.poll_batch > c.poll_batch""",
+      POLLS, REQUESTED, SUMMARY.format("polls"), UNSAFE),
 )
 def _(spark, sf):
-    committed = fx.ends(spark, sf).select(*model.TP, F.floor(F.col("end_offset") / 8).alias("offset"))
-    return protect.seeks(fx.polls(spark, sf), fx.requested(spark, sf), committed, offset_threshold=50)
+    polls = fx.polls(spark, sf)
+    return protect.seeks(polls, fx.requested(polls), fx.acknowledged(polls), offset_threshold=50)
 
 
 @query(

@@ -40,6 +40,16 @@ def test_rewound_poll_is_dropped_and_sought(spark):
     assert far.far_behind
 
 
+def test_polls_are_judged_by_what_was_requested_before_them(spark):
+    records = polls(spark, [(0, 0, 1, None), (1, 0, 100, None), (2, 0, 200, None), (3, 0, 95, None), (4, 0, 201, None)])
+    asked = spark.createDataFrame([("t", 0, 2, 1), ("t", 0, 101, 2)], OFFSETS + ", poll_batch bigint")
+    safe = protect.reset_filter(records, asked, offset_threshold=5)
+    assert passed(safe) == [(0, 0, 1), (1, 0, 100), (2, 0, 200), (4, 0, 201)]
+    acked = spark.createDataFrame([("t", 0, 2, 2), ("t", 0, 101, 3)], OFFSETS + ", poll_batch bigint")
+    sought = protect.seeks(records, asked, acked, offset_threshold=5).collect()
+    assert [(r.poll_batch, r.seek_offset, r.far_behind) for r in sought] == [(3, 2, True)]
+
+
 def test_large_offset_threshold_passes(spark):
     records, requested = polls(spark, [(0, 0, 1, 0)]), offsets(spark, (0, 100))
     safe = protect.reset_filter(
