@@ -69,13 +69,28 @@ def shard_id(entity_id: Column, partitions: Column | int) -> Column:
     return partition_for_key(entity_id, partitions).cast("string")
 
 
-def known_partition(partitions: int) -> Column:
+#: One number of partitions for all topics, or one per topic.
+Partitions = int | dict[str, int]
+
+
+def count_for(partitions: Partitions, topic: Column | None = None) -> Column:
+    """Number of partitions of each record's topic; an unknown topic fails the query."""
+    if isinstance(partitions, int):
+        return F.lit(partitions)
+    name = F.col("topic") if topic is None else topic
+    count = F.raise_error(F.concat(F.lit("unknown topic "), name)).cast("int")
+    for known, n in partitions.items():
+        count = F.when(name == known, n).otherwise(count)
+    return count
+
+
+def known_partition(partitions: Partitions) -> Column:
     """The explicit partition of a record, else that of its key, else NULL."""
-    return F.coalesce(F.col("partition"), partition_for_key(F.col("key"), partitions))
+    return F.coalesce(F.col("partition"), partition_for_key(F.col("key"), count_for(partitions)))
 
 
 def deal(
-    df: DataFrame, partitions: int, *, seq: str, then: tuple[str, ...] = ()
+    df: DataFrame, partitions: Partitions, *, seq: str, then: tuple[str, ...] = ()
 ) -> DataFrame:
     """Give records without a partition one in turn, per topic in ``seq`` order.
 
@@ -85,12 +100,12 @@ def deal(
     waiting = ordered.row_number(
         df.filter(F.col("partition").isNull()), ["topic"], seq, then=then, name="_turn"
     )
-    in_turn = ((F.col("_turn") - 1) % partitions).cast("int")
+    in_turn = ((F.col("_turn") - 1) % count_for(partitions)).cast("int")
     return placed.unionByName(waiting.withColumn("partition", in_turn).drop("_turn"))
 
 
 def choose(
-    df: DataFrame, partitions: int, *, seq: str, then: tuple[str, ...] = ()
+    df: DataFrame, partitions: Partitions, *, seq: str, then: tuple[str, ...] = ()
 ) -> DataFrame:
     """Fill ``partition``: the explicit one, else by key hash, else round robin.
 

@@ -16,7 +16,7 @@ from streamlog.workspace import materialize
 SEND_ORDER = {"seq": "envelope_id", "then": ("pos",)}
 
 
-def expand(envelopes: DataFrame, partitions: int | None = None) -> DataFrame:
+def expand(envelopes: DataFrame, partitions: partitioner.Partitions | None = None) -> DataFrame:
     """One row per output record with ``envelope_id`` (unique integers) and ``pos``.
 
     Records are sent in that order. With ``partitions`` explicit partitions and
@@ -36,7 +36,7 @@ class Produced:
 
 
 def flexi_flow(
-    envelopes: DataFrame, partitions: int, *, ends: DataFrame | None = None
+    envelopes: DataFrame, partitions: partitioner.Partitions, *, ends: DataFrame | None = None
 ) -> Produced:
     """Records to append, and one result per envelope in ``envelope_id`` order.
 

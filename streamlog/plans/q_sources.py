@@ -270,6 +270,23 @@ def _(spark, sf):
     return txn.read_committed(records, transactions).select(*model.TP, "offset", txn_id)
 
 
+OPEN_TXN = f"""stops AS (SELECT {TP}, min("offset") AS stop FROM txn_log WHERE txn_id % 11 = 7 AND txn_id > 20 GROUP BY ALL)"""
+
+
+@query(
+    "a16_read_committed_open",
+    on_log(f"""SELECT l.topic, l."partition", l."offset", coalesce(txn_id, -1) AS txn_id
+      FROM txn_log l LEFT JOIN stops s ON l.topic = s.topic AND l."partition" = s."partition"
+      WHERE ({COMMITTED_TXN}) AND (stop IS NULL OR l."offset" < stop)""", TXN, OPEN_TXN),
+)
+def _(spark, sf):
+    """Some later transactions are still open: no topic-partition is read past its first one."""
+    records, transactions = fx.transactional_log(spark, sf)
+    decided = transactions.filter(~((F.col("txn_id") % 11 == 7) & (F.col("txn_id") > 20)))
+    txn_id = F.coalesce("txn_id", F.lit(-1)).alias("txn_id")
+    return txn.read_committed(records, decided).select(*model.TP, "offset", txn_id)
+
+
 @query("a17_topics", on_log(f"SELECT {PLAIN_SQL} FROM log WHERE topic IN ('ev-error', 'ev-signup')"))
 def _(spark, sf):
     return subs.select(fx.event_log(spark, sf), subs.topics("ev-error", "ev-signup")).select(*PLAIN)

@@ -20,12 +20,21 @@ def kafka(
     spark: SparkSession, sub: subs.Subscription, bootstrap_servers: str, *,
     streaming: bool = False, read_committed: bool = False, reset: str = "earliest",
 ) -> DataFrame:
-    """Read from brokers; needs the kafka connector on Spark's class path."""
+    """Records from brokers, shaped as in a log table; needs the kafka connector on Spark's class path."""
     options = subs.to_kafka_options(
         sub, bootstrap_servers, reset=reset, read_committed=read_committed
     )
     reader = spark.readStream if streaming else spark.read
-    return reader.format("kafka").option("includeHeaders", True).options(**options).load()
+    return records_of(reader.format("kafka").option("includeHeaders", True).options(**options).load())
+
+
+def records_of(raw: DataFrame) -> DataFrame:
+    """Rows of Spark's kafka source as ``model.RECORD``."""
+    return raw.select(
+        "topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"),
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), F.col("timestampType").alias("timestamp_type"),
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "headers",
+    )
 
 
 def plain(log: DataFrame, sub: subs.Subscription, **start) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -57,3 +58,11 @@ def test_shard_is_the_partition_as_text(spark):
     assert {r.id: r.s for r in rows} == {
         k: str((murmur2(k.encode()) & 0x7FFFFFFF) % 10) for k in ("u1", "user-12345")
     }
+
+
+def test_partition_counts_per_topic(spark):
+    rows = spark.createDataFrame([("a", None, "k", 0), ("b", None, "k", 1), ("b", None, None, 2), ("b", None, None, 3)], "topic string, partition int, key string, seq bigint")
+    got = {r.seq: r.partition for r in partitioner.choose(rows, {"a": 1, "b": 2}, seq="seq").collect()}
+    assert got[0] == 0 and got[1] in (0, 1) and (got[2], got[3]) == (0, 1)
+    with pytest.raises(Exception, match="unknown topic"):
+        partitioner.choose(rows, {"a": 1}, seq="seq").collect()

@@ -198,3 +198,12 @@ def test_stream_reads_what_a_batch_reads(spark, path, records, sub, tmp_path):
     got = spark.read.parquet(str(tmp_path / "d"))
     wanted = subs.select(records, sub).select("topic", "partition", "offset")
     assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty() and not wanted.isEmpty()
+
+
+def test_rows_of_the_broker_source_become_records(spark):
+    raw = spark.sql("""SELECT binary('k') AS key, binary('v') AS value, 't' AS topic, 1 AS partition, 5L AS offset,
+        TIMESTAMP '2024-01-01 00:00:00' AS timestamp, 0 AS timestampType,
+        array(named_struct('key', 'h', 'value', binary('x'))) AS headers""")
+    got = source.records_of(raw)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in model.RECORD]
+    assert (got.first()["key"], got.first()["value"]) == ("k", "v")
