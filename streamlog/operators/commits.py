@@ -96,7 +96,7 @@ def next_observed(
 
 def batch_flow(
     committables: DataFrame, max_batch: int, *, when: str = "first_observed",
-    stream: list[str] = STREAM, single: bool = False,
+    stream: list[str] = STREAM, single: bool = False, chunk_bits: int = ordered.CHUNK_BITS,
 ) -> DataFrame:
     """Close a batch whenever its size reaches ``max_batch``; the rest closes at the end.
 
@@ -107,18 +107,20 @@ def batch_flow(
     """
     if when == "next_observed":
         # Stored, because numbering reads its input twice.
-        committables = materialize(next_observed(committables), "next-observed")
+        committables = materialize(next_observed(committables, chunk_bits=chunk_bits), "next-observed")
     elif when != "first_observed":
         raise ValueError(f"unknown commit rule: {when}")
     if not single:
         # Only what numbers depend on goes through Python.
         rows = committables.select(*stream, "arrival_seq", "batch_size")
-        numbers = folds.batch_numbers(rows, stream, "arrival_seq", "batch_size", max_batch)
+        numbers = folds.batch_numbers(
+            rows, stream, "arrival_seq", "batch_size", max_batch, chunk_bits=chunk_bits
+        )
         numbered = committables.join(numbers.drop("batch_size"), [*stream, "arrival_seq"])
     else:
         one = F.when(F.col("batch_size") == 1, 1).otherwise(F.raise_error(F.lit("not a single committable")).cast("int"))
         numbered = committables.withColumn("batch_size", one.cast("bigint"))
-        numbered = ordered.row_number(numbered, stream, "arrival_seq", name="_rn")
+        numbered = ordered.row_number(numbered, stream, "arrival_seq", name="_rn", bits=chunk_bits)
         numbered = numbered.withColumn("batch", F.expr(f"(_rn - 1) div {max_batch}")).drop("_rn")
     keys = list(dict.fromkeys([*stream, "batch", *model.GTP]))
     return numbered.groupBy(*keys).agg(

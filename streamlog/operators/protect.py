@@ -34,14 +34,16 @@ def _poll_ends(records: DataFrame, order: str) -> DataFrame:
     )
 
 
-def _as_of(polls: DataFrame, events: DataFrame, name: str) -> DataFrame:
+def _as_of(
+    polls: DataFrame, events: DataFrame, name: str, bits: int = ordered.CHUNK_BITS
+) -> DataFrame:
     """Add the offset of the latest event before each poll, NULL if there was none."""
     at = F.col("poll_batch") if "poll_batch" in events.columns else F.lit(-1)
     made = events.select(*model.TP, at.cast("bigint").alias("poll_batch"), "offset")
     made = made.groupBy(*POLL).agg(F.max("offset").alias("_event")).withColumn("_seq", F.col("poll_batch") * 2 + 1)
     both = polls.withColumn("_seq", F.col("poll_batch") * 2).unionByName(made, allowMissingColumns=True)
     latest = F.when(F.col("_event").isNotNull(), F.struct("_seq", "_event"))
-    carried = ordered.running_max(both, model.TP, "_seq", latest, name="_latest")
+    carried = ordered.running_max(both, model.TP, "_seq", latest, name="_latest", bits=bits)
     rows = carried.filter("_event IS NULL").withColumn(name, F.col("_latest._event"))
     return rows.select(*polls.columns, name)
 
@@ -62,6 +64,7 @@ def _micros(timestamp: Column) -> Column:
 def judge_polls(
     records: DataFrame, requested: DataFrame, *, offset_threshold: int | None,
     time_threshold: datetime.timedelta | None = None, order: str = "arrival_seq",
+    chunk_bits: int = ordered.CHUNK_BITS, group_bits: int = folds.GROUP_BITS,
 ) -> DataFrame:
     """One row per poll and topic-partition with ``safe``.
 
@@ -69,7 +72,7 @@ def judge_polls(
     before the first request is safe. A time threshold compares with the last
     *safe* poll.
     """
-    polls = _as_of(_poll_ends(records, order), requested, "requested")
+    polls = _as_of(_poll_ends(records, order), requested, "requested", chunk_bits)
     known = F.col("requested").isNotNull()
     rewound = F.lit(False)
     if offset_threshold is not None:
@@ -93,6 +96,8 @@ def judge_polls(
         ),
         model.TP,
         "poll_batch",
+        chunk_bits=chunk_bits,
+        group_bits=group_bits,
     )
     return polls.join(judged, POLL)
 

@@ -61,8 +61,9 @@ def at_least(sent: DataFrame, received: DataFrame, keys: list[str]) -> DataFrame
     )
 
 
-def gaps(log: DataFrame) -> DataFrame:
+def gaps(log: DataFrame, *, chunk_bits: int = ordered.CHUNK_BITS) -> DataFrame:
     """Holes in the offsets of a topic-partition: the offsets around, and how many."""
-    following = ordered.lead(log.select(*model.TP, "offset"), model.TP, "offset", "offset", name="next_offset")
+    offsets = log.select(*model.TP, "offset")
+    following = ordered.lead(offsets, model.TP, "offset", "offset", name="next_offset", bits=chunk_bits)
     hole = F.col("next_offset") - F.col("offset") - 1
     return following.filter(hole > 0).select(*model.TP, "offset", "next_offset", hole.alias("missing"))

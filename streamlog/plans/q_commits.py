@@ -86,6 +86,15 @@ def _(spark, sf):
     return flow_g1(spark, sf)
 
 
+# Chunks of 64 rows, so that the given tables cross many chunk edges.
+SMALL_CHUNKS = 6
+
+
+@query("c05_batch_flow_small_chunks", on_log("SELECT * FROM flow", COMMITTABLES, FLOW))
+def _(spark, sf):
+    return commits.batch_flow(fx.committables(spark, sf), MAX_BATCH, single=True, chunk_bits=SMALL_CHUNKS)
+
+
 SIZED = """sized AS (SELECT *, 1 + arrival_seq % 3 AS size,
   row_number() OVER (PARTITION BY topic ORDER BY arrival_seq) AS rn FROM committables)"""
 
@@ -102,11 +111,18 @@ SIZED_FLOW = on_log(
 )
 
 
+def sized_committables(spark, sf):
+    return fx.committables(spark, sf).withColumn("batch_size", 1 + F.col("arrival_seq") % 3)
+
+
 @query("c05_batch_flow_sized", SIZED_FLOW)
 def _(spark, sf):
-    size = (1 + F.col("arrival_seq") % 3).alias("batch_size")
-    sized = fx.committables(spark, sf).withColumn("batch_size", size)
-    return commits.batch_flow(sized, 100, stream=["topic"])
+    return commits.batch_flow(sized_committables(spark, sf), 100, stream=["topic"])
+
+
+@query("c05_batch_flow_sized_small_chunks", SIZED_FLOW)
+def _(spark, sf):
+    return commits.batch_flow(sized_committables(spark, sf), 100, stream=["topic"], chunk_bits=SMALL_CHUNKS)
 
 
 def commit_stream(spark, sf):
@@ -216,6 +232,27 @@ def _(spark, sf):
     return commits.next_observed(fx.committables(spark, sf)).drop("batch_size")
 
 
+@query(
+    "c11_next_observed_sized",
+    on_log(f"""SELECT {GTP}, lag("offset") OVER w AS "offset", lag(metadata) OVER w AS metadata, arrival_seq, 1::BIGINT AS batch_size
+      FROM (SELECT * FROM (SELECT *, max("offset") OVER (PARTITION BY {GTP} ORDER BY arrival_seq
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS highest FROM (SELECT * REPLACE ("offset" // 3 AS "offset") FROM committables))
+        WHERE highest IS NULL OR "offset" >= highest)
+      WINDOW w AS (PARTITION BY {GTP} ORDER BY arrival_seq) QUALIFY lag("offset") OVER w IS NOT NULL""", COMMITTABLES),
+)
+def _(spark, sf):
+    """Batches of size 3 as input: an equal offset hands over, too."""
+    batches = fx.committables(spark, sf).withColumn("offset", F.expr("`offset` div 3"))
+    sized = batches.withColumn("batch_size", F.lit(3).cast("bigint"))
+    return commits.next_observed(sized, chunk_bits=SMALL_CHUNKS)
+
+
+@query("c11_next_observed_small_chunks",
+    on_log(f'SELECT {GTP}, "offset", metadata, emit_seq AS arrival_seq FROM next_observed WHERE emit_seq IS NOT NULL', COMMITTABLES, NEXT))
+def _(spark, sf):
+    return commits.next_observed(fx.committables(spark, sf), chunk_bits=SMALL_CHUNKS).drop("batch_size")
+
+
 @query("c11_next_observed_flow", on_log("SELECT * FROM flow", NEXT_COMMITTABLES, FLOW))
 def _(spark, sf):
     return commits.batch_flow(fx.committables(spark, sf), MAX_BATCH, when="next_observed", single=True)

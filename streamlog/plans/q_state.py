@@ -206,18 +206,29 @@ fold AS (SELECT {TP}, rn, poll_batch, req IS NULL OR least(fo, lo) >= req - 50 A
   FROM fold JOIN ranked r ON r.topic = fold.topic AND r."partition" = fold."partition" AND r.rn = fold.rn + 1)"""
 
 
-@query(
-    "d14_time_reset_filter",
-    on_log(f"""SELECT {TP}, poll_batch, safe FROM fold""", JITTERED_POLLS, REQUESTED, SUMMARY.format("polls"), SAFE_FOLD, recursive=True),
+TIME_RESET = on_log(
+    f"""SELECT {TP}, poll_batch, safe FROM fold""", JITTERED_POLLS, REQUESTED, SUMMARY.format("polls"), SAFE_FOLD, recursive=True
 )
-def _(spark, sf):
+
+
+def time_reset(spark, sf, **chunks):
     records = fx.polls(spark, sf, fx.jittered_log(spark, sf))
     judged = protect.judge_polls(
-        records, fx.requested(records), offset_threshold=50, time_threshold=datetime.timedelta(hours=12)
+        records, fx.requested(records), offset_threshold=50, time_threshold=datetime.timedelta(hours=12), **chunks
     )
     return judged.select(*model.TP, "poll_batch", "safe")
 
 
+@query("d14_time_reset_filter", TIME_RESET)
+def _(spark, sf):
+    return time_reset(spark, sf)
+
+
+@query("d14_time_reset_filter_small_chunks", TIME_RESET)
+def _(spark, sf):
+    return time_reset(spark, sf, chunk_bits=2, group_bits=1)
+
+
 @query(
     "d15_seeks",
     on_log("""SELECT u.topic, u."partition", u.poll_batch, c."offset" AS seek_offset, requested - c."offset" > 50 AS far_behind
@@ -272,17 +283,23 @@ def _(spark, sf):
     return partitioned.resume_points(records, done)
 
 
-@query(
-    "d21_gaps",
-    on_log(f"""SELECT {TP}, "offset", next_offset, next_offset - "offset" - 1 AS missing FROM (
+GAPS = on_log(f"""SELECT {TP}, "offset", next_offset, next_offset - "offset" - 1 AS missing FROM (
       SELECT *, lead("offset") OVER (PARTITION BY {TP} ORDER BY "offset") AS next_offset FROM txn_log
-        WHERE txn_id IS NULL OR txn_id % 7 <> 3) WHERE next_offset - "offset" > 1""", TXN),
-)
+        WHERE txn_id IS NULL OR txn_id % 7 <> 3) WHERE next_offset - "offset" > 1""", TXN)
+
+
+@query("d21_gaps", GAPS)
 def _(spark, sf):
     records, transactions = fx.transactional_log(spark, sf)
     return verify.gaps(txn.read_committed(records, transactions))
 
 
+@query("d21_gaps_small_chunks", GAPS)
+def _(spark, sf):
+    records, transactions = fx.transactional_log(spark, sf)
+    return verify.gaps(txn.read_committed(records, transactions), chunk_bits=4)
+
+
 METRICS = """samples AS (SELECT 'orders-' || lower(o_orderstatus) AS metric, 'counter' AS kind, o_orderkey AS at_, o_custkey AS v FROM orders
   UNION ALL SELECT 'priority-' || substr(o_orderpriority, 1, 1), 'gauge', o_orderkey, o_custkey FROM orders)"""
 
