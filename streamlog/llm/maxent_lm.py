@@ -20,8 +20,8 @@ Documents are dealt to the rounds by hash; every training document counts in one
 
 Scoring: numpy batches gather weight rows. Counts of tail words are looked up by
 shuffle: each batch sends its distinct (document, word) pairs packed by hash
-range; a range sums the counts over training documents and returns sums for each
-document. Words are told apart by 56 bits of a hash and the leaf.
+range; a range sums the counts over training documents and returns to each batch
+one packed row of sums by document. Words are told apart by 56 bits of a hash and the leaf.
 
 Defined results: a null or empty text is a single end; null ids hash as an empty
 text; equal rows get equal scores; without training documents no word is known
@@ -36,8 +36,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from streamlog import workspace
 from streamlog.llm import wordhash
@@ -264,18 +266,19 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     held = spark.sparkContext.broadcast(model)
     text = _text(docs, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("mark"), (~held_out).alias("trains"), text)
-    #: One part of a document; parts add up. ``whole`` is 1 in one part of each row; ``distinct`` counts tail words.
-    part = f"doc_id {kind}, mark long, whole int, n long, known long, logs double, model double, distinct long"
-    sent = f"range int, words binary, docs binary, times binary, ids array<{kind}>, marks array<bigint>, trained binary"
-    names = [x.split()[0] for x in f"{sent}, {part}".split(", ")]
+    rows = docs.select(F.col(id_col).alias("doc_id"), (~held_out).alias("trains"), text)
+    # To a range: the (document, word) pairs of a batch. Back to the batch: their sums by document.
+    sums = "n binary, known binary, logs binary, model binary"
+    sent = f"range int, batch long, words binary, places binary, times binary, trained binary, ids array<{kind}>, {sums}"
+    back = f"batch long, places binary, ids array<{kind}>, {sums}, distinct long"
+    named = lambda schema: [x.split()[0] for x in schema.split(", ")]
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model, base = held.value, TaskContext.get().partitionId() << 32
         unseen = model.unseen()
-        for batch in _batches(batches, 3):
-            ids, marks, trains = batch.column(0), batch.column(1).to_numpy(), np.array(batch.column(2).to_pylist(), np.uint8)
-            n, t = batch.num_rows, tokens(batch.column(3))
+        for number, batch in enumerate(_batches(batches, 2), base):
+            ids, trains = batch.column(0), np.array(batch.column(1).to_pylist(), np.uint8)
+            n, t = batch.num_rows, tokens(batch.column(2))
             head, leaf = lookup(model, t)
             share = np.zeros(len(leaf))
             for where, _, _, digit, logs in _slices(model, t, leaf):
@@ -287,15 +290,9 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
             share[shares] -= np.log10(model.leaf_counts + unseen)[leaf[shares]]
             both = known & shares
             share[both] += np.log10(model.head_counts[head[both]] + unseen[leaf[both]] * RARE)
-            own = [
-                ids, batch.column(1), pa.array(np.ones(n, np.int32)), pa.array(np.bincount(t.doc, minlength=n)),
-                pa.array(np.bincount(t.doc[known], count > 0, n).astype(np.int64)),
-                pa.array(np.bincount(t.doc[known], np.log10(count + 0.1), n)), pa.array(np.bincount(t.doc, share, n)),
-                pa.array(np.zeros(n, np.int64)),
-            ]
-            list_of = (pa.binary(), pa.binary(), pa.binary(), pa.list_(ids.type), pa.list_(pa.int64()), pa.binary())
-            spread = pa.array((np.arange(n) % ranges).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([spread, *[pa.nulls(n, k) for k in list_of], *own], names=names)
+            own = (np.bincount(t.doc, minlength=n), np.bincount(t.doc[known], count > 0, n),
+                   np.bincount(t.doc[known], np.log10(count + 0.1), n), np.bincount(t.doc, share, n))
+            out = [(number % ranges, number, None, None, None, None, ids.to_pylist(), *(x.astype("<f8").tobytes() for x in own))]
             tail = ~known
             word, doc = t.word[tail] & ~np.uint64(0xFF) | leaf[tail].astype(np.uint64), t.doc[tail]
             order = np.lexsort((doc, word))
@@ -304,58 +301,69 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
             times, word, doc = np.diff(np.append(new, len(word))), word[new], doc[new]
             bucket = ((word >> np.uint64(33)) % np.uint64(ranges)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            cuts, out = np.searchsorted(bucket[order], np.arange(ranges + 1)), []
+            cuts = np.searchsorted(bucket[order], np.arange(ranges + 1))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 at = order[cuts[b]:cuts[b + 1]]
-                used, place = np.unique(doc[at], return_inverse=True)
-                out.append((b, word[at].tobytes(), place.astype("<u4").tobytes(), times[at].astype("<u4").tobytes(),
-                            ids.take(pa.array(used)).to_pylist(), marks[used].tolist(), trains[used].tobytes()))
-            if out:
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int32(), *list_of), strict=True)]
-                yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(out), c.type) for c in own]], names=names)
+                out.append((b, number, word[at].tobytes(), doc[at].astype("<u4").tobytes(), times[at].astype("<u4").tobytes(),
+                            trains[doc[at]].tobytes(), None, None, None, None, None))
+            types = (pa.int32(), pa.int64(), *[pa.binary()] * 4, pa.list_(ids.type), *[pa.binary()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names=named(sent))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unseen, found, ids, marks, n = held.value.unseen(), [], [], [], 0
+        unseen, found, numbers = held.value.unseen(), [], []
         for batch in batches:
-            packed = np.array(batch.column(1).is_valid())
-            parts = batch.filter(pa.array(~packed))
-            if parts.num_rows:
-                yield pa.RecordBatch.from_arrays(parts.columns[7:], names=names[7:])
+            packed = np.array(batch.column(2).is_valid())
+            rest = batch.filter(pa.array(~packed))
+            if rest.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [rest.column(1), pa.nulls(rest.num_rows, pa.binary()), *rest.columns[6:], pa.nulls(rest.num_rows, pa.int64())], names=named(back)
+                )
             for row in np.flatnonzero(packed).tolist():
-                _, word, place, times, own, mark, trained = (batch.column(c)[row] for c in range(7))
-                place, trained = np.frombuffer(place.as_py(), "<u4").astype(np.int64), np.frombuffer(trained.as_py(), np.uint8)
-                found.append((np.frombuffer(word.as_py(), np.uint64), place + n, np.frombuffer(times.as_py(), "<u4"), trained[place]))
-                ids.append(own.values)
-                marks.append(mark.values)
-                n += len(trained)
+                word, place, times, trained = (batch.column(c)[row].as_py() for c in range(2, 6))
+                found.append((np.frombuffer(word, np.uint64), np.frombuffer(place, "<u4"), np.frombuffer(times, "<u4"), np.frombuffer(trained, np.uint8)))
+                numbers.append(batch.column(1)[row].as_py())
         if not found:
             return
-        word, doc, times, trained = (np.concatenate(x) for x in zip(*found, strict=True))
+        word, place, times, trained = (np.concatenate(x) for x in zip(*found, strict=True))
         distinct, at = np.unique(word, return_inverse=True)
         count = np.bincount(at, times * trained)
         leaf = (distinct & np.uint64(0xFF)).astype(np.int64)
-        logs, share = np.log10(count + 0.1), np.log10(count + unseen[leaf] * RARE)
-        seen = np.zeros(n, np.int64)
-        seen[0] = (count > 0).sum()
-        sums = [np.bincount(doc, times * x[at], n) for x in (count > 0, logs, share)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays(ids), pa.concat_arrays(marks), pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, np.int64)),
-             pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), pa.array(seen)], names=names[7:],
-        )
-
-    parts = rows.mapInArrow(evaluate, f"{sent}, {part}").repartition(ranges, "range").mapInArrow(meet, part)
-    summed = workspace.materialize(
-        parts.groupBy("doc_id", "mark").agg(*[F.sum(c).alias(c) for c in ("whole", "n", "known", "logs", "model", "distinct")]), "lm-sums"
-    )
-    tail = int(summed.agg(F.sum("distinct")).first()[0] or 0)
+        each = [(times * x[at]) for x in (count > 0, np.log10(count + 0.1), np.log10(count + unseen[leaf] * RARE))]
+        ends = np.cumsum([len(f[0]) for f in found])
+        out = []
+        for number, start, end in zip(numbers, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            docs_, inverse = np.unique(place[start:end], return_inverse=True)
+            out.append((number, docs_.astype("<u4").tobytes(), None, None, *(np.bincount(inverse, x[start:end]).astype("<f8").tobytes() for x in each), None))
+        out.append((-1, None, None, None, None, None, None, int((count > 0).sum())))
+        types = (pa.int64(), pa.binary(), pa.list_(id_type), *[pa.binary()] * 4, pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names=named(back))
+
+    def gather(table: pa.Table) -> pa.Table:
+        rows_ = table.to_pylist()
+        if rows_[0]["batch"] == -1:
+            own = ([None], [-1], [sum(r["distinct"] for r in rows_)], [0.0], [0.0])
+        else:
+            (whole,) = [r for r in rows_ if r["ids"] is not None]
+            n, known, logs, share = (np.frombuffer(whole[c]).copy() for c in ("n", "known", "logs", "model"))
+            for r in rows_:
+                if r["places"] is not None:
+                    at = np.frombuffer(r["places"], "<u4")
+                    for total, c in ((known, "known"), (logs, "logs"), (share, "model")):
+                        total[at] += np.frombuffer(r[c])
+            own = (whole["ids"], n.astype(np.int64), known.astype(np.int64), logs, share)
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(own, (id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)],
+                                    names=["doc_id", "n", "known", "logs", "model"])
+
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
+    parts = rows.mapInArrow(evaluate, sent).repartition(ranges, "range").mapInArrow(meet, back)
+    summed = parts.groupBy("batch").applyInArrow(gather, f"doc_id {kind}, n long, known long, logs double, model double")
+    summed = workspace.materialize(summed, "lm-sums")
+    tail = int(summed.where("n < 0").agg(F.sum("known")).first()[0] or 0)
     distinct = tail + int((model.head_counts > 0).sum())
-    # Rows that are equal were summed together; each gets its share and its row back.
-    each = summed.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.col("whole").cast("int"))))
-    n, of = (F.col("n") / F.col("whole")).cast("long"), lambda c: F.col(c) / F.col("whole")
-    return each.select(
-        F.col("doc_id").alias(id_col), n.alias("n_tokens"), (F.col("known") / F.col("whole")).cast("long").alias("n_known"),
+    return summed.where("n >= 0").select(
+        F.col("doc_id").alias(id_col), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (of("logs") - n * float(np.log10(n_tokens + 0.1 * (distinct + 1)))).alias("base_score"), of("model").alias("score"),
+        (F.col("logs") - F.col("n") * float(np.log10(n_tokens + 0.1 * (distinct + 1)))).alias("base_score"), F.col("model").alias("score"),
     )
 
 
