@@ -4,8 +4,8 @@ Candidates: every window of ``width`` words has a 64-bit hash. A task gathers
 documents into batches, keeps the first place of each hash in the batch and
 sends only these on, packed into one array per batch and hash range. So a line
 that all documents share costs one entry per batch, and no range can run hot.
-A range yields the first place of each hash; every other place becomes a pair:
-this window, and one place before it.
+A range finds the first place of each hash and tells the batches of all others,
+in one packed row each. There it becomes a pair: a window, and one place before it.
 
 Passages: documents meet their pairs, consecutive windows with consecutive places
 are joined to maximal spans, and the words of spans and of the places they refer
@@ -29,27 +29,23 @@ an empty table has no rows. Only id and text are read.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from streamlog import workspace
 from streamlog.llm import wordhash
+from streamlog.llm.housekeeping import dropping_shuffles
 from streamlog.llm.suffix_automaton import SuffixAutomaton
 
 WIDTH = 20
-BATCH_BYTES, SHARD_WORDS = 12 << 20, 150_000
-
-
-def _release(spark) -> None:
-    """Let Spark delete shuffle files of steps whose results are stored."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+BATCH_BYTES, SHARD_WORDS = 4 << 20, 100_000
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -67,8 +63,24 @@ def _pair_schema(kind: str) -> str:
             " ref_marks array<bigint>")
 
 
-def _sent_schema(kind: str) -> str:
-    return f"range int, hashes binary, places binary, bases binary, ids array<{kind}>, marks array<bigint>, {_pair_schema(kind)}"
+#: Numbers of the four kinds of rows that the steps of ``candidates`` exchange.
+BATCH, HASHES, PAIRS, WANTED = range(4)
+
+
+def _packed_schema(kind: str) -> str:
+    """``batch`` and ``what`` it is about: places in the batch, and lists of documents."""
+    return f"batch long, what int, places binary, numbers binary, ids array<{kind}>, marks array<bigint>"
+
+
+def _packed(rows: list[tuple], kind: pa.DataType, first: tuple[str, pa.DataType] | None = None) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(kind), pa.list_(pa.int64())]
+    names = _names(_packed_schema("x"))
+    if first:
+        types, names = [first[1], *types], [first[0], *names]
+    columns = zip(*rows, strict=True) if rows else [()] * len(types)
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+    )
 
 
 def _names(schema: str) -> list[str]:
@@ -89,35 +101,15 @@ def _grouped(doc: np.ndarray) -> np.ndarray:
     return np.concatenate((np.flatnonzero(np.diff(doc, prepend=-1)), [len(doc)]))
 
 
-def _pairs(ids: pa.Array, marks: np.ndarray, doc: np.ndarray, start: np.ndarray, ref: np.ndarray, ref_start: np.ndarray) -> pa.RecordBatch:
-    """Window ``start`` of document ``doc`` stands at ``ref_start`` of ``ref`` too; documents are places in ``ids``."""
-    names = _names(_pair_schema("x"))
-    order = np.lexsort((start, doc))
-    d, r = doc[order], ref[order]
-    cuts = _grouped(d)
-    own = d[cuts[:-1]]
-    n = len(own)
-    pairs = [
-        ids.take(pa.array(own)), pa.array(marks[own]), pa.nulls(n, pa.binary()), _binaries(start[order].astype("<i4"), cuts),
-        _binaries(ref_start[order].astype("<i4"), cuts), _lists(ids.take(pa.array(r)), cuts), _lists(pa.array(marks[r]), cuts),
-    ]
-    places = np.unique(ref.astype(np.int64) << 32 | ref_start)
-    r, rs = places >> 32, places & 0xFFFFFFFF
-    cuts = _grouped(r)
-    own = r[cuts[:-1]]
-    n = len(own)
-    wanted = [
-        ids.take(pa.array(own)), pa.array(marks[own]), _binaries(rs.astype("<i4"), cuts), pa.nulls(n, pa.binary()),
-        pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(ids.type)), pa.nulls(n, pa.list_(pa.int64())),
-    ]
-    return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(pairs, wanted, strict=True)], names=names)
-
-
 def _order(ids: pa.Array, marks: np.ndarray) -> np.ndarray:
     """Ranks of documents by id, null first, and then mark; equal ones share a rank."""
     if pa.types.is_integer(ids.type) and not ids.null_count:
-        keys = np.stack((ids.to_numpy(zero_copy_only=False).astype(np.int64), marks))
-        return np.unique(keys, axis=1, return_inverse=True)[1].ravel()
+        own = ids.to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.lexsort((marks, own))
+        new = (np.diff(own[order], prepend=own[order[:1]]) != 0) | (np.diff(marks[order], prepend=marks[order[:1]]) != 0)
+        rank = np.empty(len(own), np.int64)
+        rank[order] = np.cumsum(new)
+        return rank
     keys = [(x is not None, x if x is not None else 0, m) for x, m in zip(ids.to_pylist(), marks.tolist(), strict=True)]
     rank = {k: n for n, k in enumerate(sorted(set(keys)))}
     return np.array([rank[k] for k in keys], np.int64)
@@ -130,94 +122,155 @@ def _firsts(hash_: np.ndarray, rank: np.ndarray, start: np.ndarray) -> tuple[np.
     return order, order[np.repeat(cuts[:-1], np.diff(cuts))]
 
 
-def _later(ids: pa.Array, marks: np.ndarray, hash_: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
-    """(pairs of all windows that stand earlier too, the first places of each hash)."""
+def _later(ids: pa.Array, marks: np.ndarray, hash_: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows that stand earlier too, their first places, the first places of all hashes)."""
     rank = _order(ids, marks)[doc] if len(doc) else doc
     order, leader = _firsts(hash_, rank, start)
     late = (rank[order] != rank[leader]) | (start[order] != start[leader])
-    own = _pairs(ids, marks, doc[order[late]], start[order[late]], doc[leader[late]], start[leader[late]])
-    return own, order[order == leader]
+    return order[late], leader[late], order[order == leader]
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, mark, text)``; the mark tells texts with one id apart."""
-    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    """``(doc_id, mark, text)``; the mark tells texts with one id apart, and is 0 where an id stands once."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    again = rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_again"))
+    again = workspace.measured(again, "repeated-ids")
+    if again.isEmpty():
+        return rows.select("doc_id", F.lit(0).cast("long").alias("mark"), "text")
+    mark = F.when(F.col("_again"), F.xxhash64("text")).otherwise(0)
+    return rows.join(again, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", mark.cast("long").alias("mark"), "text")
 
 
 def candidates(rows: DataFrame, width: int, salt: int, ranges: int) -> DataFrame:
-    """Pairs of windows with equal hashes; see ``_pair_schema``."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = _sent_schema(kind)
+    """Pairs of windows with equal hashes; see ``_pair_schema``.
+
+    Batches send hashes to ranges; a range sends each batch one packed row of what
+    it found for it; a batch turns these into rows for its documents.
+    """
+    kind, id_type = rows.schema["doc_id"].dataType.simpleString(), to_arrow_type(rows.schema["doc_id"].dataType)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, number = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             at = 0
             for k, n in enumerate(pc.binary_length(batch.column(2)).to_pylist()):
                 size += n
                 if size >= BATCH_BYTES:
                     held.append(batch.slice(at, k + 1 - at))
-                    yield from packed(held)
-                    held, size, at = [], 0, k + 1
-            held.append(batch.slice(at))
-        yield from packed(held)
-
-    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).combine_chunks() if held else None
-        if table is None or not table.num_rows:
-            return
-        ids, marks = (table.column(k).chunk(0) for k in (0, 1))
-        marks = marks.to_numpy()
+                    yield sent(held, number)
+                    held, size, at, number = [], 0, k + 1, number + 1
+            if at < batch.num_rows:
+                held.append(batch.slice(at))
+        if held:
+            yield sent(held, number)
+
+    def sent(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+        ids = pa.concat_arrays([b.column(0) for b in held])
+        marks = pa.concat_arrays([b.column(1) for b in held]).to_numpy()
         found = []
-        for text in table.column(2):
-            data = text.as_py()
-            found.append(wordhash.windows(wordhash.hashes(data, *wordhash.spans(data), salt), width, salt))
+        for batch in held:
+            for text in batch.column(2):
+                data = text.as_py()
+                found.append(wordhash.windows(wordhash.hashes(data, *wordhash.spans(data), salt), width, salt))
         sizes = np.array([len(x) for x in found])
-        base = np.concatenate(([0], np.cumsum(sizes)))
-        hash_ = np.concatenate(found)
-        del found, table
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        start = np.arange(len(hash_)) - base[doc] if len(hash_) else doc
-        own, first = _later(ids, marks, hash_, doc, start)
-        nulls = [pa.nulls(own.num_rows, t) for t in (pa.binary(), pa.binary(), pa.binary(), pa.list_(ids.type), pa.list_(pa.int64()))]
-        spread = pa.array((np.arange(own.num_rows) % ranges).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([spread, *nulls, *own.columns], names=_names(schema))
+        base, hash_ = np.concatenate(([0], np.cumsum(sizes))), np.concatenate(found)
+        del found
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        start = (np.arange(len(hash_)) - base[doc]).astype(np.int32)
+        late, leader, first = _later(ids, marks, hash_, doc, start)
+        out = [(number % ranges, number, BATCH, _planes(base), None, ids.to_pylist(), marks.tolist())]
+        if len(late):
+            order = np.argsort(late)
+            late, leader = late[order], leader[order]
+            out.append((number % ranges, number, PAIRS, _planes(late), start[leader].astype("<i4").tobytes(),
+                        ids.take(pa.array(doc[leader])).to_pylist(), marks[doc[leader]].tolist()))
+            out.append((number % ranges, number, WANTED, _planes(np.unique(leader)), None, None, None))
         first = np.sort(first)
         bucket = ((hash_[first] >> np.uint64(33)) % np.uint64(ranges)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(ranges + 1))
-        out = []
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             at = first[order[cuts[b]:cuts[b + 1]]]
             used = np.unique(doc[at])
-            out.append((b, hash_[at].tobytes(), _planes(at), _planes(base[used]), ids.take(pa.array(used)).to_pylist(), marks[used].tolist()))
-        if out:
-            types = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(ids.type), pa.list_(pa.int64()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(out), c.type) for c in own.columns]], names=_names(schema))
+            out.append((b, number, HASHES, _planes(at) + _planes(base[used]), hash_[at].tobytes(),
+                        ids.take(pa.array(used)).to_pylist(), marks[used].tolist()))
+        return _packed(out, id_type, ("range", pa.int32()))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, marks, hashes, docs, starts, n = [], [], [], [], [], 0
+        ids, marks, hashes, docs, starts, places, numbers, n = [], [], [], [], [], [], [], 0
         for batch in batches:
-            sent = np.array(batch.column(1).is_valid())
-            known = batch.filter(pa.array(~sent))
-            if known.num_rows:
-                yield pa.RecordBatch.from_arrays(known.columns[6:], names=_names(schema)[6:])
-            for row in np.flatnonzero(sent).tolist():
-                _, hash_, places, bases, own, mark = (batch.column(c)[row] for c in range(6))
-                at, base = _unplanes(places.as_py()), _unplanes(bases.as_py())
+            hashed = np.array(batch.column(2)) == HASHES
+            rest = batch.filter(pa.array(~hashed))
+            if rest.num_rows:
+                yield pa.RecordBatch.from_arrays(rest.columns[1:], names=_names(_packed_schema("x")))
+            for row in np.flatnonzero(hashed).tolist():
+                number, _, both, hash_, own, mark = (batch.column(c)[row] for c in range(1, 7))
+                hash_, both = np.frombuffer(hash_.as_py(), np.uint64), both.as_py()
+                at, base = _unplanes(both[:4 * len(hash_)]), _unplanes(both[4 * len(hash_):])
                 doc = np.searchsorted(base, at, "right") - 1
-                hashes.append(np.frombuffer(hash_.as_py(), np.uint64))
-                docs.append(doc + n)
-                starts.append(at - base[doc])
+                numbers.append(number.as_py())
+                hashes.append(hash_)
+                docs.append((doc + n).astype(np.int32))
+                starts.append((at - base[doc]).astype(np.int32))
+                places.append(at.astype(np.uint32))
                 ids.append(own.values)
                 marks.append(mark.values.to_numpy())
                 n += len(base)
-        if hashes:
-            yield _later(pa.concat_arrays(ids), np.concatenate(marks), np.concatenate(hashes), np.concatenate(docs), np.concatenate(starts))[0]
-
-    return rows.mapInArrow(gather, schema).repartition(ranges, "range").mapInArrow(meet, _pair_schema(kind))
+        if not hashes:
+            return
+        ids, marks = pa.concat_arrays(ids), np.concatenate(marks)
+        batch_of = np.repeat(np.arange(len(numbers)), [len(h) for h in hashes])
+        hash_, doc, start, place = (np.concatenate(x) for x in (hashes, docs, starts, places))
+        del hashes, docs, starts, places
+        late, leader, _ = _later(ids, marks, hash_, doc, start)
+        order = np.lexsort((place[late], batch_of[late]))
+        late, leader = late[order], leader[order]
+        out, cuts = [], np.searchsorted(batch_of[late], np.arange(len(numbers) + 1))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            own, ref = late[cuts[b]:cuts[b + 1]], leader[cuts[b]:cuts[b + 1]]
+            out.append((numbers[b], PAIRS, _planes(place[own].astype(np.int64)), start[ref].astype("<i4").tobytes(),
+                        ids.take(pa.array(doc[ref])).to_pylist(), marks[doc[ref]].tolist()))
+        wanted = np.unique(leader)
+        wanted = wanted[np.lexsort((place[wanted], batch_of[wanted]))]
+        cuts = np.searchsorted(batch_of[wanted], np.arange(len(numbers) + 1))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            out.append((numbers[b], WANTED, _planes(place[wanted[cuts[b]:cuts[b + 1]]].astype(np.int64)), None, None, None))
+        yield _packed(out, id_type)
+
+    def spread(table: pa.Table) -> pa.Table:
+        what = table["what"].to_numpy()
+        (row,) = np.flatnonzero(what == BATCH).tolist()
+        base, ids = _unplanes(table["places"][row].as_py()), table["ids"][row].values
+        marks = table["marks"][row].values.to_numpy()
+        pairs, wanted = np.flatnonzero(what == PAIRS).tolist(), np.flatnonzero(what == WANTED).tolist()
+        empty = np.zeros(0, np.int64)
+        at = np.concatenate([empty, *[_unplanes(table["places"][k].as_py()) for k in pairs]])
+        order = np.argsort(at)
+        at = at[order]
+        ref_start = np.concatenate([empty.astype("<i4"), *[np.frombuffer(table["numbers"][k].as_py(), "<i4") for k in pairs]])[order]
+        ref_id = pa.concat_arrays([pa.array([], id_type), *[table["ids"][k].values for k in pairs]]).take(pa.array(order))
+        ref_mark = np.concatenate([empty, *[table["marks"][k].values.to_numpy() for k in pairs]])[order]
+        doc = np.searchsorted(base, at, "right") - 1
+        cuts = _grouped(doc)
+        own = doc[cuts[:-1]]
+        found = [
+            ids.take(pa.array(own)), pa.array(marks[own]), pa.nulls(len(own), pa.binary()), _binaries((at - base[doc]).astype("<i4"), cuts),
+            _binaries(ref_start, cuts), _lists(ref_id, cuts), _lists(pa.array(ref_mark), cuts),
+        ]
+        at = np.unique(np.concatenate([empty, *[_unplanes(table["places"][k].as_py()) for k in wanted]]))
+        doc = np.searchsorted(base, at, "right") - 1
+        cuts = _grouped(doc)
+        own = doc[cuts[:-1]]
+        n = len(own)
+        asked = [
+            ids.take(pa.array(own)), pa.array(marks[own]), _binaries((at - base[doc]).astype("<i4"), cuts), pa.nulls(n, pa.binary()),
+            pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(id_type)), pa.nulls(n, pa.list_(pa.int64())),
+        ]
+        return pa.Table.from_arrays([pa.concat_arrays(x) for x in zip(found, asked, strict=True)], names=_names(_pair_schema("x")))
+
+    packed = _packed_schema(kind)
+    met = rows.mapInArrow(gather, f"range int, {packed}").repartition(ranges, "range").mapInArrow(meet, packed)
+    return met.groupBy("batch").applyInArrow(spread, _pair_schema(kind))
 
 
 def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
@@ -328,15 +381,15 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, finish: Callable[[bytes], s
                 text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """``(id, n_words, n_removed, removed, kept)``; ``kept`` is ``finish`` of the words that stay, joined by spaces."""
     spark = docs.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _marked(docs, id_col, text_col)
     salt = 0
     while True:
-        pairs = workspace.materialize(candidates(rows, width, salt, ranges), "window-pairs")
-        _release(spark)
-        parts = workspace.materialize(cut(rows, pairs, width, finish), "passages")
-        _release(spark)
-        if not refuted(parts.where("passage is not null"), width):
+        with dropping_shuffles(spark):
+            pairs = workspace.materialize(candidates(rows, width, salt, ranges), "window-pairs")
+            parts = workspace.materialize(cut(rows, pairs, width, finish), "passages")
+            misses = refuted(parts.where("passage is not null"), width)
+        if not misses:
             break
         salt += 1
     return parts.where("passage is null").select(F.col("doc_id").alias(id_col), "n_words", "n_removed", "removed", "kept")
