@@ -57,7 +57,7 @@ def append_offsets(
 
 @dataclass(frozen=True)
 class Placed:
-    """Records with offsets, and the end of each topic-partition they went to."""
+    """Records with offsets; ``first_offset`` and ``end_offset`` of each topic-partition they went to."""
 
     records: DataFrame
     ends: DataFrame
@@ -103,6 +103,7 @@ def place_sorted(
             "_range",
             (start - F.col("_first")).alias("_shift"),
             (start + F.col("_n")).alias("end_offset"),
+            F.min(start).over(whole).alias("first_offset"),
             (F.col("_range") == F.max("_range").over(whole)).alias("_last"),
         ),
         "ranges",
@@ -113,7 +114,7 @@ def place_sorted(
         .withColumn("offset", (F.col("_pos") + F.col("_shift")).cast("bigint"))
         .drop("_pos", "_range", "_shift")
     )
-    return Placed(records, ranges.filter("_last").select(*model.TP, "end_offset"))
+    return Placed(records, ranges.filter("_last").select(*model.TP, "first_offset", "end_offset"))
 
 
 def append_offsets_sorted(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -151,8 +152,12 @@ def external_offsets(
     """
     out = OutputLog(stream.sparkSession, root)
 
+    @functools.cache
+    def own_id() -> str:
+        return query_id(out.spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = query_id(out.spark, checkpoint)
+        query = own_id()
         if out.is_published(writer, batch_id, query):
             return
         reached = batch.groupBy(*model.TP).agg((F.max("offset") + 1).alias("offset"))

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from streamlog import model
 from streamlog.functions import partitioner
 from streamlog.sources import log
-from streamlog.workspace import delete, list_numbers, measured, read_if_exists
+from streamlog.workspace import delete, has_files, list_names, list_numbers, measured, read_if_exists
 
 _BATCH = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
 
@@ -48,7 +48,9 @@ COMMITS = T.StructType(
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
         T.StructField("metadata", T.StringType()),
-        *_BATCH,
+        T.StructField("writer", T.StringType()),
+        T.StructField("query", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 
@@ -64,9 +66,20 @@ class OutputLog:
 
     def commits(self) -> DataFrame:
         """The newest commit file of each writer; it holds all that the writer has reached."""
-        kept = read_if_exists(self.spark, f"{self.root}/commits", COMMITS)
-        newest = kept.groupBy("writer").agg(F.max("batch_id").alias("batch_id"))
-        return kept.join(newest, BATCH_KEYS, "left_semi")
+        newest = []
+        for writer, query in self._queries():
+            folder = f"{self.root}/commits/{writer}/{query}"
+            numbers = list_numbers(self.spark, folder, "batch_id=")
+            published = (f"{folder}/batch_id={n}" for n in reversed(numbers))
+            newest += [path for path in published if has_files(self.spark, path)][:1]
+        if not newest:
+            return self.spark.createDataFrame([], COMMITS)
+        return self.spark.read.schema(COMMITS).option("basePath", f"{self.root}/commits").parquet(*newest)
+
+    def _queries(self) -> list[tuple[str, str]]:
+        """Folder names of all writers and their queries; no job is started."""
+        writers = list_names(self.spark, f"{self.root}/commits", "writer=")
+        return [(w, q) for w in writers for q in list_names(self.spark, f"{self.root}/commits/{w}", "query=")]
 
     def records(self) -> DataFrame:
         """Records of committed batches: a writer publishes its batches in order."""
@@ -81,21 +94,21 @@ class OutputLog:
         Fails if another query than ``query_id`` published it: its batches are
         numbered by another checkpoint, so numbers cannot be compared.
         """
-        rows = self.commits().filter((F.col("kind") == "batch") & (F.col("writer") == writer)).collect()
-        if not rows:
-            return -1
-        if query_id is not None and rows[0]["metadata"] != query_id:
-            raise RuntimeError(
-                f"writer {writer} of {self.root} belongs to query {rows[0]['metadata']}, not to {query_id}:"
-                " continue with its checkpoint, or use another writer name"
-            )
-        return rows[0]["batch_id"]
+        queries = [q.removeprefix("query=") for w, q in self._queries() if w == f"writer={writer}"]
+        for other in queries:
+            if other != str(query_id):
+                raise RuntimeError(
+                    f"writer {writer} of {self.root} belongs to query {other}, not to {query_id}:"
+                    " continue with its checkpoint, or use another writer name"
+                )
+        numbers = list_numbers(self.spark, f"{self.root}/commits/writer={writer}/query={query_id}", "batch_id=")
+        return max((n for n in numbers if has_files(self.spark, self._commit_path(writer, query_id, n))), default=-1)
 
     def is_published(self, writer: str, batch_id: int, query_id: str | None = None) -> bool:
         return batch_id <= self.last_batch(writer, query_id)
 
-    def _commit_path(self, writer: str, batch_id: int) -> str:
-        return f"{self.root}/commits/writer={writer}/batch_id={batch_id}"
+    def _commit_path(self, writer: str, query_id: str | None, batch_id: int) -> str:
+        return f"{self.root}/commits/writer={writer}/query={query_id}/batch_id={batch_id}"
 
     def ends(self) -> DataFrame:
         """End offset per topic-partition, from the commit files alone."""
@@ -106,6 +119,11 @@ class OutputLog:
             .agg(F.max("offset").alias("end_offset"))
         )
 
+    def _local_ends(self) -> DataFrame | None:
+        """``ends`` as a table of values, which joins without a job of its own; None if there are none."""
+        rows = self.ends().collect()
+        return self.spark.createDataFrame(rows, self.ends().schema) if rows else None
+
     def source_offsets(self) -> DataFrame:
         """Committed source offsets per group and topic-partition."""
         return (
@@ -131,7 +149,7 @@ class OutputLog:
         placed = log.place_sorted(
             records.withColumn("partition", F.coalesce(*choices)),
             order_by=order_by,
-            base=self.ends(),
+            base=self._local_ends(),
         )
         path = f"{self.root}/records/writer={writer}/batch_id={batch_id}"
         # No folders per topic-partition: a micro-batch would be cut into tiny files.
@@ -150,40 +168,31 @@ class OutputLog:
         """Make a staged batch visible together with the source offsets it covers.
 
         One file with a row per topic-partition that the writer has ever reached,
-        one per source topic-partition, and one for the batch itself. Older files
+        one per source topic-partition, and one for the batch itself; the driver puts
+        it together, so it sees as many rows as there are topic-partitions. Older files
         of the writer are then of no use and go, but for the last few, which
         readers may still have open. Fails if another writer has meanwhile published
         offsets that this batch gives out too. Two writers that publish in the same
         moment are not seen: a topic-partition should have one writer at a time.
         """
-        empty = F.lit(None).cast("string")
-        columns = ["kind", *model.GTP, "offset", "metadata"]
-        before = self.commits()
-        others = before.filter((F.col("kind") == "end") & (F.col("writer") != writer))
-        taken = others.groupBy(*model.TP).agg(F.max("offset").alias("taken"))
-        starts = staged.records.groupBy(*model.TP).agg(F.min("offset").alias("start"))
-        met = starts.join(taken, model.TP).filter("start < taken").first()
-        if met is not None:
-            raise RuntimeError(
-                f"{met['topic']}/{met['partition']} of {self.root}: another writer than {writer} has published"
-                f" offsets up to {met['taken']}, this batch starts at {met['start']}"
-            )
-        ends = staged.ends.select(
-            F.lit("end").alias("kind"), empty.alias("group_id"), *model.TP,
-            F.col("end_offset").alias("offset"), empty.alias("metadata"),
-        )
-        now = source.select(F.lit("source").alias("kind"), *model.GTP, "offset", "metadata").unionByName(ends)
-        mine = before.filter((F.col("writer") == writer) & (F.col("kind") != "batch")).select(*columns)
-        reached = mine.unionByName(now).groupBy("kind", *model.GTP).agg(
-            F.max_by("metadata", "offset").alias("metadata"), F.max("offset").alias("offset")
-        )
-        batch = self.spark.range(1).select(
-            F.lit("batch").alias("kind"), empty.alias("group_id"), empty.alias("topic"),
-            F.lit(None).cast("int").alias("partition"),
-            F.lit(None).cast("bigint").alias("offset"), F.lit(query_id).cast("string").alias("metadata"),
-        )
-        rows = reached.select(*columns).unionByName(batch)
-        rows.coalesce(1).write.mode("overwrite").parquet(self._commit_path(writer, batch_id))
-        for old in list_numbers(self.spark, f"{self.root}/commits/writer={writer}", "batch_id="):
+        before = self.commits().collect()
+        ends = {(r["topic"], r["partition"]): r for r in staged.ends.collect()}
+        for row in before:
+            mine = ends.get((row["topic"], row["partition"]))
+            if row["kind"] == "end" and row["writer"] != writer and mine and mine["first_offset"] < row["offset"]:
+                raise RuntimeError(
+                    f"{row['topic']}/{row['partition']} of {self.root}: writer {row['writer']} has published offsets"
+                    f" up to {row['offset']}, this batch of {writer} starts at {mine['first_offset']}"
+                )
+        reached = {tuple(r[:4]): tuple(r[4:6]) for r in before if r["writer"] == writer and r["kind"] != "batch"}
+        reached |= {("end", None, *tp): (r["end_offset"], None) for tp, r in ends.items()}
+        for row in source.select(*model.GTP, "offset", "metadata").collect():
+            key = ("source", row["group_id"], row["topic"], row["partition"])
+            if row["offset"] >= reached.get(key, (row["offset"],))[0]:
+                reached[key] = (row["offset"], row["metadata"])
+        rows = [(*key, *value) for key, value in reached.items()] + [("batch", None, None, None, None, None)]
+        table = self.spark.createDataFrame(rows, T.StructType(COMMITS.fields[:6]))
+        table.coalesce(1).write.mode("overwrite").parquet(self._commit_path(writer, query_id, batch_id))
+        for old in list_numbers(self.spark, f"{self.root}/commits/writer={writer}/query={query_id}", "batch_id="):
             if old <= batch_id - KEPT_COMMITS:
-                delete(self.spark, self._commit_path(writer, old))
+                delete(self.spark, self._commit_path(writer, query_id, old))

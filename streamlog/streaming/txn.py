@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -134,10 +135,14 @@ def flow(
     spark: SparkSession = envelopes.sparkSession
     out = OutputLog(spark, root)
 
+    @functools.cache
+    def own_id() -> str:
+        return query_id(spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         staged = commit_batch(
             out, batch, writer, batch_id, partitions=partitions, before_publish=before_publish,
-            query_id=query_id(spark, checkpoint),
+            query_id=own_id(),
         )
         if staged is not None and on_results is not None:
             on_results(staged, batch_id)

@@ -97,13 +97,22 @@ def clear(spark: SparkSession) -> None:
     fs.delete(folder, True)
 
 
-def list_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the folders ``prefix<number>`` in a folder, without starting a job."""
+def list_names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names in a folder that begin with ``prefix``, without starting a job."""
     fs, folder = _file_system(spark, path)
     if not fs.exists(folder):
         return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+    return sorted(name for status in fs.listStatus(folder) if (name := status.getPath().getName()).startswith(prefix))
+
+
+def list_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix<number>`` in a folder."""
+    return sorted(int(name.removeprefix(prefix)) for name in list_names(spark, path, prefix))
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a data file."""
+    return any(not name.startswith(("_", ".")) for name in list_names(spark, path))
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -113,7 +122,7 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of the streaming query that owns a checkpoint; it outlives restarts."""
-    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -145,7 +145,7 @@ def test_commit_files_do_not_pile_up(spark, tmp_path):
         )
         source_ = spark.createDataFrame([("g", "in", batch % 2, batch, "")], "group_id string, topic string, partition int, offset bigint, metadata string")
         out.publish(out.stage(rows, "w", batch, ["seq"]), source_, "w", batch, "q")
-    assert len(list((tmp_path / "out/commits/writer=w").glob("batch_id=*"))) == 5
+    assert len(list((tmp_path / "out/commits/writer=w/query=q").glob("batch_id=*"))) == 5
     assert numbers(out.records()) == list(range(12)) and verify.gaps(out.records()).isEmpty()
     assert {r.partition: r.offset for r in out.source_offsets().collect()} == {0: 10, 1: 11}
     assert out.is_published("w", 11, "q") and not out.is_published("w", 12, "q")
@@ -160,7 +160,7 @@ def test_writers_that_meet_fail(spark, tmp_path):
     none = spark.createDataFrame([], "group_id string, topic string, partition int, offset bigint, metadata string")
     one, two = (out.stage(rows, w, 0, ["seq"]) for w in ("a", "b"))
     out.publish(one, none, "a", 0)
-    with pytest.raises(RuntimeError, match="another writer"):
+    with pytest.raises(RuntimeError, match="writer a has published offsets up to 1"):
         out.publish(two, none, "b", 0)
 
 
