@@ -12,10 +12,18 @@ from streamlog.llm import exact_dedup, language_id, packing, simhash, source_mix
 from streamlog.llm.queries import documents, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Rows in an Arrow batch. Whole texts are long, and a Python worker holds a batch several times.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker holds; the setting stays, as a stage's plan runs after its function ends."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; learned from four fifths of the labelled ones."""
+    small_batches(spark)
     learn = language_id.remainder(F.col("doc_id"), 5) != 0
     return language_id.keep_identified(docs, language_id.fit(docs.where(learn)))
 
@@ -27,6 +35,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -38,6 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences."""
+    small_batches(spark)
     cut = packing.pieces(docs, tokenizer_path())
     return packing.assign(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 

@@ -34,7 +34,7 @@ from streamlog import workspace
 CAPACITY, END = 2048, 0
 GROUP_PIECES, ROUNDS = 1 << 16, 3
 #: Words that a task remembers; beyond that it starts anew.
-REMEMBERED = 3 << 19
+REMEMBERED = 1 << 19
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
@@ -83,19 +83,13 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
-@lru_cache(1)
-def encoder(path: str) -> Encoder:
-    """Kept by a Python worker from task to task."""
-    return Encoder(path)
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """``(id, piece, start, length, ids)``; ``ids`` are little-endian unsigned 32-bit integers."""
     end = np.array([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode = Encoder(tokenizer_path).encode
         for batch in batches:
             rows, size = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
