@@ -10,8 +10,9 @@ There are 16 classes of 16 leaves. The most frequent heads have a leaf of their
 own; other words share leaves by their ending. The first two factors are softmax
 functions of weights of hashed features: the word before, the two words before,
 and the word before the last (skip), besides a bias. The last factor is the
-word's count in its leaf, with ``UNSEEN`` of the mass for words never met,
-of which a leaf is taken to have 1 / ``RARE``.
+word's count in its leaf, smoothed with ``UNSEEN`` of the mass, which the leaf's
+different training words and one class for all words never met share equally. These
+words are counted exactly, so a leaf adds up to one at any size.
 
 Training: biases come from leaf counts. Then, in each round, tasks compute the
 gradient over their documents, gradients are summed by blocks of weights with a
@@ -47,7 +48,7 @@ from streamlog.llm import wordhash
 HEADS, CLASSES, OWN_LEAVES = 1 << 15, 16, 160
 LEAVES = CLASSES * CLASSES
 BITS, ROUNDS, STEP, PRIOR = 15, 2, 0.5, 4.0
-UNSEEN, RARE = 0.05, 1e-4
+UNSEEN = 0.05
 BATCH_BYTES, SLICE, BLOCK = 8 << 20, 1 << 17, 1 << 10
 FEATURES = 3
 END, BEGIN = np.uint64(1), np.uint64(2)
@@ -62,6 +63,7 @@ class Model:
     leaf_of_head: np.ndarray  # own leaf, or -1
     head_counts: np.ndarray | None = None
     leaf_counts: np.ndarray | None = None
+    leaf_words: np.ndarray | None = None  # different training words in each shared leaf
     weights: np.ndarray | None = None  # (2 levels, 2^BITS, 16)
 
     def biases(self) -> np.ndarray:
@@ -70,10 +72,14 @@ class Model:
         both = np.concatenate((n.sum(1)[None], n))
         return np.log(both / both.sum(1, keepdims=True)).astype(np.float32)
 
-    def unseen(self) -> np.ndarray:
-        """Pseudo count of the words that a leaf has never met."""
+    def smoothing(self) -> np.ndarray:
+        """Pseudo count of a leaf."""
         return UNSEEN * self.leaf_counts + 1.0
 
+    def share(self) -> np.ndarray:
+        """Pseudo count of each word of a leaf, and of its class of words never met."""
+        return self.smoothing() / (self.leaf_words + 1.0)
+
 
 @dataclass
 class Tokens:
@@ -115,6 +121,15 @@ def lookup(model: Model, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return head, np.where(own >= 0, own, t.shared)
 
 
+def _leafed(word: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """What tells the words of shared leaves apart."""
+    return word & ~np.uint64(0xFF) | leaf.astype(np.uint64)
+
+
+def _ranges(word: np.ndarray, ranges: int) -> np.ndarray:
+    return ((word >> np.uint64(33)) % np.uint64(ranges)).astype(np.int64)
+
+
 def _rows(t: Tokens) -> list[np.ndarray]:
     """Feature hashes of each token's context."""
     one, two = t.before(1), t.before(2)
@@ -189,20 +204,36 @@ def find_heads(docs: DataFrame, text_col: str, heads: int = HEADS) -> tuple[Mode
     return Model(word[sort], np.where(own < OWN_LEAVES, own, -1)[sort]), total
 
 
-def _summed(parts: DataFrame, kind: str) -> np.ndarray:
-    """Sums packed arrays by block; the driver gets one row for each block."""
+def _summed(parts: DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of packed arrays by block, numbers of different words by leaf).
+
+    Blocks below 0 hold packed words, a hash range each. The driver gets one row for each block.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        met: dict[int, list[np.ndarray]] = {}
+        fresh: dict[int, int] = {}  # words that came since a range was made distinct
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if block < 0:
+                    own = met.setdefault(block, [np.zeros(0, np.uint64)])
+                    own.append(np.frombuffer(data.as_py(), np.uint64))
+                    fresh[block] = fresh.get(block, 0) + len(own[-1])
+                    if fresh[block] > max(len(own[0]), 1 << 16):
+                        met[block], fresh[block] = [np.unique(np.concatenate(own))], 0
+                    continue
                 own = np.frombuffer(data.as_py(), kind)
                 sums[block] = sums[block] + own if block in sums else own.astype(np.float64)
+        for block, own in met.items():
+            leaf = (np.unique(np.concatenate(own)) & np.uint64(0xFF)).astype(np.int64)
+            sums[block] = np.bincount(leaf, minlength=LEAVES).astype(np.float64)
         if sums:
             yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()])], ["block", "data"])
 
     rows = parts.repartition(max(1, int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block").mapInArrow(add, "block int, data binary").collect()
-    return np.concatenate([np.frombuffer(r["data"]) for r in sorted(rows, key=lambda r: r["block"])]) if rows else np.zeros(0)
+    own = [np.frombuffer(r["data"]) for r in sorted(rows, key=lambda r: r["block"]) if r["block"] >= 0]
+    return np.concatenate(own) if own else np.zeros(0), sum((np.frombuffer(r["data"]) for r in rows if r["block"] < 0), np.zeros(LEAVES))
 
 
 def _packed(total: np.ndarray, size: int, kind: str) -> Iterator[pa.RecordBatch]:
@@ -211,20 +242,34 @@ def _packed(total: np.ndarray, size: int, kind: str) -> Iterator[pa.RecordBatch]
 
 
 def count_leaves(docs: DataFrame, text_col: str, model: Model) -> None:
-    """Exact counts of heads and leaves."""
+    """Exact counts of heads and leaves, and of the different words in each shared leaf.
+
+    These words meet by hash range; a batch sends each of its words once.
+    """
     held, n = docs.sparkSession.sparkContext.broadcast(model), len(model.heads)
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n + LEAVES, np.int64)
         for batch in _batches(batches, 0):
-            head, leaf = lookup(held.value, tokens(batch.column(0)))
+            t = tokens(batch.column(0))
+            head, leaf = lookup(held.value, t)
             total[:n] += np.bincount(head[head >= 0], minlength=n)
             total[n:] += np.bincount(leaf, minlength=LEAVES)
+            shares = leaf >= OWN_LEAVES
+            word = np.unique(_leafed(t.word[shares], leaf[shares]))
+            bucket = _ranges(word, ranges)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(ranges + 1))
+            sent = np.flatnonzero(np.diff(cuts)).tolist()
+            yield pa.record_batch([pa.array([-1 - b for b in sent], pa.int32()),
+                                   pa.array([word[order[cuts[b]:cuts[b + 1]]].tobytes() for b in sent], pa.binary())], ["block", "data"])
         yield from _packed(total, 1 << 13, "<f8")
 
-    total = _summed(docs.select(_text(docs, text_col)).mapInArrow(count, "block int, data binary"), "<f8")
+    total, words = _summed(docs.select(_text(docs, text_col)).mapInArrow(count, "block int, data binary"), "<f8")
     total = total if len(total) else np.zeros(n + LEAVES)
     model.head_counts, model.leaf_counts = total[:n], total[n:]
+    model.leaf_words = words
 
 
 def train(docs: DataFrame, text_col: str, model: Model, rounds: int = ROUNDS) -> None:
@@ -248,7 +293,7 @@ def train(docs: DataFrame, text_col: str, model: Model, rounds: int = ROUNDS) ->
             yield from _packed(total.ravel(), BLOCK * (CLASSES + 1), "<f4")
 
         own = docs.where(F.pmod(F.xxhash64(text_col), F.lit(rounds)) == turn).select(_text(docs, text_col))
-        total = _summed(own.mapInArrow(gradient, "block int, data binary"), "<f4")
+        total, _ = _summed(own.mapInArrow(gradient, "block int, data binary"), "<f4")
         if len(total):
             total = total.reshape(2, size, CLASSES + 1)
             bias = np.exp(model.biases())
@@ -275,7 +320,7 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, base = held.value, TaskContext.get().partitionId() << 32
-        unseen = model.unseen()
+        smoothing, own_share = model.smoothing(), model.share()
         for number, batch in enumerate(_batches(batches, 2), base):
             ids, trains = batch.column(0), np.array(batch.column(1).to_pylist(), np.uint8)
             n, t = batch.num_rows, tokens(batch.column(2))
@@ -287,19 +332,19 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
             known = head >= 0
             count = model.head_counts[head[known]] if known.any() else np.zeros(0)
             shares = leaf >= OWN_LEAVES
-            share[shares] -= np.log10(model.leaf_counts + unseen)[leaf[shares]]
+            share[shares] -= np.log10(model.leaf_counts + smoothing)[leaf[shares]]
             both = known & shares
-            share[both] += np.log10(model.head_counts[head[both]] + unseen[leaf[both]] * RARE)
+            share[both] += np.log10(model.head_counts[head[both]] + own_share[leaf[both]])
             own = (np.bincount(t.doc, minlength=n), np.bincount(t.doc[known], count > 0, n),
                    np.bincount(t.doc[known], np.log10(count + 0.1), n), np.bincount(t.doc, share, n))
             out = [(number % ranges, number, None, None, None, None, ids.to_pylist(), *(x.astype("<f8").tobytes() for x in own))]
             tail = ~known
-            word, doc = t.word[tail] & ~np.uint64(0xFF) | leaf[tail].astype(np.uint64), t.doc[tail]
+            word, doc = _leafed(t.word[tail], leaf[tail]), t.doc[tail]
             order = np.lexsort((doc, word))
             word, doc = word[order], doc[order]
             new = np.flatnonzero(np.concatenate(([True], (np.diff(word) != 0) | (np.diff(doc) != 0)))) if len(word) else np.zeros(0, int)
             times, word, doc = np.diff(np.append(new, len(word))), word[new], doc[new]
-            bucket = ((word >> np.uint64(33)) % np.uint64(ranges)).astype(np.int64)
+            bucket = _ranges(word, ranges)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(ranges + 1))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
@@ -310,7 +355,7 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names=named(sent))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unseen, found, numbers = held.value.unseen(), [], []
+        own_share, found, numbers = held.value.share(), [], []
         for batch in batches:
             packed = np.array(batch.column(2).is_valid())
             rest = batch.filter(pa.array(~packed))
@@ -328,7 +373,9 @@ def score(docs: DataFrame, model: Model, n_tokens: int, held_out, id_col: str =
         distinct, at = np.unique(word, return_inverse=True)
         count = np.bincount(at, times * trained)
         leaf = (distinct & np.uint64(0xFF)).astype(np.int64)
-        each = [(times * x[at]) for x in (count > 0, np.log10(count + 0.1), np.log10(count + unseen[leaf] * RARE))]
+        # An end too rare for a head comes here too; its leaf has no other word.
+        in_leaf = np.where(leaf >= OWN_LEAVES, np.log10(count + own_share[leaf]), 0.0)
+        each = [(times * x[at]) for x in (count > 0, np.log10(count + 0.1), in_leaf)]
         ends = np.cumsum([len(f[0]) for f in found])
         out = []
         for number, start, end in zip(numbers, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):

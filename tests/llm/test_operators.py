@@ -5,9 +5,11 @@ import random
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from streamlog.llm import components, exact_dedup, iblt, license_scan, packing, simhash, warc, wordhash
+from streamlog.llm import components, exact_dedup, iblt, license_scan, maxent_lm, packing, simhash, warc, wordhash
 from streamlog.llm.suffix_automaton import SuffixAutomaton
 
 
@@ -157,3 +159,27 @@ def test_sketches_recover_differences():
             got = iblt.likeness(digest, sizes, np.array([a]), np.array([b]))[0]
             assert got == (len(one & two) / len(one | two) if one | two else 1.0)
     assert len(set(parts[3].tolist())) == 3
+
+
+@pytest.mark.parametrize("heads", [16, maxent_lm.HEADS])
+def test_words_of_a_leaf_add_up_to_one(spark, heads):
+    """A leaf with far more words than a fixed share for each would allow, as tail and as heads."""
+    n = 50_000
+    words = [f"w{k}ab" for k in range(n)]
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, "w1ab w2ab w2ab")], "doc_id long, text string")
+    model, total = maxent_lm.find_heads(docs, "text", heads)
+    maxent_lm.count_leaves(docs, "text", model)
+    maxent_lm.train(docs, "text", model)
+    asked = [*words, "neverab"]
+    both = docs.selectExpr("doc_id - 2 AS doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"))
+    score = {r["doc_id"]: r["score"] for r in maxent_lm.score(both, model, total, F.col("doc_id") >= 0).collect()}
+    t = maxent_lm.tokens(pa.array([w.encode() for w in asked], pa.binary()))
+    _, leaf = maxent_lm.lookup(model, t)
+    path = np.zeros(len(leaf))
+    for part, _, _, digit, logs in maxent_lm._slices(model, t, leaf):
+        path[part] += logs[np.arange(len(digit)), digit] / np.log(10)
+    path = np.bincount(t.doc, path)
+    first = leaf[t.first]
+    shared = np.flatnonzero(first >= maxent_lm.OWN_LEAVES)
+    assert len(shared) > 40_000 and len(set(first[shared])) == 1
+    assert np.isclose(sum(10.0 ** (score[k] - path[k]) for k in shared.tolist()), 1.0, rtol=1e-6)
