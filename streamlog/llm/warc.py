@@ -15,7 +15,11 @@ block that ends in two line ends, and digests that match. After a failed check
 the reader looks for the next version line or member that passes all checks; the
 bytes in between come back as one row of kind ``gap`` with the reason. Records
 after a gap are therefore never lost. If only a digest is wrong and the record
-is otherwise well framed, exactly this record is quarantined.
+is otherwise well framed, exactly this record is quarantined. The content of a member
+is searched in the same way; its records and gaps have the place of the member, and
+the reason of a gap tells the place inside. So is what a damaged member gave before
+it broke: these records pass their own checks only, their place runs up to the end of
+the gap, and the gap is listed as well. Digests may be in base32 or hex.
 
 Defined results: a null payload is empty; a null URI becomes ``urn:none``; a null
 id has a reserved record id and reads back as null; repeated rows give repeated
@@ -31,6 +35,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,6 +50,8 @@ EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003" "0300" "00000000" "00000000"
 MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 _LINE = re.compile(rb"WARC/1\.[01]\r?\n")
+_BLANK = re.compile(rb"[\r\n]+")
+_HEX = re.compile(r"[0-9a-fA-F]{40}")
 _HTTP_LENGTH = re.compile(rb"(?i)\r\ncontent-length:[ ]*(\d+)")
 SCHEMA = (
     "path string, kind string, offset long, length long, reason string, record_type string, record_id string,"
@@ -78,6 +85,11 @@ def digest_of(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def _base32(digest: str) -> str:
+    """A sha1 digest in hex, 40 digits, as base32; others as they are."""
+    return base64.b32encode(bytes.fromhex(digest)).decode() if _HEX.fullmatch(digest) else digest
+
+
 def record_bytes(kind: str, own: str, uri: str, payload: bytes, digest: str, refers_to: str | None) -> bytes:
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if kind == "response" else http
@@ -139,11 +151,14 @@ def write(
 
 
 class Damage(Exception):
-    """A failed check; ``end`` is where the record ends if its framing is intact."""
+    """A failed check; ``end`` is where the record ends if its framing is intact.
+
+    ``saved``: records of a damaged member; ``reach``: where reading it ended.
+    """
 
-    def __init__(self, reason: str, end: int | None = None):
+    def __init__(self, reason: str, end: int | None = None, saved: list[dict] | None = None, reach: int = 0):
         super().__init__(reason)
-        self.reason, self.end = reason, end
+        self.reason, self.end, self.saved, self.reach = reason, end, saved or [], reach
 
 
 def _record(data: bytes, at: int) -> tuple[int, dict]:
@@ -172,9 +187,10 @@ def _record(data: bytes, at: int) -> tuple[int, dict]:
 
     def verify(name: bytes, content: bytes) -> str | None:
         label, _, digest = fields.get(name, b"").partition(b":")
-        if label.lower() == b"sha1" and digest_of(content) != digest.decode("latin-1").upper():
+        digest = _base32(digest.decode("latin-1"))
+        if label.lower() == b"sha1" and digest_of(content) != digest.upper():
             raise Damage(f"{name.decode()} does not match", framed)
-        return digest.decode("latin-1") or None
+        return digest or None
 
     verify(b"warc-block-digest", block)
     kind, payload, size, digest = fields[b"warc-type"].decode("latin-1"), block, len(block), None
@@ -184,7 +200,7 @@ def _record(data: bytes, at: int) -> tuple[int, dict]:
         if kind == "revisit" and (told := _HTTP_LENGTH.search(head)):
             size = int(told[1])
     if kind == "revisit":
-        digest = fields.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode("latin-1") or None
+        digest = _base32(fields.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode("latin-1")) or None
     else:
         digest = verify(b"warc-payload-digest", payload) or digest_of(payload)
     text = lambda name: fields[name].decode("utf-8", "replace") if name in fields else None
@@ -194,54 +210,135 @@ def _record(data: bytes, at: int) -> tuple[int, dict]:
     }
 
 
-def _member(data: bytes, at: int) -> tuple[int, list[dict]]:
-    """The gzip member at ``at``, all of whose content must be records."""
-    inflate, parts, end = zlib.decompressobj(31), [], at
-    try:
-        while not inflate.eof and end < len(data):
-            parts.append(inflate.decompress(data[end:end + 65_536]))
-            end = min(end + 65_536, len(data)) - len(inflate.unused_data)
-    except zlib.error as error:
-        raise Damage(f"member does not inflate: {error}") from error
-    if not inflate.eof:
-        raise Damage("member is cut off")
-    content, found, inner = b"".join(parts), [], 0
-    while inner < len(content):
+def _salvage(content: bytes) -> Iterator[dict]:
+    """Records and gaps of inflated bytes, in order; offsets are those in ``content``."""
+    at, bad, reason = 0, None, ""
+    while at < len(content):
+        skipped = _BLANK.match(content, at) if bad is None else None
+        if skipped:
+            at = skipped.end()
+            continue
         try:
-            inner, record = _record(content, inner)
+            end, record = _record(content, at)
         except Damage as damage:
-            raise Damage(f"in member: {damage.reason}", end) from damage
-        found.append(record)
+            if bad is None:
+                bad, reason = at, damage.reason
+            line = None if damage.end else _LINE.search(content, at + 1)
+            at = damage.end or (line.start() if line else len(content))
+            if damage.end:  # this record only
+                yield {"kind": "gap", "offset": bad, "length": at - bad, "reason": reason}
+                bad = None
+            continue
+        if bad is not None:
+            yield {"kind": "gap", "offset": bad, "length": at - bad, "reason": reason}
+            bad = None
+        yield {"kind": "record", "offset": at, "length": end - at, **record}
+        at = end
+    if bad is not None:
+        yield {"kind": "gap", "offset": bad, "length": len(content) - bad, "reason": reason}
+
+
+def _inflated(data: bytes, at: int) -> tuple[int, bytes, str]:
+    """(where reading the gzip member at ``at`` ended, all that could be inflated, what is wrong)."""
+    inflate, parts, end = zlib.decompressobj(31), [], at
+    while not inflate.eof and end < len(data):
+        step = data[end:end + 65_536]
+        try:
+            parts.append(inflate.decompress(step))
+        except zlib.error as error:
+            return end + len(step), b"".join([*parts, _before_error(data, at, end, step)]), f"member does not inflate: {error}"
+        end = min(end + 65_536, len(data)) - len(inflate.unused_data)
+    return end, b"".join(parts), "" if inflate.eof else "member is cut off"
+
+
+def _before_error(data: bytes, at: int, end: int, step: bytes) -> bytes:
+    """What ``step`` gives up to its error; zlib drops the output of a call that fails."""
+    inflate, parts = zlib.decompressobj(31), []
+    for k in range(at, end, 65_536):
+        inflate.decompress(data[k:k + 65_536])
+    while len(step) > 1:
+        before, half = inflate.copy(), len(step) // 2
+        try:
+            parts.append(inflate.decompress(step[:half]))
+            step = step[half:]
+        except zlib.error:
+            inflate, step = before, step[:half]
+    return b"".join(parts)
+
+
+def _member(data: bytes, at: int) -> tuple[int, list[dict]]:
+    """Records and gaps of the gzip member at ``at``, with its place, and where it ends."""
+    end, content, wrong = _inflated(data, at)
+    found = list(_salvage(content))
+    if wrong:
+        raise Damage(wrong, saved=[r for r in found if r["kind"] == "record"], reach=end)
+    for row in found:
+        if row["kind"] == "gap":
+            row["reason"] = f"in member, {row['length']} bytes at {row['offset']}: {row['reason']}"
+        row["offset"], row["length"] = at, end - at
     return end, found
 
 
 def parse(data: bytes) -> Iterator[dict]:
     """Records and gaps of one archive, in order."""
     at, bad, reason = 0, None, ""
+    saved: list[dict] = []  # records of damaged members in the open gap
+    given, reach = Counter(), 0  # the same, until the bytes they came from are passed
+    key = lambda r: (r["record_id"], r["payload_digest"], r["payload"])
+
+    def gap(to: int) -> Iterator[dict]:
+        for record in saved:
+            yield {**record, "length": to - record["offset"]}
+        saved.clear()
+        yield {"kind": "gap", "offset": bad, "length": to - bad, "reason": reason}
+
     while at < len(data):
-        skipped = re.compile(rb"[\r\n]+").match(data, at) if bad is None else None
+        skipped = _BLANK.match(data, at) if bad is None else None
         if skipped:
             at = skipped.end()
             continue
+        if at >= reach:
+            given.clear()
         try:
-            end, found = _member(data, at) if data.startswith(MEMBER, at) else (lambda e, r: (e, [r]))(*_record(data, at))
+            if data.startswith(MEMBER, at):
+                end, found = _member(data, at)
+            else:
+                end, record = _record(data, at)
+                found = [{"kind": "record", "offset": at, "length": end - at, **record}]
         except Damage as damage:
             if bad is None:
                 bad, reason = at, damage.reason
+            for record in damage.saved:
+                if at < reach and given[key(record)] > 0:
+                    given[key(record)] -= 1
+                    continue
+                saved.append({**record, "offset": at})
+            if damage.saved:
+                given, reach = given + Counter(map(key, damage.saved)), max(reach, damage.reach)
             start = None if damage.end else _START.search(data, at + 1)
             at = damage.end or (start.start() if start else len(data))
             if damage.end:  # this record only
-                yield {"kind": "gap", "offset": bad, "length": at - bad, "reason": reason}
+                yield from gap(at)
                 bad = None
             continue
-        if bad is not None:
-            yield {"kind": "gap", "offset": bad, "length": at - bad, "reason": reason}
-            bad = None
-        for record in found:
-            yield {"kind": "record", "offset": at, "length": end - at, **record}
+        fresh = []
+        for row in found:
+            # The bytes of a damaged member are searched again, and stored blocks show their records a second time.
+            if row["kind"] == "record" and given[key(row)] > 0:
+                given[key(row)] -= 1
+            else:
+                fresh.append(row)
+        if found and not fresh:
+            if bad is None:
+                bad, reason = at, "records of a damaged member"
+        else:
+            if bad is not None:
+                yield from gap(at)
+                bad = None
+            yield from fresh
         at = end
     if bad is not None:
-        yield {"kind": "gap", "offset": bad, "length": len(data) - bad, "reason": reason}
+        yield from gap(len(data))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Kernels of the corpus operators, each against a plain version."""
 
+import base64
 import gzip
 import random
+import re
 from itertools import pairwise
 
 import numpy as np
@@ -42,6 +44,56 @@ def test_salvage_recovers_all_later_records(zipped, damage):
     assert covered[0][0] == 0 and all(a[1] == b[0] for a, b in pairwise(covered)) and covered[-1][1] == len(data)
 
 
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("damage", ["flip", "junk", "length", "cut", "deflate", "crc"])
+def test_salvage_inside_a_member(damage, level):
+    records = archive(40, False)
+    hurt = bytearray(records[20])
+    if damage == "flip":
+        hurt[-10] ^= 0xFF
+    elif damage == "junk":
+        hurt = bytearray(b"no header\r\nWARC/1.1\r\nnor here")
+    elif damage == "length":
+        hurt = hurt.replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    member = bytearray(gzip.compress(b"".join([*records[:20], bytes(hurt), *records[21:]]), level))
+    wanted = [k for k in range(40) if k != 20]
+    if damage == "cut":
+        del member[len(member) // 2:]
+    elif damage == "deflate":
+        member[len(member) // 2] ^= 0xFF
+    elif damage == "crc":
+        member[-5] ^= 0xFF
+    rest = gzip.compress(archive(42, False)[41])
+    data = bytes(member) + rest
+    rows = list(warc.parse(data))
+    ids = [warc.row_id(r["record_id"]) for r in rows if r["kind"] == "record"]
+    gaps = [r for r in rows if r["kind"] == "gap"]
+    assert len(gaps) >= 1 and gaps[0]["offset"] == 0 and ids[-1] == 41 and len(ids) == len(set(ids))
+    if damage in ("flip", "junk", "length"):
+        assert ids == [*wanted, 41]
+        assert all((r["offset"], r["length"]) == (0, len(member)) for r in rows[:-1])
+    elif damage == "crc":
+        assert ids == [*range(40), 41]
+    else:
+        assert ids[:10] == list(range(10))
+    # Every byte of the archive is in some row.
+    assert {b for r in rows for b in range(r["offset"], r["offset"] + r["length"])} == set(range(len(data)))
+
+
+def test_digests_in_hex():
+    (record,) = archive(1, False)
+    digests = {d for d in re.findall(rb"sha1:([A-Z2-7]{32})", record)}
+    for upper in (False, True):
+        told = record
+        for d in digests:
+            value = base64.b32decode(d).hex()
+            told = told.replace(d, (value.upper() if upper else value).encode())
+        (row,) = warc.parse(told)
+        assert row["kind"] == "record" and row["payload_digest"] == next(iter(warc.parse(record)))["payload_digest"]
+        (row,) = warc.parse(told.replace(b"payload 0", b"payload 1", 1))
+        assert row["kind"] == "gap"
+
+
 def test_record_ids_carry_row_ids():
     for n in (None, 0, 1, -1, 2**63 - 1, -(2**63), 123456789):
         assert warc.row_id(warc.record_id(n)) == n
