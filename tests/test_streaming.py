@@ -186,6 +186,42 @@ def test_read_committed_stops_at_an_open_transaction(spark):
     assert numbers(txn.read_committed(df, decided)) == [0, 1, 2, 3, 4]
 
 
+def test_a_stream_keeps_undecided_records(spark, tmp_path):
+    """Transaction 2 is open in the first micro-batch, fails once, and commits later; 3 opens later."""
+    schema = "topic string, partition int, offset bigint, value string, txn_id bigint"
+    path, root, states = str(tmp_path / "in"), str(tmp_path), [(1, "committed")]
+
+    def add(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+    def now():
+        return spark.createDataFrame(states, "txn_id bigint, status string")
+
+    def start(hook=lambda _: None):
+        def sink(batch, batch_id):
+            hook(batch_id)
+            batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+        stream = spark.readStream.schema(schema).parquet(path)
+        return txn.committed_flow(stream, now, sink, f"{root}/pending", f"{root}/c", trigger=NOW)
+
+    out = lambda: numbers(spark.read.schema(schema).parquet(f"{root}/out"))
+    add(("t", 0, 0, "0", 1), ("t", 0, 1, "1", 2), ("t", 0, 2, "2", 1), ("t", 0, 3, "3", None), ("t", 1, 0, "4", None))
+    control.run_to_end(start())
+    assert out() == [0, 4]
+    states.append((2, "committed"))
+    add(("t", 0, 4, "5", 3), ("t", 0, 5, "6", None))
+    failing = Failing(1)
+    run_twice(lambda: start(failing))
+    assert out() == [0, 1, 2, 3, 4]
+    states.append((3, "aborted"))
+    add(("t", 1, 1, "7", None))
+    control.run_to_end(start())
+    assert out() == [0, 1, 2, 3, 4, 6, 7]
+    with pytest.raises(ValueError, match="committed_flow"):
+        txn.read_committed(spark.readStream.schema(schema).parquet(path), now())
+
+
 def sinks(root):
     return delivery.append_records(f"{root}/data"), delivery.append_commits(f"{root}/commits")
 
