@@ -156,8 +156,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(scored, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], least: float = 0.5) -> DataFrame:
-    """The documents whose language is told with probability ``least`` or more, with all their columns."""
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], least: float = 0.0) -> DataFrame:
+    """The documents whose language is told, with probability ``least`` or more, with all their columns."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

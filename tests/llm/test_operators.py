@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from streamlog.llm import components, exact_dedup, iblt, license_scan, maxent_lm, packing, simhash, warc, wordhash
+from streamlog.llm import components, exact_dedup, iblt, language_id, license_scan, maxent_lm, packing, simhash, warc, wordhash
 from streamlog.llm.suffix_automaton import SuffixAutomaton
 
 
@@ -235,3 +235,11 @@ def test_words_of_a_leaf_add_up_to_one(spark, heads):
     shared = np.flatnonzero(first >= maxent_lm.OWN_LEAVES)
     assert len(shared) > 40_000 and len(set(first[shared])) == 1
     assert np.isclose(sum(10.0 ** (score[k] - path[k]) for k in shared.tolist()), 1.0, rtol=1e-6)
+
+
+def test_documents_stay_whatever_the_probability(spark):
+    """Five languages with the same words: none has more than a fifth."""
+    docs = spark.createDataFrame([(k, "same words", f"l{k}") for k in range(5)] + [(5, "12 34", "l0"), (6, None, "l1")],
+                                 "doc_id long, text string, lang string")
+    kept = language_id.keep_identified(docs, language_id.fit(docs.where("doc_id < 5")))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4]
