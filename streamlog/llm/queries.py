@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlog import workspace
-from streamlog.llm import exact_dedup, iblt, language_id, license_scan, maxent_lm, packing, simhash, source_mix, substring_dedup, warc
+from streamlog.llm import (
+    exact_dedup,
+    hard_negatives,
+    iblt,
+    language_id,
+    license_scan,
+    maxent_lm,
+    packing,
+    simhash,
+    source_mix,
+    substring_dedup,
+    token_counts,
+    vector_codes,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,10 +38,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def tokenizer_path() -> str:
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -154,6 +172,76 @@ def op10_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.compare(documents(spark, sf_dir))
 
 
+#: Usable vectors as integers, for SQL.
+_INTEGERS = """
+SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+"""
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(embeddings(spark, sf_dir))
+    return vector_codes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
+def _code_rounds(rounds: int) -> str:
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+a{t} AS MATERIALIZED (SELECT id, x.part, min(64 * CAST(list_inner_product(x.x, x.x) - 2 * list_inner_product(x.x, c.c)
+    + list_inner_product(c.c, c.c) AS BIGINT) + c.entry) AS best FROM x JOIN c{t} c ON x.part = c.part GROUP BY id, x.part)""")
+        if t < rounds:
+            steps.append(f"""
+s{t} AS (SELECT part, entry, i, sum(v) AS s, count(*) AS n FROM (SELECT x.part, best % 64 AS entry, unnest(x.x) AS v,
+    unnest(range(len(x.x))) AS i FROM a{t} JOIN x ON a{t}.id = x.id AND a{t}.part = x.part) GROUP BY part, entry, i),
+n{t} AS (SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c FROM s{t} GROUP BY part, entry),
+c{t + 1} AS MATERIALIZED (SELECT o.part, o.entry, coalesce(n.c, o.c) AS c FROM c{t} o LEFT JOIN n{t} n ON o.part = n.part AND o.entry = n.entry)""")
+    return ",".join(steps)
+
+
+ORACLES["op11_vector_codes"] = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, q) - 1 AS id, * FROM ({_INTEGERS})),
+p AS (SELECT unnest(range(16)) AS part),
+x AS MATERIALIZED (SELECT id, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS x FROM v, p),
+c0 AS (SELECT part, id AS entry, x AS c FROM x WHERE id < 64),{_code_rounds(vector_codes.ROUNDS)},
+b AS (SELECT sha256(string_agg(k, ',' ORDER BY part, entry)) AS codebooks_sha256
+    FROM (SELECT part, entry, array_to_string(c, ',') AS k FROM c{vector_codes.ROUNDS})),
+r AS (SELECT id, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code, CAST(sum(best // 64) AS BIGINT) AS error
+    FROM a{vector_codes.ROUNDS} GROUP BY id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN r ON v.id = r.id, b
+"""
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(embeddings(spark, sf_dir), vec_id % 50 == 0, label_col=moved)
+
+
+ORACLES["op13_hard_negatives"] = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, q
+    FROM ({_INTEGERS}) WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+    FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -39,13 +39,28 @@ def edge_dir(spark, tmp_path_factory):
     docs.coalesce(2).write.parquet(f"{path}/documents.parquet")
     html = [(k, f"http://h/{k}", t) for k, t, _, _ in edge_rows()] + [(99, None, "no uri"), (-5, "http://h/ space", "no uri")]
     spark.createDataFrame(html, "page_id long, url string, html string").selectExpr("*", "'x' AS id", "'y' AS payload").write.parquet(f"{path}/pages.parquet")
+    spark.createDataFrame(edge_vectors(), "vec_id long, embedding array<float>, label int").selectExpr(
+        "*", "'x' AS id", "'y' AS q", "1 AS code", "2 AS n", "3 AS slot", "4 AS score", "5 AS anchor"
+    ).coalesce(2).write.parquet(f"{path}/embeddings.parquet")
     return str(path)
 
 
+def edge_vectors():
+    """Nulls in every column, unusable vectors, ties, repeated rows and ids, one vector on a third of the rows."""
+    draw = random.Random(9)
+    vector = lambda: [draw.gauss(0, 0.1) for _ in range(32)]
+    hot = vector()
+    rows = [(k, hot if k % 3 == 0 else vector(), draw.choice([0, 1, 1, 1, 2, None])) for k in range(160)]
+    rows += [(50, vector(), 1), (50, hot, 1), (50, hot, 1), (100, hot, 1), (None, hot, 1), (None, vector(), 2), (None, None, None)]
+    rows += [(200, None, 1), (201, [], 1), (202, [1.0], 1), (203, [*hot[:31], None], 1), (204, [*hot[:31], float("nan")], 1),
+             (250, [*hot[:31], float("-inf")], 1), (-50, [-x for x in hot], 1), (300, [0.0] * 32, 1), (350, vector(), 77)]
+    return rows
+
+
 @pytest.fixture(scope="session")
 def empty_dir(spark, edge_dir, tmp_path_factory):
     path = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "embeddings"):
         spark.read.parquet(f"{edge_dir}/{name}.parquet").where("false").write.parquet(f"{path}/{name}.parquet")
     return str(path)
 

@@ -48,7 +48,7 @@ def test_empty_table(spark, empty_dir, name):
 def test_against_sql(spark, name):
     sf_dir = folder("small", None)
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{parquet(sf_dir, table)}'")
     got = queries.QUERIES[name](spark, sf_dir)
     wanted = db.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES[name]})").fetchall()
