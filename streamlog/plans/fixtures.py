@@ -254,5 +254,41 @@ def ordered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(STREAM).option("maxBytesPerTrigger", 8 << 30).parquet(path)
 
 
+TXN_STREAM = "topic string, partition int, offset bigint, timestamp timestamp_ntz, key string, value string, txn_id bigint"
+DECISIONS = "txn_id bigint, status string"
+
+
+def late_decision(txn_id: str = "txn_id"):
+    """Transactions that are decided only after all records have arrived."""
+    return (F.col(txn_id) % 11 == 7) & (F.col(txn_id) > 20)
+
+
+def transactional_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The transactional log as a stream in arrival order, and the stream of its decisions.
+
+    Decisions arrive in one file more than there are appends of records: those of
+    ``late_decision`` come last, when no records arrive any more.
+    """
+
+    def build(path: str) -> None:
+        records, transactions = transactional_log(spark, sf_dir)
+        last = records.agg(F.max("arrival_seq")).first()[0]
+        step = last // APPENDS + 1
+        columns = [*model.TP, "offset", "timestamp", "key", "value", "txn_id"]
+        for i in range(APPENDS):
+            own = F.expr(f"arrival_seq div {step}") == i
+            records.filter(own).select(*columns).repartition(*model.TP).write.mode("append").parquet(f"{path}/records")
+        late = late_decision()
+        for i in range(APPENDS + 1):
+            when = F.expr(f"txn_id * 100 div {step}") == i
+            part = transactions.filter(late if i == APPENDS else when & ~late)
+            part.select("txn_id", "status").coalesce(1).write.mode("append").parquet(f"{path}/decisions")
+
+    path = _once(spark, sf_dir, "transactional-stream", build)
+    records = spark.readStream.schema(TXN_STREAM).option("maxFilesPerTrigger", 20).parquet(f"{path}/records")
+    decisions = spark.readStream.schema(DECISIONS).option("maxFilesPerTrigger", 1).parquet(f"{path}/decisions")
+    return records, decisions
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     return new_dir(spark, name)

@@ -21,7 +21,7 @@ from streamlog.plans.oracle_log import TP, TXN, on_log
 from streamlog.plans.q_sources import EVERYTHING, event_stream
 from streamlog.plans.registry import query
 from streamlog.sources import log, source, subs
-from streamlog.streaming import control, delivery, txn
+from streamlog.streaming import committed, control, delivery, txn
 from streamlog.streaming.store import OutputLog
 
 AVAILABLE = {"availableNow": True}
@@ -324,12 +324,22 @@ def _(spark, sf):
 
 @query(
     "g01_transactional_read_process_write",
-    on_log(f"""SELECT 'copy-' || topic AS topic, "partition", "key", value FROM txn_log WHERE txn_id IS NULL OR txn_id % 7 <> 3""", TXN),
+    on_log(f"""SELECT 'copy-' || topic AS topic, "partition", row_number() OVER (PARTITION BY {TP} ORDER BY "offset") - 1 AS "offset",
+      "key", value FROM txn_log WHERE txn_id IS NULL OR txn_id % 7 <> 3""", TXN),
 )
 def _(spark, sf):
-    """Read committed records, copy them exactly once."""
-    txn_id = F.expr("CASE WHEN arrival_seq div 100 % 5 <> 4 THEN arrival_seq div 100 END")
-    _, transactions = fx.transactional_log(spark, sf)
-    stream = txn.source(slices(spark, sf).withColumn("txn_id", txn_id), EVERYTHING, "g1", transactions)
-    made = stream.withColumn("records", envelope.single(copy())).select("records", "ctx")
-    return run_transaction(spark, sf, made).records().select(*model.TP, "key", "value")
+    """Read committed records, copy them exactly once and in order; some decisions come last, and one micro-batch fails."""
+    root = fx.run_dir(spark, "g01")
+    records, decisions = fx.transactional_stream(spark, sf)
+    outage = fail_once(2)
+
+    def process(committed_: DataFrame) -> DataFrame:
+        pairs = txn.source(committed_, EVERYTHING, "g1")
+        return pairs.withColumn("records", envelope.single(copy())).select("records", "ctx")
+
+    run_through(
+        lambda: committed.transactional_flow(
+            records, decisions, process, root, "w", f"{root}/checkpoint", trigger=AVAILABLE, before_publish=outage
+        )
+    )
+    return OutputLog(spark, root).records().select(*model.TP, "offset", "key", "value")

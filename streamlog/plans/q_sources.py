@@ -17,7 +17,7 @@ from streamlog.plans.oracle_log import (
 )
 from streamlog.plans.registry import query
 from streamlog.sources import log, partitioned, source, subs
-from streamlog.streaming import txn
+from streamlog.streaming import committed, txn
 
 PLAIN = [*model.TP, "offset", "timestamp", "key", "value"]
 PLAIN_SQL = f'{TP}, "offset", "timestamp", "key", value'
@@ -263,6 +263,53 @@ def _(spark, sf):
     )
 
 
+def committed_stream(spark: SparkSession, sf: str, read) -> DataFrame:
+    """What ``read`` makes of the committed records of a stream, micro-batch by micro-batch."""
+    path = fx.run_dir(spark, "committed")
+    records, decisions = fx.transactional_stream(spark, sf)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        read(batch).write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+
+    query = committed.flow(
+        records, decisions, sink, f"{path}/pending", f"{path}/checkpoint", trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/data").drop("batch_id")
+
+
+@query(
+    "a13_transactional_source_stream",
+    on_log(f"""SELECT {TP}, "offset", value, 'txg' AS group_id, "offset" AS ctx_offset, '' AS metadata
+      FROM txn_log WHERE topic LIKE 'ev-%' AND ({COMMITTED_TXN})""", TXN),
+)
+def _(spark, sf):
+    def read(batch):
+        pairs = txn.source(batch, subs.topic_pattern("ev-.*"), "txg")
+        return pairs.select(*model.TP, "offset", "value", *ctx_columns())
+
+    return committed_stream(spark, sf, read)
+
+
+@query(
+    "a15_transactional_partitioned_stream",
+    on_log(f"""SELECT {TP}, count(*) AS records, min("offset") AS first_offset, max("offset") AS last_offset
+      FROM txn_log WHERE {COMMITTED_TXN} GROUP BY ALL""", TXN),
+)
+def _(spark, sf):
+    """Sub-streams of a micro-batch are summed up, then those of all micro-batches."""
+    def read(batch):
+        return partitioned.summarise(
+            txn.source(batch, EVERYTHING, "txg"),
+            F.count(F.lit(1)).alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high"),
+        )
+
+    return partitioned.summarise(
+        committed_stream(spark, sf, read), F.sum("n").alias("records"),
+        F.min("low").alias("first_offset"), F.max("high").alias("last_offset"),
+    )
+
+
 @query("a16_read_committed", on_log(f'SELECT {TP}, "offset", coalesce(txn_id, -1) AS txn_id FROM txn_log WHERE {COMMITTED_TXN}', TXN))
 def _(spark, sf):
     records, transactions = fx.transactional_log(spark, sf)

@@ -33,7 +33,8 @@ def records_of(raw: DataFrame) -> DataFrame:
     return raw.select(
         "topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"),
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), F.col("timestampType").alias("timestamp_type"),
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "headers",
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+        F.col("headers").cast(model.HEADERS).alias("headers"),
     )
 
 

@@ -13,7 +13,7 @@ from streamlog import model
 from streamlog.functions import context, envelope
 from streamlog.sources import subs
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import delete, list_names, materialize, measured, query_id, read_if_exists, scratch
+from streamlog.workspace import measured, query_id, scratch
 
 # Fixed default: how often a transaction is committed.
 COMMIT_INTERVAL = "100 milliseconds"
@@ -32,10 +32,10 @@ def read_committed(log: DataFrame, transactions: DataFrame) -> DataFrame:
     ``transactions``: txn_id, status ("committed", "aborted"; anything else, or no
     row, is undecided). A topic-partition is read up to its first undecided
     record, so that nothing is passed over which commits later. A stream cannot
-    go back to what it passed over, so it fails here: see ``committed_flow``.
+    go back to what it passed over, so it fails here: see ``committed.flow``.
     """
     if log.isStreaming:
-        raise ValueError("a stream of committed records needs committed_flow, which keeps undecided records")
+        raise ValueError("a stream of committed records needs committed.flow, which keeps undecided records")
     ends = measured(stable_ends(log, transactions), "stable-ends")
     log = log.join(ends, model.TP, "left").filter("stable_end IS NULL OR offset < stable_end").drop("stable_end")
     # Records outside transactions take no part in the join: as NULL keys they
@@ -46,52 +46,14 @@ def read_committed(log: DataFrame, transactions: DataFrame) -> DataFrame:
     return outside.unionByName(inside)
 
 
-def committed_flow(
-    log: DataFrame, transactions: Callable[[], DataFrame], sink: Callable[[DataFrame, int], None],
-    pending: str, checkpoint: str, *, trigger: dict | None = None,
-) -> StreamingQuery:
-    """Hand the committed records of a stream to ``sink``, as ``read_committed`` does for a table.
-
-    Each micro-batch calls ``transactions`` for their present state. Records from the
-    first undecided one on wait in the folder ``pending`` and take part in the next
-    micro-batch. What a micro-batch releases and keeps is stored before ``sink`` runs,
-    so a replay hands on the same records under the same number. Decisions are seen
-    when a micro-batch runs, that is, when new records arrive.
-    """
-    spark: SparkSession = log.sparkSession
-
-    @functools.cache
-    def root() -> str:
-        return f"{pending}/query={query_id(spark, checkpoint)}"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        own, last = f"{root()}/batch_id={batch_id}", f"{root()}/batch_id={batch_id - 1}"
-        if "_SUCCESS" not in list_names(spark, f"{own}/ready"):
-            with scratch(spark):
-                waiting = read_if_exists(spark, f"{last}/waiting", log.schema)
-                rows = materialize(waiting.unionByName(batch), "undecided")
-                states = materialize(transactions().select("txn_id", "status"), "transactions")
-                ends = materialize(stable_ends(rows, states), "stable-ends")
-                held = rows.join(ends, model.TP).filter("offset >= stable_end").select(*log.columns)
-                held.write.mode("overwrite").parquet(f"{own}/waiting")
-                # Written last: a finished folder tells that the decision is whole.
-                read_committed(rows, states).select(*log.columns).write.mode("overwrite").parquet(f"{own}/ready")
-        sink(spark.read.schema(log.schema).parquet(f"{own}/ready"), batch_id)
-        delete(spark, f"{root()}/batch_id={batch_id - 2}")
-
-    return (
-        log.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": COMMIT_INTERVAL}))
-        .start()
-    )
-
-
 def source(
     log: DataFrame, sub: subs.Subscription, group_id: str, transactions: DataFrame | None = None, *,
     metadata: Column | None = None,
 ) -> DataFrame:
-    """Committed records of a subscription with the context a transaction commits."""
+    """Committed records of a subscription with the context a transaction commits.
+
+    A stream with transactions goes through ``committed.transactional_flow``.
+    """
     records = subs.select(log, sub)
     if transactions is not None:
         records = read_committed(records, transactions)

@@ -1,3 +1,4 @@
+import collections
 import datetime
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from streamlog import model, workspace
 from streamlog.functions import envelope
 from streamlog.operators import progress, protect, verify
 from streamlog.sources import log, source, subs
-from streamlog.streaming import collect, control, delivery, txn
+from streamlog.streaming import collect, committed, control, delivery, txn
 from streamlog.streaming.store import OutputLog
 
 NOW = {"availableNow": True}
@@ -203,7 +204,7 @@ def test_a_stream_keeps_undecided_records(spark, tmp_path):
             batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
 
         stream = spark.readStream.schema(schema).parquet(path)
-        return txn.committed_flow(stream, now, sink, f"{root}/pending", f"{root}/c", trigger=NOW)
+        return committed.flow(stream, now, sink, f"{root}/pending", f"{root}/c", trigger=NOW)
 
     out = lambda: numbers(spark.read.schema(schema).parquet(f"{root}/out"))
     add(("t", 0, 0, "0", 1), ("t", 0, 1, "1", 2), ("t", 0, 2, "2", 1), ("t", 0, 3, "3", None), ("t", 1, 0, "4", None))
@@ -218,10 +219,85 @@ def test_a_stream_keeps_undecided_records(spark, tmp_path):
     add(("t", 1, 1, "7", None))
     control.run_to_end(start())
     assert out() == [0, 1, 2, 3, 4, 6, 7]
-    with pytest.raises(ValueError, match="committed_flow"):
+    with pytest.raises(ValueError, match="committed.flow"):
         txn.read_committed(spark.readStream.schema(schema).parquet(path), now())
 
 
+def stream_of_decisions(spark, root, schema):
+    decisions = spark.readStream.schema("txn_id bigint, status string").option("maxFilesPerTrigger", 1).parquet(f"{root}/decisions")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), decisions
+
+
+def held(root):
+    """Numbers of the micro-batches whose waiting records are still stored."""
+    return sorted(int(p.name.removeprefix("batch_id=")) for p in Path(root).glob("pending/query=*/waiting/batch_id=*"))
+
+
+def test_decisions_release_what_waits(spark, tmp_path):
+    """Waiting records are stored once and come out when the decision does, also without new records."""
+    schema, root = "topic string, partition int, offset bigint, value string, txn_id bigint", str(tmp_path)
+    writes = collections.Counter()
+
+    def add(folder, columns, *rows):
+        spark.createDataFrame(list(rows), columns).coalesce(1).write.mode("append").parquet(f"{root}/{folder}")
+
+    def records(*rows):
+        add("in", schema, *rows)
+
+    def decide(*rows):
+        add("decisions", "txn_id bigint, status string", *rows)
+
+    def run(hook=lambda _: None):
+        def sink(batch, batch_id):
+            hook(batch_id)
+            writes[batch_id] += 1
+            batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+        log_, decisions = stream_of_decisions(spark, root, schema)
+        return committed.flow(log_, decisions, sink, f"{root}/pending", f"{root}/c", trigger=NOW)
+
+    out = lambda: numbers(spark.read.schema(schema).parquet(f"{root}/out"))
+    decide((9, "committed"))  # before any of its records
+    records(("t", 0, 0, "0", 9), ("t", 0, 1, "1", 1), ("t", 0, 2, "2", None), ("t", 0, 3, "3", 2), ("t", 1, 0, "4", None))
+    control.run_to_end(run())
+    assert out() == [0, 4]
+    first = held(root)
+    records(("t", 0, 4, "5", 9), ("t", 0, 5, "6", None))
+    control.run_to_end(run())
+    assert out() == [0, 4] and held(root)[:1] == first and len(held(root)) == 2
+    decide((1, "committed"))  # releases up to transaction 2, in a micro-batch without records
+    failing = Failing(max(writes) + 1)
+    run_twice(lambda: run(failing))
+    assert out() == [0, 1, 2, 4] and held(root)[:1] == first
+    decide((2, "aborted"))
+    control.run_to_end(run())
+    assert out() == [0, 1, 2, 4, 5, 6] and held(root) == []
+    records(("t", 0, 1, "7", 3), ("t", 0, 6, "8", None))  # a late record of an open transaction holds the rest back
+    control.run_to_end(run())
+    assert out() == [0, 1, 2, 4, 5, 6]
+    decide((3, "committed"))
+    control.run_to_end(run())
+    assert out() == [0, 1, 2, 4, 5, 6, 7, 8]
+
+
+def test_a_long_transaction_is_not_written_again(spark, tmp_path):
+    """Bytes of waiting records stay as they were stored, however many micro-batches pass."""
+    schema, root = "topic string, partition int, offset bigint, value string, txn_id bigint", str(tmp_path)
+    for k in range(5):
+        rows = spark.range(k * 1000, k * 1000 + 1000).selectExpr(
+            "'t' AS topic", "0 AS partition", "id AS offset", "CAST(id AS string) AS value", "IF(id = 0, 1L, NULL) AS txn_id"
+        )
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    spark.createDataFrame([(7, "committed")], "txn_id bigint, status string").coalesce(1).write.parquet(f"{root}/decisions")
+    log_, decisions = stream_of_decisions(spark, root, schema)
+    seen = []
+    control.run_to_end(committed.flow(log_, decisions, lambda b, _: seen.append(b.count()), f"{root}/pending", f"{root}/c", trigger=NOW))
+    assert seen == [0] * 5
+    (folder,) = Path(root).glob("pending/query=*/waiting")
+    stored = [spark.read.parquet(str(p)).count() for p in sorted(folder.glob("batch_id=*"))]
+    assert stored == [1000] * 5
+
+
 def sinks(root):
     return delivery.append_records(f"{root}/data"), delivery.append_commits(f"{root}/commits")
 
