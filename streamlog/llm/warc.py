@@ -21,7 +21,9 @@ the reason of a gap tells the place inside. So is what a damaged member gave bef
 it broke: these records pass their own checks only, their place runs up to the end of
 the gap, and the gap is listed as well. Digests may be in base32 or hex.
 
-Defined results: a null payload is empty; a null URI becomes ``urn:none``; a null
+Defined results: a header without an end before the next version line or within
+``HEADER_BYTES``, and a length of more than 18 digits, are damage; an id of another writer
+has no row id; Spark refuses an archive beyond 2 GB, so larger ones must be cut before; a null payload is empty; a null URI becomes ``urn:none``; a null
 id has a reserved record id and reads back as null; repeated rows give repeated
 records, and all rows with the largest id of a payload are responses; an empty
 table gives no archive, and reading no archive gives no rows. Columns of the
@@ -45,6 +47,8 @@ from pyspark.sql import functions as F
 from streamlog import workspace
 
 ARCHIVE_BYTES = 8 << 20
+#: A header that is longer is damage; the bound keeps a search over damaged bytes linear.
+HEADER_BYTES = 1 << 18
 #: An empty gzip member.
 EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003" "0300" "00000000" "00000000")
 MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/"
@@ -74,7 +78,10 @@ def record_id(row_id: int | None) -> str:
 def row_id(record: str | None) -> int | None:
     if not record:
         return None
-    n = uuid.UUID(record.strip("<>").removeprefix("urn:uuid:")).int
+    try:
+        n = uuid.UUID(record.strip("<>").removeprefix("urn:uuid:")).int
+    except ValueError:  # an id of another writer
+        return None
     if n & 1:
         return None
     bits = n >> 80 << 16 | (n >> 64 & 0xFFF) << 4 | n >> 58 & 0xF
@@ -161,12 +168,23 @@ class Damage(Exception):
         self.reason, self.end, self.saved, self.reach = reason, end, saved or [], reach
 
 
+def _number(digits: bytes) -> int:
+    """A length; one of more than 18 digits is beyond any archive."""
+    if len(digits.lstrip(b"0")) > 18:
+        raise Damage("length beyond any archive")
+    return int(digits[-18:])
+
+
 def _record(data: bytes, at: int) -> tuple[int, dict]:
     """The record at ``at`` and where it ends."""
     line = _LINE.match(data, at)
     if not line:
         raise Damage("no version line")
-    head_end = min((m for m in (data.find(b"\r\n\r\n", line.end() - 2), data.find(b"\n\n", line.end() - 1)) if m >= 0), default=-1)
+    # A header ends before the next version line and within its bound, so a search after damage reads each byte a few times at most.
+    following = _LINE.search(data, line.end(), line.end() + HEADER_BYTES)
+    limit = following.start() if following else line.end() + HEADER_BYTES
+    ends = (data.find(b"\r\n\r\n", line.end() - 2, limit), data.find(b"\n\n", line.end() - 1, limit))
+    head_end = min((m for m in ends if m >= 0), default=-1)
     if head_end < 0:
         raise Damage("header does not end")
     skip = 4 if data[head_end:head_end + 4] == b"\r\n\r\n" else 2
@@ -179,7 +197,7 @@ def _record(data: bytes, at: int) -> tuple[int, dict]:
     if not {b"warc-type", b"warc-record-id"} <= fields.keys() or not fields.get(b"content-length", b"").isdigit():
         raise Damage("header lacks a field")
     start = head_end + skip
-    stop = start + int(fields[b"content-length"])
+    stop = start + _number(fields[b"content-length"])
     if data[stop:stop + 4] != b"\r\n\r\n":
         raise Damage("block does not end where its length says")
     end, block = stop + 4, data[start:stop]
@@ -198,7 +216,7 @@ def _record(data: bytes, at: int) -> tuple[int, dict]:
         head, blank, payload = block.partition(b"\r\n\r\n")
         size = len(payload)
         if kind == "revisit" and (told := _HTTP_LENGTH.search(head)):
-            size = int(told[1])
+            size = _number(told[1])
     if kind == "revisit":
         digest = _base32(fields.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode("latin-1")) or None
     else:
