@@ -7,8 +7,8 @@ the index by sort-merge; what is new is appended. Index buckets line up with the
 exchange of the batch, so the index itself is never shuffled.
 
 Defined results: a null text counts as empty; among equal texts the row with the
-most code points stays, then the smallest id, null ids last; of rows repeated
-with one id a single one stays. A text that an earlier batch brought is dropped
+most code points stays, then the smallest id, null ids last; of rows that are also
+equal in id and length a single one stays, any of them. A text that an earlier batch brought is dropped
 and carries the id which the index holds. Columns of the input other than the id
 and the text are never read, so their names cannot clash.
 """
@@ -43,7 +43,7 @@ class DigestIndex:
     def attach(self, spark: SparkSession, id_type: DataType) -> DataFrame:
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type.simpleString()},"
-            " keep_row BIGINT, n_points BIGINT, batch STRING) USING parquet"
+            " n_points BIGINT, batch STRING) USING parquet"
             f" CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
         return spark.table(self.name)
@@ -79,75 +79,82 @@ def new_index(spark: SparkSession, buckets: int = BUCKETS) -> DigestIndex:
     return DigestIndex(workspace.new_dir(spark, "digest-index"), buckets)
 
 
-def deduplicate(
-    docs: DataFrame, index: DigestIndex, batch: str | None = None, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per document: id, ``keep_id``, ``group_size`` in the batch, ``kept``, ``digest``, ``fresh``, ``n_same``.
+def _decide(
+    docs: DataFrame, index: DigestIndex, batch: str, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows, and one decision per digest; what the index does not hold is appended to it.
 
-    Texts that the index does not hold are appended to it. ``batch`` names the
-    batch; a repeated run under the same name gives the same answer. ``fresh``
-    tells whether this batch brought the text; ``n_same`` counts the rows that share digest and id with the row that stays.
+    A row number only tells rows of this run apart that are equal in digest, id and length; it is
+    never kept, so a repeated run under the same name decides alike wherever its rows lie.
     """
     spark = docs.sparkSession
-    batch = batch or uuid.uuid4().hex
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = workspace.materialize(
         docs.select(
-            F.col(id_col).alias("id"),
-            digest(F.col(text_col)).alias("digest"),
-            F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_points"),
+            F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest"), F.length(text).cast("long").alias("n_points")
         ).withColumn("row", F.monotonically_increasing_id()),
         "digests",
     )
-    order = F.struct(-F.col("n_points"), F.col("id").isNull(), F.col("id"), F.col("row"))
+    # By digest, id and length first: copies under many ids are summed up in as many groups.
+    equal = rows.groupBy("digest", "id", "n_points").agg(F.count(F.lit(1)).alias("n_same"), F.min("row").alias("row"))
+    order = F.struct(-F.col("n_points"), F.col("id").isNull(), F.col("id"), F.col("row"), F.col("n_same"))
     groups = workspace.materialize(
-        rows.groupBy("digest")
-        .agg(F.min(order.alias("o")).alias("first"), F.count(F.lit(1)).alias("group_size"))
+        equal.groupBy("digest")
+        .agg(F.min(order).alias("first"), F.sum("n_same").alias("group_size"))
         .select(
-            "digest",
-            "group_size",
-            F.col("first.id").alias("keep_id"),
-            F.col("first.row").alias("keep_row"),
-            (-F.col("first.col1")).alias("n_points"),
+            "digest", "group_size", F.col("first.id").alias("keep_id"), (-F.col("first.col1")).alias("n_points"),
+            F.col("first.row").alias("keep_row"), F.col("first.n_same").alias("n_same"),
         ),
         "digest-groups",
     )
     known = index.attach(spark, docs.schema[id_col].dataType)
     fresh = groups.join(known.hint("merge"), "digest", "left_anti")
     index.append(fresh.withColumn("batch", F.lit(batch)))
-    held = spark.table(index.name).select("digest", "keep_id", "keep_row", "batch")
-    decided = groups.select("digest", "group_size").join(held.hint("merge"), "digest")
+    held = spark.table(index.name).select("digest", F.col("keep_id").alias("held_id"), "batch")
+    decided = groups.join(held.hint("merge"), "digest").select(
+        "digest", "group_size", F.col("held_id").alias("keep_id"), "n_points", "keep_row", "n_same", (F.col("batch") == batch).alias("fresh")
+    )
     # Stored, so that the join with the rows has an exchange on either side and
     # a large group of copies can be split.
     decided = workspace.materialize(decided, "digest-decisions")
     index.detach(spark)
-    own = F.col("batch") == batch
-    counted = rows.join(decided, "digest")
-    repeats = (
-        counted.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.count(F.lit(1)).alias("n_same"))
-    ).where("n_same > 1")
-    return counted.join(repeats, "digest", "left").select(
+    return rows, decided
+
+
+def deduplicate(
+    docs: DataFrame, index: DigestIndex, batch: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per document: id, ``keep_id``, ``group_size`` in the batch, ``kept``, ``digest``, ``fresh``.
+
+    Texts that the index does not hold are appended to it. ``batch`` names the
+    batch; a repeated run under the same name gives the same answer, also if the rows
+    are partitioned otherwise. ``fresh`` tells whether this batch brought the text.
+    """
+    rows, decided = _decide(docs, index, batch or uuid.uuid4().hex, id_col, text_col)
+    return rows.join(decided.drop("n_points", "n_same"), "digest").select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",
-        (own & (F.col("row") == F.col("keep_row"))).alias("kept"),
+        (F.col("fresh") & (F.col("row") == F.col("keep_row"))).alias("kept"),
         "digest",
-        own.alias("fresh"),
-        F.coalesce("n_same", F.lit(1)).alias("n_same"),
+        "fresh",
     )
 
 
 def keep_first(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    What goes is the small side: it is stored and its size decides how to join.
+    The same plan at every size: decisions are made on narrow rows, then whole documents
+    pass one exchange, by digest, id and length, in which copies under many ids spread. Of rows
+    that are equal in all three one is taken, after a partial aggregate.
     """
-    decided = deduplicate(docs, index, batch)
-    stays = F.col("fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    key = (F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    gone = workspace.measured(decided.where(~stays).select(*key).distinct(), "copies")
-    again = workspace.measured(decided.where(stays & (F.col("n_same") > 1)).select(*key).distinct(), "repeated-rows")
-    hit = F.col("_d").eqNullSafe(F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    left = docs.withColumn("_d", digest(F.col("text"))).join(gone, hit, "left_anti")
-    once = left.join(again, hit, "left_anti")
-    repeated = left.join(again, hit, "left_semi").dropDuplicates(["_d"])
+    _, decided = _decide(docs, index, batch or uuid.uuid4().hex, "doc_id", "text")
+    stays = decided.where("fresh").select(
+        F.col("digest").alias("_digest"), F.col("keep_id").alias("_id"), F.col("n_points").alias("_points"), F.col("n_same").alias("_same")
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    marked = docs.withColumn("_d", digest(F.col("text"))).withColumn("_n", F.length(text).cast("long"))
+    hit = (F.col("_d") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_points"))
+    found = marked.join(stays.hint("merge"), hit)
+    once, repeated = found.where("_same = 1"), found.where("_same > 1").dropDuplicates(["_d"])
     return once.unionByName(repeated).select(*docs.columns)
