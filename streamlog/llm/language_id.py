@@ -9,8 +9,8 @@ characters: one gather of matrix rows and one segmented sum per n-gram length.
 Long texts are cut into slices that overlap, so memory is bounded and every
 n-gram of the whole text counts once.
 
-Defined results: ``und`` with score 0 for a null text, a text without a letter,
-or if nothing could be learned; else the most probable language and its
+Defined results: ``und`` with score 0 for a null text, a text without a letter
+(a character of a Unicode category L; number signs like U+00BD are none), or if nothing could be learned; else the most probable language and its
 probability; ties go to the smaller language by code point. A null id is hashed
 as an empty text. Columns other than id, text and, for learning, the label are
 not read.
@@ -18,7 +18,6 @@ not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,6 @@ from pyspark.sql import functions as F
 BITS, ORDERS, SLICE = 15, (1, 2, 3), 1 << 20
 ALPHA = 0.5
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _DOCS = -1
 #: Odd multipliers of the n-gram hash.
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -128,7 +126,7 @@ def rate(texts: list[str | None], model: tuple[list[str], np.ndarray, np.ndarray
     langs, logs, prior = model
     most = max(SLICE * 4 // max(len(langs), 4), 1 << 12)
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    rated = [k for k, t in enumerate(texts) if langs and t is not None and _LETTER.search(t)]
+    rated = [k for k, t in enumerate(texts) if langs and t is not None and any(map(str.isalpha, t))]
     sums = np.tile(prior, (len(rated), 1))
     for points, starts, owners, final in _slices([texts[k] for k in rated], most):
         for bucket in _buckets(points, starts, final):
