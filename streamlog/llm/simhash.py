@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import workspace
@@ -153,26 +153,37 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return near.unionByName(far).distinct()
 
 
+def _rooted(rows: DataFrame, bucket: int, *least: Column) -> DataFrame:
+    """``(fp, root, least...)`` of the different fingerprints of rows ``(id, fp)``."""
+    distinct = workspace.materialize(rows.groupBy("fp").agg(*least), "distinct-fingerprints")
+    roots = components(links(distinct, bucket))
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left")
+    return workspace.measured(named.select(*distinct.columns, F.coalesce("root", "fp").alias("root")), "roots")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """``(id, fp, component_id)`` of every document."""
     rows = workspace.materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = workspace.materialize(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct, bucket))
-    rooted = workspace.measured(
-        distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")),
-        "roots",
-    )
+    rooted = _rooted(rows, bucket, F.min(id_col).alias("least"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = workspace.measured(rooted.join(names, "root").select("fp", "component_id"), "components")
     return rows.join(named, "fp").select(id_col, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without those that a smaller id of their component stands for.
+def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """One document of each component: that with the smallest id (null last), then fingerprint, then hash of the text.
 
-    Documents whose id or component is null stay.
+    Rows that are equal in id and text are not told apart; exact deduplication comes first. The same
+    plan at every size: what stays is found on narrow rows, then whole documents pass one exchange,
+    by id and hash of the text.
     """
-    gone = workspace.measured(
-        classes(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies"
+    hash_ = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    marked = docs.select("doc_id", "text").withColumn("_key", F.struct("doc_id", hash_.alias("h")))
+    rows = workspace.materialize(
+        fingerprints(marked, "_key").select(F.col("_key.doc_id").alias("id"), F.col("_key.h").alias("h"), "fp"), "fingerprints"
     )
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    order = F.min(F.struct(F.col("id").isNull(), "id", "fp", "h")).alias("least")
+    stays = _rooted(rows, bucket, order).groupBy("root").agg(F.min("least").alias("least"))
+    stays = workspace.materialize(stays.select(F.col("least.id").alias("_id"), F.col("least.h").alias("_stays")), "stays")
+    hit = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_stays"))
+    return docs.withColumn("_h", hash_).join(stays.hint("merge"), hit, "left_semi").select(*docs.columns)

@@ -296,7 +296,7 @@ def test_pipeline(spark, edge_dir, corpus):
         docs = out
     (_, before, told), (_, _, exact), (_, _, near), (_, _, mixed), (_, _, packed) = kept
     letters = [r for r in before if any(c.isalpha() for c in r[1] or "")]
-    assert collections.Counter(told) <= collections.Counter(letters) and len(told) >= 0.9 * len(letters)
+    assert collections.Counter(told) == collections.Counter(letters)  # some language was learned, so none vanishes
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t)
     assert len(exact) == len({norm(r[1]) for r in told}) == len({norm(r[1]) for r in exact})
     assert set(exact) <= set(told)

@@ -4,6 +4,7 @@ import base64
 import gzip
 import random
 import re
+import time
 from itertools import pairwise
 
 import numpy as np
@@ -94,6 +95,25 @@ def test_digests_in_hex():
         assert row["kind"] == "gap"
 
 
+def test_hostile_headers_are_quarantined():
+    good = archive(3, False)
+    for digits in (b"9" * 5000, b"9" * 19, b"0" * 5000 + b"1"):
+        hurt = re.sub(rb"Content-Length: \d+", b"Content-Length: " + digits, good[1])
+        rows = list(warc.parse(good[0] + hurt + good[2]))
+        assert [warc.row_id(r["record_id"]) for r in rows if r["kind"] == "record"] == [0, 2] and any(r["kind"] == "gap" for r in rows)
+    assert warc.row_id("<urn:uuid:not-one>") is None and warc.row_id("http://elsewhere/1") is None
+
+
+@pytest.mark.parametrize("noise", [b"WARC/1.1\r\nA: b\r\n", b"WARC/1.1\r\n", b"A: b\r\n" * 1000 + b"WARC/1.0\n"])
+def test_search_after_damage_is_linear(noise):
+    good = archive(2, False)
+    junk = noise * (3_000_000 // len(noise))
+    began = time.process_time()
+    rows = list(warc.parse(good[0] + junk + good[1]))
+    assert time.process_time() - began < 20
+    assert [warc.row_id(r["record_id"]) for r in rows if r["kind"] == "record"] == [0, 1]
+
+
 def test_record_ids_carry_row_ids():
     for n in (None, 0, 1, -1, 2**63 - 1, -(2**63), 123456789):
         assert warc.row_id(warc.record_id(n)) == n
@@ -122,6 +142,28 @@ def test_index_keeps_earlier_batches(spark, tmp_path):
     assert plan.count() == 3
 
 
+def test_a_replay_decides_alike_wherever_rows_lie(spark, tmp_path):
+    index = exact_dedup.DigestIndex(f"{tmp_path}/index", 8)
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
+    docs = docs.unionByName(docs.where("doc_id < 20"))  # repeated rows
+    runs = [exact_dedup.deduplicate(docs.repartition(n), index, "same").collect() for n in (1, 7, 3)]
+    answers = [sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in run) for run in runs]
+    assert answers[0] == answers[1] == answers[2] and sum(a[3] for a in answers[0]) == 50
+    stays = exact_dedup.keep_first(docs.repartition(5), index, "same")
+    assert sorted(r["doc_id"] for r in stays.collect()) == list(range(50))
+    assert exact_dedup.keep_first(docs, index, "later").count() == 0
+    plan = stays._jdf.queryExecution().optimizedPlan().toString() + stays._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_near_copies_are_told_apart_by_text_too(spark):
+    other = "quite another text about rivers and the mills beside them"
+    text = "one text about a long road through the hills and down again to the sea"
+    rows = [(1, text), (2, text + " "), (2, other), (None, text), (None, "lonely words without an id"), (3, None), (4, "")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in kept} == {(1, text), (2, other), (None, "lonely words without an id"), (3, None)}
+
+
 def test_templates_with_optional_and_replaced_wording():
     machine = license_scan.compile_templates({
         "t": 'start here <<beginOptional>>maybe <<beginOptional>>really<<endOptional>> so<<endOptional>> <<var;name="x";words=1-2>> end'
@@ -243,3 +285,9 @@ def test_documents_stay_whatever_the_probability(spark):
                                  "doc_id long, text string, lang string")
     kept = language_id.keep_identified(docs, language_id.fit(docs.where("doc_id < 5")))
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_number_signs_are_no_letters():
+    model = (["de", "en"], np.zeros(((1 << language_id.BITS) + 1, 2), np.float32), np.zeros(2))
+    names, _ = language_id.rate(["½ ² ① Ⅷ", "12 _-", "½ x", "ª", "漢", None, ""], model)
+    assert [n == "und" for n in names] == [True, True, False, False, False, True, True]
