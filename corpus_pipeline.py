@@ -65,7 +65,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """Rows of the last stage. A stage's input and inner tables go when its result is stored."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = workspace.materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = workspace.new_dir(spark, f"stage-{name}")
+        with workspace.scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before is not None:
+            workspace.delete(spark, before)
+        before = path
     return docs
