@@ -12,15 +12,17 @@ are joined to maximal spans, and the words of spans and of the places they refer
 to are cut out, routed by the document referred to.
 
 Automata: each shard of reference passages, bounded by ``SHARD_WORDS``, becomes a
-suffix automaton. The spans routed to it are streamed for matching statistics,
-and a window counts as a repeat where the statistic reaches ``width``. Hashes
-only propose: equal windows always have equal hashes, so nothing is missed, and a
-window whose words do not match is refuted. If that ever happens, everything is
-done again with another hash; a result without refuted windows is exact.
+suffix automaton. The spans routed to it are streamed for matching statistics; the
+maximal spans in which they reach ``width`` are what is removed, nothing else is. Hashes
+only propose what to stream, and where: equal windows always have equal hashes, so
+nothing is missed. A proposed window that the automaton does not hold comes from equal hashes
+of different words, which may hide a true first place; then everything is done again
+with another hash.
 
 Automata are sent to the tasks that stream the spans of their shard, not to all:
 sending every shard to every document would make work grow with the square of
-the corpus.
+the corpus. The number of hash ranges follows the bytes of text, each range is placed in a
+partition of its own, and a task holds one.
 
 Defined results: a null text has no words; null ids come before all others; equal
 ids are ordered by text, and rows repeated with id and text are one document;
@@ -46,6 +48,8 @@ from streamlog.llm.suffix_automaton import SuffixAutomaton
 
 WIDTH = 20
 BATCH_BYTES, SHARD_WORDS = 4 << 20, 100_000
+#: Bytes of text for each hash range; a task holds the hashes of one range.
+RANGE_BYTES = 12 << 20
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -269,7 +273,7 @@ def candidates(rows: DataFrame, width: int, salt: int, ranges: int) -> DataFrame
         return pa.Table.from_arrays([pa.concat_arrays(x) for x in zip(found, asked, strict=True)], names=_names(_pair_schema("x")))
 
     packed = _packed_schema(kind)
-    met = rows.mapInArrow(gather, f"range int, {packed}").repartition(ranges, "range").mapInArrow(meet, packed)
+    met = rows.mapInArrow(gather, f"range int, {packed}").repartitionById(ranges, "range").mapInArrow(meet, packed)
     return met.groupBy("batch").applyInArrow(spread, _pair_schema(kind))
 
 
@@ -285,29 +289,25 @@ def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
-def cut(rows: DataFrame, pairs: DataFrame, width: int, finish: Callable[[bytes], str]) -> DataFrame:
-    """One row per document, and one per passage.
+def passages(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Words to compare: spans of documents, and with ``is_ref`` the parts of documents they refer to.
 
-    Documents: ``n_words, n_removed, removed`` (spans of words, from and to) and
-    ``kept``. Passages (``passage`` not null): the words of a span with the document
-    referred to as ``key_id, key_mark``, or with ``is_ref`` a part of that document.
+    ``(doc_id, mark, at)`` is where a span starts; ``(key_id, key_mark)`` the document referred to.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
     info = pairs.groupBy("doc_id", "mark").agg(
         F.collect_list("wanted").alias("wanted"),
         F.collect_list(F.when(F.col("starts").isNotNull(), F.struct("starts", "ref_starts", "ref_ids", "ref_marks"))).alias("found"),
     ).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "wanted", "found")
-    met = rows.join(info, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left").select(
+    met = rows.join(info, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select(
         "doc_id", "text", "mark", "wanted", "found"
     )
-    schema = (f"doc_id {kind}, n_words long, n_removed long, removed array<array<bigint>>, kept string,"
-              f" key_id {kind}, key_mark long, is_ref boolean, passage binary, passage_words long")
+    schema = f"doc_id {kind}, mark long, at long, key_id {kind}, key_mark long, is_ref boolean, passage binary, n_words long"
     names = _names(schema)
 
     def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [batch.column(0).type, pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string(), batch.column(0).type,
-                     pa.int64(), pa.bool_(), pa.binary(), pa.int64()]
+            kinds = [batch.column(0).type, pa.int64(), pa.int64(), batch.column(0).type, pa.int64(), pa.bool_(), pa.binary(), pa.int64()]
             out, size = [], 0
             for k in range(batch.num_rows):
                 doc, text, mark = (batch.column(c)[k].as_py() for c in range(3))
@@ -322,9 +322,9 @@ def cut(rows: DataFrame, pairs: DataFrame, width: int, finish: Callable[[bytes],
     def made(out: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
-    def one(doc, text: bytes, mark: int, wanted: list[bytes] | None, found) -> Iterator[tuple]:
-        words, removed, kept = text.split(), [], None
-        if found.is_valid and len(found):
+    def one(doc, text: bytes, mark: int, wanted: list[bytes], found) -> Iterator[tuple]:
+        words = text.split()
+        if len(found):
             parts = [(np.frombuffer(p["starts"].as_py(), "<i4"), np.frombuffer(p["ref_starts"].as_py(), "<i4"), p["ref_ids"].values, p["ref_marks"].values) for p in found]
             start, ref_start = (np.concatenate([p[c] for p in parts]).astype(np.int64) for c in (0, 1))
             ref_id, ref_mark = (pa.concat_arrays([p[c] for p in parts]) for c in (2, 3))
@@ -335,61 +335,119 @@ def cut(rows: DataFrame, pairs: DataFrame, width: int, finish: Callable[[bytes],
             label = np.arange(len(start)) + np.unique(_order(ref_id, ref_mark), return_inverse=True)[1] * (len(start) + 1)
             for a, b in _runs(start, ref_start, label):
                 own = words[start[a]:start[b - 1] + width]
-                yield (None, None, None, None, None, ref_id[a].as_py(), int(ref_mark[a]), False, b" ".join(own), len(own))
-            cover = np.zeros(len(words) + 1, np.int64)
-            np.add.at(cover, start, 1)
-            np.add.at(cover, start + width, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-            removed = edges.reshape(-1, 2).tolist()
-            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+                yield (doc, mark, int(start[a]), ref_id[a].as_py(), int(ref_mark[a]), False, b" ".join(own), len(own))
         if wanted:
             start = np.unique(np.concatenate([np.frombuffer(x, "<i4") for x in wanted]))
             for a, b in _runs(start):
                 own = words[start[a]:start[b - 1] + width]
-                yield (None, None, None, None, None, doc, mark, True, b" ".join(own), len(own))
-        yield (doc, len(words), sum(b - a for a, b in removed), removed, finish(b" ".join(words if kept is None else kept)), None, None, None, None, None)
+                yield (doc, mark, int(start[a]), doc, mark, True, b" ".join(own), len(own))
 
     return met.mapInArrow(cut_batches, schema)
 
 
-def refuted(passages: DataFrame, width: int, shard_words: int = SHARD_WORDS) -> int:
-    """Windows of spans that the automaton of the shard they refer to does not hold."""
-    words = passages.where("is_ref").agg(F.sum("passage_words")).first()[0] or 0
+def matched(found: DataFrame, width: int, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``(doc_id, mark, spans, misses)``: maximal spans in which matching statistics reach ``width``.
+
+    The passages referred to are shards of about ``shard_words`` words; each becomes one automaton.
+    The spans of a shard are dealt to as many tasks as they have times that many words, so
+    a passage that a third of all documents repeat keeps no task longer than others. ``misses``
+    counts windows of a span that the automaton does not hold.
+    """
+    kind = found.schema["doc_id"].dataType.simpleString()
+    words = found.where("is_ref").agg(F.sum("n_words")).first()[0] or 0
     shards = max(-(-words // shard_words), 1)
-    shard = F.pmod(F.xxhash64("key_id", "key_mark"), F.lit(shards)).alias("shard")
+    routed = found.withColumn("shard", F.pmod(F.xxhash64("key_id", "key_mark"), F.lit(shards)))
+    load = routed.where("NOT is_ref").groupBy("shard").agg(F.ceil(F.sum("n_words") / shard_words).cast("int").alias("parts"))
+    load = workspace.measured(load, "shard-loads")
+    dealt = routed.join(load, "shard").withColumn(
+        "part",
+        F.explode(F.when(F.col("is_ref"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
+            F.array(F.pmod(F.xxhash64("doc_id", "mark", "at"), F.col("parts")).cast("int"))
+        )),
+    )
+    schema = f"doc_id {kind}, mark long, spans array<array<bigint>>, misses long"
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, automaton, streamed, misses = None, None, 0, 0
+        now, automaton = None, None
         for batch in batches:
-            for shard_, is_ref, passage in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if shard_ != now:
-                    now, automaton = shard_, SuffixAutomaton()
-                words = passage.as_py().split()
+            out = []
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for k, (shard, part, is_ref) in enumerate(keys):
+                if (shard, part) != now:
+                    now, automaton = (shard, part), SuffixAutomaton()
+                run = batch.column(3)[k].as_py().split()
                 if is_ref:
-                    automaton.add(words)
-                else:
-                    streamed += len(words)
-                    misses += sum(n < width for n in list(automaton.statistics(words))[width - 1:])
-        yield pa.record_batch([pa.array([streamed], pa.int64()), pa.array([misses], pa.int64())], ["streamed", "misses"])
+                    automaton.add(run)
+                    continue
+                reached = np.fromiter(automaton.statistics(run), np.int64, len(run))[width - 1:] >= width
+                at = batch.column(6)[k].as_py()
+                # Windows that start at a run of places cover the words from the first to the last one's end.
+                edges = np.flatnonzero(np.diff(np.concatenate(([False], reached, [False])).astype(np.int8))).reshape(-1, 2)
+                spans = (edges + [at, at + width - 1]).tolist()
+                out.append((batch.column(4)[k].as_py(), batch.column(5)[k].as_py(), spans, int((~reached).sum())))
+            if out:
+                types = (batch.column(4).type, pa.int64(), pa.list_(pa.list_(pa.int64())), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["doc_id", "mark", "spans", "misses"])
 
-    dealt = passages.select(shard, "is_ref", "passage").repartition(min(shards, 1 << 20), "shard").sortWithinPartitions("shard", F.desc("is_ref"))
-    return dealt.mapInArrow(stream, "streamed long, misses long").agg(F.sum("misses")).first()[0] or 0
+    tasks = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, 1 << 20))
+    order = ["shard", "part", F.desc("is_ref")]
+    columns = ["shard", "part", "is_ref", "passage", "doc_id", "mark", "at"]
+    return dealt.select(*columns).repartition(tasks, "shard", "part").sortWithinPartitions(*order).mapInArrow(stream, schema)
+
+
+def remove(rows: DataFrame, spans: DataFrame, finish: Callable[[bytes], str]) -> DataFrame:
+    """``(doc_id, n_words, n_removed, removed, kept)``: every document without the words of its spans."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    info = spans.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans")).select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans"
+    )
+    met = rows.join(info, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, spans in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                words, removed = text.as_py().split(), []
+                n, kept = len(words), words
+                if spans:
+                    cover = np.zeros(n + 1, np.int64)
+                    edges = np.array(spans)
+                    np.add.at(cover, edges[:, 0], 1)
+                    np.add.at(cover, edges[:, 1], -1)
+                    gone = np.cumsum(cover[:-1]) > 0
+                    removed = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))).reshape(-1, 2).tolist()
+                    kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+                out.append((n, n - len(kept), removed, finish(b" ".join(kept))))
+            if out:
+                types = (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string())
+                made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_words", "n_removed", "removed", "kept"])
+
+    return met.select("doc_id", "text", "spans").mapInArrow(
+        cut, f"doc_id {kind}, n_words long, n_removed long, removed array<array<bigint>>, kept string"
+    )
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, finish: Callable[[bytes], str] = bytes.decode, id_col: str = "doc_id",
-                text_col: str = "text", ranges: int | None = None) -> DataFrame:
+                text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``(id, n_words, n_removed, removed, kept)``; ``kept`` is ``finish`` of the words that stay, joined by spaces."""
     spark = docs.sparkSession
-    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _marked(docs, id_col, text_col)
+    ranges = max(-(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // range_bytes), 1)
     salt = 0
     while True:
         with dropping_shuffles(spark):
-            pairs = workspace.materialize(candidates(rows, width, salt, ranges), "window-pairs")
-            parts = workspace.materialize(cut(rows, pairs, width, finish), "passages")
-            misses = refuted(parts.where("passage is not null"), width)
+            with workspace.scratch(spark):
+                pairs = workspace.materialize(candidates(rows, width, salt, ranges), "window-pairs")
+                path = workspace.new_dir(spark, "matched-spans")
+                found = workspace.materialize(passages(rows, pairs, width), "passages")
+                spans = matched(found, width)
+                spans.write.parquet(path)
+            spans = spark.read.schema(spans.schema).parquet(path)
+            misses = spans.agg(F.sum("misses")).first()[0]
         if not misses:
             break
+        workspace.delete(spark, path)
         salt += 1
-    return parts.where("passage is null").select(F.col("doc_id").alias(id_col), "n_words", "n_removed", "removed", "kept")
+    out = remove(rows, spans, finish)
+    return out.select(F.col("doc_id").alias(id_col), "n_words", "n_removed", "removed", "kept")

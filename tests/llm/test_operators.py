@@ -12,7 +12,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from streamlog.llm import components, exact_dedup, iblt, language_id, license_scan, maxent_lm, packing, simhash, warc, wordhash
+from streamlog.llm import (
+    components, exact_dedup, iblt, language_id, license_scan, maxent_lm, packing, simhash, substring_dedup, warc, wordhash,
+)
 from streamlog.llm.suffix_automaton import SuffixAutomaton
 
 
@@ -291,3 +293,34 @@ def test_number_signs_are_no_letters():
     model = (["de", "en"], np.zeros(((1 << language_id.BITS) + 1, 2), np.float32), np.zeros(2))
     names, _ = language_id.rate(["½ ² ① Ⅷ", "12 _-", "½ x", "ª", "漢", None, ""], model)
     assert [n == "und" for n in names] == [True, True, False, False, False, True, True]
+
+
+def test_substrings_in_small_ranges_and_shards(spark):
+    """Many ranges, many shards, a passage that most documents repeat; only automata decide."""
+    draw = random.Random(8)
+    hot = " ".join(draw.choices("abcdefghij", k=90))
+    texts = []
+    for k in range(60):
+        own = " ".join(f"w{draw.randrange(5000)}" for _ in range(draw.randrange(5, 80)))
+        texts.append(f"{own} {hot if k % 3 else hot[20:150]} {own if k % 7 == 0 else ''}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    seen, gone = set(), {}
+    for k, text in enumerate(texts):
+        words, cover = text.split(), set()
+        for at in range(len(words) - 19):
+            window = tuple(words[at:at + 20])
+            if window in seen:
+                cover |= set(range(at, at + 20))
+            seen.add(window)
+        gone[k] = [w for i, w in enumerate(words) if i not in cover]
+    got = substring_dedup.deduplicate(docs, range_bytes=2000).collect()
+    assert {r["doc_id"]: r["kept"].split() for r in got} == gone
+    assert all(r["n_removed"] == sum(b - a for a, b in r["removed"]) == r["n_words"] - len(gone[r["doc_id"]]) for r in got)
+
+
+def test_without_a_reference_nothing_is_removed(spark):
+    """Proposed spans whose reference the automaton does not hold are misses, not removals."""
+    rows = [(1, 0, 5, 9, 0, False, b" ".join(b"x%d" % k for k in range(30)), 30), (9, 0, 0, 9, 0, True, b" ".join(b"x%d" % k for k in range(4, 28)), 24)]
+    found = spark.createDataFrame(rows, "doc_id long, mark long, at long, key_id long, key_mark long, is_ref boolean, passage binary, n_words long")
+    (row,) = substring_dedup.matched(found, 20).collect()
+    assert (row["doc_id"], row["spans"], row["misses"]) == (1, [[9, 33]], 6)
