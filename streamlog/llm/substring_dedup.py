@@ -48,6 +48,8 @@ from streamlog.llm.suffix_automaton import SuffixAutomaton
 
 WIDTH = 20
 BATCH_BYTES, SHARD_WORDS = 4 << 20, 100_000
+#: Words that are streamed through one automaton; building it costs as much as streaming a few times its words.
+PART_WORDS = 2_000_000
 #: Bytes of text for each hash range; a task holds the hashes of one range.
 RANGE_BYTES = 12 << 20
 
@@ -346,18 +348,18 @@ def passages(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
 
 
 def matched(found: DataFrame, width: int, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``(doc_id, mark, spans, misses)``: maximal spans in which matching statistics reach ``width``.
+    """``(doc_id, mark, start, stop, misses)``: maximal spans in which matching statistics reach ``width``.
 
     The passages referred to are shards of about ``shard_words`` words; each becomes one automaton.
-    The spans of a shard are dealt to as many tasks as they have times that many words, so
+    The spans of a shard are dealt in parts of about ``PART_WORDS`` words, each with an automaton of its own, so
     a passage that a third of all documents repeat keeps no task longer than others. ``misses``
-    counts windows of a span that the automaton does not hold.
+    counts windows of a span that the automaton does not hold; such a row has an empty span.
     """
     kind = found.schema["doc_id"].dataType.simpleString()
     words = found.where("is_ref").agg(F.sum("n_words")).first()[0] or 0
     shards = max(-(-words // shard_words), 1)
     routed = found.withColumn("shard", F.pmod(F.xxhash64("key_id", "key_mark"), F.lit(shards)))
-    load = routed.where("NOT is_ref").groupBy("shard").agg(F.ceil(F.sum("n_words") / shard_words).cast("int").alias("parts"))
+    load = routed.where("NOT is_ref").groupBy("shard").agg(F.ceil(F.sum("n_words") / PART_WORDS).cast("int").alias("parts"))
     load = workspace.measured(load, "shard-loads")
     dealt = routed.join(load, "shard").withColumn(
         "part",
@@ -365,29 +367,31 @@ def matched(found: DataFrame, width: int, shard_words: int = SHARD_WORDS) -> Dat
             F.array(F.pmod(F.xxhash64("doc_id", "mark", "at"), F.col("parts")).cast("int"))
         )),
     )
-    schema = f"doc_id {kind}, mark long, spans array<array<bigint>>, misses long"
+    schema = f"doc_id {kind}, mark long, start long, stop long, misses long"
+    names = _names(schema)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, automaton = None, None
         for batch in batches:
             out = []
-            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for k, (shard, part, is_ref) in enumerate(keys):
+            shard_, part_, ref_, texts, ids, marks, at = (c.to_pylist() for c in batch.columns)
+            for k, (shard, part, is_ref) in enumerate(zip(shard_, part_, ref_, strict=True)):
                 if (shard, part) != now:
                     now, automaton = (shard, part), SuffixAutomaton()
-                run = batch.column(3)[k].as_py().split()
+                run = texts[k].split()
                 if is_ref:
                     automaton.add(run)
-                    continue
-                reached = np.fromiter(automaton.statistics(run), np.int64, len(run))[width - 1:] >= width
-                at = batch.column(6)[k].as_py()
-                # Windows that start at a run of places cover the words from the first to the last one's end.
-                edges = np.flatnonzero(np.diff(np.concatenate(([False], reached, [False])).astype(np.int8))).reshape(-1, 2)
-                spans = (edges + [at, at + width - 1]).tolist()
-                out.append((batch.column(4)[k].as_py(), batch.column(5)[k].as_py(), spans, int((~reached).sum())))
+                elif automaton.holds_windows(run, width):  # as nearly always
+                    out.append((ids[k], marks[k], at[k], at[k] + len(run), 0))
+                else:
+                    reached = np.fromiter(automaton.statistics(run), np.int64, len(run))[width - 1:] >= width
+                    # Windows that start at a run of places cover the words from the first to the last one's end.
+                    edges = np.flatnonzero(np.diff(np.concatenate(([False], reached, [False])).astype(np.int8))).reshape(-1, 2)
+                    out += [(ids[k], marks[k], at[k] + a, at[k] + b + width - 1, 0) for a, b in edges.tolist()]
+                    out.append((ids[k], marks[k], 0, 0, int((~reached).sum())))
             if out:
-                types = (batch.column(4).type, pa.int64(), pa.list_(pa.list_(pa.int64())), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["doc_id", "mark", "spans", "misses"])
+                types = (batch.column(4).type, *[pa.int64()] * 4)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     tasks = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, 1 << 20))
     order = ["shard", "part", F.desc("is_ref")]
@@ -398,7 +402,8 @@ def matched(found: DataFrame, width: int, shard_words: int = SHARD_WORDS) -> Dat
 def remove(rows: DataFrame, spans: DataFrame, finish: Callable[[bytes], str]) -> DataFrame:
     """``(doc_id, n_words, n_removed, removed, kept)``: every document without the words of its spans."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    info = spans.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans")).select(
+    packed = F.collect_list(F.array("start", "stop")).alias("spans")
+    info = spans.where("stop > start").groupBy("doc_id", "mark").agg(packed).select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans"
     )
     met = rows.join(info, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")

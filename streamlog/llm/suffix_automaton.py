@@ -64,3 +64,22 @@ class SuffixAutomaton:
             else:
                 state, size = to, size + 1
             yield size
+
+    def holds_windows(self, words: Iterable, width: int) -> bool:
+        """Whether the statistic reaches ``width`` at every word from the ``width``-th on."""
+        goto, link, length, state, size, short = self.next, self.link, self.length, 0, 0, width - 1
+        for word in words:
+            to = goto[state].get(word)
+            while to is None and state:
+                state = link[state]
+                size = length[state]
+                to = goto[state].get(word)
+            if to is None:
+                size = 0
+            else:
+                state, size = to, size + 1
+            if short:
+                short -= 1
+            elif size < width:
+                return False
+        return True
