@@ -1,4 +1,8 @@
-"""What is in a log, and how far groups have read it."""
+"""What is in a log, and how far groups have read it.
+
+A log is a DataFrame of records, which has to be scanned, or a ``LogTable``, whose manifest
+tells the same without reading a record and knows topic-partitions that are empty.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +10,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlog import model
+from streamlog.sources.table import LogTable
 from streamlog.workspace import measured
 
+Log = DataFrame | LogTable
+
+
+def _partitions(log: Log) -> DataFrame:
+    return log.partitions() if isinstance(log, LogTable) else log.select(*model.TP).distinct()
 
-def list_topics(log: DataFrame) -> DataFrame:
+
+def list_topics(log: Log) -> DataFrame:
     """topic, partitions: sorted array."""
-    found = log.select(*model.TP).distinct()
+    found = _partitions(log)
     return found.groupBy("topic").agg(F.sort_array(F.collect_list("partition")).alias("partitions"))
 
 
-def partitions_for(log: DataFrame, topic: str) -> DataFrame:
-    return log.filter(F.col("topic") == topic).select(*model.TP).distinct()
+def partitions_for(log: Log, topic: str) -> DataFrame:
+    return _partitions(log).filter(F.col("topic") == topic)
 
 
-def offset_range(log: DataFrame) -> DataFrame:
-    """begin_offset and end_offset of every topic-partition that has records."""
+def offset_range(log: Log) -> DataFrame:
+    """begin_offset and end_offset of every topic-partition that has records, in a ``LogTable`` of all."""
+    if isinstance(log, LogTable):
+        return log.offset_range()
     return log.groupBy(*model.TP).agg(
         F.min("offset").alias("begin_offset"), (F.max("offset") + 1).alias("end_offset")
     )
 
 
-def _for_requested(log: DataFrame, requested: DataFrame, column: str, strict: bool) -> DataFrame:
+def _ranges_of(log: Log, wanted: DataFrame) -> DataFrame:
+    if isinstance(log, LogTable):
+        return log.offset_range().join(wanted, model.TP, "left_semi")
+    return offset_range(log.join(wanted, model.TP, "left_semi"))
+
+
+def _for_requested(log: Log, requested: DataFrame, column: str, strict: bool) -> DataFrame:
     wanted = measured(requested.select(*model.TP).distinct())
-    ranges = offset_range(log.join(wanted, model.TP, "left_semi"))
+    ranges = _ranges_of(log, wanted)
     value = F.col(column)
     if strict:
         missing = F.concat(F.lit("unknown topic-partition "), "topic", F.lit("/"), "partition")
@@ -38,23 +57,26 @@ def _for_requested(log: DataFrame, requested: DataFrame, column: str, strict: bo
     return wanted.join(ranges, model.TP, "left").select(*model.TP, value.alias(column))
 
 
-def beginning_offsets(log: DataFrame, requested: DataFrame, *, strict: bool = False) -> DataFrame:
-    """First available offset. ``strict`` fails on a topic-partition without records."""
+def beginning_offsets(log: Log, requested: DataFrame, *, strict: bool = False) -> DataFrame:
+    """First available offset. ``strict`` fails on a topic-partition that the log does not know."""
     return _for_requested(log, requested, "begin_offset", strict)
 
 
-def end_offsets(log: DataFrame, requested: DataFrame, *, strict: bool = False) -> DataFrame:
+def end_offsets(log: Log, requested: DataFrame, *, strict: bool = False) -> DataFrame:
     """Next offset to be written; 0 for an empty topic-partition."""
     return _for_requested(log, requested, "end_offset", strict)
 
 
-def offsets_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
+def offsets_for_times(log: Log, times: DataFrame) -> DataFrame:
     """First record at or after ``times(topic, partition, at)``: offset and timestamp.
 
+    A ``LogTable`` reads at most one file per time. Records of a DataFrame are all read.
     Both are NULL when there is none. A record is counted once, under the latest
     requested time it satisfies, however many times are asked of its
     topic-partition; earlier times then take the minimum over later ones.
     """
+    if isinstance(log, LogTable):
+        return log.offsets_for_times(times)
     wanted = times.select(*model.TP, "at").distinct()
     asked = measured(
         wanted.groupBy(*model.TP).agg(F.array_sort(F.collect_list("at")).alias("_ats"))
@@ -105,14 +127,14 @@ def committed_offsets(commits: DataFrame, group_id: str, requested: DataFrame) -
 
 
 def positions(
-    log: DataFrame, requested: DataFrame, committed: DataFrame, sought: DataFrame, *,
+    log: Log, requested: DataFrame, committed: DataFrame, sought: DataFrame, *,
     reset: str = "earliest",
 ) -> DataFrame:
     """Position of a reader: the offset it sought, else committed, else the policy."""
     from streamlog.sources import subs
 
     wanted = measured(requested.select(*model.TP).distinct())
-    ranges = offset_range(log.join(wanted, model.TP, "left_semi"))
+    ranges = _ranges_of(log, wanted)
     known = wanted.join(ranges, model.TP, "left")
     asked = sought.select(*model.TP, F.col("offset").alias("sought"))
     joined = known.join(asked, model.TP, "left")
@@ -121,7 +143,7 @@ def positions(
     )
 
 
-def consumer_lag(log: DataFrame, commits: DataFrame, groups: DataFrame) -> DataFrame:
+def consumer_lag(log: Log, commits: DataFrame, groups: DataFrame) -> DataFrame:
     """Records still to read: end offset minus committed (or first) offset.
 
     ``groups``: group_id, topic, partition.

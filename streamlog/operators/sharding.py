@@ -19,12 +19,12 @@ def with_shard(df: DataFrame, partitions: int, *, entity_id: Column | None = Non
 
 
 def with_shard_of_topic(
-    df: DataFrame, log: DataFrame, topic: str, *, entity_id: Column | None = None
+    df: DataFrame, log: meta.Log, topic: str, *, entity_id: Column | None = None
 ) -> DataFrame:
     """As ``with_shard``, with the partition count of ``topic`` looked up in the log.
 
-    Partitions are numbered from 0, so the highest number counts, even where
-    partitions below it are still empty. One number comes to the driver.
+    Partitions are numbered from 0, so the highest number counts. A ``LogTable`` knows partitions
+    that are still empty; a DataFrame only those that hold a record. One number comes to the driver.
     """
     last = meta.partitions_for(log, topic).agg(F.max("partition")).first()[0]
     if last is None:

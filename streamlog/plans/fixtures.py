@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from streamlog import model
 from streamlog.functions import partitioner
 from streamlog.sources import log
+from streamlog.sources.table import LogTable, partition_table
 from streamlog.workspace import new_dir
 
 PARTITIONS = 4
@@ -290,5 +291,42 @@ def transactional_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     return records, decisions
 
 
+def _log_table(
+    spark: SparkSession, sf_dir: str, name: str, records: Callable[[], DataFrame], declared: dict[str, int] | None = None
+) -> LogTable:
+    """Records as a log table that grew by ``APPENDS`` appends, in the order of offsets."""
+
+    def build(path: str) -> None:
+        made, all_records = LogTable(spark, path), records()
+        step = (all_records.agg(F.max("offset")).first()[0] or 0) // APPENDS + 1
+        if declared:
+            made.declare(partition_table(spark, declared), "declared")
+        for i in range(APPENDS):
+            made.append(all_records.filter(F.expr(f"offset div {step}") == i), str(i))
+
+    return LogTable(spark, _once(spark, sf_dir, name, build))
+
+
+def event_table(spark: SparkSession, sf_dir: str) -> LogTable:
+    """The event log as a log table."""
+    return _log_table(spark, sf_dir, "event-table", lambda: event_log(spark, sf_dir))
+
+
+def jittered_table(spark: SparkSession, sf_dir: str) -> LogTable:
+    return _log_table(spark, sf_dir, "jittered-table", lambda: jittered_log(spark, sf_dir))
+
+
+def retained_table(spark: SparkSession, sf_dir: str) -> LogTable:
+    """The event log after retention removed the first days of January."""
+    late = F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")
+    return _log_table(spark, sf_dir, "retained-table", lambda: event_log(spark, sf_dir).filter(F.col("timestamp") >= late))
+
+
+def declared_table(spark: SparkSession, sf_dir: str) -> LogTable:
+    """The event log with two more partitions of a topic, and a topic, that hold no record yet."""
+    declared = {"ev-signup": PARTITIONS + 2, "ev-silent": 2}
+    return _log_table(spark, sf_dir, "declared-table", lambda: event_log(spark, sf_dir), declared)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     return new_dir(spark, name)

@@ -340,6 +340,17 @@ def _(spark, sf):
     )
 
 
+@query(
+    "f02_message_extractor_declared",
+    on_log(f"""SELECT {TP}, "offset", "key" AS entity_id, ((h & 2147483647) % 6)::VARCHAR AS shard FROM log JOIN hashes ON k = "key" """),
+)
+def _(spark, sf):
+    """Partitions without records count: entities do not move when the first record comes to one."""
+    return sharding.with_shard_of_topic(fx.event_log(spark, sf), fx.declared_table(spark, sf), "ev-signup").select(
+        *model.TP, "offset", "entity_id", "shard"
+    )
+
+
 @query(
     "f03_extractor_no_envelope",
     f"WITH {CUSTOMER_HASHES} SELECT o_orderkey, k AS entity_id, ((h & 2147483647) % 7)::VARCHAR AS shard "

@@ -156,7 +156,7 @@ def external_store(spark, sf):
 
 @query("a07_manual_offset_source", on_log(f'SELECT {TP}, "offset", "key", value {EXTERNAL_SQL}', ENDS))
 def _(spark, sf):
-    records = partitioned.from_offset_table(fx.event_log(spark, sf), external_store(spark, sf))
+    records = partitioned.from_offset_table(fx.event_table(spark, sf), external_store(spark, sf))
     return records.select(*model.TP, "offset", "key", "value")
 
 
@@ -166,7 +166,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     records = partitioned.committable_from_offset_table(
-        fx.event_log(spark, sf), external_store(spark, sf), "g2"
+        fx.event_table(spark, sf), external_store(spark, sf), "g2"
     )
     return records.select(*model.TP, *ctx_columns())
 
@@ -206,7 +206,7 @@ NAMED = f"""named AS (SELECT DISTINCT {TP}, CASE WHEN "partition" % 2 = 0 THEN '
 
 @query("a11_shared_assignments", on_log(f'SELECT assignment, {TP}, "offset", "key" FROM log JOIN named USING ({TP})', NAMED))
 def _(spark, sf):
-    records = source.shared_assignments(fx.event_log(spark, sf), named_assignments(spark, sf))
+    records = source.shared_assignments(fx.event_table(spark, sf), named_assignments(spark, sf))
     return records.select("assignment", *model.TP, "offset", "key")
 
 
@@ -217,7 +217,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     records = source.committable_shared(
-        fx.event_log(spark, sf), named_assignments(spark, sf), "shared"
+        fx.event_table(spark, sf), named_assignments(spark, sf), "shared"
     )
     return records.select("assignment", *model.TP, *ctx_columns())
 
@@ -368,7 +368,7 @@ FROM_OFFSETS_SQL = f"""SELECT {PLAIN_SQL} FROM log WHERE (topic = 'ev-click' AND
 @query("a20_assignment_with_offset", on_log(FROM_OFFSETS_SQL))
 def _(spark, sf):
     sub = subs.assignment_with_offset(FROM_OFFSETS)
-    return subs.select(fx.event_log(spark, sf), sub).select(*PLAIN)
+    return subs.select(fx.event_table(spark, sf), sub).select(*PLAIN)
 
 
 @query("a20_assignment_with_offset_stream", on_log(FROM_OFFSETS_SQL))
@@ -400,7 +400,7 @@ FROM_TIMES_SQL = on_log(
 def _(spark, sf):
     committed = meta.latest_commits(fx.commits(spark, sf))
     sub = subs.assignment_offsets_for_times(FROM_TIMES)
-    return subs.select(fx.jittered_log(spark, sf), sub, committed=committed).select(*PLAIN)
+    return subs.select(fx.jittered_table(spark, sf), sub, committed=committed).select(*PLAIN)
 
 
 def _resolve_sql(fallback: str) -> str:
@@ -413,7 +413,7 @@ def _resolve_sql(fallback: str) -> str:
 
 
 def _resolved(spark, sf, reset):
-    ranges = meta.offset_range(fx.event_log(spark, sf))
+    ranges = meta.offset_range(fx.event_table(spark, sf))
     explicit = F.when(F.col("topic") == "ev-view", F.col("end_offset") - 10)
     return subs.resolve_start(
         ranges.withColumn("wanted", explicit),
@@ -441,7 +441,7 @@ def _group_sql(group: str) -> str:
 
 @query("a23_resume_group", _group_sql("g1"))
 def _(spark, sf):
-    records = source.for_group(fx.event_log(spark, sf), fx.commits(spark, sf), "g1")
+    records = source.for_group(fx.event_table(spark, sf), fx.commits(spark, sf), "g1")
     return records.select(*model.TP, "offset", "value")
 
 

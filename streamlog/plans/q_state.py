@@ -22,19 +22,22 @@ GTP = f"group_id, {TP}"
 @query("d01_list_topics", on_log("""SELECT topic, string_agg("partition"::VARCHAR, ',' ORDER BY "partition") AS partitions
   FROM (SELECT DISTINCT topic, "partition" FROM log) GROUP BY topic"""))
 def _(spark, sf):
-    listed = meta.list_topics(fx.event_log(spark, sf))
+    listed = meta.list_topics(fx.event_table(spark, sf))
     return listed.select("topic", F.array_join(F.col("partitions").cast("array<string>"), ",").alias("partitions"))
 
 
-@query("d02_partitions_for", on_log(f"SELECT DISTINCT {TP} FROM log WHERE topic = 'ev-click'"))
+@query("d01_list_topics_declared", on_log("""SELECT topic, string_agg("partition"::VARCHAR, ',' ORDER BY "partition") AS partitions
+  FROM (SELECT topic, "partition" FROM log UNION SELECT 'ev-signup', p FROM (VALUES (4), (5)) AS v(p)
+    UNION SELECT 'ev-silent', p FROM (VALUES (0), (1)) AS v(p)) GROUP BY topic"""))
 def _(spark, sf):
-    return meta.partitions_for(fx.event_log(spark, sf), "ev-click")
+    """Topic-partitions that hold no record are listed too."""
+    listed = meta.list_topics(fx.declared_table(spark, sf))
+    return listed.select("topic", F.array_join(F.col("partitions").cast("array<string>"), ",").alias("partitions"))
 
 
-def retained(spark, sf):
-    """The log after retention removed the first hours of January."""
-    late = F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")
-    return fx.event_log(spark, sf).filter(F.col("timestamp") >= late)
+@query("d02_partitions_for", on_log(f"SELECT DISTINCT {TP} FROM log WHERE topic = 'ev-click'"))
+def _(spark, sf):
+    return meta.partitions_for(fx.event_table(spark, sf), "ev-click")
 
 
 RETAINED = """retained AS (SELECT * FROM log WHERE "timestamp" >= TIMESTAMP '2024-01-03')"""
@@ -54,19 +57,27 @@ ASKED = f"asked AS (SELECT DISTINCT {TP} FROM log UNION SELECT DISTINCT topic, 9
 @query("d03_beginning_offsets", on_log(f"""SELECT {TP}, coalesce(min("offset"), 0) AS begin_offset FROM asked
   LEFT JOIN retained USING ({TP}) GROUP BY ALL""", RETAINED, ASKED))
 def _(spark, sf):
-    return meta.beginning_offsets(retained(spark, sf), asked(spark, sf))
+    return meta.beginning_offsets(fx.retained_table(spark, sf), asked(spark, sf))
 
 
 @query("d04_end_offsets", on_log(f"""SELECT {TP}, coalesce(max("offset") + 1, 0) AS end_offset FROM asked
   LEFT JOIN log USING ({TP}) GROUP BY ALL""", ASKED))
 def _(spark, sf):
-    return meta.end_offsets(fx.event_log(spark, sf), asked(spark, sf))
+    return meta.end_offsets(fx.event_table(spark, sf), asked(spark, sf))
+
+
+@query("d04_end_offsets_declared", on_log(f"""SELECT {TP}, max("offset") + 1 AS end_offset FROM log GROUP BY ALL
+  UNION ALL SELECT 'ev-signup', p, 0 FROM (VALUES (4), (5)) AS v(p) UNION ALL SELECT 'ev-silent', p, 0 FROM (VALUES (0), (1)) AS v(p)"""))
+def _(spark, sf):
+    """An empty topic-partition is known, and ends at 0."""
+    table = fx.declared_table(spark, sf)
+    return meta.end_offsets(table, table.partitions(), strict=True)
 
 
 @query("d07_strict_lookup", on_log(f'SELECT {TP}, max("offset") + 1 AS end_offset FROM log GROUP BY ALL'))
 def _(spark, sf):
     """Every requested topic-partition is known; an unknown one would fail the query."""
-    return meta.end_offsets(fx.event_log(spark, sf), fx.partitions(spark, sf), strict=True)
+    return meta.end_offsets(fx.event_table(spark, sf), fx.partitions(spark, sf), strict=True)
 
 
 TIMES = """times AS (SELECT *, t0::TIMESTAMP AS "at" FROM (SELECT DISTINCT topic, "partition" FROM log),
@@ -83,7 +94,7 @@ def _(spark, sf):
     times = ["2024-01-01 00:00:00", "2024-01-10 06:00:00", "2024-01-25 00:00:00", "2030-01-01 00:00:00"]
     at = F.explode(F.array(*[F.lit(t).cast("timestamp_ntz") for t in times])).alias("at")
     wanted = fx.partitions(spark, sf).select(*model.TP, at)
-    found = meta.offsets_for_times(fx.jittered_log(spark, sf), wanted)
+    found = meta.offsets_for_times(fx.jittered_table(spark, sf), wanted)
     never = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return found.select(
         *model.TP, "at",
@@ -103,7 +114,7 @@ def _(spark, sf):
       FROM ends e LEFT JOIN (SELECT * FROM commits WHERE commit_seq = 2) c USING ({TP})""", COMMITS),
 )
 def _(spark, sf):
-    records = fx.event_log(spark, sf)
+    records = fx.event_table(spark, sf)
     sought = fx.partitions(spark, sf).filter("topic = 'ev-view'").withColumn("offset", F.lit(5))
     committed = meta.latest_commits(fx.commits(spark, sf))
     return meta.positions(records, fx.partitions(spark, sf), committed, sought, reset="latest")
@@ -117,7 +128,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     groups = fx.partitions(spark, sf).select(F.lit("g1").alias("group_id"), *model.TP)
-    lag = meta.consumer_lag(fx.event_log(spark, sf), fx.commits(spark, sf), groups)
+    lag = meta.consumer_lag(fx.event_table(spark, sf), fx.commits(spark, sf), groups)
     return lag.withColumn("committed_offset", F.coalesce("committed_offset", F.lit(-1)))
 
 

@@ -53,7 +53,7 @@ def apply_per_partition(
 
 
 def from_offset_table(
-    log: DataFrame, starts: DataFrame, *, committed: DataFrame | None = None,
+    log: meta.Log, starts: DataFrame, *, committed: DataFrame | None = None,
     reset: str = "earliest",
 ) -> DataFrame:
     """Start at ``starts(topic, partition, offset)``; others use the reset policy.
@@ -68,7 +68,7 @@ def from_offset_table(
 
 
 def committable_from_offset_table(
-    log: DataFrame, starts: DataFrame, group_id: str, *, metadata: Column | None = None, **options
+    log: meta.Log, starts: DataFrame, group_id: str, *, metadata: Column | None = None, **options
 ) -> DataFrame:
     return context.with_context(from_offset_table(log, starts, **options), group_id, metadata)
 

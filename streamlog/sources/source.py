@@ -1,7 +1,7 @@
 """Sources: a subscription applied to a log, with or without commit context.
 
-``log`` is a batch or streaming DataFrame with the record columns; see
-``log.read``, ``log.read_stream`` and ``kafka``.
+``log`` is a batch or streaming DataFrame with the record columns, see
+``log.read``, ``log.read_stream`` and ``kafka``, or a ``table.LogTable``.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from streamlog import model
 from streamlog.functions import context
 from streamlog.operators import meta
 from streamlog.sources import subs
+from streamlog.sources.table import LogTable
 from streamlog.workspace import measured
 
 
@@ -51,19 +52,24 @@ def committable(
     return context.with_context(plain(log, sub, **start), group_id, metadata)
 
 
-def shared_assignments(log: DataFrame, assignments: DataFrame) -> DataFrame:
-    """One scan serving many named assignments (assignment, topic, partition)."""
-    return log.join(measured(assignments.select("assignment", *model.TP)), model.TP)
+def shared_assignments(log: meta.Log, assignments: DataFrame) -> DataFrame:
+    """One scan, of the folders that are assigned, serving many named assignments (assignment, topic, partition)."""
+    named = measured(assignments.select("assignment", *model.TP), "assignments")
+    if isinstance(log, LogTable):
+        return log.of(named).join(named, model.TP)
+    # One row per topic-partition comes to the driver, which lists their folders anyway.
+    wanted = subs.assignment(*[(r["topic"], r["partition"]) for r in named.select(*model.TP).distinct().collect()])
+    return subs.select(log, wanted).join(named, model.TP)
 
 
 def committable_shared(
-    log: DataFrame, assignments: DataFrame, group_id: str, metadata: Column | None = None
+    log: meta.Log, assignments: DataFrame, group_id: str, metadata: Column | None = None
 ) -> DataFrame:
     return context.with_context(shared_assignments(log, assignments), group_id, metadata)
 
 
 def for_group(
-    log: DataFrame, committed: DataFrame, group_id: str, *, reset: str = "earliest"
+    log: meta.Log, committed: DataFrame, group_id: str, *, reset: str = "earliest"
 ) -> DataFrame:
     """What a new reader of ``group_id`` sees: records from its committed offsets on."""
     ends = meta.offset_range(log)

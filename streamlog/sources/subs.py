@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlog import model
+from streamlog.sources.table import LogTable
 from streamlog.workspace import local_table
 
 TopicPartition = tuple[str, int]
@@ -91,20 +92,23 @@ def _select_from_offsets(log: DataFrame, offsets: dict[TopicPartition, int]) ->
     return pruned.join(starts, model.TP).filter(F.col("offset") >= F.col("_start")).drop("_start")
 
 
-def _tp_table(log: DataFrame, partitions: tuple[TopicPartition, ...], **columns) -> DataFrame:
+def _tp_table(log: DataFrame | LogTable, partitions: tuple[TopicPartition, ...], **columns) -> DataFrame:
     topics_, numbers = [t for t, _ in partitions], [p for _, p in partitions]
     return local_table(
-        log.sparkSession,
+        log.spark if isinstance(log, LogTable) else log.sparkSession,
         {"topic": pa.array(topics_, pa.string()), "partition": pa.array(numbers, pa.int32()), **columns},
     )
 
 
-def from_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
+def from_starts(log: DataFrame | LogTable, starts: DataFrame) -> DataFrame:
     """Records at or after ``starts(topic, partition, start)``; other tps are left out.
 
+    A ``LogTable`` is cut at the start of each topic-partition, a DataFrame at the least one.
     The starts, one row per topic-partition of the log, come to the driver, which
     lists the folders of the log anyway: so the scan is pruned by literals.
     """
+    if isinstance(log, LogTable):
+        return log.from_starts(starts)
     rows = starts.select(*model.TP, "start").filter("start IS NOT NULL").collect()
     return _select_from_offsets(log, {(r["topic"], r["partition"]): r["start"] for r in rows})
 
@@ -124,14 +128,34 @@ def starts_for_times(log: DataFrame, times: DataFrame) -> DataFrame:
     return times.select(*model.TP).join(found, model.TP, "left")
 
 
-def times_table(log: DataFrame, times: dict[TopicPartition, str]) -> DataFrame:
+def times_table(log: DataFrame | LogTable, times: dict[TopicPartition, str]) -> DataFrame:
     texts = pa.array([str(at) for at in times.values()], pa.string())
     table = _tp_table(log, tuple(times), at=texts)
-    return table.withColumn("at", F.col("at").cast(log.schema["timestamp"].dataType))
+    schema = model.LOG if isinstance(log, LogTable) else log.schema
+    return table.withColumn("at", F.col("at").cast(schema["timestamp"].dataType))
+
+
+def _select_from_table(
+    log: LogTable, sub: Subscription, committed: DataFrame | None, reset: str
+) -> DataFrame:
+    """``select`` by the manifest: only files that hold wanted records are listed."""
+    match sub:
+        case Topics(names):
+            return log.of_topics(F.col("topic").isin(*names))
+        case TopicPattern(pattern):
+            return log.of_topics(F.col("topic").rlike(f"^(?:{pattern})$"))
+        case Assignment(partitions):
+            return log.of(_tp_table(log, partitions))
+        case AssignmentWithOffset(offsets):
+            return log.from_starts(_tp_table(log, tuple(offsets), start=pa.array(list(offsets.values()), pa.int64())))
+        case AssignmentForTimes(times):
+            sought = log.starts_for_times(times_table(log, times))
+            return log.from_starts(resolve_start(sought, committed, reset=reset, explicit="start"))
+    raise TypeError(f"not a subscription: {sub!r}")
 
 
 def select(
-    log: DataFrame,
+    log: DataFrame | LogTable,
     sub: Subscription,
     *,
     batch_log: DataFrame | None = None,
@@ -145,6 +169,8 @@ def select(
     offset on, a topic-partition is read whole: this is no timestamp filter. A
     topic-partition without a match resumes as in ``resolve_start``.
     """
+    if isinstance(log, LogTable):
+        return _select_from_table(log, sub, committed, reset)
     match sub:
         case Topics(names):
             return log.filter(F.col("topic").isin(*names))
