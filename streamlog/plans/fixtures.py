@@ -286,7 +286,8 @@ def transactional_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
             part.select("txn_id", "status").coalesce(1).write.mode("append").parquet(f"{path}/decisions")
 
     path = _once(spark, sf_dir, "transactional-stream", build)
-    records = spark.readStream.schema(TXN_STREAM).option("maxFilesPerTrigger", 20).parquet(f"{path}/records")
+    files = len(spark.read.schema(TXN_STREAM).parquet(f"{path}/records").inputFiles())
+    records = spark.readStream.schema(TXN_STREAM).option("maxFilesPerTrigger", max(1, files // APPENDS)).parquet(f"{path}/records")
     decisions = spark.readStream.schema(DECISIONS).option("maxFilesPerTrigger", 1).parquet(f"{path}/decisions")
     return records, decisions
 
