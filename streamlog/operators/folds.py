@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlog.workspace import materialize
+
 CHUNK_BITS = 17
 GROUP_BITS = 10  # chunks whose tables are chained in one task
 
@@ -212,6 +214,8 @@ def safe_polls(
         .withColumn("_group", F.shiftright("_chunk", group_bits))
     )
 
+    tables = materialize(tables, "poll-tables")  # chained and joined below
+
     def compose(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_chunk")
         chunks = list(zip(frame["_upto"], frame["_exit"]))

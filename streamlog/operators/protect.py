@@ -81,6 +81,8 @@ def judge_polls(
     if time_threshold is None:
         return polls.withColumn("safe", ~rewound)
 
+    # Narrow, one row per poll, and read by several steps below: judged once, from one scan of the records.
+    polls = measured(polls, "polls")
     span = int(time_threshold / datetime.timedelta(microseconds=1))
     forever = F.lit((1 << 62))
     earliest = F.least(_micros(F.col("first_timestamp")), _micros(F.col("last_timestamp")))
