@@ -200,13 +200,11 @@ def transactional_flow(
     spark = log.sparkSession
     out = OutputLog(spark, root)
 
-    @functools.cache
-    def own_id() -> str:
-        return query_id(spark, checkpoint)
+    claimed = txn.claim_once(out, writer, checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         staged = txn.commit_batch(
-            out, process(batch), writer, batch_id, partitions=partitions, before_publish=before_publish, query_id=own_id()
+            out, process(batch), writer, batch_id, partitions=partitions, before_publish=before_publish, **claimed()
         )
         if staged is not None and on_results is not None:
             on_results(staged, batch_id)

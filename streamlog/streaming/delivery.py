@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamlog import model
 from streamlog.functions import envelope
+from streamlog.streaming import txn
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import query_id, read_if_exists, scratch
+from streamlog.workspace import read_if_exists, scratch
 
 Write = Callable[[DataFrame, int], None]
 
@@ -152,12 +152,10 @@ def external_offsets(
     """
     out = OutputLog(stream.sparkSession, root)
 
-    @functools.cache
-    def own_id() -> str:
-        return query_id(out.spark, checkpoint)
+    claimed = txn.claim_once(out, writer, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = own_id()
+        query, epoch = claimed()["query_id"], claimed()["epoch"]
         if out.is_published(writer, batch_id, query):
             return
         reached = batch.groupBy(*model.TP).agg((F.max("offset") + 1).alias("offset"))
@@ -166,10 +164,10 @@ def external_offsets(
             F.lit(model.NO_METADATA).alias("metadata"),
         )
         with scratch(out.spark):
-            staged = out.stage(update(batch, batch_id), writer, batch_id, ["seq"])
+            staged = out.stage(update(batch, batch_id), writer, batch_id, ["seq"], epoch=epoch)
             if before_publish is not None:
                 before_publish(batch_id)
-            out.publish(staged, reached, writer, batch_id, query)
+            out.publish(staged, reached, writer, batch_id, query, epoch=epoch)
 
     return _start(stream, write, checkpoint, trigger)
 

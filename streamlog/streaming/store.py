@@ -1,20 +1,26 @@
 """An output log that many writers fill batch by batch.
 
 A batch of a writer is two folders: its records, and one small commit file with
-all source offsets the writer has covered and all ends of its output. Readers
-take batches up to the newest commit file of a writer, so records and offsets
-become visible together when that file is renamed into place. A batch that failed
-before that is written again and replaces what it left; a published one is never
-written twice. The newest file is all that a micro-batch reads, and older ones
-are deleted, so the cost of a micro-batch does not grow with their number.
+all source offsets the writer has covered and all ends of its output. Both become
+visible together by one numbered file, the publication, which names for each writer
+the batches that count. It is created only if its number is free: of two writers
+that publish at the same moment one finds the number taken, looks again at what is
+published by then, and either takes the next number or fails. A batch that failed
+before that is written again; a published one is never written twice. The newest
+publication and the commit files it names are all that a micro-batch reads, and
+older ones are deleted, so its cost does not grow with their number.
 
 ``writer`` names one streaming query, whose id is kept with its commits. Writers
 share an output log if no topic-partition is written by more than one of them at
-a time; a writer whose offsets meet another one's fails when it publishes.
+a time; a writer whose offsets meet another one's fails when it publishes. Each
+start of a writer claims the next epoch, which fences earlier starts that still
+run: they stage into folders of their own epoch, which no reader takes from then
+on, and fail when they publish.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +30,13 @@ from pyspark.sql import types as T
 from streamlog import model
 from streamlog.functions import partitioner
 from streamlog.sources import log
-from streamlog.workspace import delete, has_files, list_names, list_numbers, measured, read_if_exists
+from streamlog.workspace import create_file, delete, list_numbers, read_if_exists, read_text
 
-_BATCH = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+_BATCH = [
+    T.StructField("writer", T.StringType()),
+    T.StructField("epoch", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+]
 
 RECORDS = T.StructType(
     [
@@ -50,12 +60,13 @@ COMMITS = T.StructType(
         T.StructField("metadata", T.StringType()),
         T.StructField("writer", T.StringType()),
         T.StructField("query", T.StringType()),
+        T.StructField("epoch", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
-BATCH_KEYS = ["writer", "batch_id"]
-# Newest commit files of a writer that are kept.
+BATCH_KEYS = ["writer", "epoch", "batch_id"]
+# Newest publications, and commit files of a writer, that are kept.
 KEPT_COMMITS = 5
 
 
@@ -64,29 +75,74 @@ class OutputLog:
     spark: SparkSession
     root: str
 
+    def _published(self) -> tuple[int, dict[str, dict]]:
+        """Number of the newest publication, -1 for none, and what it says of each writer.
+
+        ``query`` and ``epoch`` of its latest start, ``batch_id`` and ``commit`` of
+        its last batch, and in ``last`` the last batch of each epoch that has one.
+        """
+        numbers = list_numbers(self.spark, f"{self.root}/published", "")
+        if not numbers:
+            return -1, {}
+        return numbers[-1], json.loads(read_text(self.spark, f"{self.root}/published/{numbers[-1]}"))
+
+    def _publish_next(self, number: int, writers: dict[str, dict]) -> bool:
+        """Follow publication ``number``; False if another one has followed it already."""
+        if not create_file(self.spark, f"{self.root}/published/{number + 1}", json.dumps(writers)):
+            return False
+        kept = list_numbers(self.spark, f"{self.root}/published", "")
+        if number >= 0 and number not in kept:
+            # So many have followed that the number was free again; readers take the newest.
+            delete(self.spark, f"{self.root}/published/{number + 1}")
+            return False
+        for old in kept[:-KEPT_COMMITS]:
+            delete(self.spark, f"{self.root}/published/{old}")
+        return True
+
+    def _own(self, writers: dict[str, dict], writer: str, query_id: str | None) -> dict:
+        """What is published of ``writer``; fails if it belongs to another query than ``query_id``."""
+        mine = writers.get(writer, {"query": str(query_id), "epoch": 0, "batch_id": -1, "commit": None, "last": {}})
+        if mine["query"] != str(query_id):
+            raise RuntimeError(
+                f"writer {writer} of {self.root} belongs to query {mine['query']}, not to {query_id}:"
+                " continue with its checkpoint, or use another writer name"
+            )
+        return mine
+
+    def claim(self, writer: str, query_id: str | None = None) -> int:
+        """Begin a new epoch of ``writer`` and fence all earlier ones; what they left unpublished is deleted."""
+        while True:
+            number, writers = self._published()
+            mine = self._own(writers, writer, query_id)
+            epoch = mine["epoch"] + 1
+            if self._publish_next(number, writers | {writer: mine | {"epoch": epoch}}):
+                break
+        before = f"{self.root}/records/writer={writer}/epoch={epoch - 1}"
+        for batch in list_numbers(self.spark, before, "batch_id="):
+            if batch > mine["last"].get(str(epoch - 1), -1):
+                delete(self.spark, f"{before}/batch_id={batch}")
+        return epoch
+
     def commits(self) -> DataFrame:
         """The newest commit file of each writer; it holds all that the writer has reached."""
-        newest = []
-        for writer, query in self._queries():
-            folder = f"{self.root}/commits/{writer}/{query}"
-            numbers = list_numbers(self.spark, folder, "batch_id=")
-            published = (f"{folder}/batch_id={n}" for n in reversed(numbers))
-            newest += [path for path in published if has_files(self.spark, path)][:1]
+        return self._commits(self._published()[1])
+
+    def _commits(self, writers: dict[str, dict]) -> DataFrame:
+        newest = [f"{self.root}/{mine['commit']}" for mine in writers.values() if mine["commit"]]
         if not newest:
             return self.spark.createDataFrame([], COMMITS)
         return self.spark.read.schema(COMMITS).option("basePath", f"{self.root}/commits").parquet(*newest)
 
-    def _queries(self) -> list[tuple[str, str]]:
-        """Folder names of all writers and their queries; no job is started."""
-        writers = list_names(self.spark, f"{self.root}/commits", "writer=")
-        return [(w, q) for w in writers for q in list_names(self.spark, f"{self.root}/commits/{w}", "query=")]
-
     def records(self) -> DataFrame:
-        """Records of committed batches: a writer publishes its batches in order."""
+        """Records of committed batches: a writer publishes its batches in order.
+
+        The batches that count are one row per writer and start, known to the driver.
+        """
         stored = read_if_exists(self.spark, f"{self.root}/records", RECORDS)
-        newest = self.commits().filter("kind = 'batch'").select("writer", F.col("batch_id").alias("_last"))
-        reached = stored.join(measured(newest), "writer").filter("batch_id <= _last").drop("_last")
-        return reached.select(*RECORDS.fieldNames())
+        last = [(w, int(e), n) for w, mine in self._published()[1].items() for e, n in mine["last"].items()]
+        reached = self.spark.createDataFrame(last, "writer string, epoch long, _last long")
+        counted = stored.join(reached, ["writer", "epoch"]).filter("batch_id <= _last").drop("_last")
+        return counted.select(*RECORDS.fieldNames())
 
     def last_batch(self, writer: str, query_id: str | None = None) -> int:
         """Number of the last batch published by ``writer``, -1 for none.
@@ -94,22 +150,11 @@ class OutputLog:
         Fails if another query than ``query_id`` published it: its batches are
         numbered by another checkpoint, so numbers cannot be compared.
         """
-        queries = [q.removeprefix("query=") for w, q in self._queries() if w == f"writer={writer}"]
-        for other in queries:
-            if other != str(query_id):
-                raise RuntimeError(
-                    f"writer {writer} of {self.root} belongs to query {other}, not to {query_id}:"
-                    " continue with its checkpoint, or use another writer name"
-                )
-        numbers = list_numbers(self.spark, f"{self.root}/commits/writer={writer}/query={query_id}", "batch_id=")
-        return max((n for n in numbers if has_files(self.spark, self._commit_path(writer, query_id, n))), default=-1)
+        return self._own(self._published()[1], writer, query_id)["batch_id"]
 
     def is_published(self, writer: str, batch_id: int, query_id: str | None = None) -> bool:
         return batch_id <= self.last_batch(writer, query_id)
 
-    def _commit_path(self, writer: str, query_id: str | None, batch_id: int) -> str:
-        return f"{self.root}/commits/writer={writer}/query={query_id}/batch_id={batch_id}"
-
     def ends(self) -> DataFrame:
         """End offset per topic-partition, from the commit files alone."""
         return (
@@ -135,12 +180,12 @@ class OutputLog:
 
     def stage(
         self, records: DataFrame, writer: str, batch_id: int, order_by: list[str], *,
-        partitions: int | None = None,
+        partitions: int | None = None, epoch: int = 0,
     ) -> log.Placed:
         """Write a batch's records with offsets; nobody sees them yet.
 
         Records without a partition get that of their key, which needs the number
-        of ``partitions``.
+        of ``partitions``. ``epoch``: what ``claim`` returned, 0 without a claim.
         """
         choices = [F.col("partition")]
         if partitions is not None:
@@ -151,7 +196,7 @@ class OutputLog:
             order_by=order_by,
             base=self._local_ends(),
         )
-        path = f"{self.root}/records/writer={writer}/batch_id={batch_id}"
+        path = f"{self.root}/records/writer={writer}/epoch={epoch}/batch_id={batch_id}"
         # No folders per topic-partition: a micro-batch would be cut into tiny files.
         # The files are sorted by it, so their statistics prune.
         (
@@ -163,20 +208,49 @@ class OutputLog:
         return log.Placed(self.spark.read.schema(schema).parquet(path), placed.ends)
 
     def publish(
-        self, staged: log.Placed, source: DataFrame, writer: str, batch_id: int, query_id: str | None = None
+        self, staged: log.Placed, source: DataFrame, writer: str, batch_id: int, query_id: str | None = None, *,
+        epoch: int = 0,
     ) -> None:
         """Make a staged batch visible together with the source offsets it covers.
 
-        One file with a row per topic-partition that the writer has ever reached,
+        One commit file with a row per topic-partition that the writer has ever reached,
         one per source topic-partition, and one for the batch itself; the driver puts
         it together, so it sees as many rows as there are topic-partitions. Older files
         of the writer are then of no use and go, but for the last few, which
-        readers may still have open. Fails if another writer has meanwhile published
-        offsets that this batch gives out too. Two writers that publish in the same
-        moment are not seen: a topic-partition should have one writer at a time.
+        readers may still have open. Fails if the writer has been claimed again since
+        ``epoch``, or if another writer has meanwhile published offsets that this batch
+        gives out too. If others publish at the same moment, all is checked again.
         """
-        before = self.commits().collect()
         ends = {(r["topic"], r["partition"]): r for r in staged.ends.collect()}
+        offsets = source.select(*model.GTP, "offset", "metadata").collect()
+        commit = f"commits/writer={writer}/query={query_id}/epoch={epoch}/batch_id={batch_id}"
+        tried = False
+        while True:
+            number, writers = self._published()
+            mine = self._own(writers, writer, query_id)
+            if mine["epoch"] != epoch:
+                raise RuntimeError(f"writer {writer} of {self.root} is fenced: epoch {epoch}, claimed since by {mine['epoch']}")
+            if tried and mine["commit"] == commit:
+                return
+            before = self._commits(writers).collect()
+            self._require_free(before, ends, writer)
+            reached = {tuple(r[:4]): tuple(r[4:6]) for r in before if r["writer"] == writer and r["kind"] != "batch"}
+            reached |= {("end", None, *tp): (r["end_offset"], None) for tp, r in ends.items()}
+            for row in offsets:
+                key = ("source", row["group_id"], row["topic"], row["partition"])
+                if row["offset"] >= reached.get(key, (row["offset"],))[0]:
+                    reached[key] = (row["offset"], row["metadata"])
+            rows = [(*key, *value) for key, value in reached.items()] + [("batch", None, None, None, None, None)]
+            table = self.spark.createDataFrame(rows, T.StructType(COMMITS.fields[:6]))
+            table.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{commit}")
+            last = mine["last"] | {str(epoch): batch_id}
+            if self._publish_next(number, writers | {writer: mine | {"batch_id": batch_id, "commit": commit, "last": last}}):
+                break
+            tried = True
+        self._drop_commits(f"{self.root}/commits/writer={writer}/query={query_id}", epoch, batch_id - KEPT_COMMITS)
+
+    def _require_free(self, before: list, ends: dict, writer: str) -> None:
+        """Fail if another writer has published offsets that this batch gives out too."""
         for row in before:
             mine = ends.get((row["topic"], row["partition"]))
             if row["kind"] == "end" and row["writer"] != writer and mine and mine["first_offset"] < row["offset"]:
@@ -184,15 +258,12 @@ class OutputLog:
                     f"{row['topic']}/{row['partition']} of {self.root}: writer {row['writer']} has published offsets"
                     f" up to {row['offset']}, this batch of {writer} starts at {mine['first_offset']}"
                 )
-        reached = {tuple(r[:4]): tuple(r[4:6]) for r in before if r["writer"] == writer and r["kind"] != "batch"}
-        reached |= {("end", None, *tp): (r["end_offset"], None) for tp, r in ends.items()}
-        for row in source.select(*model.GTP, "offset", "metadata").collect():
-            key = ("source", row["group_id"], row["topic"], row["partition"])
-            if row["offset"] >= reached.get(key, (row["offset"],))[0]:
-                reached[key] = (row["offset"], row["metadata"])
-        rows = [(*key, *value) for key, value in reached.items()] + [("batch", None, None, None, None, None)]
-        table = self.spark.createDataFrame(rows, T.StructType(COMMITS.fields[:6]))
-        table.coalesce(1).write.mode("overwrite").parquet(self._commit_path(writer, query_id, batch_id))
-        for old in list_numbers(self.spark, f"{self.root}/commits/writer={writer}/query={query_id}", "batch_id="):
-            if old <= batch_id - KEPT_COMMITS:
-                delete(self.spark, self._commit_path(writer, query_id, old))
+
+    def _drop_commits(self, folder: str, epoch: int, last: int) -> None:
+        """Delete commit files of batches up to ``last``, and what earlier epochs leave empty."""
+        for e in list_numbers(self.spark, folder, "epoch="):
+            batches = list_numbers(self.spark, f"{folder}/epoch={e}", "batch_id=")
+            for old in (b for b in batches if b <= last):
+                delete(self.spark, f"{folder}/epoch={e}/batch_id={old}")
+            if e < epoch and all(b <= last for b in batches):
+                delete(self.spark, f"{folder}/epoch={e}")

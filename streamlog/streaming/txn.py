@@ -81,11 +81,23 @@ def require_single_group(offsets: DataFrame) -> DataFrame:
     return offsets.coalesce(1).withColumn("group_id", checked)
 
 
+def claim_once(out: OutputLog, writer: str, checkpoint: str) -> Callable[[], dict]:
+    """The query that owns ``checkpoint`` and the epoch it claims for ``writer``, at its first micro-batch."""
+
+    @functools.cache
+    def claimed() -> dict:
+        owner = query_id(out.spark, checkpoint)
+        return {"query_id": owner, "epoch": out.claim(writer, owner)}
+
+    return claimed
+
+
 def commit_batch(
     out: OutputLog, envelopes: DataFrame, writer: str, batch_id: int, *,
     partitions: int | None = None,
     before_publish: Callable[[int], None] | None = None,
     query_id: str | None = None,
+    epoch: int = 0,
 ) -> DataFrame | None:
     """One transaction: stage the records, then publish them with the offsets.
 
@@ -105,12 +117,12 @@ def commit_batch(
         with scratch(out.spark):
             staged = out.stage(
                 sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
-                partitions=partitions,
+                partitions=partitions, epoch=epoch,
             )
             if before_publish is not None:
                 before_publish(batch_id)
             offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
-            out.publish(staged, require_single_group(offsets), writer, batch_id, query_id)
+            out.publish(staged, require_single_group(offsets), writer, batch_id, query_id, epoch=epoch)
     finally:
         envelopes.unpersist()
     return staged.records
@@ -129,20 +141,18 @@ def flow(
     transaction. A batch that failed before it was published is replayed under
     the same number and replaces what it had staged; one that was published is
     passed over. A writer belongs to one checkpoint: another one on the same writer
-    fails, as its numbers say nothing about what is published. ``on_results`` gets
-    the written records.
+    fails, as its numbers say nothing about what is published. Each start claims
+    the writer: an earlier start that still runs fails when it publishes.
+    ``on_results`` gets the written records.
     """
     spark: SparkSession = envelopes.sparkSession
     out = OutputLog(spark, root)
 
-    @functools.cache
-    def own_id() -> str:
-        return query_id(spark, checkpoint)
+    claimed = claim_once(out, writer, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         staged = commit_batch(
-            out, batch, writer, batch_id, partitions=partitions, before_publish=before_publish,
-            query_id=own_id(),
+            out, batch, writer, batch_id, partitions=partitions, before_publish=before_publish, **claimed()
         )
         if staged is not None and on_results is not None:
             on_results(staged, batch_id)

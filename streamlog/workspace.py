@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -115,6 +116,44 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name in list_names(spark, path))
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a whole file in place; False, and nothing changed, if there is one of that name.
+
+    It is written aside and renamed without overwriting, the way Spark commits
+    its own checkpoints, and is as atomic as that rename is on the file system.
+    """
+    fs, target = _file_system(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent()}-aside/{uuid.uuid4().hex}")
+    fs.mkdirs(target.getParent())
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    modes = getattr(hadoop, "Options$Rename")
+    strict = spark.sparkContext._gateway.new_array(modes, 1)
+    strict[0] = modes.NONE
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, target, strict)
+    except Py4JJavaError as error:
+        if not error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise
+        fs.delete(aside, False)
+        return False
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver without a job."""
+    fs, file = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, folder = _file_system(spark, path)
     fs.delete(folder, True)

@@ -10,7 +10,7 @@ from streamlog import model, workspace
 from streamlog.functions import envelope
 from streamlog.operators import progress, protect, verify
 from streamlog.sources import log, source, subs
-from streamlog.streaming import collect, committed, control, delivery, txn
+from streamlog.streaming import collect, committed, control, delivery, store, txn
 from streamlog.streaming.store import OutputLog
 
 NOW = {"availableNow": True}
@@ -146,19 +146,93 @@ def test_commit_files_do_not_pile_up(spark, tmp_path):
         )
         source_ = spark.createDataFrame([("g", "in", batch % 2, batch, "")], "group_id string, topic string, partition int, offset bigint, metadata string")
         out.publish(out.stage(rows, "w", batch, ["seq"]), source_, "w", batch, "q")
-    assert len(list((tmp_path / "out/commits/writer=w/query=q").glob("batch_id=*"))) == 5
+    assert len(list((tmp_path / "out/commits/writer=w/query=q/epoch=0").glob("batch_id=*"))) == 5
+    assert len([f for f in (tmp_path / "out/published").iterdir() if not f.name.startswith(".")]) == 5
     assert numbers(out.records()) == list(range(12)) and verify.gaps(out.records()).isEmpty()
     assert {r.partition: r.offset for r in out.source_offsets().collect()} == {0: 10, 1: 11}
     assert out.is_published("w", 11, "q") and not out.is_published("w", 12, "q")
 
 
-def test_writers_that_meet_fail(spark, tmp_path):
-    out = OutputLog(spark, str(tmp_path / "out"))
-    rows = spark.createDataFrame(
-        [("out", 0, datetime.datetime(2024, 1, 1), "k", "1", 1)],
+def one_record(spark, value, partition=0):
+    return spark.createDataFrame(
+        [("out", partition, datetime.datetime(2024, 1, 1), "k", value, 1)],
         "topic string, partition int, timestamp timestamp_ntz, key string, value string, seq bigint",
     )
-    none = spark.createDataFrame([], "group_id string, topic string, partition int, offset bigint, metadata string")
+
+
+def no_offsets(spark):
+    return spark.createDataFrame([], "group_id string, topic string, partition int, offset bigint, metadata string")
+
+
+def test_an_earlier_start_of_a_writer_is_fenced(spark, tmp_path):
+    out, none = OutputLog(spark, str(tmp_path / "out")), no_offsets(spark)
+    old = out.claim("w", "q")
+    out.publish(out.stage(one_record(spark, "1"), "w", 0, ["seq"], epoch=old), none, "w", 0, "q", epoch=old)
+    late = out.stage(one_record(spark, "2"), "w", 1, ["seq"], epoch=old)
+    new = out.claim("w", "q")
+    assert new == old + 1 and not (tmp_path / f"out/records/writer=w/epoch={old}/batch_id=1").exists()
+    out.publish(out.stage(one_record(spark, "3"), "w", 1, ["seq"], epoch=new), none, "w", 1, "q", epoch=new)
+    with pytest.raises(RuntimeError, match="is fenced: epoch 1, claimed since by 2"):
+        out.publish(late, none, "w", 1, "q", epoch=old)
+    # What the old start stages from now on lies beside what counts.
+    out.stage(one_record(spark, "4"), "w", 0, ["seq"], epoch=new + 5)
+    assert [(r.value, r.offset) for r in out.records().orderBy("offset").collect()] == [("1", 0), ("3", 1)]
+    assert out.last_batch("w", "q") == 1
+    with pytest.raises(RuntimeError, match="belongs to query q"):
+        out.claim("w", "another")
+
+
+@pytest.mark.parametrize("partition", [0, 1])
+def test_writers_that_publish_at_the_same_moment(spark, tmp_path, monkeypatch, partition):
+    """b publishes between the moment a looks and the moment it publishes; only other topic-partitions may."""
+    out, none = OutputLog(spark, str(tmp_path / "out")), no_offsets(spark)
+    mine, other = out.stage(one_record(spark, "1"), "a", 0, ["seq"]), out.stage(one_record(spark, "2", partition), "b", 0, ["seq"])
+    plain, waiting = store.create_file, [True]
+
+    def slow(*args):
+        if waiting.pop() if waiting else False:
+            out.publish(other, none, "b", 0)
+        return plain(*args)
+
+    monkeypatch.setattr(store, "create_file", slow)
+    if partition == 0:
+        with pytest.raises(RuntimeError, match="writer b has published offsets up to 1"):
+            out.publish(mine, none, "a", 0)
+        assert numbers(out.records()) == [2]
+    else:
+        out.publish(mine, none, "a", 0)
+        assert numbers(out.records()) == [1, 2]
+        assert {(r.partition, r.end_offset) for r in out.ends().collect()} == {(0, 1), (1, 1)}
+
+
+def test_writers_that_stand_still_do_not_publish_on_old_numbers(spark, tmp_path, monkeypatch):
+    """Others publish so often meanwhile that the number is deleted again."""
+    out, none = OutputLog(spark, str(tmp_path / "out")), no_offsets(spark)
+    out.claim("b", "q")
+    mine = out.stage(one_record(spark, "1"), "a", 0, ["seq"])
+    plain, waiting = store.create_file, [True]
+
+    def slow(*args):
+        if waiting.pop() if waiting else False:
+            for _ in range(store.KEPT_COMMITS + 2):
+                epoch = out.claim("b", "q")
+            out.publish(out.stage(one_record(spark, "2", 1), "b", 0, ["seq"], epoch=epoch), none, "b", 0, "q", epoch=epoch)
+        return plain(*args)
+
+    monkeypatch.setattr(store, "create_file", slow)
+    out.publish(mine, none, "a", 0)
+    assert numbers(out.records()) == [1, 2]
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "x/1")
+    assert [workspace.create_file(spark, path, text) for text in ("ä", "b")] == [True, False]
+    assert workspace.read_text(spark, path) == "ä"
+    assert not list((tmp_path / "x-aside").glob("[!.]*"))
+
+
+def test_writers_that_meet_fail(spark, tmp_path):
+    out, rows, none = OutputLog(spark, str(tmp_path / "out")), one_record(spark, "1"), no_offsets(spark)
     one, two = (out.stage(rows, w, 0, ["seq"]) for w in ("a", "b"))
     out.publish(one, none, "a", 0)
     with pytest.raises(RuntimeError, match="writer a has published offsets up to 1"):
