@@ -13,6 +13,8 @@ are lower-cased; punctuation and line ends never matter.
 
 Defined results: a null or empty text has no words, no labels and score 0. Every
 place counts, overlapping ones too. A template must begin with mandatory wording.
+A license whose wording was altered, cut or added to inside loses its label; text
+around it does not matter. A sentence that only names a license gets a label of its own.
 The score is m / (m + 4), where m is the largest number of words in any match.
 Only the id and the text are read.
 """
@@ -31,28 +33,78 @@ from pyspark.sql import functions as F
 #: Phrases that are labels by themselves.
 BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 
-#: Wording of common licenses and notices.
+_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+    WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;name="who";words=1-20>>
+    BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+    CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BULLET = '<<var;name="bullet";words=0-1>>'
+_BSD_CONDITIONS = f"""Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+    following conditions are met: {_BULLET} Redistributions of source code must retain the above copyright notice, this list of conditions
+    and the following disclaimer. {_BULLET} Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+    and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_NAMES = f"""{_BULLET} Neither the name of <<var;name="holder";words=1-20>> nor the names of its contributors may be used to endorse or
+    promote products derived from this software without specific prior written permission."""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY <<var;name="who";words=1-20>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+    BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+    <<var;name="who";words=1-20>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+    BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+    AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+    OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GPL_NOTICE = """This <<var;name="kind";words=1-3>> is free software<<beginOptional>>:<<endOptional>> you can redistribute it and/or modify it
+    under the terms of the GNU General Public License as published by the Free Software Foundation, either version {version} of the License,
+    or (at your option) any later version. This <<var;name="kind";words=1-3>> is distributed in the hope that it will be useful, but WITHOUT
+    ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
+    License for more details."""
+_CC_REFERENCE = """licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>>
+    <<beginOptional>>Creative Commons<<endOptional>> CC BY{terms} 4.0"""
+
+#: Whole licenses and standard notices; a label ending in "-reference" is a mention in a sentence.
 TEMPLATES = {
-    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;name="what";words=2-12>>
+    "mit": f"""Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;name="what";words=2-12>>
         <<beginOptional>> (the "Software")<<endOptional>>, to deal in the Software without restriction, including without
-        limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software""",
-    "mit-reference": "under the MIT License",
+        limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+        and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
+        notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all
+        copies or substantial portions of the Software. {_AS_IS}""",
     "isc": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose
         with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in
-        all copies""",
-    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met""",
-    "bsd-3-clause": """Neither the name of <<var;name="holder";words=1-12>> nor the names of its contributors may be used to
-        endorse or promote products derived from this software without specific prior written permission""",
-    "apache-2.0": """Licensed under the Apache License<<beginOptional>>, Version 2.0<<endOptional>>
-        <<beginOptional>>(the "License")<<endOptional>>""",
-    "gpl-notice": """licensed under the <<beginOptional>>terms of the<<endOptional>> <<beginOptional>>GNU<<endOptional>>
-        <<beginOptional>>Lesser<<endOptional>> <<beginOptional>>Affero<<endOptional>> General Public License
-        <<beginOptional>>, <<beginOptional>>either<<endOptional>> version <<var;name="version";words=1-2>><<endOptional>>""",
-    "cc-notice": """Licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>>
-        <<beginOptional>>Creative Commons<<endOptional>> CC BY <<var;name="terms";words=0-6>>
-        <<beginOptional>>International License<<endOptional>>""",
-    "public-domain": """This is free and unencumbered software released into the public domain""",
+        all copies. THE SOFTWARE IS PROVIDED "AS IS" AND <<var;name="who";words=1-20>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS
+        SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;name="who";words=1-20>> BE
+        LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
+        OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-2-clause": f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}",
+    "zlib": f"""This software is provided 'as-is', without any express or implied warranty. In no event will <<var;name="who";words=1-20>>
+        be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for
+        any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+        restrictions: {_BULLET} The origin of this software must not be misrepresented; you must not claim that you wrote the original
+        software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not
+        required. {_BULLET} Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+        software. {_BULLET} This notice may not be removed or altered from any source distribution.""",
+    "unlicense": f"""This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+        use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial
+        or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software
+        dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the
+        public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment
+        in perpetuity of all present and future rights to this software under copyright law. {_AS_IS}""",
+    "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at <<var;name="address";words=0-12>> Unless required by applicable law or
+        agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+        CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+        limitations under the License.""",
+    "gpl-2.0-or-later-notice": _GPL_NOTICE.format(version="2"),
+    "gpl-3.0-or-later-notice": _GPL_NOTICE.format(version="3"),
+    "mit-reference": "under the MIT License",
+    "apache-2.0-reference": "under the Apache License<<beginOptional>>, Version<<endOptional>> 2.0",
+    "gpl-reference": """licensed under the <<beginOptional>>terms of the<<endOptional>> <<beginOptional>>GNU<<endOptional>>
+        <<beginOptional>>Lesser<<endOptional>> <<beginOptional>>Affero<<endOptional>> General Public License""",
+    "cc-by-4.0-reference": _CC_REFERENCE.format(terms=""),
+    "cc-by-sa-4.0-reference": _CC_REFERENCE.format(terms="-SA"),
+    "cc-by-nc-4.0-reference": _CC_REFERENCE.format(terms="-NC"),
+    "cc-by-nd-4.0-reference": _CC_REFERENCE.format(terms="-ND"),
+    "cc-by-nc-sa-4.0-reference": _CC_REFERENCE.format(terms="-NC-SA"),
+    "cc-by-nc-nd-4.0-reference": _CC_REFERENCE.format(terms="-NC-ND"),
 }
 
 _SEPARATORS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).lower()  # bytes.lower: A-Z only

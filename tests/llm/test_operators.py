@@ -175,6 +175,72 @@ def test_templates_with_optional_and_replaced_wording():
     assert not any(map(match, ["start here end", "start here a b c end", "start there x end", "start here maybe really x y z end", "start here x"]))
 
 
+def naive_labels(text, templates):
+    """Labels and the longest match in words, by one regular expression over whole words for each template."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    spaced, found, longest = "".join(w + " " for w in words), set(), 0
+    starts = [0, *(m.end() for m in re.finditer(" ", spaced))]
+    for label, template in templates.items():
+        pattern = ""
+        for k, piece in enumerate(re.split("<<([^>]*)>>", template)):
+            if k % 2 == 0:
+                pattern += "".join(re.escape(w) + " " for w in re.findall("[a-z0-9]+", piece.lower()))
+            elif piece.startswith("var"):
+                pattern += r"(?:\S+ ){" + ",".join(re.search(r"words=(\d+)-(\d+)", piece).groups()) + "}"
+            else:
+                pattern += "(?:" if piece == "beginOptional" else ")?"
+        for at in starts:
+            # Greedy matches need not be the longest: every end is asked for.
+            for end in (e for e in starts if e > at and re.match(pattern, spaced[at:e])) if re.match(pattern, spaced[at:]) else ():
+                if re.fullmatch(pattern, spaced[at:end]):
+                    found.add(label)
+                    longest = max(longest, spaced[at:end].count(" "))
+    return ",".join(sorted(found)), longest
+
+
+def spelled_out(template, draw):
+    """A text that the template accepts."""
+    while "<<beginOptional>>" in template:
+        keep = draw.random() < 0.5
+        template = re.sub(r"<<beginOptional>>([^<]*)<<endOptional>>", lambda m: m[1] if keep else " ", template, count=1)
+    some = lambda m: " ".join(draw.choice(["Åke", "others", "inc", "7"]) for _ in range(draw.randint(int(m[1]), int(m[2]))))
+    return re.sub(r"<<var[^>]*words=(\d+)-(\d+)>>", some, template)
+
+
+def test_license_labels_against_a_naive_matcher(spark):
+    draw, texts, whole = random.Random(11), ["", None, "the the the"], []
+    templates = license_scan.BASE | license_scan.TEMPLATES
+    for label, template in license_scan.TEMPLATES.items():
+        for _ in range(2):
+            text = spelled_out(template, draw)
+            whole.append((len(texts), label))
+            texts.append(f"Some words before. {text} And some after.")
+            for _ in range(2):  # one word less, more, or other
+                words = text.split()
+                at = draw.randrange(len(words))
+                words[at:at + 1] = draw.choice([[], [words[at], "only"], ["perhaps"]])
+                texts.append(" ".join(words))
+    rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    got = {r["doc_id"]: r for r in rows}
+    for i, text in enumerate(texts):
+        labels, longest = naive_labels(text or "", templates)
+        assert (got[i]["labels"], got[i]["score"]) == (labels, longest / (longest + 4)), text
+    assert all(label in got[i]["labels"].split(",") for i, label in whole)
+
+
+def test_altered_conditions_lose_the_label(spark):
+    mit = spelled_out(license_scan.TEMPLATES["mit"], random.Random(1))
+    bsd = spelled_out(license_scan.TEMPLATES["bsd-3-clause"], random.Random(2))
+    texts = {
+        "Licensed under the Apache License, Version 1.1": "", "Licensed under the Apache License, Version 2.0.": "apache-2.0-reference",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0-reference", "Licensed under CC BY 4.0.": "cc-by,cc-by-4.0-reference",
+        mit: "mit", mit.replace("copies of the Software,", "copies of the Software, but only on Sundays,"): "",
+        mit[:mit.index("THE SOFTWARE IS")]: "", mit + " " + bsd: "bsd-3-clause,mit", bsd.replace("source and binary", "source"): "",
+    }
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    assert [r["labels"] for r in got] == [",".join(sorted(x.split(","))) for x in texts.values()]
+
+
 def test_pivot_buckets_and_flips_agree(spark):
     draw = random.Random(5)
     centre = draw.getrandbits(64)
