@@ -12,7 +12,7 @@ from streamlog import model
 from streamlog.functions import envelope
 from streamlog.streaming import txn
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import read_if_exists, scratch
+from streamlog.workspace import materialize, read_if_exists, scratch
 
 Write = Callable[[DataFrame, int], None]
 
@@ -111,12 +111,11 @@ def at_least_once(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # records and commits come from one evaluation
-        try:
+        with scratch(batch.sparkSession):
+            # Records and commits come from one evaluation, also if an executor is lost in between.
+            batch = materialize(batch, "envelopes")
             sink(envelope.explode_records(batch).drop("pos"), batch_id)
             commit(batch, batch_id)
-        finally:
-            batch.unpersist()
 
     return _start(envelopes, write, checkpoint, trigger)
 
@@ -128,13 +127,11 @@ def multi_sink(
     """Several effects on the same records, one commit after all of them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read the source once for all sinks
-        try:
+        with scratch(batch.sparkSession):
+            batch = materialize(batch, "records")  # all sinks get the same records, also if an executor is lost
             for sink in sinks:
                 sink(batch, batch_id)
             commit(batch, batch_id)
-        finally:
-            batch.unpersist()
 
     return _start(stream, write, checkpoint, trigger)
 

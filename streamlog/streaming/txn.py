@@ -13,7 +13,7 @@ from streamlog import model
 from streamlog.functions import context, envelope
 from streamlog.sources import subs
 from streamlog.streaming.store import OutputLog
-from streamlog.workspace import measured, query_id, scratch
+from streamlog.workspace import materialize, measured, query_id, scratch
 
 # Fixed default: how often a transaction is committed.
 COMMIT_INTERVAL = "100 milliseconds"
@@ -106,25 +106,23 @@ def commit_batch(
     """
     if out.is_published(writer, batch_id, query_id):
         return None
-    envelopes = envelopes.persist()  # records and offsets come from one evaluation
-    sends = envelope.explode_records(
-        envelopes,
-        F.col("ctx.topic").alias("_src_topic"),
-        F.col("ctx.partition").alias("_src_partition"),
-        F.col("ctx.offset").alias("_src_offset"),
-    )
-    try:
-        with scratch(out.spark):
-            staged = out.stage(
-                sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
-                partitions=partitions, epoch=epoch,
-            )
-            if before_publish is not None:
-                before_publish(batch_id)
-            offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
-            out.publish(staged, require_single_group(offsets), writer, batch_id, query_id, epoch=epoch)
-    finally:
-        envelopes.unpersist()
+    with scratch(out.spark):
+        # Records and offsets come from one evaluation, also if an executor is lost in between.
+        envelopes = materialize(envelopes, "envelopes")
+        sends = envelope.explode_records(
+            envelopes,
+            F.col("ctx.topic").alias("_src_topic"),
+            F.col("ctx.partition").alias("_src_partition"),
+            F.col("ctx.offset").alias("_src_offset"),
+        )
+        staged = out.stage(
+            sends, writer, batch_id, ["_src_topic", "_src_partition", "_src_offset", "pos"],
+            partitions=partitions, epoch=epoch,
+        )
+        if before_publish is not None:
+            before_publish(batch_id)
+        offsets = batch_offsets(envelopes.filter(F.col("ctx").isNotNull()).select("ctx.*"))
+        out.publish(staged, require_single_group(offsets), writer, batch_id, query_id, epoch=epoch)
     return staged.records
 
 
