@@ -10,7 +10,7 @@ parallel and then chained. The three steps are
 2. chain the tables of a key, which gives every chunk its entry state,
 3. replay each chunk from its entry state.
 
-Chaining is done in two levels, so no task holds the tables of a whole hot key.
+Chaining is done in levels, so no task holds the tables of a whole hot key.
 """
 
 from __future__ import annotations
@@ -27,34 +27,82 @@ from streamlog.workspace import materialize
 
 CHUNK_BITS = 17
 GROUP_BITS = 10  # chunks whose tables are chained in one task
+SIZE_GROUP_BITS = 5  # the same for tables of sizes, which may be large
 
 
 # -- closing by size ---------------------------------------------------------
-# State: the size collected since the last close, below the limit. A table is a
-# pair of arrays indexed by that state: the state afterwards, and closes seen.
-
-
-def _size_table(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+# State: the size collected since the last close, below the limit. A table cuts
+# the states into pieces, rows of an array: the first state of the piece, the
+# state it ends as, the closes seen, and 1 if later states of the piece end as
+# many states later, 0 if all end alike. It has no more pieces than the chunk has
+# rows plus one, and no more than ``limit``.
+
+
+def _joined(pieces: np.ndarray, limit: int) -> np.ndarray:
+    """The same table with as few pieces as neighbours allow."""
+    for slope in (0, 1):  # pieces that end alike first, then pieces in step
+        start, end, closes, _ = pieces
+        single = np.diff(start, append=limit) == 1  # a piece of one state has either slope
+        fits = single | (pieces[3] == slope)
+        in_step = np.diff(end) == slope * np.diff(start)
+        follows = np.r_[False, fits[1:] & fits[:-1] & in_step & (np.diff(closes) == 0)]
+        pieces[3] = np.where(np.r_[follows[1:], False], slope, np.where(single, 0, pieces[3]))
+        pieces = pieces[:, ~follows]
+    return pieces
+
+
+def _size_table(sizes: np.ndarray, limit: int) -> np.ndarray:
     n = len(sizes)
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    # Row at which a batch started fresh before row i is closed (n: not here).
-    closing = np.searchsorted(total[1:], total[:-1] + limit, side="left")
-    left = total[-1] - total
-    closes = np.zeros(n + 1, np.int64)
-    for i in range(n - 1, -1, -1):
-        if closing[i] < n:
-            left[i] = left[closing[i] + 1]
-            closes[i] = closes[closing[i] + 1] + 1
-    entry = np.arange(limit)
-    first = np.searchsorted(total[1:], limit - entry, side="left")
-    after = np.minimum(first + 1, n)
-    closed = first < n
-    return (
-        np.where(closed, left[after], entry + total[-1]),
-        np.where(closed, closes[after] + 1, 0),
+    total = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    # A batch that starts fresh before row i starts again before row jump[i];
+    # if the chunk does not close it, it stays there.
+    closing = np.searchsorted(total[1:], total + limit, side="left")
+    closes = (closing < n).astype(np.int64)
+    jump = np.where(closes == 1, closing + 1, np.arange(n + 1))
+    while (jump != jump[jump]).any():  # twice as far each time
+        closes, jump = closes + closes[jump], jump[jump]
+    left = total[-1] - total[jump]
+    # Row i closes the states from limit - total[i + 1] on that no later row of the chunk is needed for.
+    row = np.flatnonzero((np.diff(total) > 0) & (total[:-1] < limit))[::-1]
+    pieces = np.stack(
+        [np.maximum(limit - total[row + 1], 0), left[row + 1], closes[row + 1] + 1, np.zeros(len(row), np.int64)]
+    )
+    if total[-1] < limit:  # the lowest states are not closed
+        pieces = np.concatenate([[[0], [total[-1]], [0], [1]], pieces], axis=1)
+    return _joined(pieces, limit)
+
+
+def _size_then(first: np.ndarray, second: np.ndarray, limit: int) -> np.ndarray:
+    """The table of two chunks, one after the other."""
+    start, end, closes, slope = first
+    last = end + slope * (np.diff(start, append=limit) - 1)
+    low = np.searchsorted(second[0], end, side="right") - 1
+    parts = np.searchsorted(second[0], last, side="right") - low
+    of = np.repeat(np.arange(len(start)), parts)
+    piece = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+    state = np.maximum(end[of], second[0][piece])
+    ends = second[1][piece] + second[3][piece] * (state - second[0][piece])
+    return _joined(
+        np.stack([start[of] + state - end[of], ends, closes[of] + second[2][piece], slope[of] * second[3][piece]]),
+        limit,
     )
 
 
+def _size_step(state: int, pieces: np.ndarray) -> tuple[int, int]:
+    """The state a chunk leads to, and the batches it closes."""
+    at = int(np.searchsorted(pieces[0], state, side="right")) - 1
+    start, end, closes, slope = pieces[:, at].tolist()
+    return end + slope * (state - start), closes
+
+
+def _packed(pieces: np.ndarray) -> bytes:
+    return np.ascontiguousarray(pieces, "<i8").tobytes()
+
+
+def _unpacked(table: bytes) -> np.ndarray:
+    return np.frombuffer(table, "<i8").reshape(4, -1)
+
+
 def _replay_sizes(sizes: np.ndarray, limit: int, entry: int, closes: int) -> np.ndarray:
     numbers, total = np.empty(len(sizes), np.int64), np.cumsum(sizes)
     i, before = 0, -entry
@@ -68,12 +116,17 @@ def _replay_sizes(sizes: np.ndarray, limit: int, entry: int, closes: int) -> np.
 
 def batch_numbers(
     df: DataFrame, keys: list[str], seq: str, size: str, limit: int, *,
-    name: str = "batch", chunk_bits: int = CHUNK_BITS, group_bits: int = GROUP_BITS,
+    name: str = "batch", chunk_bits: int = CHUNK_BITS, group_bits: int = SIZE_GROUP_BITS,
 ) -> DataFrame:
     """Number of the batch each row falls into when batches close at ``limit``.
 
     Rows of a key are taken by ``seq`` (a unique integer); the row that makes the
     collected ``size`` reach ``limit`` is the last of its batch. Adds the number.
+    Sizes are not negative.
+
+    Tables of ``2 ** group_bits`` neighbours are chained into one until a key has a
+    single group, so a task holds that many tables of at most ``limit`` pieces of
+    32 bytes, and of no more pieces than their rows.
     """
     types, columns = dict(df.dtypes), df.columns
     key_ddl = ", ".join(f"`{k}` {types[k]}" for k in keys)
@@ -84,51 +137,51 @@ def batch_numbers(
 
     def tabulate(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_seq")
-        after, closes = _size_table(frame["_size"].to_numpy(), limit)
-        return frame[[*keys, "_chunk"]].head(1).assign(_after=[after], _closes=[closes])
-
-    tables = (
-        rows.groupBy(*keys, "_chunk")
-        .applyInPandas(tabulate, f"{key_ddl}, _chunk bigint, _after array<bigint>, _closes array<bigint>")
-        .withColumn("_group", F.shiftright("_chunk", group_bits))
-    )
+        table = _packed(_size_table(frame["_size"].to_numpy(), limit))
+        return frame[[*keys, "_chunk"]].head(1).assign(_table=[table])
 
     def compose(frame: pd.DataFrame) -> pd.DataFrame:
-        state, closes = np.arange(limit), np.zeros(limit, np.int64)
-        ordered = frame.sort_values("_chunk")
-        for after, more in zip(ordered["_after"], ordered["_closes"]):
-            closes = closes + np.asarray(more)[state]
-            state = np.asarray(after)[state]
-        return frame[[*keys, "_group"]].head(1).assign(_after=[state], _closes=[closes])
+        tables = frame.sort_values("_chunk")["_table"]
+        whole = _unpacked(tables.iloc[0])
+        for table in tables.iloc[1:]:
+            whole = _size_then(whole, _unpacked(table), limit)
+        return frame[[*keys, "_group"]].head(1).assign(_table=[_packed(whole)])
 
-    def chain(order: str, out: list[str]):
-        def run(frame: pd.DataFrame) -> pd.DataFrame:
-            start = "_entry" in frame.columns
-            frame = frame.sort_values(order)
-            state = int(frame["_entry"].iloc[0]) if start else 0
-            closes = int(frame["_before"].iloc[0]) if start else 0
-            entries, before = [], []
-            for after, more in zip(frame["_after"], frame["_closes"]):
-                entries.append(state)
-                before.append(closes)
-                state, closes = int(after[state]), closes + int(more[state])
-            return frame[out].assign(_entry=entries, _before=before)
-
-        return run
-
-    group_tables = tables.groupBy(*keys, "_group").applyInPandas(
-        compose, f"{key_ddl}, _group bigint, _after array<bigint>, _closes array<bigint>"
-    )
-    group_entries = group_tables.groupBy(*keys).applyInPandas(
-        chain("_group", [*keys, "_group"]), f"{key_ddl}, _group bigint, _entry bigint, _before bigint"
-    )
-    entries = (
-        tables.join(group_entries, [*keys, "_group"])
-        .groupBy(*keys, "_group")
-        .applyInPandas(
-            chain("_chunk", [*keys, "_chunk"]), f"{key_ddl}, _chunk bigint, _entry bigint, _before bigint"
+    def chain(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_chunk")
+        state, closes = int(frame["_entry"].iloc[0]), int(frame["_before"].iloc[0])
+        entries, before = [], []
+        for table in frame["_table"]:
+            entries.append(state)
+            before.append(closes)
+            state, more = _size_step(state, _unpacked(table))
+            closes += more
+        return frame[[*keys, "_chunk"]].assign(_entry=entries, _before=before)
+
+    table_ddl = f"{key_ddl}, _chunk bigint, _table binary"
+    entry_ddl = f"{key_ddl}, _chunk bigint, _entry bigint, _before bigint"
+    group = F.shiftright("_chunk", group_bits).alias("_group")
+    # Stored, as they are chained upwards and entered again on the way down.
+    levels = [materialize(rows.groupBy(*keys, "_chunk").applyInPandas(tabulate, table_ddl), "size-tables")]
+    ends = levels[0].agg(F.min("_chunk").alias("low"), F.max("_chunk").alias("high")).first()
+    low, high = ends["low"] or 0, ends["high"] or 0
+    while low >> group_bits != high >> group_bits:
+        composed = (
+            levels[-1].withColumn("_group", group).groupBy(*keys, "_group")
+            .applyInPandas(compose, f"{key_ddl}, _group bigint, _table binary")
         )
-    )
+        levels.append(materialize(composed.withColumnRenamed("_group", "_chunk"), "size-tables"))
+        low, high = low >> group_bits, high >> group_bits
+        if (low, high) == (-1, 0):  # numbers on both sides of zero never meet
+            break
+
+    top = levels.pop().withColumns({"_entry": F.lit(0).cast("bigint"), "_before": F.lit(0).cast("bigint")})
+    entries = top.groupBy(*keys).applyInPandas(chain, entry_ddl)
+    for tables in reversed(levels):
+        entered = tables.withColumn("_group", group).join(
+            entries.withColumnRenamed("_chunk", "_group"), [*keys, "_group"]
+        )
+        entries = entered.groupBy(*keys, "_group").applyInPandas(chain, entry_ddl)
 
     def replay(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(seq)

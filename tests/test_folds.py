@@ -35,13 +35,37 @@ def sequential_batches(sizes, limit):
 @given(st.lists(st.integers(0, 12), max_size=40), st.integers(1, 10), st.data())
 def test_size_table_is_the_fold(sizes, limit, data):
     entry = data.draw(st.integers(0, limit - 1))
-    after, closes = folds._size_table(np.array(sizes, np.int64), limit)
+    cut = data.draw(st.integers(0, len(sizes)))
+    whole = folds._size_table(np.array(sizes, np.int64), limit)
+    halves = [folds._size_table(np.array(part, np.int64), limit) for part in (sizes[:cut], sizes[cut:])]
     held, n = entry, 0
     for size in sizes:
         held += size
         if held >= limit:
             held, n = 0, n + 1
-    assert (after[entry], closes[entry]) == (held, n)
+    chained = folds._size_then(*halves, limit)
+    for table in (whole, chained):
+        assert folds._size_step(entry, table) == (held, n)
+        assert table.shape[1] <= min(limit, len(sizes) + 1)
+
+
+def test_many_chunks_with_a_large_limit_stay_small():
+    """A thousand chunks of sizes of one, and of mixed sizes, against a limit of a million."""
+    limit, rng = 10**6, np.random.default_rng(5)
+    ones = folds._size_table(np.ones(1 << 17, np.int64), limit)
+    assert ones.shape[1] <= 3
+    whole = ones
+    for _ in range(1023):
+        whole = folds._size_then(whole, ones, limit)
+    assert whole.shape[1] <= 3
+    assert folds._size_step(17, whole) == ((17 + (1 << 27)) % limit, (17 + (1 << 27)) // limit)
+    mixed = [rng.integers(1, 9, 1 << 13) for _ in range(32)]
+    whole = folds._size_table(mixed[0], limit)
+    for sizes in mixed[1:]:
+        whole = folds._size_then(whole, folds._size_table(sizes, limit), limit)
+    numbers, held, closes = sequential_batches(np.concatenate(mixed).tolist(), limit)
+    assert folds._size_step(0, whole) == (held, closes)
+    assert whole.shape[1] <= (32 << 13) + 1
 
 
 def sequential_safe(allow, following):
@@ -78,7 +102,7 @@ def test_batch_numbers_over_chunks(spark):
         for seq in rng.sample(range(1000), n)
     ]
     df = spark.createDataFrame(rows, "k string, seq bigint, size bigint, payload string")
-    got = folds.batch_numbers(df, ["k"], "seq", "size", 25, chunk_bits=4, group_bits=3).collect()
+    got = folds.batch_numbers(df, ["k"], "seq", "size", 25, chunk_bits=4, group_bits=2).collect()
     for key in ("hot", "cold"):
         mine = sorted((seq, size) for k, seq, size, _ in rows if k == key)
         expected, _, _ = sequential_batches([size for _, size in mine], 25)
