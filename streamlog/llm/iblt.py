@@ -208,7 +208,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataF
                 yield copied.append_column("part", pa.array(before)).append_column("after", pa.array(np.ones(len(before), np.int32)))
 
     moved = rows.mapInArrow(dealt, f"doc_id {kind}, text binary, part long, after int")
-    return moved.repartition(ranges, "part").sortWithinPartitions("part", "after", F.col("doc_id").asc_nulls_first(), "text")
+    placed = moved.repartitionById(ranges, F.pmod("part", F.lit(ranges)).cast("int"))  # hashing would put ranges together
+    return placed.sortWithinPartitions("part", "after", F.col("doc_id").asc_nulls_first(), "text")
 
 
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
