@@ -10,8 +10,9 @@ Packing: let N(g) be the number of open sequences with g free places. A piece
 goes where the sum of N(g)^2 becomes smallest; among equals to the tightest place.
 Pieces are dealt to groups of about ``GROUP_PIECES`` at random (by a hash of a
 row number, so no key is hot), longest first inside a group. What a group leaves
-open is dealt again, a whole sequence as one piece, until one group holds all
-that is open or ``ROUNDS`` is reached. A task holds one group.
+open is dealt again, a whole sequence as one piece and to other groups than
+before, until one group holds all that is open or a round saves no sequence. A
+task holds one group.
 
 Defined results: a null or empty text is the single id 0; repeated rows are
 pieces of their own; an empty table gives no rows. Only id and text are read.
@@ -19,6 +20,7 @@ pieces of their own; an empty table gives no rows. Only id and text are read.
 
 from __future__ import annotations
 
+import itertools
 import re
 from bisect import insort
 from collections.abc import Iterator
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from streamlog import workspace
 
 CAPACITY, END = 2048, 0
-GROUP_PIECES, ROUNDS = 1 << 16, 3
+GROUP_PIECES = 1 << 16
 #: Words that a task remembers; beyond that it starts anew.
 REMEMBERED = 1 << 19
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
@@ -152,8 +154,8 @@ def fill(sizes: list[int], capacity: int = CAPACITY) -> list[int]:
     return out
 
 
-def _pack_groups(items: DataFrame, groups: int, capacity: int) -> DataFrame:
-    """``(item, length)`` to ``(item, bin, place)``: each task packs what it gets."""
+def _pack_groups(items: DataFrame, groups: int, deal: int, capacity: int) -> DataFrame:
+    """``(item, length)`` to ``(item, bin, place)``: each task packs what it gets; ``deal`` numbers the round."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -173,20 +175,25 @@ def _pack_groups(items: DataFrame, groups: int, capacity: int) -> DataFrame:
         names = item[np.unique(bins, return_index=True)[1]][bins]
         yield pa.record_batch([pa.array(item), pa.array(names), pa.array(place), pa.array(used[bins])], ["item", "bin", "place", "used"])
 
-    dealt = items.select("item", "length").repartition(groups, F.xxhash64("item"))
+    dealt = items.select("item", "length").repartition(groups, F.xxhash64("item", F.lit(deal)))
     return dealt.mapInArrow(pack, "item long, bin long, place long, used long")
 
 
-def assign(rows: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
+def assign(rows: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of at most ``capacity``."""
     numbered = workspace.materialize(rows.withColumn("_item", F.monotonically_increasing_id()), "pieces")
     items = numbered.select(F.col("_item").alias("item"), "length")
     placed = None
-    for _ in range(rounds):
-        groups = -(-items.count() // group_pieces)
-        if not groups:
+    for deal in itertools.count():
+        n = items.count()
+        if not n:
+            break
+        groups = -(-n // group_pieces)
+        packed = workspace.materialize(_pack_groups(items, groups, deal, capacity), "packed")
+        if packed.where(F.col("item") == F.col("bin")).count() == n:  # a sequence is named by one of its items
+            if placed is None:
+                placed = packed.select("item", "bin", "place")
             break
-        packed = workspace.materialize(_pack_groups(items, groups, capacity), "packed")
         if placed is None:
             placed = packed.select("item", "bin", "place")
         else:

@@ -285,6 +285,21 @@ def test_small_groups_are_packed_again(spark):
     assert got["sequence_id"].nunique() <= got["length"].sum() / 2048 * 1.15 + 1
 
 
+def test_packing_ends_when_nothing_is_saved(spark):
+    rows = spark.createDataFrame([(k, 1025) for k in range(300)], "k long, length long")
+    got = packing.assign(rows, group_pieces=50).toPandas()
+    assert got["sequence_id"].nunique() == 300 and not got["offset"].any()
+
+
+def test_packing_goes_on_past_a_few_rounds(spark):
+    """Groups of four are dealt again until a round saves nothing."""
+    rows = spark.createDataFrame([(k, 1) for k in range(2048)], "k long, length long")
+    got = packing.assign(rows, group_pieces=4).toPandas()
+    assert got.groupby("sequence_id")["length"].sum().max() <= 2048
+    assert got["sequence_id"].nunique() == 1
+    assert sorted(got["offset"]) == list(range(2048))
+
+
 def test_matching_statistics():
     draw = random.Random(3)
     for _ in range(30):
