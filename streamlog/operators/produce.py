@@ -44,14 +44,30 @@ def flexi_flow(
     send order. ``envelopes``: envelope_id, records and columns that pass through. A result
     has ``parts``, the placed records of the envelope in order; it is empty for
     an envelope without records. ``ends`` gives the current end of the target log.
+
+    Envelopes are evaluated and stored once. What passes through is stored with the
+    first record, or in a row of its own without one. It is left out while records
+    get their places and meets them again when they are grouped by envelope.
     """
-    chosen = partitioner.deal(expand(envelopes, partitions), partitions, **SEND_ORDER)
-    records = log.append_offsets(chosen, **SEND_ORDER, base=ends)
-    part = F.struct("pos", *model.TP, "offset", "key", "value")
-    parts = records.groupBy("envelope_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-    kept = [c for c in envelopes.columns if c != "records"]
-    results = envelopes.select(*kept).join(parts, "envelope_id", "left")
-    return Produced(records, results)
+    through = F.struct(*[c for c in envelopes.columns if c != "records"])
+    exploded = envelopes.select(through.alias("_through"), F.posexplode_outer("records").alias("pos", "_r"))
+    sent = F.col("pos").isNotNull()
+    stored = exploded.select(
+        "_through.envelope_id", "pos", F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("_through")).alias("_through"), "_r.*"
+    )
+    stored = materialize(
+        stored.withColumn("partition", F.when(sent, partitioner.known_partition(partitions))), "sends"
+    )
+    chosen = partitioner.deal(stored.filter(sent).drop("_through"), partitions, **SEND_ORDER)
+    placed = log.append_offsets(chosen, **SEND_ORDER, base=ends)
+    part = F.struct("pos", *model.TP, "offset", "key", "value").alias("_part")
+    first = stored.filter(F.coalesce("pos", F.lit(0)) == 0).select("envelope_id", "_through", F.lit(None).alias("_part"))
+    rows = placed.select("envelope_id", F.lit(None).alias("_through"), part).unionByName(first)
+    results = rows.groupBy("envelope_id").agg(
+        F.first("_through", ignorenulls=True).alias("_through"),
+        F.array_sort(F.collect_list("_part")).alias("parts"),
+    )
+    return Produced(placed, results.select("_through.*", "parts"))
 
 
 def kind(parts: Column) -> Column:

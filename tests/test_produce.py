@@ -103,3 +103,17 @@ def test_bytes_and_json(spark):
     negative = spark.createDataFrame([(bytearray(b"\xff" * 8),)], "n binary").select(serde.int64(F.col("n")).alias("n")).first()
     assert negative.n == -1
     assert df.select(serde.to_json_value(F.lit(1).alias("a")).alias("j")).first().j == '{"a":1}'
+
+
+def test_results_do_not_evaluate_envelopes_again(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "envelope_id long, v string").write.parquet(path)
+    one = envelope.single(envelope.record("t", F.col("v"), key=F.col("v")))
+    envelopes = spark.read.parquet(path).select(
+        "envelope_id", envelope.route([(F.col("v").isNull(), envelope.pass_through())], one).alias("records"),
+        F.expr("uuid()").alias("mark"),
+    )
+    results = produce.flexi_flow(envelopes, 2).results
+    assert not [f for f in results.inputFiles() if path in f]
+    assert {r.envelope_id: r.mark for r in results.collect()} == {r.envelope_id: r.mark for r in results.collect()}
+    assert {r.envelope_id: len(r.parts) for r in results.collect()} == {1: 1, 2: 1, 3: 0}
