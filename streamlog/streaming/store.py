@@ -136,13 +136,16 @@ class OutputLog:
     def records(self) -> DataFrame:
         """Records of committed batches: a writer publishes its batches in order.
 
-        The batches that count are one row per writer and start, known to the driver.
+        The batches that count are one number per writer and start, known to the driver. They are
+        compared with the names of the folders: other folders are not read, and records not shuffled.
         """
         stored = read_if_exists(self.spark, f"{self.root}/records", RECORDS)
-        last = [(w, int(e), n) for w, mine in self._published()[1].items() for e, n in mine["last"].items()]
-        reached = self.spark.createDataFrame(last, "writer string, epoch long, _last long")
-        counted = stored.join(reached, ["writer", "epoch"]).filter("batch_id <= _last").drop("_last")
-        return counted.select(*RECORDS.fieldNames())
+        last = {f"{e}/{w}": n for w, mine in self._published()[1].items() for e, n in mine["last"].items()}
+        counts = F.lit(False)
+        if last:
+            of_start = F.map_from_arrays(F.array(*map(F.lit, last)), F.array(*map(F.lit, last.values())))
+            counts = F.col("batch_id") <= of_start[F.concat_ws("/", "epoch", "writer")]
+        return stored.filter(counts).select(*RECORDS.fieldNames())
 
     def last_batch(self, writer: str, query_id: str | None = None) -> int:
         """Number of the last batch published by ``writer``, -1 for none.

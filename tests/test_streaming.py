@@ -182,6 +182,24 @@ def test_an_earlier_start_of_a_writer_is_fenced(spark, tmp_path):
         out.claim("w", "another")
 
 
+def test_reading_an_output_log_shuffles_nothing(spark, tmp_path):
+    """What counts is chosen by folder: the records of a writer are not gathered in one task."""
+    out, none = OutputLog(spark, str(tmp_path / "out")), no_offsets(spark)
+    assert out.records().isEmpty()
+    for writer, partition in (("a", 0), ("b c", 1)):
+        for n in (0, 1):  # each start publishes one batch and stages another
+            epoch = out.claim(writer, "q")
+            staged = out.stage(one_record(spark, f"{writer} {n}", partition), writer, n, ["seq"], epoch=epoch)
+            out.publish(staged, none, writer, n, "q", epoch=epoch)
+            out.stage(one_record(spark, f"{writer} {n + 1} early", partition), writer, n + 1, ["seq"], epoch=epoch)
+    out.stage(one_record(spark, "c 0"), "c", 0, ["seq"])
+    records = out.records()
+    rows = [(r.writer, r.epoch, r.batch_id, r.value, r.offset) for r in records.collect()]
+    assert sorted(rows) == [("a", 1, 0, "a 0", 0), ("a", 2, 1, "a 1", 1), ("b c", 1, 0, "b c 0", 0), ("b c", 2, 1, "b c 1", 1)]
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan, plan
+
+
 @pytest.mark.parametrize("partition", [0, 1])
 def test_writers_that_publish_at_the_same_moment(spark, tmp_path, monkeypatch, partition):
     """b publishes between the moment a looks and the moment it publishes; only other topic-partitions may."""
