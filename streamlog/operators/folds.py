@@ -11,6 +11,10 @@ parallel and then chained. The three steps are
 3. replay each chunk from its entry state.
 
 Chaining is done in levels, so no task holds the tables of a whole hot key.
+
+A call of Python costs as much as thousands of rows, so chunks smaller than a block
+of ``2 ** BLOCK_BITS`` numbers share one: a step takes a block and treats each chunk,
+or each group of chunks, in it by itself.
 """
 
 from __future__ import annotations
@@ -19,17 +23,29 @@ from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlog.workspace import materialize
 
 CHUNK_BITS = 17
+BLOCK_BITS = 17
 GROUP_BITS = 10  # chunks whose tables are chained in one task
 SIZE_GROUP_BITS = 5  # the same for tables of sizes, which may be large
 
 
+def _runs(values: np.ndarray) -> list[slice]:
+    """Where equal neighbours stand."""
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [slice(*ends) for ends in zip(cuts, cuts[1:])]
+
+
+def _block_of(column: str, bits: int) -> Column:
+    """The block of parts that span ``2 ** bits`` numbers each; a larger part is a block."""
+    return F.shiftright(column, max(0, BLOCK_BITS - bits)).alias("_block")
+
+
 # -- closing by size ---------------------------------------------------------
 # State: the size collected since the last close, below the limit. A table cuts
 # the states into pieces, rows of an array: the first state of the piece, the
@@ -126,48 +142,59 @@ def batch_numbers(
 
     Tables of ``2 ** group_bits`` neighbours are chained into one until a key has a
     single group, so a task holds that many tables of at most ``limit`` pieces of
-    32 bytes, and of no more pieces than their rows.
+    32 bytes, and of no more pieces than their rows; of small chunks, the tables of a block.
     """
     types, columns = dict(df.dtypes), df.columns
     key_ddl = ", ".join(f"`{k}` {types[k]}" for k in keys)
     placed = df.withColumn("_chunk", F.shiftright(F.col(seq).cast("bigint"), chunk_bits))
+    placed = placed.select("*", _block_of("_chunk", chunk_bits))
     rows = placed.select(
-        *keys, "_chunk", F.col(seq).alias("_seq"), F.col(size).cast("bigint").alias("_size")
+        *keys, "_chunk", "_block", F.col(seq).alias("_seq"), F.col(size).cast("bigint").alias("_size")
     )
 
     def tabulate(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_seq")
-        table = _packed(_size_table(frame["_size"].to_numpy(), limit))
-        return frame[[*keys, "_chunk"]].head(1).assign(_table=[table])
+        chunks, sizes = _runs(frame["_chunk"].to_numpy()), frame["_size"].to_numpy()
+        tables = [_packed(_size_table(sizes[chunk], limit)) for chunk in chunks]
+        return frame[[*keys, "_chunk"]].iloc[[chunk.start for chunk in chunks]].assign(_table=tables)
 
     def compose(frame: pd.DataFrame) -> pd.DataFrame:
-        tables = frame.sort_values("_chunk")["_table"]
-        whole = _unpacked(tables.iloc[0])
-        for table in tables.iloc[1:]:
-            whole = _size_then(whole, _unpacked(table), limit)
-        return frame[[*keys, "_group"]].head(1).assign(_table=[_packed(whole)])
+        frame = frame.sort_values("_chunk")
+        groups, composed = _runs(frame["_group"].to_numpy()), []
+        for group in groups:
+            first, *others = frame["_table"].iloc[group]
+            whole = _unpacked(first)
+            for table in others:
+                whole = _size_then(whole, _unpacked(table), limit)
+            composed.append(_packed(whole))
+        return frame[[*keys, "_group"]].iloc[[group.start for group in groups]].assign(_table=composed)
 
     def chain(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_chunk")
-        state, closes = int(frame["_entry"].iloc[0]), int(frame["_before"].iloc[0])
         entries, before = [], []
-        for table in frame["_table"]:
-            entries.append(state)
-            before.append(closes)
-            state, more = _size_step(state, _unpacked(table))
-            closes += more
+        for group in _runs(frame["_group"].to_numpy()):
+            state, closes = int(frame["_entry"].iloc[group.start]), int(frame["_before"].iloc[group.start])
+            for table in frame["_table"].iloc[group]:
+                entries.append(state)
+                before.append(closes)
+                state, more = _size_step(state, _unpacked(table))
+                closes += more
         return frame[[*keys, "_chunk"]].assign(_entry=entries, _before=before)
 
     table_ddl = f"{key_ddl}, _chunk bigint, _table binary"
     entry_ddl = f"{key_ddl}, _chunk bigint, _entry bigint, _before bigint"
-    group = F.shiftright("_chunk", group_bits).alias("_group")
+
+    def grouped(tables: DataFrame, level: int) -> DataFrame:
+        tables = tables.withColumn("_group", F.shiftright("_chunk", group_bits))
+        return tables.select("*", _block_of("_group", chunk_bits + (level + 1) * group_bits))
+
     # Stored, as they are chained upwards and entered again on the way down.
-    levels = [materialize(rows.groupBy(*keys, "_chunk").applyInPandas(tabulate, table_ddl), "size-tables")]
+    levels = [materialize(rows.groupBy(*keys, "_block").applyInPandas(tabulate, table_ddl), "size-tables")]
     ends = levels[0].agg(F.min("_chunk").alias("low"), F.max("_chunk").alias("high")).first()
     low, high = ends["low"] or 0, ends["high"] or 0
     while low >> group_bits != high >> group_bits:
         composed = (
-            levels[-1].withColumn("_group", group).groupBy(*keys, "_group")
+            grouped(levels[-1], len(levels) - 1).groupBy(*keys, "_block")
             .applyInPandas(compose, f"{key_ddl}, _group bigint, _table binary")
         )
         levels.append(materialize(composed.withColumnRenamed("_group", "_chunk"), "size-tables"))
@@ -175,25 +202,26 @@ def batch_numbers(
         if (low, high) == (-1, 0):  # numbers on both sides of zero never meet
             break
 
-    top = levels.pop().withColumns({"_entry": F.lit(0).cast("bigint"), "_before": F.lit(0).cast("bigint")})
+    zero = F.lit(0).cast("bigint")
+    top = levels.pop().withColumns({"_group": zero, "_entry": zero, "_before": zero})
     entries = top.groupBy(*keys).applyInPandas(chain, entry_ddl)
-    for tables in reversed(levels):
-        entered = tables.withColumn("_group", group).join(
+    for level in reversed(range(len(levels))):
+        entered = grouped(levels[level], level).join(
             entries.withColumnRenamed("_chunk", "_group"), [*keys, "_group"]
         )
-        entries = entered.groupBy(*keys, "_group").applyInPandas(chain, entry_ddl)
+        entries = entered.groupBy(*keys, "_block").applyInPandas(chain, entry_ddl)
 
-    def replay(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(seq)
-        entry, before = int(frame["_entry"].iloc[0]), int(frame["_before"].iloc[0])
-        numbers = _replay_sizes(frame[size].to_numpy(), limit, entry, before)
-        return frame[columns].assign(**{name: numbers})
+    def replay(frame: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+        frame, entered = frame.sort_values(seq), entered.sort_values("_chunk")
+        chunks, sizes = _runs(frame["_chunk"].to_numpy()), frame[size].to_numpy()
+        entry = zip(chunks, entered["_entry"].tolist(), entered["_before"].tolist(), strict=True)
+        numbers = [_replay_sizes(sizes[chunk], limit, state, closes) for chunk, state, closes in entry]
+        return frame[columns].assign(**{name: np.concatenate(numbers)})
 
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+    entries = entries.select("*", _block_of("_chunk", chunk_bits))
     return (
-        placed.join(entries.hint("shuffle_hash"), [*keys, "_chunk"])
-        .groupBy(*keys, "_chunk")
-        .applyInPandas(replay, schema)
+        placed.groupBy(*keys, "_block").cogroup(entries.groupBy(*keys, "_block")).applyInPandas(replay, schema)
     )
 
 

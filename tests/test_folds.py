@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -126,6 +127,25 @@ def test_safe_polls_over_chunks(spark):
         assert [r.safe for r in sorted((r for r in got if r.k == key), key=lambda r: r.seq)] == expected
 
 
+def seconds(df):
+    began = time.perf_counter()
+    return df.collect(), time.perf_counter() - began
+
+
+def test_small_chunks_of_sizes_share_a_call(spark):
+    """Ten thousand chunks are not as many calls of Python; numbers on both sides of zero."""
+    rng = random.Random(6)
+    rows = [(seq % 2, seq, rng.randrange(0, 9)) for seq in range(-20_000, 20_000)]
+    df = spark.createDataFrame(rows, "k int, seq bigint, size bigint").repartition(4).cache()
+    whole, alone = seconds(folds.batch_numbers(df, ["k"], "seq", "size", 25))
+    got, small = seconds(folds.batch_numbers(df, ["k"], "seq", "size", 25, chunk_bits=3))
+    assert sorted(got) == sorted(whole)
+    for key in (0, 1):
+        expected, _, _ = sequential_batches([size for k, _, size in rows if k == key], 25)
+        assert [r.batch for r in sorted(got, key=lambda r: r.seq) if r.k == key] == expected
+    assert small < 4 * alone + 10
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.integers(0, 40), min_size=1, max_size=40), st.integers(1, 6), st.integers(1, 30),
