@@ -283,23 +283,24 @@ def safe_polls(
         F.coalesce(F.col("next"), F.lit(int(NONE))).alias("_next"),
         F.shiftright(F.col(seq).cast("bigint"), chunk_bits).alias("_chunk"),
     )
+    rows = rows.select("*", _block_of("_chunk", chunk_bits))
 
     def tabulate(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_seq")
-        upto, leads_to = _safety_table(frame["_allow"].to_numpy(), frame["_next"].to_numpy())
-        return frame[[*keys, "_chunk"]].head(1).assign(_upto=[upto], _exit=[leads_to])
+        chunks, allow, following = _runs(frame["_chunk"].to_numpy()), frame["_allow"].to_numpy(), frame["_next"].to_numpy()
+        upto, leads_to = zip(*(_safety_table(allow[chunk], following[chunk]) for chunk in chunks))
+        return frame[[*keys, "_chunk"]].iloc[[chunk.start for chunk in chunks]].assign(_upto=upto, _exit=leads_to)
 
     tables = (
-        rows.groupBy(*keys, "_chunk")
+        rows.groupBy(*keys, "_block")
         .applyInPandas(tabulate, f"{key_ddl}, _chunk bigint, _upto array<bigint>, _exit array<bigint>")
         .withColumn("_group", F.shiftright("_chunk", group_bits))
     )
+    tables = tables.select("*", _block_of("_group", chunk_bits + group_bits))
 
     tables = materialize(tables, "poll-tables")  # chained and joined below
 
-    def compose(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_chunk")
-        chunks = list(zip(frame["_upto"], frame["_exit"]))
+    def composed(chunks: list[tuple]) -> tuple[list[int], list[int]]:
         # The composed function can only change at a limit of one of the chunks.
         limits = sorted({int(u) for upto, _ in chunks for u in upto})
         upto: list[int] = []
@@ -313,45 +314,59 @@ def safe_polls(
             else:
                 upto.append(limit)
                 leads_to.append(state)
-        return frame[[*keys, "_group"]].head(1).assign(_upto=[upto], _exit=[leads_to])
-
-    def chain(order: str, out: list[str]):
-        def run(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values(order)
-            state = int(frame["_entry"].iloc[0]) if "_entry" in frame.columns else int(NONE)
-            entries = []
-            for upto, leads_to in zip(frame["_upto"], frame["_exit"]):
-                entries.append(state)
-                state = _step(state, upto, leads_to)
-            return frame[out].assign(_entry=entries)
+        return upto, leads_to
+
+    def compose(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_chunk")
+        groups = _runs(frame["_group"].to_numpy())
+        chunks = list(zip(frame["_upto"], frame["_exit"]))
+        upto, leads_to = zip(*(composed(chunks[group]) for group in groups))
+        return frame[[*keys, "_group"]].iloc[[group.start for group in groups]].assign(_upto=upto, _exit=leads_to)
+
+    def entries_of(frame: pd.DataFrame, state: int) -> list[int]:
+        entries = []
+        for upto, leads_to in zip(frame["_upto"], frame["_exit"]):
+            entries.append(state)
+            state = _step(state, upto, leads_to)
+        return entries
 
-        return run
+    def chain_groups(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_group")
+        return frame[[*keys, "_group"]].assign(_entry=entries_of(frame, int(NONE)))
+
+    def chain_chunks(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_chunk")
+        entries: list[int] = []
+        for group in _runs(frame["_group"].to_numpy()):
+            entries += entries_of(frame.iloc[group], int(frame["_entry"].iloc[group.start]))
+        return frame[[*keys, "_chunk"]].assign(_entry=entries)
 
     group_entries = (
-        tables.groupBy(*keys, "_group")
+        tables.groupBy(*keys, "_block")
         .applyInPandas(compose, f"{key_ddl}, _group bigint, _upto array<bigint>, _exit array<bigint>")
         .groupBy(*keys)
-        .applyInPandas(chain("_group", [*keys, "_group"]), f"{key_ddl}, _group bigint, _entry bigint")
+        .applyInPandas(chain_groups, f"{key_ddl}, _group bigint, _entry bigint")
     )
     entries = (
         tables.join(group_entries, [*keys, "_group"])
-        .groupBy(*keys, "_group")
-        .applyInPandas(chain("_chunk", [*keys, "_chunk"]), f"{key_ddl}, _chunk bigint, _entry bigint")
+        .groupBy(*keys, "_block")
+        .applyInPandas(chain_chunks, f"{key_ddl}, _chunk bigint, _entry bigint")
+        .select("*", _block_of("_chunk", chunk_bits))
     )
 
-    def replay(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_seq")
-        state = int(frame["_entry"].iloc[0])
+    def replay(frame: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+        frame, entered = frame.sort_values("_seq"), entered.sort_values("_chunk")
+        polls = list(zip(frame["_allow"].tolist(), frame["_next"].tolist()))
         safe = []
-        for allow, following in zip(frame["_allow"], frame["_next"]):
-            ok = allow != NONE and state <= allow
-            safe.append(ok)
-            state = following if ok else state
+        for chunk, state in zip(_runs(frame["_chunk"].to_numpy()), entered["_entry"].tolist(), strict=True):
+            for allow, following in polls[chunk]:
+                ok = allow != NONE and state <= allow
+                safe.append(ok)
+                state = following if ok else state
         return frame[[*keys, "_seq"]].assign(_safe=safe)
 
     judged = (
-        rows.join(entries.hint("shuffle_hash"), [*keys, "_chunk"])
-        .groupBy(*keys, "_chunk")
+        rows.groupBy(*keys, "_block").cogroup(entries.groupBy(*keys, "_block"))
         .applyInPandas(replay, f"{key_ddl}, _seq bigint, _safe boolean")
     )
     return judged.withColumnsRenamed({"_seq": seq, "_safe": "safe"})

@@ -146,6 +146,22 @@ def test_small_chunks_of_sizes_share_a_call(spark):
     assert small < 4 * alone + 10
 
 
+def test_small_chunks_of_polls_share_a_call(spark):
+    rng = random.Random(7)
+    rows = [
+        (seq % 2, seq, None if rng.random() < 0.1 else seq + rng.randrange(-40, 20), seq + rng.randrange(-10, 10))
+        for seq in range(-15_000, 15_000)
+    ]
+    df = spark.createDataFrame(rows, "k int, seq bigint, allow bigint, next bigint").repartition(4).cache()
+    whole, alone = seconds(folds.safe_polls(df, ["k"], "seq"))
+    got, small = seconds(folds.safe_polls(df, ["k"], "seq", chunk_bits=3, group_bits=2))
+    assert sorted(got) == sorted(whole)
+    for key in (0, 1):
+        expected = sequential_safe([r[2] for r in rows if r[0] == key], [r[3] for r in rows if r[0] == key])
+        assert [r.safe for r in sorted(got, key=lambda r: r.seq) if r.k == key] == expected
+    assert small < 4 * alone + 10
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.integers(0, 40), min_size=1, max_size=40), st.integers(1, 6), st.integers(1, 30),
