@@ -49,7 +49,10 @@ HEADS, CLASSES, OWN_LEAVES = 1 << 15, 16, 160
 LEAVES = CLASSES * CLASSES
 BITS, ROUNDS, STEP, PRIOR = 15, 2, 0.5, 4.0
 UNSEEN = 0.05
-BATCH_BYTES, SLICE, BLOCK = 8 << 20, 1 << 17, 1 << 10
+#: A slice of tokens has its 16 logits each in the processor's cache.
+BATCH_BYTES, SLICE, BLOCK = 8 << 20, 1 << 15, 1 << 10
+#: Upper bits of a hash that choose where the search for a head begins.
+HEAD_BITS = 18
 FEATURES = 3
 END, BEGIN = np.uint64(1), np.uint64(2)
 _LOG10 = np.log(10.0)
@@ -99,22 +102,36 @@ class Tokens:
 
 
 def tokens(texts: pa.Array) -> Tokens:
-    words, shared = [], []
-    for text in texts:
-        data = text.as_py().lower()
-        starts, ends = wordhash.spans(data)
-        raw = np.frombuffer(data, np.uint8)
-        words += [wordhash.hashes(data, starts, ends), [END]]
-        last = raw[ends - 1].astype(np.int64) * 257 + np.where(ends - starts > 1, raw[ends - 2], 0)
-        shared += [OWN_LEAVES + last * 40_503 % 65_536 % (LEAVES - OWN_LEAVES), [0]]
-    sizes = np.array([len(w) + 1 for w in words[::2]], np.int64)
-    return Tokens(np.concatenate(words).astype(np.uint64), np.concatenate(shared).astype(np.int64),
-                  np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes)
+    """All texts are hashed as one, a space apart; no word spans two."""
+    data = b" ".join(texts.to_pylist()).lower()
+    starts, ends = wordhash.spans(data)
+    raw = np.frombuffer(data, np.uint8)
+    # The last byte of a word, and the one before it if the word has one.
+    last = raw[ends - 1].astype(np.int64) * 257 + np.where(ends - starts > 1, raw[ends - 2], 0)
+    lengths = np.array(pc.binary_length(texts), np.int64)
+    begins = np.cumsum(lengths + 1) - lengths - 1
+    words = np.diff(np.append(np.searchsorted(starts, begins), len(starts)))
+    sizes = words + 1
+    first = np.cumsum(sizes) - sizes
+    at = np.arange(len(starts)) + np.repeat(np.arange(len(sizes)), words)
+    word, shared = np.full(len(starts) + len(sizes), END), np.zeros(len(starts) + len(sizes), np.int64)
+    word[at] = wordhash.hashes(data, starts, ends)
+    shared[at] = OWN_LEAVES + last * 40_503 % 65_536 % (LEAVES - OWN_LEAVES)
+    return Tokens(word, shared, np.repeat(np.arange(len(sizes)), sizes), first)
+
+
+def _search(heads: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """``np.searchsorted`` for sorted hashes: few heads share their upper bits, so few steps lead from there to the place."""
+    low = np.searchsorted(heads, np.arange(1 << HEAD_BITS, dtype=np.uint64) << np.uint64(64 - HEAD_BITS))
+    at, ended = low[word >> np.uint64(64 - HEAD_BITS)], np.append(heads, np.uint64(0xFFFFFFFFFFFFFFFF))
+    while (below := ended[at] < word).any():
+        at += below
+    return at
 
 
 def lookup(model: Model, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """(head number or -1, leaf) of each token."""
-    at = np.searchsorted(model.heads, t.word)
+    at = _search(model.heads, t.word)
     at[at == len(model.heads)] = 0
     head = np.where(model.heads[at] == t.word, at, -1) if len(model.heads) else np.full(len(t.word), -1)
     own = np.where(head >= 0, model.leaf_of_head[np.maximum(head, 0)], -1) if len(model.heads) else head
@@ -154,10 +171,12 @@ def _slices(model: Model, t: Tokens, leaf: np.ndarray) -> Iterator[tuple[slice,
             logits = bias[0 if level == 0 else parent + 1] + np.zeros((len(high), 1), np.float32)
             if model.weights is not None:
                 for r in rows:
-                    logits += model.weights[level][r]
-            logits -= logits.max(1, keepdims=True)
-            logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-            yield part, level, rows, digit, logits
+                    logits += model.weights[level].take(r, 0)
+            # A row for each digit: numpy then works along the tokens, not along 16 numbers at a time.
+            logits = np.ascontiguousarray(logits.T)
+            logits -= logits.max(0)
+            logits -= np.log(np.exp(logits).sum(0))
+            yield part, level, rows, digit, logits.T
 
 
 def _batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -272,6 +291,18 @@ def count_leaves(docs: DataFrame, text_col: str, model: Model) -> None:
     model.leaf_words = words
 
 
+def add_gradient(model: Model, t: Tokens, total: np.ndarray) -> None:
+    """Add the errors of the 16 digits, and how often a row was met, to ``total``: (2 levels, 17, 2^BITS)."""
+    size = total.shape[2]
+    for _, level, rows, digit, logs in _slices(model, t, lookup(model, t)[1]):
+        error = -np.exp(logs.T).astype(np.float64)
+        error[digit, np.arange(len(digit))] += 1
+        for r in rows:
+            total[level, CLASSES] += np.bincount(r, minlength=size)
+            for c in range(CLASSES):
+                total[level, c] += np.bincount(r, error[c], size)
+
+
 def train(docs: DataFrame, text_col: str, model: Model, rounds: int = ROUNDS) -> None:
     """Gradient rounds; each uses the documents that hash to it."""
     model.weights = np.zeros((2, 1 << BITS, CLASSES), np.float32)
@@ -280,17 +311,10 @@ def train(docs: DataFrame, text_col: str, model: Model, rounds: int = ROUNDS) ->
         held = docs.sparkSession.sparkContext.broadcast(model)
 
         def gradient(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            model, total = held.value, np.zeros((2, size, CLASSES + 1))
+            model, total = held.value, np.zeros((2, CLASSES + 1, size))
             for batch in _batches(batches, 0):
-                t = tokens(batch.column(0))
-                for _, level, rows, digit, logs in _slices(model, t, lookup(model, t)[1]):
-                    error = -np.exp(logs)
-                    error[np.arange(len(digit)), digit] += 1
-                    for r in rows:
-                        total[level, :, CLASSES] += np.bincount(r, minlength=size)
-                        for c in range(CLASSES):
-                            total[level, :, c] += np.bincount(r, error[:, c], size)
-            yield from _packed(total.ravel(), BLOCK * (CLASSES + 1), "<f4")
+                add_gradient(model, tokens(batch.column(0)), total)
+            yield from _packed(total.transpose(0, 2, 1).ravel(), BLOCK * (CLASSES + 1), "<f4")
 
         own = docs.where(F.pmod(F.xxhash64(text_col), F.lit(rounds)) == turn).select(_text(docs, text_col))
         total, _ = _summed(own.mapInArrow(gradient, "block int, data binary"), "<f4")

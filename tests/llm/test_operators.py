@@ -366,6 +366,47 @@ def test_words_of_a_leaf_add_up_to_one(spark, heads):
     assert np.isclose(sum(10.0 ** (score[k] - path[k]) for k in shared.tolist()), 1.0, rtol=1e-6)
 
 
+def test_texts_of_a_batch_are_hashed_as_one(monkeypatch):
+    """One call for all texts, and the same tokens as each text has alone."""
+    texts = [b"", b"One two  one", b" \t", b"\x0bthree ONE ", "\u00c9t\u00e9 a\u00a0b".encode(), b"x", b"", b"y" * 70, b""]
+    alone = [maxent_lm.tokens(pa.array([t], pa.binary())) for t in texts]
+    calls, hashes = [], wordhash.hashes
+    monkeypatch.setattr(wordhash, "hashes", lambda *a: calls.append(1) or hashes(*a))
+    for batch in (pa.array(texts, pa.binary()), pa.array([b"left out", *texts], pa.binary())[1:]):
+        calls.clear()
+        t = maxent_lm.tokens(batch)
+        assert len(calls) == 1
+        assert t.word.dtype == np.uint64 and t.word.tolist() == np.concatenate([x.word for x in alone]).tolist()
+        assert t.shared.tolist() == np.concatenate([x.shared for x in alone]).tolist()
+        sizes = [1 + len(x.split()) for x in texts]
+        assert t.doc.tolist() == np.repeat(np.arange(len(texts)), sizes).tolist()
+        assert t.first.tolist() == (np.cumsum(sizes) - sizes).tolist()
+
+
+def test_gradient_adds_up_token_by_token():
+    draw = np.random.default_rng(4)
+    t = maxent_lm.tokens(pa.array([" ".join(f"w{k}" for k in draw.zipf(1.5, 40) % 30).encode() for _ in range(5)], pa.binary()))
+    heads = np.unique(t.word)[::2]
+    for known in (heads, heads[:0]):
+        assert maxent_lm._search(known, t.word).tolist() == np.searchsorted(known, t.word).tolist()
+    model = maxent_lm.Model(heads, np.where(np.arange(len(heads)) < maxent_lm.OWN_LEAVES, np.arange(len(heads)), -1))
+    _, leaf = maxent_lm.lookup(model, t)
+    model.leaf_counts = np.bincount(leaf, minlength=maxent_lm.LEAVES)
+    model.weights = draw.normal(0, 0.3, (2, 1 << maxent_lm.BITS, maxent_lm.CLASSES)).astype(np.float32)
+    total = np.zeros((2, maxent_lm.CLASSES + 1, 1 << maxent_lm.BITS))
+    maxent_lm.add_gradient(model, t, total)
+    wanted, bias = np.zeros_like(total), model.biases().astype(np.float64)
+    features = maxent_lm._rows(t)
+    for k, (high, low) in enumerate(zip(*np.divmod(leaf, maxent_lm.CLASSES), strict=True)):
+        for level, parent, digit in ((0, maxent_lm.CLASSES, high), (1, high, low)):
+            rows = [r[0] for r in maxent_lm._level([f[k:k + 1] for f in features], np.array([parent]))]
+            logits = bias[0 if level == 0 else parent + 1] + sum(model.weights[level][r].astype(np.float64) for r in rows)
+            chance = np.exp(logits) / np.exp(logits).sum()
+            for r in rows:
+                wanted[level, :, r] += np.append((np.arange(maxent_lm.CLASSES) == digit) - chance, 1)
+    assert np.allclose(total, wanted, atol=1e-4)
+
+
 def test_documents_stay_whatever_the_probability(spark):
     """Five languages with the same words: none has more than a fifth."""
     docs = spark.createDataFrame([(k, "same words", f"l{k}") for k in range(5)] + [(5, "12 34", "l0"), (6, None, "l1")],
